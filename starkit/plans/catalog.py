@@ -76,3 +76,262 @@ def q_mart_top_parts(t: Tables) -> DataFrame:
     p = star.dim_part(t).select("part_key", "p_partkey", "p_name")
     agg = per_key.join(p, "part_key", "inner").drop("part_key")
     return rank_within(agg, ["l_returnflag", "ship_year"], ["-n_lines", "-p_partkey"], "line_rank")
+
+
+# ---------------------------------------------------------------- staging (typed)
+
+from starkit.functions.casts import numeric_text_to_int  # noqa: E402
+from starkit.functions.keys import surrogate_key  # noqa: E402
+from starkit.operators.dims import UNKNOWN_KEY, latest_version  # noqa: E402
+from starkit.operators.marts import bridge_measure, compare_shares, restate_series  # noqa: E402
+from starkit.operators.staging import (  # noqa: E402
+    Spec,
+    classify,
+    decode,
+    land_as_strings,
+    long_to_wide,
+    typed_projection,
+)
+from starkit.sources.landing import (  # noqa: E402
+    normalise_json,
+    prefix_or_equal,
+    read_family,
+    select_by_title,
+    year_window,
+)
+
+# Fixed parameters of the catalogue queries.
+ORDER_SPECS = [
+    Spec("o_orderkey", "bigint"), Spec("o_custkey", "bigint"), Spec("o_orderstatus"),
+    Spec("o_totalprice", "double"), Spec("o_orderdate", "date"),
+    Spec("o_orderstatus", "indicator", "is_fulfilled", true_value="F"),
+    Spec("o_orderpriority"),
+]
+EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
+EVENT_LABELS = {"view": "Page view", "click": "Click", "purchase": "Purchase"}
+PROPS_COLUMNS = ["k", "note"]
+NAME_FRAGMENTS = ["red", "gizmo", "anvil", "cold", "bolt"]
+BRAND_PREFIXES = ["Brand#1", "Brand#2"]
+BRAND_EQUALS = ["Brand#3"]
+SHIP_YEAR_FIRST, SHIP_YEAR_LAST = 1996, 1998
+SHARE_A_CLASSES = {
+    "STANDARD": ["STANDARD"], "PROMO": ["PROMO"], "LARGE": ["LARGE", "MEDIUM"],
+    "(not comparable)": ["SMALL"],
+}  # ECONOMY unmapped -> null class
+SHARE_B_CODES = {"STANDARD": "STANDARD", "PROMO": "PROMO", "LARGE": "LARGE", "ECONOMY": "ECONOMY"}
+NOT_COMPARABLE = "(not comparable)"
+EXTRA_CUSTKEYS = [-1, 0, 999999999]
+TOPK = 100
+
+
+@query("stg_orders_typed")
+def q_stg_orders_typed(t: Tables) -> DataFrame:
+    """Orders landed as text, then typed by a spec list."""
+    raw = land_as_strings(t.orders)
+    typed = typed_projection(raw, ORDER_SPECS)
+    return typed.withColumn("priority_no", F.left(F.col("o_orderpriority"), F.lit(1)).cast("int"))
+
+
+@query("stg_numeric_two_step")
+def q_stg_numeric_two_step(t: Tables) -> DataFrame:
+    """P5: price text -> double -> rint -> int."""
+    raw = land_as_strings(t.orders, ["o_orderkey", "o_totalprice"])
+    return raw.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+                      numeric_text_to_int("o_totalprice").alias("total_int"))
+
+
+@query("stg_events_long_to_wide")
+def q_stg_events_long_to_wide(t: Tables) -> DataFrame:
+    """A4: user x day, max(value) per event type as columns."""
+    ev = t.events.withColumn("event_date", F.to_date("ts"))
+    return long_to_wide(ev, ["user_id", "event_date"], "event_type", "value",
+                        {e: f"{e}_max" for e in EVENT_TYPES})
+
+
+@query("stg_code_decode")
+def q_stg_code_decode(t: Tables) -> DataFrame:
+    """Decode event types (no else), keep mapped types with a value."""
+    ev = t.events.where(F.col("event_type").isin(list(EVENT_LABELS)) & F.col("value").isNotNull())
+    return ev.select("event_id", "user_id", decode("event_type", EVENT_LABELS).alias("event_label"),
+                     F.to_date("ts").alias("event_date"),
+                     numeric_text_to_int(F.col("value").cast("string")).alias("value_int"))
+
+
+@query("stg_string_shaping")
+def q_stg_string_shaping(t: Tables) -> DataFrame:
+    """2.7 string family: trim/upper/lower/lpad/left/length/concat/contains."""
+    p = t.part
+    return p.select(
+        "p_partkey",
+        F.upper(F.trim("p_name")).alias("name_norm"),
+        F.lpad(F.regexp_extract("p_brand", r"#(\d+)", 1), 4, "0").alias("brand_code"),
+        F.lpad(F.col("p_size").cast("string"), 1, "0").alias("size_first_digit"),
+        F.left(F.col("p_type"), F.lit(3)).alias("type_prefix"),
+        F.length("p_name").alias("name_len"),
+        F.concat(F.col("p_brand"), F.lit("/"), F.lower("p_type")).alias("label"),
+        F.col("p_name").contains("ring").alias("has_ring"),
+    )
+
+
+@query("landing_json_props")
+def q_landing_json_props(t: Tables) -> DataFrame:
+    """S3: JSON text -> fixed all-string columns, missing key -> null."""
+    e = t.events.select("event_id", normalise_json("props", PROPS_COLUMNS).alias("p"))
+    return e.select("event_id", *[F.col(f"p.{c}").alias(c) for c in PROPS_COLUMNS])
+
+
+@query("scan_multi_file")
+def q_scan_multi_file(t: Tables) -> DataFrame:
+    """Glob over two files, union by name, rows per source file."""
+    fam = read_family(t.spark, f"{t.sf_dir}/[cs]u*.parquet")
+    key = F.coalesce(F.col("c_custkey"), F.col("s_suppkey"))
+    nat = F.coalesce(F.col("c_nationkey"), F.col("s_nationkey"))
+    bal = F.coalesce(F.col("c_acctbal"), F.col("s_acctbal"))
+    return (fam.withColumn("source_name", F.regexp_extract("source_file", r"^(.*)\.parquet$", 1))
+               .groupBy("source_name")
+               .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys"),
+                    F.count_distinct(nat).alias("n_nations"),
+                    F.count_if(bal > 0).alias("n_positive_balance")))
+
+
+@query("select_codes_by_fragment")
+def q_select_codes_by_fragment(t: Tables) -> DataFrame:
+    """Parts whose name contains a fragment -> lines semi-joined."""
+    codes = select_by_title(t.part, "p_name", NAME_FRAGMENTS).select("p_partkey")
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return li.join(codes, li.l_partkey == codes.p_partkey, "left_semi")
+
+
+@query("select_prefix_year_window")
+def q_select_prefix_year_window(t: Tables) -> DataFrame:
+    """Brand prefix-or-equal selection and a ship-year window."""
+    parts = t.part.where(prefix_or_equal("p_brand", BRAND_PREFIXES, BRAND_EQUALS)).select("p_partkey")
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey",
+                           F.year("l_shipdate").alias("ship_year"))
+    li = year_window(li, "ship_year", SHIP_YEAR_FIRST, SHIP_YEAR_LAST)
+    return li.join(parts, li.l_partkey == parts.p_partkey, "left_semi")
+
+
+@query("surrogate_keys")
+def q_surrogate_keys(t: Tables) -> DataFrame:
+    """K1/K2: md5 keys over one and two columns, YYYYMMDD date key."""
+    return star.surrogate_columns(t)
+
+
+# ---------------------------------------------------------------- dimensions
+
+@query("dim_part_type")
+def q_dim_part_type(t: Tables) -> DataFrame:
+    """Distinct part types, classification without else, unknown."""
+    return star.dim_part_type(t)
+
+
+@query("dim_supplier_current")
+def q_dim_supplier_current(t: Tables) -> DataFrame:
+    """K7: reference list with a derived flag, plus the unknown member."""
+    return star.dim_supplier(t)
+
+
+@query("dim_customer_denorm")
+def q_dim_customer_denorm(t: Tables) -> DataFrame:
+    """Customer with normalised name and the nation name from a
+    filtered nation list, plus the unknown member."""
+    return star.dim_customer(t)
+
+
+@query("scd2_customer_priority")
+def q_scd2_customer_priority(t: Tables) -> DataFrame:
+    """Versions of a customer's order priority."""
+    return star.dim_customer_versions(t)
+
+
+@query("scd2_latest_version")
+def q_scd2_latest_version(t: Tables) -> DataFrame:
+    """Newest version per customer (not the current flag)."""
+    v = star.dim_customer_versions(t)
+    newest = latest_version(v, "o_custkey", unknown_key_col="customer_version_key")
+    return newest.select("o_custkey", F.col("priority").alias("priority_now"),
+                         F.col("is_current").alias("still_current"), "version_no")
+
+
+@query("bridge_order_part")
+def q_bridge_order_part(t: Tables) -> DataFrame:
+    """Order x part bridge with line sequence and main-line flag."""
+    return star.bridge_order_part(t)
+
+
+# ---------------------------------------------------------------- facts / marts
+
+@query("fct_orders_snapshot")
+def q_fct_orders_snapshot(t: Tables) -> DataFrame:
+    """Customer x year snapshot fact, temporal lookup."""
+    return star.fct_orders_snapshot(t)
+
+
+@query("mart_restated_series")
+def q_mart_restated_series(t: Tables) -> DataFrame:
+    """Priority then (version valid then) vs now (newest version)."""
+    f = star.fct_orders_snapshot(t)
+    v = star.dim_customer_versions(t)
+    out = restate_series(f, v, "customer_version_key", "o_custkey",
+                         then_cols={"priority_then": "priority"},
+                         now_cols={"priority_now": "priority", "still_current": "is_current"})
+    return out.select("priority_now", "priority_then", "still_current", "o_custkey", "order_year",
+                      "n_orders")
+
+
+@query("mart_share_compare")
+def q_mart_share_compare(t: Tables) -> DataFrame:
+    """Part-type share of the part list vs quantity share in
+    the latest ship year."""
+    parts = star.dim_part(t).where(F.col("part_key") != UNKNOWN_KEY)
+    a = (parts.groupBy(classify("p_type", SHARE_A_CLASSES).alias("part_class"))
+              .agg(F.count(F.lit(1)).alias("n_parts")))
+    f = star.fct_lineitem(t).withColumn("ship_year", F.year("l_shipdate"))
+    latest = f.agg(F.max("ship_year")).scalar()
+    lines = (f.where(F.col("ship_year") == latest)
+              .join(star.dim_part(t).select("part_key", "p_type"), "part_key", "inner")
+              .withColumn("part_class", decode("p_type", SHARE_B_CODES))
+              .where(F.col("part_class").isNotNull()))
+    b = lines.groupBy("part_class").agg(F.sum("l_quantity").cast("bigint").alias("qty"))
+    return compare_shares(a, b, "part_class", "n_parts", "qty", NOT_COMPARABLE,
+                          "share_parts", "share_qty")
+
+
+@query("mart_bridge_measure")
+def q_mart_bridge_measure(t: Tables) -> DataFrame:
+    """Orders and order value per part class through the order-part
+    bridge, each order counted once per class."""
+    br = star.bridge_order_part(t)
+    part_class = (t.part.join(star.dim_part_type(t), "p_type", "inner")
+                  .select(surrogate_key("p_partkey").alias("part_key"), "type_class"))
+    facts = t.orders.select(surrogate_key("o_orderkey").alias("order_key"),
+                            F.rint(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    return bridge_measure(facts, "order_key", br, "order_key", "part_key", part_class, "part_key",
+                          "type_class", [F.count(F.lit(1)).alias("n_orders"),
+                                         F.sum("cents").alias("total_cents")])
+
+
+@query("inspections_distinct")
+def q_inspections_distinct(t: Tables) -> DataFrame:
+    """Exact distinct over a composite key (a null member counts)."""
+    o = t.orders
+    return o.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_distinct(F.struct("o_custkey", F.to_date("o_orderdate"))).alias("n_keys"),
+                 F.count_distinct("o_custkey").alias("n_customers"))
+
+
+@query("union_distinct_keys")
+def q_union_distinct_keys(t: Tables) -> DataFrame:
+    """Customer keys of all orders union (distinct) literal keys."""
+    extra = t.spark.createDataFrame([(k,) for k in EXTRA_CUSTKEYS], "k bigint")
+    return t.orders.select(F.col("o_custkey").alias("k")).union(extra).distinct()
+
+
+@query("topk_orders")
+def q_topk_orders(t: Tables) -> DataFrame:
+    """O1/O2: the 100 largest orders, ties broken by key (the limit is the
+    report): planned as TakeOrderedAndProject, a per-partition top-k."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice",
+                        F.to_date("o_orderdate").alias("order_date"))
+    return o.orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey").asc()).limit(TOPK)

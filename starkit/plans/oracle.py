@@ -159,3 +159,254 @@ SELECT p.p_partkey, p.p_name, f.l_returnflag, CAST(year(f.l_shipdate) AS INTEGER
 FROM fct_lineitem f JOIN dim_part p ON f.part_key = p.part_key
 GROUP BY p.p_partkey, p.p_name, f.l_returnflag, year(f.l_shipdate)
 """
+
+# ---------------------------------------------------------------- staging
+
+ORACLE["stg_orders_typed"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate,
+       o_orderstatus = 'F' AS is_fulfilled,
+       o_orderpriority,
+       CAST(left(o_orderpriority, 1) AS INTEGER) AS priority_no
+FROM orders
+"""
+
+ORACLE["stg_numeric_two_step"] = """
+SELECT o_orderkey, CAST(CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) AS INTEGER) AS total_int
+FROM orders
+"""
+
+ORACLE["stg_events_long_to_wide"] = """
+SELECT user_id, CAST(ts AS DATE) AS event_date,
+       max(value) FILTER (WHERE event_type = 'view') AS view_max,
+       max(value) FILTER (WHERE event_type = 'click') AS click_max,
+       max(value) FILTER (WHERE event_type = 'purchase') AS purchase_max,
+       max(value) FILTER (WHERE event_type = 'signup') AS signup_max,
+       max(value) FILTER (WHERE event_type = 'error') AS error_max
+FROM events
+GROUP BY user_id, CAST(ts AS DATE)
+"""
+
+ORACLE["stg_code_decode"] = """
+SELECT event_id, user_id,
+       CASE event_type WHEN 'view' THEN 'Page view' WHEN 'click' THEN 'Click'
+                       WHEN 'purchase' THEN 'Purchase' END AS event_label,
+       CAST(ts AS DATE) AS event_date,
+       CAST(CAST(CAST(value AS VARCHAR) AS DOUBLE) AS INTEGER) AS value_int
+FROM events
+WHERE event_type IN ('view', 'click', 'purchase') AND value IS NOT NULL
+"""
+
+ORACLE["stg_string_shaping"] = """
+SELECT p_partkey,
+       upper(trim(p_name)) AS name_norm,
+       lpad(regexp_extract(p_brand, '#(\\d+)', 1), 4, '0') AS brand_code,
+       lpad(CAST(p_size AS VARCHAR), 1, '0') AS size_first_digit,
+       left(p_type, 3) AS type_prefix,
+       CAST(length(p_name) AS INTEGER) AS name_len,
+       p_brand || '/' || lower(p_type) AS label,
+       contains(p_name, 'ring') AS has_ring
+FROM part
+"""
+
+ORACLE["landing_json_props"] = """
+SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.note') AS note
+FROM events
+"""
+
+ORACLE["scan_multi_file"] = """
+SELECT 'customer' AS source_name, count(*) AS n_rows, count(DISTINCT c_custkey) AS n_keys,
+       count(DISTINCT c_nationkey) AS n_nations, count(*) FILTER (WHERE c_acctbal > 0) AS n_positive_balance
+FROM customer
+UNION ALL
+SELECT 'supplier', count(*), count(DISTINCT s_suppkey), count(DISTINCT s_nationkey),
+       count(*) FILTER (WHERE s_acctbal > 0)
+FROM supplier
+"""
+
+ORACLE["select_codes_by_fragment"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity
+FROM lineitem
+WHERE l_partkey IN (SELECT p_partkey FROM part
+                    WHERE regexp_matches(lower(p_name), 'red|gizmo|anvil|cold|bolt'))
+"""
+
+ORACLE["select_prefix_year_window"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(year(l_shipdate) AS INTEGER) AS ship_year
+FROM lineitem
+WHERE year(l_shipdate) BETWEEN 1996 AND 1998
+  AND l_partkey IN (SELECT p_partkey FROM part
+                    WHERE p_brand LIKE 'Brand#1%' OR p_brand LIKE 'Brand#2%' OR p_brand = 'Brand#3')
+"""
+
+ORACLE["surrogate_keys"] = f"""
+SELECT o_orderkey, {sk('o_orderkey')} AS order_key,
+       {sk('o_custkey', 'CAST(o_orderdate AS DATE)')} AS customer_day_key,
+       CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS order_date_key
+FROM orders
+"""
+
+# ---------------------------------------------------------------- dimensions
+
+DIM_PART_TYPE = f"""
+dim_part_type AS (
+  SELECT {sk('p_type')} AS part_type_key, p_type,
+         CASE WHEN p_type IN ('STANDARD', 'PROMO') THEN 'Regular'
+              WHEN p_type IN ('LARGE', 'MEDIUM', 'SMALL') THEN 'Sized' END AS type_class
+  FROM (SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL)
+  UNION ALL SELECT '-1', '(unknown)', NULL
+)"""
+
+ORACLE["dim_part_type"] = with_(DIM_PART_TYPE) + "SELECT * FROM dim_part_type"
+ORACLE["dim_supplier_current"] = with_(DIM_SUPPLIER) + "SELECT * FROM dim_supplier"
+
+ORACLE["dim_customer_denorm"] = f"""
+SELECT {sk('c.c_custkey')} AS customer_key, c.c_custkey, upper(trim(c.c_name)) AS c_name,
+       c.c_mktsegment, c.c_acctbal, n.n_name AS nation_name
+FROM customer c
+LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 4) n ON c.c_nationkey = n.n_nationkey
+UNION ALL SELECT '-1', -1, 'UNKNOWN', '(unknown)', NULL, NULL
+"""
+
+VERSIONS = f"""
+snap AS (
+  SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS order_year,
+         max(o_orderpriority) AS priority, max(o_orderstatus) AS status
+  FROM orders WHERE year(o_orderdate) >= 1996
+  GROUP BY o_custkey, year(o_orderdate)
+),
+snap_flag AS (
+  SELECT *, CASE WHEN lag(priority) OVER w IS NULL THEN 1
+                 WHEN priority <> lag(priority) OVER w THEN 1 ELSE 0 END AS chg
+  FROM snap WINDOW w AS (PARTITION BY o_custkey ORDER BY order_year)
+),
+snap_ver AS (
+  SELECT *, sum(chg) OVER (PARTITION BY o_custkey ORDER BY order_year
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
+  FROM snap_flag
+),
+snap_periods AS (
+  SELECT o_custkey, v, min(order_year) AS fy, max(order_year) AS ty,
+         max(priority) AS priority, max(status) AS status
+  FROM snap_ver GROUP BY o_custkey, v
+),
+versions AS (
+  SELECT {sk('o_custkey', 'v')} AS customer_version_key, o_custkey, priority, status,
+         CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY fy) AS INTEGER) AS version_no,
+         make_date(fy, 1, 1) AS valid_from,
+         CASE WHEN ty = ly THEN DATE '9999-12-31' ELSE make_date(ty, 12, 31) END AS valid_to,
+         ty = ly AS is_current
+  FROM snap_periods CROSS JOIN (SELECT max(order_year) AS ly FROM snap)
+  UNION ALL SELECT '-1', -1, '(unknown)', NULL, 1, DATE '1900-01-01', DATE '9999-12-31', false
+)"""
+
+ORACLE["scd2_customer_priority"] = with_(VERSIONS) + "SELECT * FROM versions"
+
+ORACLE["scd2_latest_version"] = with_(VERSIONS) + """
+SELECT o_custkey, priority AS priority_now, is_current AS still_current, version_no
+FROM versions WHERE customer_version_key <> '-1'
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY valid_from DESC) = 1
+"""
+
+ORACLE["bridge_order_part"] = with_(STG_LINEITEM) + f"""
+SELECT {sk('l_orderkey')} AS order_key, {sk('l_partkey')} AS part_key, l_orderkey,
+       l_linenumber AS line_no, l_linenumber = 1 AS is_main
+FROM stg_lineitem
+"""
+
+# ---------------------------------------------------------------- facts / marts
+
+FCT_ORDERS_SNAPSHOT = """
+order_facts AS (
+  SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS n_orders,
+         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_cents
+  FROM orders GROUP BY o_custkey, year(o_orderdate)
+),
+order_facts_kept AS (
+  SELECT * FROM order_facts
+  WHERE make_date(order_year, 1, 1) >= (SELECT min(valid_from) FROM versions
+                                         WHERE customer_version_key <> '-1')
+),
+fct_orders_snapshot AS (
+  SELECT coalesce(c.datum_key, -1) AS period_date_key,
+         coalesce(v.customer_version_key, '-1') AS customer_version_key,
+         k.o_custkey, k.order_year, k.n_orders, k.total_cents
+  FROM order_facts_kept k
+  LEFT JOIN versions v ON k.o_custkey = v.o_custkey
+                      AND make_date(k.order_year, 1, 1) BETWEEN v.valid_from AND v.valid_to
+  LEFT JOIN cal c ON c.datum = make_date(k.order_year, 1, 1)
+)"""
+
+ORACLE["fct_orders_snapshot"] = (with_(BOUNDS, HOLIDAYS, CALENDAR, VERSIONS, FCT_ORDERS_SNAPSHOT)
+                                 + "SELECT * FROM fct_orders_snapshot")
+
+ORACLE["mart_restated_series"] = with_(BOUNDS, HOLIDAYS, CALENDAR, VERSIONS, FCT_ORDERS_SNAPSHOT) + """
+, newest AS (
+  SELECT o_custkey, priority, is_current FROM versions WHERE customer_version_key <> '-1'
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY valid_from DESC) = 1
+)
+SELECT n.priority AS priority_now, v.priority AS priority_then, n.is_current AS still_current,
+       f.o_custkey, f.order_year, f.n_orders
+FROM fct_orders_snapshot f
+JOIN versions v ON f.customer_version_key = v.customer_version_key AND v.customer_version_key <> '-1'
+JOIN newest n ON f.o_custkey = n.o_custkey
+"""
+
+ORACLE["mart_share_compare"] = with_(*STAR_BASE) + """
+, a AS (
+  SELECT CASE WHEN p_type = 'STANDARD' THEN 'STANDARD' WHEN p_type = 'PROMO' THEN 'PROMO'
+              WHEN p_type IN ('LARGE', 'MEDIUM') THEN 'LARGE'
+              WHEN p_type = 'SMALL' THEN '(not comparable)' END AS part_class,
+         count(*) AS n_parts
+  FROM dim_part WHERE part_key <> '-1' GROUP BY 1
+),
+b AS (
+  SELECT CASE p.p_type WHEN 'STANDARD' THEN 'STANDARD' WHEN 'PROMO' THEN 'PROMO'
+                       WHEN 'LARGE' THEN 'LARGE' WHEN 'ECONOMY' THEN 'ECONOMY' END AS part_class,
+         CAST(sum(f.l_quantity) AS BIGINT) AS qty
+  FROM fct_lineitem f JOIN dim_part p ON f.part_key = p.part_key
+  WHERE year(f.l_shipdate) = (SELECT max(year(l_shipdate)) FROM fct_lineitem)
+    AND p.p_type IN ('STANDARD', 'PROMO', 'LARGE', 'ECONOMY')
+  GROUP BY 1
+),
+j AS (
+  SELECT coalesce(a.part_class, b.part_class) AS part_class, a.n_parts, b.qty
+  FROM a FULL OUTER JOIN b ON a.part_class = b.part_class
+)
+SELECT part_class, n_parts, qty,
+       CASE WHEN part_class <> '(not comparable)'
+            THEN round(n_parts / sum(n_parts) FILTER (WHERE part_class <> '(not comparable)') OVER (), 4)
+       END AS share_parts,
+       round(qty / sum(qty) OVER (), 4) AS share_qty
+FROM j
+"""
+
+ORACLE["mart_bridge_measure"] = with_(STG_LINEITEM, DIM_PART_TYPE) + """
+, pairs AS (
+  SELECT DISTINCT l.l_orderkey, d.type_class
+  FROM stg_lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+  JOIN dim_part_type d ON p.p_type = d.p_type
+)
+SELECT pr.type_class, count(*) AS n_orders,
+       CAST(sum(CAST(round(o.o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_cents
+FROM orders o JOIN pairs pr ON o.o_orderkey = pr.l_orderkey
+GROUP BY pr.type_class
+"""
+
+ORACLE["inspections_distinct"] = """
+SELECT count(*) AS n_rows, count(DISTINCT (o_custkey, CAST(o_orderdate AS DATE))) AS n_keys,
+       count(DISTINCT o_custkey) AS n_customers
+FROM orders
+"""
+
+ORACLE["union_distinct_keys"] = """
+SELECT o_custkey AS k FROM orders
+UNION
+SELECT CAST(k AS BIGINT) FROM (VALUES (-1), (0), (999999999)) t(k)
+"""
+
+ORACLE["topk_orders"] = """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS order_date
+FROM orders ORDER BY o_totalprice DESC, o_orderkey ASC LIMIT 100
+"""
