@@ -335,3 +335,341 @@ def q_topk_orders(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice",
                         F.to_date("o_orderdate").alias("order_date"))
     return o.orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey").asc()).limit(TOPK)
+
+
+# ---------------------------------------------------------------- data quality
+
+from starkit.operators import profile as prof  # noqa: E402
+from starkit.operators import quality as dq  # noqa: E402
+from starkit.sources import export as ex  # noqa: E402
+from starkit.sources import sample as smp  # noqa: E402
+from starkit.sources.landing import upsert_manifest, write_landing  # noqa: E402
+
+ORDER_STATUS_ACCEPTED = ["F", "O"]
+ORDER_WINDOW_DAYS = 30
+
+
+def order_intervals(t: Tables) -> DataFrame:
+    d = F.to_date("o_orderdate")
+    return t.orders.select("o_custkey", "o_orderkey", d.alias("valid_from"),
+                           F.date_add(d, ORDER_WINDOW_DAYS).alias("valid_to"))
+
+
+@query("dq_unique")
+def q_dq_unique(t: Tables) -> DataFrame:
+    """Is orders one row per customer? (no: duplicated customer keys)."""
+    return dq.failure_count("unique_orders_o_custkey", dq.unique(t.orders, "o_custkey"))
+
+
+@query("dq_not_null")
+def q_dq_not_null(t: Tables) -> DataFrame:
+    """Customers without a denormalised nation name."""
+    return dq.failure_count("not_null_dim_customer_nation_name",
+                            dq.not_null(star.dim_customer(t), "nation_name"))
+
+
+@query("dq_relationships")
+def q_dq_relationships(t: Tables) -> DataFrame:
+    """D3: staged lines whose part is not in the (size-limited) part dimension."""
+    return dq.failure_count("relationships_stg_lineitem_l_partkey",
+                            dq.relationships(star.stg_lineitem(t), "l_partkey", star.dim_part(t), "p_partkey"))
+
+
+@query("dq_accepted_values")
+def q_dq_accepted_values(t: Tables) -> DataFrame:
+    """Order status values outside F/O."""
+    return dq.failure_count("accepted_values_orders_o_orderstatus",
+                            dq.accepted_values(t.orders, "o_orderstatus", ORDER_STATUS_ACCEPTED))
+
+
+@query("dq_unique_combination")
+def q_dq_unique_combination(t: Tables) -> DataFrame:
+    """Duplicated (l_orderkey, l_linenumber) in the raw lines."""
+    return dq.failure_count("unique_combination_lineitem",
+                            dq.unique_combination(t.lineitem, ["l_orderkey", "l_linenumber"]))
+
+
+@query("dq_no_overlap")
+def q_dq_no_overlap(t: Tables) -> DataFrame:
+    """Customers with overlapping 30-day order windows."""
+    return dq.failure_count("overlaps_order_windows",
+                            dq.overlaps(order_intervals(t), "o_custkey", "o_orderkey", "valid_from", "valid_to"))
+
+
+@query("dq_unmapped_class")
+def q_dq_unmapped_class(t: Tables) -> DataFrame:
+    """Part types without a class (unknown member excluded)."""
+    return dq.failure_count("unmapped_dim_part_type",
+                            dq.unmapped(star.dim_part_type(t), "type_class", "part_type_key"))
+
+
+@query("dq_no_gaps")
+def q_dq_no_gaps(t: Tables) -> DataFrame:
+    """Gaps in a customer's yearly snapshot series."""
+    return dq.failure_count("gaps_customer_snapshots",
+                            dq.gaps(star.customer_snapshots(t), "o_custkey", "order_year"))
+
+
+def _fact_complete(fct: DataFrame, stg: DataFrame) -> DataFrame:
+    return dq.fact_completeness(fct, stg, {
+        "unknown_date": ("ship_date_key", -1), "unknown_part": ("part_key", UNKNOWN_KEY),
+        "unknown_supplier": ("supplier_key", UNKNOWN_KEY)})
+
+
+@query("dq_fact_complete")
+def q_dq_fact_complete(t: Tables) -> DataFrame:
+    """Line fact rows = staged rows and no unknown-member lookups."""
+    return dq.failure_count("fact_complete_fct_lineitem",
+                            _fact_complete(star.fct_lineitem(t), star.stg_lineitem(t)))
+
+
+@query("dq_current_version")
+def q_dq_current_version(t: Tables) -> DataFrame:
+    """Customers with more than one current version."""
+    return dq.failure_count("at_most_one_current_customer_versions",
+                            dq.at_most_one_current(star.dim_customer_versions(t), "o_custkey", "is_current"))
+
+
+@query("dq_no_unknown_member")
+def q_dq_no_unknown_member(t: Tables) -> DataFrame:
+    """Line facts on the unknown part."""
+    return dq.failure_count("unknown_member_fct_lineitem_part_key",
+                            dq.on_unknown_member(star.fct_lineitem(t), "part_key"))
+
+
+def star_tables(t: Tables) -> dict[str, DataFrame]:
+    """The warehouse layer (dimensions, bridge, facts) of the test-data star."""
+    return {
+        "dim_calendar": star.dim_calendar(t), "dim_part": star.dim_part(t),
+        "dim_part_type": star.dim_part_type(t), "dim_supplier": star.dim_supplier(t),
+        "dim_customer": star.dim_customer(t), "dim_customer_versions": star.dim_customer_versions(t),
+        "bridge_order_part": star.bridge_order_part(t), "fct_lineitem": star.fct_lineitem(t),
+        "fct_orders_snapshot": star.fct_orders_snapshot(t),
+    }
+
+
+def star_suite(w: dict[str, DataFrame], t: Tables) -> list[tuple[str, DataFrame]]:
+    """The check list of the star (names are ``<test>_<table>_<column>``)."""
+    checks = []
+    for table, col in [("dim_calendar", "datum_key"), ("dim_part", "part_key"),
+                       ("dim_part_type", "part_type_key"), ("dim_supplier", "supplier_key"),
+                       ("dim_customer", "customer_key"), ("dim_customer_versions", "customer_version_key")]:
+        checks.append((f"unique_{table}_{col}", dq.unique(w[table], col)))
+    for table, col in [("fct_lineitem", "part_key"), ("fct_lineitem", "supplier_key"),
+                       ("fct_lineitem", "ship_date_key"), ("dim_customer", "nation_name")]:
+        checks.append((f"not_null_{table}_{col}", dq.not_null(w[table], col)))
+    for child, col, parent, pcol in [
+            ("fct_lineitem", "part_key", "dim_part", "part_key"),
+            ("fct_lineitem", "supplier_key", "dim_supplier", "supplier_key"),
+            ("fct_lineitem", "ship_date_key", "dim_calendar", "datum_key"),
+            ("fct_orders_snapshot", "customer_version_key", "dim_customer_versions", "customer_version_key"),
+            ("bridge_order_part", "part_key", "dim_part", "part_key")]:
+        checks.append((f"relationships_{child}_{col}", dq.relationships(w[child], col, w[parent], pcol)))
+    checks.append(("accepted_values_orders_o_orderstatus",
+                   dq.accepted_values(t.orders, "o_orderstatus", ["F", "O", "P"])))
+    checks.append(("unique_combination_fct_lineitem",
+                   dq.unique_combination(w["fct_lineitem"], ["l_orderkey", "l_linenumber"])))
+    checks.append(("unique_combination_fct_orders_snapshot",
+                   dq.unique_combination(w["fct_orders_snapshot"], ["o_custkey", "order_year"])))
+    v = w["dim_customer_versions"]
+    checks.append(("overlaps_dim_customer_versions",
+                   dq.overlaps(v, "o_custkey", "customer_version_key", "valid_from", "valid_to")))
+    checks.append(("unmapped_dim_part_type", dq.unmapped(w["dim_part_type"], "type_class", "part_type_key")))
+    checks.append(("gaps_customer_snapshots", dq.gaps(star.customer_snapshots(t), "o_custkey", "order_year")))
+    checks.append(("fact_complete_fct_lineitem", _fact_complete(w["fct_lineitem"], star.stg_lineitem(t))))
+    checks.append(("at_most_one_current_dim_customer_versions", dq.at_most_one_current(v, "o_custkey", "is_current")))
+    checks.append(("unknown_member_fct_orders_snapshot",
+                   dq.on_unknown_member(w["fct_orders_snapshot"], "customer_version_key")))
+    return checks
+
+
+@query("dq_suite")
+def q_dq_suite(t: Tables) -> DataFrame:
+    """The star is materialised once (shared folder), then every check
+    runs against the written tables in one job."""
+    w = ex.materialise(star_tables(t), ex.run_folder(t.spark, "star"))
+    return dq.run_suite(star_suite(w, t))
+
+
+# ---------------------------------------------------------------- profiling
+
+GRAIN_CANDIDATES = {
+    "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "customer": ["c_custkey"],
+    "part": ["p_partkey"], "supplier": ["s_suppkey"], "nation": ["n_nationkey", "n_code"],
+}
+CASTABILITY_TARGETS = {"o_orderkey": "bigint", "o_orderpriority": "int", "o_orderstatus": "date",
+                       "o_orderdate": "date", "o_totalprice": "double"}
+PAD_WIDTH = 8
+TOP_PADDED = 15
+NAME_LENGTH_PROBE = 8
+
+
+@query("profile_columns")
+def q_profile_columns(t: Tables) -> DataFrame:
+    """Column profile of customer, exact distinct counts."""
+    return prof.column_profile(t.customer, exact=True)
+
+
+@query("profile_columns_approx")
+def q_profile_columns_approx(t: Tables) -> DataFrame:
+    """Column profile of lineitem with HyperLogLog distinct counts."""
+    return prof.column_profile(t.lineitem, exact=False)
+
+
+@query("profile_grain")
+def q_profile_grain(t: Tables) -> DataFrame:
+    """Candidate keys per table; a missing column is a remark."""
+    return prof.grain({name: (t.read(name), key) for name, key in GRAIN_CANDIDATES.items()})
+
+
+@query("profile_duplicates")
+def q_profile_duplicates(t: Tables) -> DataFrame:
+    """Fully duplicate rows per table (lineitem on its key columns)."""
+    return prof.duplicate_count({
+        "orders": t.orders, "customer": t.customer, "part": t.part, "supplier": t.supplier,
+        "lineitem_keys": t.lineitem.select("l_orderkey", "l_linenumber")})
+
+
+@query("profile_duplicate_rows")
+def q_profile_duplicate_rows(t: Tables) -> DataFrame:
+    """Duplicated lineitem key pairs with multiplicity."""
+    return prof.duplicate_rows(t.lineitem.select("l_orderkey", "l_linenumber"))
+
+
+@query("profile_coverage")
+def q_profile_coverage(t: Tables) -> DataFrame:
+    """Referential coverage; the part parent is size-limited."""
+    parts = t.part.where(F.col("p_size") <= star.PART_DIM_MAX_SIZE)
+    pairs = [
+        (t.lineitem, "l_partkey", parts, "p_partkey", "lineitem", "part_dim"),
+        (t.lineitem, "l_suppkey", t.supplier, "s_suppkey", "lineitem", "supplier"),
+        (t.lineitem, "l_orderkey", t.orders, "o_orderkey", "lineitem", "orders"),
+        (t.orders, "o_custkey", t.customer, "c_custkey", "orders", "customer"),
+    ]
+    out = [prof.coverage(*p) for p in pairs]
+    res = out[0]
+    for o in out[1:]:
+        res = res.unionByName(o)
+    return res
+
+
+@query("profile_membership_change")
+def q_profile_membership_change(t: Tables) -> DataFrame:
+    """Customers new / vanished per order year."""
+    o = t.orders.select(F.year("o_orderdate").alias("order_year"), "o_custkey")
+    return prof.membership_change(o, "order_year", "o_custkey")
+
+
+@query("profile_padding")
+def q_profile_padding(t: Tables) -> DataFrame:
+    """Brand text right-padded to a fixed width, per part type."""
+    p = t.part.select("p_type", F.rpad("p_brand", PAD_WIDTH, " ").alias("brand_text"))
+    return prof.padding(p, "p_type", "brand_text", TOP_PADDED)
+
+
+@query("profile_castability")
+def q_profile_castability(t: Tables) -> DataFrame:
+    """Orders landed as text: values a hard cast would fail on."""
+    return prof.castability(land_as_strings(t.orders), CASTABILITY_TARGETS)
+
+
+@query("profile_value_census")
+def q_profile_value_census(t: Tables) -> DataFrame:
+    """Value frequencies of status, priority and return flag."""
+    return (prof.value_census(t.orders, ["o_orderstatus", "o_orderpriority"], "orders")
+            .unionByName(prof.value_census(t.lineitem, ["l_returnflag"], "lineitem")))
+
+
+@query("profile_format_counts")
+def q_profile_format_counts(t: Tables) -> DataFrame:
+    """Orphan counts, duplicate key groups and a text-length count."""
+    li, o = t.lineitem, t.orders
+    parts = t.part.where(F.col("p_size") <= star.PART_DIM_MAX_SIZE)
+    a = li.join(o, li.l_orderkey == o.o_orderkey, "left_anti").agg(F.count(F.lit(1)).alias("lines_without_order"))
+    b = o.join(t.customer, o.o_custkey == t.customer.c_custkey, "left_anti").agg(
+        F.count(F.lit(1)).alias("orders_without_customer"))
+    c = li.join(parts, li.l_partkey == parts.p_partkey, "left_anti").agg(
+        F.count(F.lit(1)).alias("lines_without_part_dim"))
+    d = dq.unique_combination(li, ["l_orderkey", "l_linenumber"]).agg(
+        F.count(F.lit(1)).alias("duplicate_line_groups"))
+    e = t.part.agg(F.count_if(F.length("p_name") == NAME_LENGTH_PROBE).alias("names_of_8_chars"))
+    return a.crossJoin(b).crossJoin(c).crossJoin(d).crossJoin(e)
+
+
+@query("profile_inventory")
+def q_profile_inventory(t: Tables) -> DataFrame:
+    """File inventory from parquet footers only."""
+    return prof.parquet_inventory(t.spark, f"{t.sf_dir}/*.parquet")
+
+
+# ---------------------------------------------------------------- sampling / landing / export
+
+RANGE_SIZE = 500
+SAMPLE_N = 200
+EXTRA_ORDERKEYS = [1499, 14999, 99999999]
+MANIFEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+RELANDED = ["orders", "lineitem"]
+
+
+@query("range_boundary")
+def q_range_boundary(t: Tables) -> DataFrame:
+    """The first and the 500th customer key fix a range that is
+    applied to customers, orders and (through orders) lines."""
+    bounds = smp.key_range(t.customer, "c_custkey", RANGE_SIZE)
+    cust = smp.in_range(t.customer, "c_custkey", bounds)
+    orders = smp.in_range(t.orders, "o_custkey", bounds)
+    lines = t.lineitem.join(orders.select("o_orderkey"), t.lineitem.l_orderkey == orders.o_orderkey, "left_semi")
+    rows = (cust.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("customer").alias("table_name"), "n_rows")
+            .unionByName(orders.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("orders").alias("table_name"), "n_rows"))
+            .unionByName(lines.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("lineitem").alias("table_name"), "n_rows")))
+    return rows.crossJoin(bounds.select(F.col("lo").alias("lo_key"), F.col("hi").alias("hi_key")))
+
+
+@query("sample_referential")
+def q_sample_referential(t: Tables) -> DataFrame:
+    """First 200 order keys plus extra keys; lines and the
+    customers of the sampled orders follow; one report row."""
+    keys = smp.first_keys(t.orders, "o_orderkey", SAMPLE_N, EXTRA_ORDERKEYS)
+    orders = smp.restrict_to(t.orders, "o_orderkey", keys, "o_orderkey")
+    lines = smp.restrict_to(t.lineitem, "l_orderkey", keys, "o_orderkey")
+    custs = t.customer.join(orders.select("o_custkey"), t.customer.c_custkey == orders.o_custkey, "left_semi")
+    return smp.sample_report(SAMPLE_N, EXTRA_ORDERKEYS, keys, "o_orderkey",
+                             {"orders": orders, "lineitem": lines, "customer": custs})
+
+
+@query("manifest_upsert")
+def q_manifest_upsert(t: Tables) -> DataFrame:
+    """A manifest of the input tables; two tables are re-landed
+    as all-string parquet in the shared folder, their entries replace the
+    old ones, expected vs written counts are reconciled."""
+    def entry(name: str, snapshot: str, df: DataFrame, written: DataFrame | None = None) -> DataFrame:
+        exp = df.agg(F.count(F.lit(1)).alias("expected_rows"))
+        wr = (written if written is not None else df).agg(F.count(F.lit(1)).alias("n_rows"))
+        return exp.crossJoin(wr).select(
+            F.lit(f"{name}.parquet").alias("file_name"), F.lit(snapshot).alias("snapshot_date"),
+            "n_rows", F.lit(len(df.columns)).alias("n_columns"), "expected_rows")
+
+    old = [entry(n, "2026-01-01", t.read(n)) for n in MANIFEST_TABLES]
+    base = ex.run_folder(t.spark, "landing")
+    new = []
+    for n in RELANDED:
+        path = f"{base}/{n}.parquet"
+        write_landing(t.read(n), path)
+        new.append(entry(n, "2026-02-01", t.read(n), t.spark.read.parquet(path)))
+    manifest, entries = old[0], new[0]
+    for x in old[1:]:
+        manifest = manifest.unionByName(x)
+    for x in new[1:]:
+        entries = entries.unionByName(x)
+    out = upsert_manifest(manifest, entries)
+    return out.withColumn("reconciled", F.col("n_rows") == F.col("expected_rows"))
+
+
+@query("export_roundtrip")
+def q_export_roundtrip(t: Tables) -> DataFrame:
+    """Write the star (plus an empty table) to a fresh folder
+    in the shared location, read it back, count rows per table."""
+    tables = star_tables(t)
+    tables["fct_lineitem_negative_qty"] = tables["fct_lineitem"].where(F.col("l_quantity") < 0)
+    written = ex.materialise(tables, ex.run_folder(t.spark, "export"))
+    return ex.export_report(written)

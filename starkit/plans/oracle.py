@@ -410,3 +410,284 @@ ORACLE["topk_orders"] = """
 SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS order_date
 FROM orders ORDER BY o_totalprice DESC, o_orderkey ASC LIMIT 100
 """
+
+# ---------------------------------------------------------------- data quality
+
+DIM_CUSTOMER = f"""
+dim_customer AS (
+  SELECT {sk('c.c_custkey')} AS customer_key, c.c_custkey, upper(trim(c.c_name)) AS c_name,
+         c.c_mktsegment, c.c_acctbal, n.n_name AS nation_name
+  FROM customer c
+  LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 4) n ON c.c_nationkey = n.n_nationkey
+  UNION ALL SELECT '-1', -1, 'UNKNOWN', '(unknown)', NULL, NULL
+)"""
+
+BRIDGE = f"""
+bridge_order_part AS (
+  SELECT {sk('l_orderkey')} AS order_key, {sk('l_partkey')} AS part_key, l_orderkey,
+         l_linenumber AS line_no, l_linenumber = 1 AS is_main
+  FROM stg_lineitem
+)"""
+
+ORDER_INTERVALS = """
+order_intervals AS (
+  SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS valid_from,
+         CAST(o_orderdate AS DATE) + 30 AS valid_to
+  FROM orders
+)"""
+
+STAR_ALL = (*STAR_BASE, DIM_PART_TYPE, DIM_CUSTOMER, VERSIONS, FCT_ORDERS_SNAPSHOT, BRIDGE)
+
+
+def f_unique(t, c):
+    return f"SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
+
+
+def f_not_null(t, c):
+    return f"SELECT * FROM {t} WHERE {c} IS NULL"
+
+
+def f_relationships(child, c, parent, pc):
+    return (f"SELECT ch.{c} FROM {child} ch LEFT JOIN {parent} pa ON ch.{c} = pa.{pc} "
+            f"WHERE ch.{c} IS NOT NULL AND pa.{pc} IS NULL")
+
+
+def f_accepted(t, c, values):
+    vals = ", ".join(f"'{v}'" for v in values)
+    return f"SELECT {c}, count(*) AS n FROM {t} GROUP BY {c} HAVING {c} NOT IN ({vals})"
+
+
+def f_unique_comb(t, cols):
+    cs = ", ".join(cols)
+    return f"SELECT {cs} FROM {t} GROUP BY {cs} HAVING count(*) > 1"
+
+
+def f_overlaps(t, code, key, fr, to):
+    return (f"SELECT DISTINCT a.{code} FROM {t} a JOIN {t} b ON a.{code} = b.{code} "
+            f"AND a.{key} <> b.{key} AND a.{fr} <= b.{to} AND a.{to} >= b.{fr}")
+
+
+def f_unmapped(t, cls, key):
+    return f"SELECT * FROM {t} WHERE {key} <> '-1' AND {cls} IS NULL"
+
+
+def f_gaps(t, code, period):
+    return (f"SELECT * FROM (SELECT {code}, {period}, lag({period}) OVER (PARTITION BY {code} "
+            f"ORDER BY {period}) AS prev FROM {t}) WHERE prev IS NOT NULL AND {period} <> prev + 1")
+
+
+def f_fact_complete():
+    return """SELECT * FROM (
+      SELECT (SELECT count(*) FROM fct_lineitem) AS fact_rows,
+             (SELECT count(*) FROM stg_lineitem) AS staging_rows,
+             (SELECT count(*) FROM fct_lineitem WHERE ship_date_key = -1) AS unknown_date,
+             (SELECT count(*) FROM fct_lineitem WHERE part_key = '-1') AS unknown_part,
+             (SELECT count(*) FROM fct_lineitem WHERE supplier_key = '-1') AS unknown_supplier)
+    WHERE fact_rows <> staging_rows OR unknown_date > 0 OR unknown_part > 0 OR unknown_supplier > 0"""
+
+
+def f_current(t, code, cur):
+    return f"SELECT {code} FROM {t} WHERE {cur} GROUP BY {code} HAVING count(*) > 1"
+
+
+def f_unknown(t, key):
+    return f"SELECT * FROM {t} WHERE {key} = '-1'"
+
+
+def count_check(name: str, failing_sql: str) -> str:
+    return f"SELECT '{name}' AS check_name, count(*) AS failing_rows FROM ({failing_sql})"
+
+
+ORACLE["dq_unique"] = count_check("unique_orders_o_custkey", f_unique("orders", "o_custkey"))
+ORACLE["dq_not_null"] = with_(DIM_CUSTOMER) + count_check(
+    "not_null_dim_customer_nation_name", f_not_null("dim_customer", "nation_name"))
+ORACLE["dq_relationships"] = with_(STG_LINEITEM, DIM_PART) + count_check(
+    "relationships_stg_lineitem_l_partkey", f_relationships("stg_lineitem", "l_partkey", "dim_part", "p_partkey"))
+ORACLE["dq_accepted_values"] = count_check(
+    "accepted_values_orders_o_orderstatus", f_accepted("orders", "o_orderstatus", ["F", "O"]))
+ORACLE["dq_unique_combination"] = count_check(
+    "unique_combination_lineitem", f_unique_comb("lineitem", ["l_orderkey", "l_linenumber"]))
+ORACLE["dq_no_overlap"] = with_(ORDER_INTERVALS) + count_check(
+    "overlaps_order_windows", f_overlaps("order_intervals", "o_custkey", "o_orderkey", "valid_from", "valid_to"))
+ORACLE["dq_unmapped_class"] = with_(DIM_PART_TYPE) + count_check(
+    "unmapped_dim_part_type", f_unmapped("dim_part_type", "type_class", "part_type_key"))
+ORACLE["dq_no_gaps"] = with_(VERSIONS) + count_check(
+    "gaps_customer_snapshots", f_gaps("snap", "o_custkey", "order_year"))
+ORACLE["dq_fact_complete"] = with_(*STAR_BASE) + count_check("fact_complete_fct_lineitem", f_fact_complete())
+ORACLE["dq_current_version"] = with_(VERSIONS) + count_check(
+    "at_most_one_current_customer_versions", f_current("versions", "o_custkey", "is_current"))
+ORACLE["dq_no_unknown_member"] = with_(*STAR_BASE) + count_check(
+    "unknown_member_fct_lineitem_part_key", f_unknown("fct_lineitem", "part_key"))
+
+_SUITE = []
+for _t, _c in [("cal", "datum_key"), ("dim_part", "part_key"), ("dim_part_type", "part_type_key"),
+               ("dim_supplier", "supplier_key"), ("dim_customer", "customer_key"),
+               ("versions", "customer_version_key")]:
+    _name = {"cal": "dim_calendar", "versions": "dim_customer_versions"}.get(_t, _t)
+    _SUITE.append(count_check(f"unique_{_name}_{_c}", f_unique(_t, _c)))
+for _t, _c in [("fct_lineitem", "part_key"), ("fct_lineitem", "supplier_key"),
+               ("fct_lineitem", "ship_date_key"), ("dim_customer", "nation_name")]:
+    _SUITE.append(count_check(f"not_null_{_t}_{_c}", f_not_null(_t, _c)))
+for _ch, _c, _pa, _pc in [("fct_lineitem", "part_key", "dim_part", "part_key"),
+                          ("fct_lineitem", "supplier_key", "dim_supplier", "supplier_key"),
+                          ("fct_lineitem", "ship_date_key", "cal", "datum_key"),
+                          ("fct_orders_snapshot", "customer_version_key", "versions", "customer_version_key"),
+                          ("bridge_order_part", "part_key", "dim_part", "part_key")]:
+    _SUITE.append(count_check(f"relationships_{_ch}_{_c}", f_relationships(_ch, _c, _pa, _pc)))
+_SUITE.append(count_check("accepted_values_orders_o_orderstatus", f_accepted("orders", "o_orderstatus", ["F", "O", "P"])))
+_SUITE.append(count_check("unique_combination_fct_lineitem", f_unique_comb("fct_lineitem", ["l_orderkey", "l_linenumber"])))
+_SUITE.append(count_check("unique_combination_fct_orders_snapshot",
+                          f_unique_comb("fct_orders_snapshot", ["o_custkey", "order_year"])))
+_SUITE.append(count_check("overlaps_dim_customer_versions",
+                          f_overlaps("versions", "o_custkey", "customer_version_key", "valid_from", "valid_to")))
+_SUITE.append(count_check("unmapped_dim_part_type", f_unmapped("dim_part_type", "type_class", "part_type_key")))
+_SUITE.append(count_check("gaps_customer_snapshots", f_gaps("snap", "o_custkey", "order_year")))
+_SUITE.append(count_check("fact_complete_fct_lineitem", f_fact_complete()))
+_SUITE.append(count_check("at_most_one_current_dim_customer_versions", f_current("versions", "o_custkey", "is_current")))
+_SUITE.append(count_check("unknown_member_fct_orders_snapshot", f_unknown("fct_orders_snapshot", "customer_version_key")))
+
+ORACLE["dq_suite"] = with_(*STAR_ALL) + "SELECT check_name, failing_rows, failing_rows = 0 AS passed FROM (\n" + \
+    "\nUNION ALL\n".join(_SUITE) + "\n)"
+
+# ---------------------------------------------------------------- profiling
+
+_PROFILE_COLS = [("c_custkey", "bigint", False), ("c_name", "string", True), ("c_nationkey", "int", False),
+                 ("c_acctbal", "double", False), ("c_mktsegment", "string", True)]
+ORACLE["profile_columns"] = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, '{ty}' AS column_type, CAST(min({c}) AS VARCHAR) AS min_value,
+       CAST(max({c}) AS VARCHAR) AS max_value, count(DISTINCT {c}) AS n_distinct,
+       round(CAST(100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*) AS DOUBLE), 2) AS null_pct,
+       {f"round(CAST(100.0 * count(*) FILTER (WHERE trim({c}) = '') / count(*) AS DOUBLE), 2)" if is_str
+        else "CAST(0.0 AS DOUBLE)"} AS empty_pct
+FROM customer""" for c, ty, is_str in _PROFILE_COLS)
+
+_GRAIN = [("orders", ["o_orderkey"]), ("lineitem", ["l_orderkey", "l_linenumber"]),
+          ("customer", ["c_custkey"]), ("part", ["p_partkey"]), ("supplier", ["s_suppkey"])]
+ORACLE["profile_grain"] = "\nUNION ALL\n".join(
+    [f"""SELECT '{t}' AS table_name, '{' + '.join(k)}' AS key_cols, count(*) AS n_rows,
+       count(DISTINCT {('(' + ', '.join(k) + ')') if len(k) > 1 else k[0]}) AS n_keys,
+       count(*) = count(DISTINCT {('(' + ', '.join(k) + ')') if len(k) > 1 else k[0]}) AS is_unique,
+       round(count(*) / nullif(count(DISTINCT {('(' + ', '.join(k) + ')') if len(k) > 1 else k[0]}), 0), 4)
+         AS rows_per_key,
+       CAST(NULL AS VARCHAR) AS remark
+FROM {t}""" for t, k in _GRAIN]
+    + ["SELECT 'nation', 'n_nationkey + n_code', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), "
+       "CAST(NULL AS BOOLEAN), CAST(NULL AS DOUBLE), 'missing column: n_code'"])
+
+ORACLE["profile_duplicates"] = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n_rows, "
+    f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {src})) AS n_duplicates FROM {src}"
+    for name, src in [("orders", "orders"), ("customer", "customer"), ("part", "part"),
+                      ("supplier", "supplier"),
+                      ("lineitem_keys", "(SELECT l_orderkey, l_linenumber FROM lineitem)")])
+
+ORACLE["profile_duplicate_rows"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1
+"""
+
+_COV = [("lineitem", "l_partkey", "(SELECT * FROM part WHERE p_size <= 45)", "p_partkey", "part_dim"),
+        ("lineitem", "l_suppkey", "supplier", "s_suppkey", "supplier"),
+        ("lineitem", "l_orderkey", "orders", "o_orderkey", "orders"),
+        ("orders", "o_custkey", "customer", "c_custkey", "customer")]
+ORACLE["profile_coverage"] = "\nUNION ALL\n".join(
+    f"""SELECT '{ch}.{cc}' AS child_ref, '{pn}.{pc}' AS parent_ref, count(*) AS n_rows,
+       count(DISTINCT k.{cc}) AS n_keys, count(*) FILTER (WHERE o.{pc} IS NULL) AS n_orphans,
+       round(100 * (1 - count(*) FILTER (WHERE o.{pc} IS NULL) / nullif(count(*), 0)), 2) AS coverage_pct
+FROM {ch} k LEFT JOIN (SELECT DISTINCT {pc} FROM {pa}) o ON k.{cc} = o.{pc}"""
+    for ch, cc, pa, pc, pn in _COV)
+
+ORACLE["profile_membership_change"] = """
+WITH per AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS order_year, o_custkey FROM orders),
+marked AS (
+  SELECT order_year,
+         lag(order_year) OVER (PARTITION BY o_custkey ORDER BY order_year) AS prev,
+         lead(order_year) OVER (PARTITION BY o_custkey ORDER BY order_year) AS nxt
+  FROM per
+)
+SELECT order_year,
+       count(*) FILTER (WHERE prev IS NULL AND order_year > (SELECT min(order_year) FROM per)) AS n_new,
+       count(*) FILTER (WHERE nxt IS NULL AND order_year < (SELECT max(order_year) FROM per)) AS n_vanished
+FROM marked GROUP BY order_year
+HAVING n_new > 0 OR n_vanished > 0
+"""
+
+ORACLE["profile_padding"] = """
+SELECT p_type, count(*) AS n_rows, CAST(max(length(v)) AS INTEGER) AS max_len,
+       CAST(max(length(trim(v))) AS INTEGER) AS max_len_trimmed,
+       count(*) FILTER (WHERE v <> trim(v)) AS n_padded
+FROM (SELECT p_type, rpad(p_brand, 8, ' ') AS v FROM part)
+WHERE v IS NOT NULL
+GROUP BY p_type HAVING n_padded > 0
+ORDER BY n_rows DESC, p_type LIMIT 15
+"""
+
+_CASTS = [("o_orderkey", "bigint", "BIGINT"), ("o_orderpriority", "int", "INTEGER"),
+          ("o_orderstatus", "date", "DATE"), ("o_orderdate", "date", "DATE"),
+          ("o_totalprice", "double", "DOUBLE")]
+ORACLE["profile_castability"] = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS target_type, count(*) FILTER (WHERE s IS NOT NULL AND "
+    f"try_cast(s AS {dt}) IS NULL) AS n_unparseable FROM (SELECT CAST({c} AS VARCHAR) AS s FROM orders)"
+    for c, t, dt in _CASTS)
+
+ORACLE["profile_value_census"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, coalesce(CAST({c} AS VARCHAR), '(null)') AS value, "
+    f"count(*) AS n FROM {t} GROUP BY 3"
+    for t, c in [("orders", "o_orderstatus"), ("orders", "o_orderpriority"), ("lineitem", "l_returnflag")])
+
+ORACLE["profile_format_counts"] = """
+SELECT
+  (SELECT count(*) FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey))
+    AS lines_without_order,
+  (SELECT count(*) FROM orders o WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey))
+    AS orders_without_customer,
+  (SELECT count(*) FROM lineitem l WHERE NOT EXISTS
+     (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey AND p.p_size <= 45)) AS lines_without_part_dim,
+  (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))
+    AS duplicate_line_groups,
+  (SELECT count(*) FROM part WHERE length(p_name) = 8) AS names_of_8_chars
+"""
+
+# ---------------------------------------------------------------- sampling / landing / export
+
+ORACLE["range_boundary"] = """
+WITH b AS (
+  SELECT (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL ORDER BY c_custkey LIMIT 1 OFFSET 0) AS lo,
+         (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL ORDER BY c_custkey LIMIT 1 OFFSET 499) AS hi
+),
+o AS (SELECT o_orderkey FROM orders, b WHERE o_custkey BETWEEN lo AND hi)
+SELECT 'customer' AS table_name, (SELECT count(*) FROM customer, b WHERE c_custkey BETWEEN lo AND hi) AS n_rows,
+       lo AS lo_key, hi AS hi_key FROM b
+UNION ALL SELECT 'orders', (SELECT count(*) FROM o), lo, hi FROM b
+UNION ALL SELECT 'lineitem', (SELECT count(*) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM o)), lo, hi
+FROM b
+"""
+
+ORACLE["sample_referential"] = """
+WITH keys AS (
+  SELECT o_orderkey FROM (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL
+                          ORDER BY o_orderkey LIMIT 200)
+  UNION
+  SELECT CAST(k AS BIGINT) FROM (VALUES (1499), (14999), (99999999)) t(k)
+),
+so AS (SELECT * FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM keys))
+SELECT 200 AS n_requested, 3 AS n_extra, (SELECT count(*) FROM keys) AS n_keys,
+       (SELECT max(o_orderkey) FROM keys) AS max_key,
+       (SELECT count(*) FROM so) AS orders_rows,
+       (SELECT count(*) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM keys)) AS lineitem_rows,
+       (SELECT count(*) FROM customer WHERE c_custkey IN (SELECT o_custkey FROM so)) AS customer_rows
+"""
+
+_MANIFEST_COLS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6,
+                  "lineitem": 11, "events": 6}
+ORACLE["manifest_upsert"] = "SELECT * FROM (\n" + "\nUNION ALL\n".join(
+    f"SELECT '{t}.parquet' AS file_name, '{'2026-02-01' if t in ('orders', 'lineitem') else '2026-01-01'}'"
+    f" AS snapshot_date, count(*) AS n_rows, {n} AS n_columns, count(*) AS expected_rows, true AS reconciled "
+    f"FROM {t}" for t, n in _MANIFEST_COLS.items()) + "\n) ORDER BY file_name"
+
+ORACLE["export_roundtrip"] = with_(*STAR_ALL) + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {src}"
+    for name, src in [("dim_calendar", "cal"), ("dim_part", "dim_part"), ("dim_part_type", "dim_part_type"),
+                      ("dim_supplier", "dim_supplier"), ("dim_customer", "dim_customer"),
+                      ("dim_customer_versions", "versions"), ("bridge_order_part", "bridge_order_part"),
+                      ("fct_lineitem", "fct_lineitem"), ("fct_orders_snapshot", "fct_orders_snapshot"),
+                      ("fct_lineitem_negative_qty", "(SELECT * FROM fct_lineitem WHERE l_quantity < 0)")])
