@@ -93,6 +93,7 @@ from starkit.operators.staging import (  # noqa: E402
     typed_projection,
 )
 from starkit.sources.landing import (  # noqa: E402
+    dataset_name,
     normalise_json,
     prefix_or_equal,
     read_family,
@@ -187,7 +188,7 @@ def q_scan_multi_file(t: Tables) -> DataFrame:
     key = F.coalesce(F.col("c_custkey"), F.col("s_suppkey"))
     nat = F.coalesce(F.col("c_nationkey"), F.col("s_nationkey"))
     bal = F.coalesce(F.col("c_acctbal"), F.col("s_acctbal"))
-    return (fam.withColumn("source_name", F.regexp_extract("source_file", r"^(.*)\.parquet$", 1))
+    return (fam.withColumn("source_name", dataset_name("source_file"))
                .groupBy("source_name")
                .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys"),
                     F.count_distinct(nat).alias("n_nations"),

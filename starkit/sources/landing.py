@@ -31,17 +31,21 @@ def source(spark: SparkSession, raw_dir: str, group: str, name: str,
     return reader.parquet(f"{raw_dir.rstrip('/')}/{group}_{name}.parquet")
 
 
-def file_name(path_col: Column | None = None) -> Column:
-    """Base name of the file a row came from (not the directory: a dataset
-    directory ``x.parquet`` holds part files)."""
-    p = path_col if path_col is not None else F.col("_metadata.file_path")
-    return F.regexp_extract(p, r"([^/]+)$", 1)
+def dataset_name(path_col: Column | str | None = None) -> Column:
+    """Name of the parquet dataset a row came from: ``x`` for both a single
+    file ``.../x.parquet`` and a dataset directory ``.../x.parquet/part-*``
+    (a regex on the base file name would see only the part file)."""
+    p = F.col("_metadata.file_path") if path_col is None else (
+        F.col(path_col) if isinstance(path_col, str) else path_col)
+    return F.regexp_extract(p, r"([^/]+)\.parquet(/[^/]*)?$", 1)
 
 
 def read_family(spark: SparkSession, glob: str, name_col: str = "source_file",
                 columns: Sequence[str] | None = None) -> DataFrame:
-    """Several files read as one relation (S2): columns unioned by name
-    (``mergeSchema``), plus the file name each row came from.
+    r"""Several files read as one relation (S2): columns unioned by name
+    (``mergeSchema``), plus the full path each row came from in
+    ``name_col`` (regexes such as ``gebieden_(\d{4})\.parquet`` then work
+    for single files and for dataset directories alike).
 
     The glob decides the members (e.g. ``gebieden_[0-9][0-9][0-9][0-9]``
     keeps a sibling code-list file out).
@@ -50,12 +54,13 @@ def read_family(spark: SparkSession, glob: str, name_col: str = "source_file",
     if columns is not None:
         reader = reader.schema(string_schema(columns))
     df = reader.parquet(glob)
-    return df.withColumn(name_col, file_name())
+    return df.withColumn(name_col, F.col("_metadata.file_path"))
 
 
 def normalise_json(col: Column | str, columns: Sequence[str]) -> Column:
     """JSON text -> struct of text fields (S3): missing key -> null, nested
-    values -> their JSON text, scalars -> their literal text."""
+    values -> their JSON text (verbatim as landed), scalars -> their
+    literal text (``true``, ``1e5`` as written)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.from_json(c, string_schema(columns))
 
