@@ -12,9 +12,20 @@ from starkit.operators.dims import UNKNOWN_KEY, latest_version
 from starkit.operators.staging import order_exprs
 
 
-def rank_within(df: DataFrame, by: Sequence[str], order: Sequence, out: str = "rank") -> DataFrame:
+def rank_within(df: DataFrame, by: Sequence[str], order: Sequence, out: str = "rank",
+                split_hot_groups: bool = False) -> DataFrame:
     """Stored rank per group with a unique tiebreak (W3/O3): consumers filter
-    ``rank <= N``.  ``order`` must be total inside a group."""
+    ``rank <= N``.  ``order`` must be total inside a group.
+
+    With a bounded group size (e.g. ranking the codes of a reference list) a
+    window is right.  When groups grow with the data (few groups, many rows
+    each) pass ``split_hot_groups=True``: the ranking is then computed on
+    range partitions with a carried row offset (``ordered.row_number_split``)
+    so no group is processed by a single task.
+    """
+    if split_hot_groups:
+        from starkit.operators.ordered import row_number_split
+        return row_number_split(df, by, order_exprs(order), out)
     w = Window.partitionBy(*by).orderBy(*order_exprs(order))
     return df.withColumn(out, F.row_number().over(w))
 

@@ -43,17 +43,29 @@ def unique_combination(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
 
 
-def overlaps(versions: DataFrame, code: str, key: str, from_col: str, to_col: str) -> DataFrame:
+def overlaps(versions: DataFrame, code: str, key: str, from_col: str, to_col: str,
+             split_hot_groups: bool = False) -> DataFrame:
     """Codes with two versions whose closed periods overlap.
 
     Instead of a self-join per code (quadratic in versions per code), one
-    window: ordered by start, a version overlaps an earlier one exactly when
-    its start is on/before the largest end seen so far.  Returns the
-    distinct offending codes.
+    ordered pass: ordered by start, a version overlaps an earlier one
+    exactly when its start is on/before the largest end seen so far.
+    Returns the distinct offending codes.  Rows are assumed to have distinct
+    ``key`` values (the self-join form excludes a row paired with itself).
+
+    ``split_hot_groups=True`` computes the running maximum on range
+    partitions with a carried maximum, for inputs where one code can hold a
+    large share of the rows (versions of a dimension are bounded by the
+    number of snapshots, so the plain window is the default).
     """
-    w = (Window.partitionBy(code).orderBy(from_col, to_col, key)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    flagged = versions.withColumn("__max_to", F.max(to_col).over(w))
+    v = versions.select(code, key, from_col, to_col)
+    order = [F.col(from_col).asc(), F.col(to_col).asc(), F.col(key).asc()]
+    if split_hot_groups:
+        from starkit.operators.ordered import previous_max_split
+        flagged = previous_max_split(v, [code], order, to_col, "__max_to")
+    else:
+        w = Window.partitionBy(code).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        flagged = v.withColumn("__max_to", F.max(to_col).over(w))
     return flagged.where(F.col(from_col) <= F.col("__max_to")).select(code).distinct()
 
 

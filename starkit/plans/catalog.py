@@ -75,7 +75,9 @@ def q_mart_top_parts(t: Tables) -> DataFrame:
                 .agg(F.sum("n_lines").cast("bigint").alias("n_lines")))
     p = star.dim_part(t).select("part_key", "p_partkey", "p_name")
     agg = per_key.join(p, "part_key", "inner").drop("part_key")
-    return rank_within(agg, ["l_returnflag", "ship_year"], ["-n_lines", "-p_partkey"], "line_rank")
+    # Few groups (flag x year), each as large as the part list: split them.
+    return rank_within(agg, ["l_returnflag", "ship_year"], ["-n_lines", "-p_partkey"], "line_rank",
+                       split_hot_groups=True)
 
 
 # ---------------------------------------------------------------- staging (typed)
@@ -394,7 +396,8 @@ def q_dq_unique_combination(t: Tables) -> DataFrame:
 def q_dq_no_overlap(t: Tables) -> DataFrame:
     """Customers with overlapping 30-day order windows."""
     return dq.failure_count("overlaps_order_windows",
-                            dq.overlaps(order_intervals(t), "o_custkey", "o_orderkey", "valid_from", "valid_to"))
+                            dq.overlaps(order_intervals(t), "o_custkey", "o_orderkey", "valid_from", "valid_to",
+                                        split_hot_groups=True))
 
 
 @query("dq_unmapped_class")

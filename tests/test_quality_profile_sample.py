@@ -83,3 +83,33 @@ def test_first_keys_and_restrict(spark):
     assert sorted(r.k for r in keys.collect()) == list(range(10)) + [55]
     child = spark.createDataFrame([(k % 60,) for k in range(300)], "k long")
     assert smp.restrict_to(child, "k", keys, "k").count() == 55
+
+
+def test_split_forms_match_window_forms(spark):
+    from pyspark.sql import Window
+
+    from starkit.operators.ordered import previous_max_split, row_number_split
+
+    rng = random.Random(11)
+    # one hot group with most rows, several small ones, and a null group key
+    rows = [("hot", i, rng.randint(0, 50)) for i in range(3000)]
+    rows += [(f"g{j}", i, rng.randint(0, 50)) for j in range(20) for i in range(rng.randint(1, 30))]
+    rows += [(None, i, i) for i in range(5)]
+    df = spark.createDataFrame(rows, "g string, k int, v int")
+    order = [F.col("v").desc(), F.col("k").asc()]
+    w = Window.partitionBy("g").orderBy(*order)
+    expect = {(r.g, r.k): r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+    got = {(r.g, r.k): r.rn for r in row_number_split(df, ["g"], order, "rn", num_partitions=9).collect()}
+    assert got == expect
+    wm = w.rowsBetween(Window.unboundedPreceding, -1)
+    expect = {(r.g, r.k): r.m for r in df.withColumn("m", F.max("v").over(wm)).collect()}
+    got = {(r.g, r.k): r.m for r in previous_max_split(df, ["g"], order, "v", "m", num_partitions=9).collect()}
+    assert got == expect
+
+
+def test_overlaps_split_form(spark):
+    rows = [("c", f"k{i}", dt.date(2000, 1, 1) + dt.timedelta(days=3 * i),
+             dt.date(2000, 1, 1) + dt.timedelta(days=3 * i + (5 if i == 700 else 1))) for i in range(1500)]
+    rows += [("d", "x", dt.date(2000, 1, 1), dt.date(2000, 1, 2))]
+    df = spark.createDataFrame(rows, "code string, key string, f date, t date")
+    assert [r.code for r in dq.overlaps(df, "code", "key", "f", "t", split_hot_groups=True).collect()] == ["c"]
