@@ -677,3 +677,22 @@ def q_export_roundtrip(t: Tables) -> DataFrame:
     tables["fct_lineitem_negative_qty"] = tables["fct_lineitem"].where(F.col("l_quantity") < 0)
     written = ex.materialise(tables, ex.run_folder(t.spark, "export"))
     return ex.export_report(written)
+
+
+# ---------------------------------------------------------------- streaming landing
+
+from starkit.streaming.landing import land_available, landed_stream  # noqa: E402
+
+EVENT_RAW_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@query("landing_stream_events")
+def q_landing_stream_events(t: Tables) -> DataFrame:
+    """S3/S4 as an incremental stream: the events file lands once as
+    all-string columns plus the props fields; checkpoint and output live in
+    a fresh folder in the shared location; the landed table is read back."""
+    base = ex.run_folder(t.spark, "stream")
+    stream = landed_stream(t.spark, t.sf_dir, "parquet", t.events.schema, EVENT_RAW_COLUMNS,
+                           json_column="props", json_fields=PROPS_COLUMNS, file_filter="events.parquet")
+    land_available(stream, f"{base}/events.parquet", f"{base}/_checkpoint")
+    return t.spark.read.parquet(f"{base}/events.parquet")

@@ -691,3 +691,10 @@ ORACLE["export_roundtrip"] = with_(*STAR_ALL) + "\nUNION ALL\n".join(
                       ("dim_customer_versions", "versions"), ("bridge_order_part", "bridge_order_part"),
                       ("fct_lineitem", "fct_lineitem"), ("fct_orders_snapshot", "fct_orders_snapshot"),
                       ("fct_lineitem_negative_qty", "(SELECT * FROM fct_lineitem WHERE l_quantity < 0)")])
+
+ORACLE["landing_stream_events"] = """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts, CAST(user_id AS VARCHAR) AS user_id,
+       event_type, CAST(value AS VARCHAR) AS value, props,
+       json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.note') AS note
+FROM events
+"""
