@@ -31,6 +31,9 @@ def range_split(df: DataFrame, by: Sequence[str], order: Sequence[Column],
     the group packed as one struct column ``__grp`` (a struct compares
     equal with null fields, so null group keys stay a group of their own
     and a plain equi-join on it is null-safe)."""
+    from starkit.session import shared_dir
+
+    shared_dir(df.sparkSession)  # checkpoint() needs the shared folder registered
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     g = df.withColumn(GROUP, F.struct(*[F.col(b) for b in by]))
     return (g.repartitionByRange(n, F.col(GROUP).asc_nulls_first(), *order)

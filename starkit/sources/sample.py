@@ -24,7 +24,10 @@ def key_at(df: DataFrame, key: str, position: int, num_partitions: int | None =
     and only the partition holding the position is ranked.  Work per task
     stays at one partition's worth of keys for any ``position``.
     """
+    from starkit.session import shared_dir
+
     spark = df.sparkSession
+    shared_dir(spark)  # checkpoint() needs the shared folder registered
     keys = df.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull())
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (keys.repartitionByRange(n, "__k")

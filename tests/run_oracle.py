@@ -18,9 +18,18 @@ from starkit.session import get_session  # noqa: E402
 
 
 def main(argv):
+    plain = "--plain" in argv
+    argv = [a for a in argv if a != "--plain"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = get_session("local[8]")
+    if plain:  # the way an external driver builds its session: no starkit settings
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+        smoke = entry.entry(spark)
+        print("entry rows", smoke.count(), smoke.columns, flush=True)
+    else:
+        spark = get_session("local[8]")
     qs, oracle = entry.queries(), entry.oracle_sql()
     con = duck_connection(sf_dir)
     bad = 0

@@ -112,6 +112,7 @@ def built(spark):
         write(spark, raw, f"cbs_gebieden_{year}", OBS + ["RegioS"], rows)
     write(spark, raw, "cbs_gebieden_measurecodes", ["Identifier", "Title"], [("GM000C_1", "Naam")])
     m, result = registry.build(spark, raw)
+    m["__raw_dir__"] = raw
     return m, {r.check_name: r.failing_rows for r in result.collect()}
 
 
@@ -194,3 +195,21 @@ def test_export_and_fixtures(built, spark):
     m, _ = built
     rep = {r.table_name: r.n_rows for r in registry.export_warehouse(m, run_folder(spark, "export")).collect()}
     assert set(rep) == set(registry.WAREHOUSE) and rep["dim_datum"] == 14611
+
+
+def test_make_fixtures_keeps_references_consistent(built, spark):
+    from starkit.sources.export import run_folder
+
+    m, _ = built
+    target = run_folder(spark, "fixtures")
+    rep = {r.table_name: r.n_rows for r in
+           registry.make_fixtures(spark, m["__raw_dir__"], target, n_plates=3, extra_plates=("P5",)).collect()}
+    # first three plates in order (02BND8, P1, P2) plus the explicit extra plate P5
+    assert rep["rdw_gekentekende_voertuigen"] == 4
+    assert rep["rdw_brandstof"] == 6
+    assert rep["rdw_geconstateerde_gebreken"] == 5          # the duplicated row is kept verbatim
+    assert rep["rdw_gebreken"] == 3                         # code list copied whole
+    assert rep["cbs_70072ned_motorvoertuigen_gemeente"] == 27  # municipalities from 2015 on
+    assert {k for k in rep if k.startswith("cbs_gebieden_")} == {f"cbs_gebieden_{y}" for y in range(2015, 2019)}
+    back = spark.read.parquet(f"{target}/rdw_brandstof.parquet")
+    assert len(back.columns) == 12  # no column dropped

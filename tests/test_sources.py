@@ -59,3 +59,14 @@ def test_read_family_file_name_and_union(spark, scratch):
         "cbs_gebieden_2015", "cbs_gebieden_2016"]
     years = sorted(r[0] for r in fam.select(F.regexp_extract("source_file", r"gebieden_(\d{4})\.parquet", 1)).collect())
     assert years == ["2015", "2016"] and "X" in fam.columns and "Identifier" not in fam.columns
+
+
+def test_code_list_sorted_columns_and_empty(spark):
+    df = spark.createDataFrame([("t", "A1", "x")], "Title string, Identifier string, Key string")
+    assert landing.code_list(df).columns == ["Identifier", "Key", "Title"]
+    assert landing.code_list(df.where("false")) is None
+
+
+def test_reconcile(spark):
+    df = spark.createDataFrame([(5, 5), (5, 4)], "e long, w long")
+    assert [r[0] for r in df.select(landing.reconcile(F.col("e"), F.col("w"))).collect()] == [True, False]
