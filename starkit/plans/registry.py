@@ -466,8 +466,14 @@ def build(spark: SparkSession, raw_dir: str, out_dir: str | None = None,
 
     m = models(spark, raw_sources(spark, raw_dir))
     base = out_dir or run_folder(spark, "warehouse")
-    written = materialise({k: m[k] for k in WAREHOUSE}, base)
-    m.update(written)
+    # dependency order: dimensions + bridge, then facts from the written
+    # dimensions, then marts from the written facts (nothing computed twice)
+    m.update(materialise({k: m[k] for k in WAREHOUSE if not k.startswith("fct_")}, base))
+    m["fct_gebrek_constatering"] = fct_gebrek_constatering(
+        m["stg_rdw__gebrek_constateringen"], m["dim_datum"], m["dim_voertuig"], m["dim_gebrek"])
+    m["fct_voertuigpark_gemeente"] = fct_voertuigpark_gemeente(
+        m["stg_cbs__voertuigpark_gemeente"], m["dim_gemeente"], m["dim_datum"])
+    m.update(materialise({k: m[k] for k in WAREHOUSE if k.startswith("fct_")}, base))
     add_marts(m)
     m.update(materialise({k: m[k] for k in MARTS}, base))
     result = dq.run_suite(declared_checks(m) + invariant_checks(m))

@@ -54,6 +54,11 @@ LINEITEM_SPECS = [
 ]
 
 
+def _given(d: dict, name: str, build, t: Tables) -> DataFrame:
+    """An already materialised input when given, else the lazy definition."""
+    return d[name] if d.get(name) is not None else build(t)
+
+
 def stg_lineitem(t: Tables) -> DataFrame:
     """Typed lineitem, one row per (l_orderkey, l_linenumber)."""
     typed = typed_projection(t.lineitem, LINEITEM_SPECS)
@@ -123,20 +128,23 @@ def dim_customer_versions(t: Tables) -> DataFrame:
                             "valid_to": F.lit("9999-12-31").cast("date"), "is_current": False})
 
 
-def bridge_order_part(t: Tables) -> DataFrame:
-    return bridge(stg_lineitem(t), ["l_orderkey"], ["l_partkey"], "l_linenumber",
+def bridge_order_part(t: Tables, stg: DataFrame | None = None) -> DataFrame:
+    return bridge(stg if stg is not None else stg_lineitem(t), ["l_orderkey"], ["l_partkey"], "l_linenumber",
                   "order_key", "part_key", seq_alias="line_no", main_col="is_main",
                   carry=["l_orderkey"])
 
 
-def fct_lineitem(t: Tables) -> DataFrame:
+def fct_lineitem(t: Tables, dims: dict[str, DataFrame] | None = None) -> DataFrame:
     """Transaction fact at line grain (K11): three lookups to the unknown
-    member, degenerate columns, constant additive measure ``n_lines``."""
-    s = stg_lineitem(t)
-    f = lookup(s, dim_calendar(t), "l_shipdate", "datum", "datum_key", out_col="ship_date_key",
-               unknown=-1, bounded_dim=True)
-    f = lookup(f, dim_part(t), "l_partkey", "p_partkey", "part_key")
-    f = lookup(f, dim_supplier(t), "l_suppkey", "s_suppkey", "supplier_key")
+    member, degenerate columns, constant additive measure ``n_lines``.
+    ``dims`` may hold already materialised inputs (``stg_lineitem``,
+    ``dim_calendar``, ``dim_part``, ``dim_supplier``)."""
+    d = dims or {}
+    s = _given(d, "stg_lineitem", stg_lineitem, t)
+    f = lookup(s, _given(d, "dim_calendar", dim_calendar, t), "l_shipdate", "datum", "datum_key",
+               out_col="ship_date_key", unknown=-1, bounded_dim=True)
+    f = lookup(f, _given(d, "dim_part", dim_part, t), "l_partkey", "p_partkey", "part_key")
+    f = lookup(f, _given(d, "dim_supplier", dim_supplier, t), "l_suppkey", "s_suppkey", "supplier_key")
     return f.select("ship_date_key", "part_key", "supplier_key", "l_orderkey", "l_linenumber",
                     "l_shipdate", "l_returnflag", F.lit(1).alias("n_lines"), "l_quantity")
 
@@ -148,21 +156,42 @@ def orders_per_customer_year(t: Tables) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("cents").alias("total_cents")))
 
 
-def fct_orders_snapshot(t: Tables) -> DataFrame:
+def fct_orders_snapshot(t: Tables, dims: dict[str, DataFrame] | None = None) -> DataFrame:
     """Periodic-snapshot fact (K12): coverage floor from the dimension,
     temporal lookup of the version valid on 1 Jan, period-start date key."""
-    versions = dim_customer_versions(t)
+    d = dims or {}
+    versions = _given(d, "dim_customer_versions", dim_customer_versions, t)
     facts = orders_per_customer_year(t)
     start = F.make_date(F.col("order_year"), F.lit(1), F.lit(1))
     facts = coverage_floor(facts, start, versions, key_col="customer_version_key")
     f = temporal_lookup(facts, versions, "o_custkey", start, "o_custkey", "customer_version_key")
     f = f.withColumn("__start", start)
-    f = lookup(f, dim_calendar(t), "__start", "datum", "datum_key", out_col="period_date_key",
-               unknown=-1, bounded_dim=True)
+    f = lookup(f, _given(d, "dim_calendar", dim_calendar, t), "__start", "datum", "datum_key",
+               out_col="period_date_key", unknown=-1, bounded_dim=True)
     return f.select("period_date_key", "customer_version_key", "o_custkey", "order_year",
                     "n_orders", "total_cents")
 
 
+def build_star(t: Tables, base: str) -> dict[str, DataFrame]:
+    """Materialise the star in dependency order under ``base``: the deduped
+    staging once, then the dimensions and the bridge (concurrently), then
+    the facts from the written dimensions.  Nothing is computed twice."""
+    from starkit.sources.export import materialise
+
+    stg = materialise({"stg_lineitem": stg_lineitem(t)}, base)
+    w = materialise({
+        "dim_calendar": dim_calendar(t), "dim_part": dim_part(t), "dim_part_type": dim_part_type(t),
+        "dim_supplier": dim_supplier(t), "dim_customer": dim_customer(t),
+        "dim_customer_versions": dim_customer_versions(t),
+        "bridge_order_part": bridge_order_part(t, stg["stg_lineitem"]),
+    }, base)
+    inputs = {**stg, **w}
+    w.update(materialise({"fct_lineitem": fct_lineitem(t, inputs),
+                          "fct_orders_snapshot": fct_orders_snapshot(t, inputs)}, base))
+    w["stg_lineitem"] = stg["stg_lineitem"]
+    return w
+
+
 def surrogate_columns(t: Tables) -> DataFrame:
     o = t.orders
     return o.select("o_orderkey", surrogate_key("o_orderkey").alias("order_key"),

@@ -23,16 +23,31 @@ def run_folder(spark: SparkSession, prefix: str = "run") -> str:
     return f"{shared_dir(spark)}/{prefix}-{uuid.uuid4().hex}"
 
 
-def materialise(tables: Mapping[str, DataFrame], base: str, compression: str = "zstd") -> dict[str, DataFrame]:
+def materialise(tables: Mapping[str, DataFrame], base: str, compression: str = "zstd",
+                parallel: int = 4) -> dict[str, DataFrame]:
     """Write each table as parquet under ``base`` and return DataFrames that
     read the written files.  An empty table still writes a dataset carrying
-    its schema, so readers never miss a table."""
-    out = {}
-    for name, df in tables.items():
+    its schema, so readers never miss a table.
+
+    Independent tables of one layer are written by concurrent jobs (the
+    scheduler interleaves their tasks), so small tables do not leave the
+    cluster idle while they run one after another.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(item):
+        name, df = item
         path = f"{base}/{name}.parquet"
         df.write.mode("overwrite").option("compression", compression).parquet(path)
-        out[name] = df.sparkSession.read.parquet(path)
-    return out
+        return name, path
+
+    items = list(tables.items())
+    if not items:
+        return {}
+    spark = items[0][1].sparkSession
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(items)))) as pool:
+        paths = dict(pool.map(write, items))
+    return {name: spark.read.parquet(paths[name]) for name, _ in items}
 
 
 def export_report(tables: Mapping[str, DataFrame]) -> DataFrame:
