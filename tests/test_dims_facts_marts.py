@@ -105,3 +105,41 @@ def test_surrogate_key_is_deterministic(spark):
     a = df.select(surrogate_key("x", "y")).first()[0]
     b = df.select(surrogate_key(F.col("x"), F.col("y"))).first()[0]
     assert a == b and len(a) == 32
+
+
+def _python_scd2(rows):
+    """Reference model: versions of each code over consecutive snapshots."""
+    out = {}
+    by_code = {}
+    for code, y, naam, regio in rows:
+        by_code.setdefault(code, []).append((y, naam, regio))
+    latest = max(y for _, y, _, _ in rows)
+    for code, snaps in by_code.items():
+        snaps.sort()
+        versions, prev = [], object()
+        for y, naam, regio in snaps:
+            if naam != prev:
+                versions.append([y, y, naam, regio])
+            else:
+                versions[-1][1] = y
+                versions[-1][3] = max(versions[-1][3], regio)
+            prev = naam
+        out[code] = [(i + 1, dt.date(a, 1, 1), dt.date(9999, 12, 31) if b == latest else dt.date(b, 12, 31),
+                      n, r, b == latest) for i, (a, b, n, r) in enumerate(versions)]
+    return out
+
+
+def test_scd2_matches_python_model_on_random_series(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for c in range(60):
+        first = rng.randint(2015, 2020)
+        last = rng.randint(first, 2024)
+        for y in range(first, last + 1):
+            rows.append((f"c{c}", y, rng.choice(["A", "B", "C"]), rng.choice(["r1", "r2", "r3"])))
+    got = {}
+    for r in versions(spark, rows).collect():
+        got.setdefault(r.code, []).append((r.version_no, r.valid_from, r.valid_to, r.naam, r.regio, r.is_current))
+    assert {k: sorted(v) for k, v in got.items()} == _python_scd2(rows)
