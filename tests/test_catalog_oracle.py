@@ -40,3 +40,25 @@ def test_every_query_has_an_oracle_or_is_declared_rows_only():
 def test_small_scale_runs(spark):
     for name in ["stg_lineitem_dedup", "scd2_customer_priority", "dq_suite"]:
         QUERIES[name](spark, SF_SMALL).count()
+
+
+def test_inventory_matches_parquet_footers(spark):
+    import duckdb
+
+    got = {r.file_name: (r.n_rows, r.n_columns, r.row_groups)
+           for r in QUERIES["profile_inventory"](spark, SF_ORACLE).collect()}
+    con = duckdb.connect()
+    g = f"{SF_ORACLE}/*.parquet"
+    meta = con.execute(f"SELECT regexp_replace(file_name, '.*/', ''), num_rows, num_row_groups "
+                       f"FROM parquet_file_metadata('{g}')").fetchall()
+    cols = dict(con.execute(f"SELECT regexp_replace(file_name, '.*/', ''), count(*) FROM parquet_schema('{g}') "
+                            f"WHERE num_children IS NULL GROUP BY 1").fetchall())
+    assert got == {f: (n, cols[f], rg) for f, n, rg in meta}
+
+
+def test_approx_profile_within_hll_error(spark, con):
+    got = {r.column_name: r.n_distinct for r in QUERIES["profile_columns_approx"](spark, SF_ORACLE).collect()}
+    cols = list(got)
+    exact = con.sql("SELECT " + ", ".join(f"count(DISTINCT {c})" for c in cols) + " FROM lineitem").fetchall()[0]
+    for c, e in zip(cols, exact):
+        assert abs(got[c] - e) <= max(2, 0.1 * e), (c, got[c], e)
