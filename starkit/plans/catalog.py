@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starkit.operators.calendar import nl_holidays
@@ -274,8 +274,10 @@ def q_fct_orders_snapshot(t: Tables) -> DataFrame:
 @query("mart_restated_series")
 def q_mart_restated_series(t: Tables) -> DataFrame:
     """Priority then (version valid then) vs now (newest version)."""
-    f = star.fct_orders_snapshot(t)
-    v = star.dim_customer_versions(t)
+    # the versions feed the fact (floor, temporal lookup) and both sides of the
+    # restatement: materialise them once (shared checkpoint folder)
+    v = star.dim_customer_versions(t).checkpoint(eager=True)
+    f = star.fct_orders_snapshot(t, {"dim_customer_versions": v})
     out = restate_series(f, v, "customer_version_key", "o_custkey",
                          then_cols={"priority_then": "priority"},
                          now_cols={"priority_now": "priority", "still_current": "is_current"})
@@ -291,12 +293,15 @@ def q_mart_share_compare(t: Tables) -> DataFrame:
     a = (parts.groupBy(classify("p_type", SHARE_A_CLASSES).alias("part_class"))
               .agg(F.count(F.lit(1)).alias("n_parts")))
     f = star.fct_lineitem(t).withColumn("ship_year", F.year("l_shipdate"))
-    latest = f.agg(F.max("ship_year")).scalar()
-    lines = (f.where(F.col("ship_year") == latest)
-              .join(star.dim_part(t).select("part_key", "p_type"), "part_key", "inner")
-              .withColumn("part_class", decode("p_type", SHARE_B_CODES))
-              .where(F.col("part_class").isNotNull()))
-    b = lines.groupBy("part_class").agg(F.sum("l_quantity").cast("bigint").alias("qty"))
+    # One pass over the fact: quantity per (ship year, class), unmapped classes
+    # included so the latest year is the latest of the whole fact; the latest
+    # year is then read off this aggregate (bounded: years x classes rows).
+    per_year = (f.join(star.dim_part(t).select("part_key", "p_type"), "part_key", "inner")
+                 .groupBy("ship_year", decode("p_type", SHARE_B_CODES).alias("part_class"))
+                 .agg(F.sum("l_quantity").alias("qty")))
+    per_year = per_year.withColumn("__latest", F.max("ship_year").over(Window.partitionBy()))
+    b = (per_year.where((F.col("ship_year") == F.col("__latest")) & F.col("part_class").isNotNull())
+                 .select("part_class", F.col("qty").cast("bigint").alias("qty")))
     return compare_shares(a, b, "part_class", "n_parts", "qty", NOT_COMPARABLE,
                           "share_parts", "share_qty")
 

@@ -160,7 +160,9 @@ def fct_orders_snapshot(t: Tables, dims: dict[str, DataFrame] | None = None) ->
     """Periodic-snapshot fact (K12): coverage floor from the dimension,
     temporal lookup of the version valid on 1 Jan, period-start date key."""
     d = dims or {}
-    versions = _given(d, "dim_customer_versions", dim_customer_versions, t)
+    # used by the floor and by the temporal lookup: materialise it once
+    versions = d["dim_customer_versions"] if d.get("dim_customer_versions") is not None \
+        else dim_customer_versions(t).checkpoint(eager=True)
     facts = orders_per_customer_year(t)
     start = F.make_date(F.col("order_year"), F.lit(1), F.lit(1))
     facts = coverage_floor(facts, start, versions, key_col="customer_version_key")
