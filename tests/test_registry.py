@@ -213,3 +213,37 @@ def test_make_fixtures_keeps_references_consistent(built, spark):
     assert {k for k in rep if k.startswith("cbs_gebieden_")} == {f"cbs_gebieden_{y}" for y in range(2015, 2019)}
     back = spark.read.parquet(f"{target}/rdw_brandstof.parquet")
     assert len(back.columns) == 12  # no column dropped
+
+
+def test_raw_profile_reports(built, spark):
+    from starkit.plans import raw_profile as rp
+
+    raw = built[0]["__raw_dir__"]
+    fx = rp.fixture_checks(spark, raw).first()
+    assert (fx.fuel_without_vehicle, fx.defects_without_vehicle, fx.defects_without_code,
+            fx.duplicate_defects, fx.three_character_times) == (0, 0, 0, 1, 2)
+    dups = {r.table_name: r.n_duplicates for r in rp.full_duplicates(spark, raw).collect()}
+    assert dups["rdw_geconstateerde_gebreken"] == 1 and dups["rdw_gekentekende_voertuigen"] == 0
+    g = {r.table_name: r.is_unique for r in rp.grain(spark, raw).collect()}
+    assert g["rdw_gekentekende_voertuigen"] is True and g["rdw_geconstateerde_gebreken"] is False
+    series = {r.peiljaar: r.n_municipalities for r in rp.area_series(spark, raw).collect()}
+    assert series == {2015: 5, 2016: 4, 2017: 5, 2018: 4}  # GM0003 from 2017, GM0006 skips 2016
+    changes = {r.peiljaar: (r.n_new, r.n_vanished) for r in rp.municipality_changes(spark, raw).collect()}
+    assert changes == {2016: (0, 1), 2017: (1, 1)}  # GM0002 last seen 2016; GM0003 new, GM0006 last 2017
+    census = {(r.column_name, r.value): r.n for r in rp.indicator_census(spark, raw).collect()}
+    assert census[("wam_verzekerd", "N.v.t.")] == 1 and census[("wam_verzekerd", "(null)")] == 1
+    pad = {r.Measure: r.n_padded for r in rp.padding(spark, raw).collect()}
+    assert pad == {"GM000C_1": 1}
+    assert all(r.n_unparseable == 0 for r in rp.castability(spark, raw).collect())
+    for name, fn in rp.REPORTS.items():
+        assert fn(spark, raw).count() >= 0, name
+
+
+def test_cli_build_and_profile(built, spark, capsys):
+    from starkit.__main__ import main
+
+    raw = built[0]["__raw_dir__"]
+    assert main(["build", "--raw", raw]) == 0
+    assert main(["profile", "--raw", raw, "fixture_checks"]) == 0
+    out = capsys.readouterr().out
+    assert "assert_gemeente_aaneengesloten_peiljaren" in out and "three_character_times" in out
