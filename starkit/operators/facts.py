@@ -3,7 +3,6 @@ floor (J1, J2, P12-P15, K11, K12)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F

@@ -17,7 +17,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.functions.keys import NULL_PLACEHOLDER  # noqa: F401  (documented contract)
 from starkit.operators import quality as dq
 from starkit.operators.calendar import calendar_dim, year_bounds
 from starkit.operators.dims import (
