@@ -10,12 +10,41 @@ from pyspark.sql import functions as F
 from starkit.operators.dims import UNKNOWN_KEY
 
 
+NULL_KEY_SPREAD = 64
+
+
 def _as_list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
+def _null_key_salt(df: DataFrame, keys: list[Column], spread: int) -> Column:
+    """0 for rows with a complete key; 1..spread for rows with a null key part.
+
+    A null key never matches, but a sort-merge join still hashes every such
+    row to the same partition: with many of them (a missing reference is
+    the typical hot key) one task would receive them all.  Joining on
+    (key, salt) with salt 0 on the dimension side spreads those rows over
+    ``spread`` partitions and changes no result.  The salt is a hash of the
+    row's own columns, so it is deterministic under task retries.
+    """
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | k.isNull()
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return F.when(any_null, F.pmod(row_hash, F.lit(spread)) + 1).otherwise(F.lit(0))
+
+
+def _zero_salt(key: Column) -> Column:
+    """The dimension side of the salted key: always 0, but written so the
+    optimizer cannot fold it to a literal (it infers ``key IS NOT NULL`` on
+    that side, which would reduce a CASE on nullness to a constant and turn
+    the salt equality into a plain filter, dropping it from the join keys)."""
+    return F.pmod(F.xxhash64(key), F.lit(1))
+
+
 def lookup(fact: DataFrame, dim: DataFrame, fact_on, dim_on, key_col: str,
-           out_col: str | None = None, unknown=UNKNOWN_KEY, bounded_dim: bool = False) -> DataFrame:
+           out_col: str | None = None, unknown=UNKNOWN_KEY, bounded_dim: bool = False,
+           null_key_spread: int = NULL_KEY_SPREAD) -> DataFrame:
     """Left equi lookup of a surrogate key on the natural key (J1 + P14).
 
     Every fact row is kept; a miss gets the unknown-member key.  The
@@ -24,27 +53,33 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_on, dim_on, key_col: str,
     only for dimensions whose size is bounded by construction (calendar,
     code lists); otherwise the join strategy is left to the optimizer and
     AQE, which broadcast at runtime only below the configured threshold
-    and otherwise sort-merge on the key.
+    and otherwise sort-merge on the key.  For a sort-merge join, fact rows
+    with a null key are spread over ``null_key_spread`` partitions instead
+    of all landing in one (``_null_key_salt``; 0 disables it).
     """
-    f_on, d_on = _as_list(fact_on), _as_list(dim_on)
-    d = dim.select(*[(F.col(c) if isinstance(c, str) else c).alias(f"__nk{i}") for i, c in enumerate(d_on)],
-                   F.col(key_col).alias("__sk"))
-    if bounded_dim:
-        d = F.broadcast(d)
+    f_cols = [F.col(c) if isinstance(c, str) else c for c in _as_list(fact_on)]
+    d_cols = [F.col(c) if isinstance(c, str) else c for c in _as_list(dim_on)]
+    d = dim.select(*[c.alias(f"__nk{i}") for i, c in enumerate(d_cols)], F.col(key_col).alias("__sk"))
     cond = None
-    for i, c in enumerate(f_on):
-        e = (F.col(c) if isinstance(c, str) else c) == F.col(f"__nk{i}")
+    for i, c in enumerate(f_cols):
+        e = c == F.col(f"__nk{i}")
         cond = e if cond is None else cond & e
+    if bounded_dim:
+        d = F.broadcast(d)
+    elif null_key_spread > 0:
+        fact = fact.withColumn("__fsalt", _null_key_salt(fact, f_cols, null_key_spread))
+        d = d.withColumn("__dsalt", _zero_salt(F.col("__nk0")))
+        cond = cond & (F.col("__fsalt") == F.col("__dsalt"))
     out = out_col or key_col
     joined = fact.join(d, cond, "left")
     return (joined.withColumn(out, F.coalesce(F.col("__sk"), F.lit(unknown)))
-                  .drop("__sk", *[f"__nk{i}" for i in range(len(d_on))]))
+                  .drop("__sk", "__fsalt", "__dsalt", *[f"__nk{i}" for i in range(len(d_cols))]))
 
 
 def temporal_lookup(fact: DataFrame, versions: DataFrame, fact_code: str, at: Column,
                     dim_code: str, key_col: str, out_col: str | None = None,
                     from_col: str = "valid_from", to_col: str = "valid_to",
-                    unknown=UNKNOWN_KEY) -> DataFrame:
+                    unknown=UNKNOWN_KEY, null_key_spread: int = NULL_KEY_SPREAD) -> DataFrame:
     """Temporal (SCD2) lookup (J2): equality on the code plus ``at`` within
     the closed validity interval — never on the current flag.
 
@@ -56,10 +91,14 @@ def temporal_lookup(fact: DataFrame, versions: DataFrame, fact_code: str, at: Co
                         F.col(to_col).alias("__to"), F.col(key_col).alias("__sk"))
     f = fact.withColumn("__at", at)
     cond = (F.col(fact_code) == F.col("__code")) & F.col("__at").between(F.col("__from"), F.col("__to"))
+    if null_key_spread > 0:
+        f = f.withColumn("__fsalt", _null_key_salt(fact, [F.col(fact_code)], null_key_spread))
+        v = v.withColumn("__dsalt", _zero_salt(F.col("__code")))
+        cond = cond & (F.col("__fsalt") == F.col("__dsalt"))
     out = out_col or key_col
     return (f.join(v, cond, "left")
              .withColumn(out, F.coalesce(F.col("__sk"), F.lit(unknown)))
-             .drop("__code", "__from", "__to", "__sk", "__at"))
+             .drop("__code", "__from", "__to", "__sk", "__at", "__fsalt", "__dsalt"))
 
 
 def coverage_floor(fact: DataFrame, at: Column, versions: DataFrame, from_col: str = "valid_from",

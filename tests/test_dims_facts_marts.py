@@ -143,3 +143,20 @@ def test_scd2_matches_python_model_on_random_series(spark):
     for r in versions(spark, rows).collect():
         got.setdefault(r.code, []).append((r.version_no, r.valid_from, r.valid_to, r.naam, r.regio, r.is_current))
     assert {k: sorted(v) for k, v in got.items()} == _python_scd2(rows)
+
+
+def test_lookup_spreads_null_keys_without_changing_results(spark):
+    from starkit.operators.facts import lookup
+
+    fact = spark.createDataFrame([(None, i) for i in range(200)] + [("a", 1), ("b", 2)], "nk string, v int")
+    dim = spark.createDataFrame([("a", "KA"), (None, "KNULL")], "nk string, sk string")
+    out = lookup(fact, dim, "nk", "nk", "sk")
+    rows = out.collect()
+    assert len(rows) == 202
+    assert sum(1 for r in rows if r.sk == "-1") == 201 and [r.sk for r in rows if r.nk == "a"] == ["KA"]
+    plain = lookup(fact, dim, "nk", "nk", "sk", null_key_spread=0)
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, rows), key=str)
+    # null-keyed rows get distinct salts -> different shuffle partitions
+    from starkit.operators.facts import _null_key_salt
+    salts = {r[0] for r in fact.select(_null_key_salt(fact, [F.col("nk")], 64)).collect()}
+    assert len(salts) > 20 and 0 in salts

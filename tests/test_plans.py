@@ -70,3 +70,17 @@ def test_split_rank_shuffles_the_data_once(spark):
     counts = Counter(re.findall(r"hashpartitioning\((__pid#\d+, __grp#\d+)", p))
     assert sorted(counts.values()) == [1, 2], counts
     assert "Window" in p
+
+
+def test_sort_merge_lookups_join_on_the_null_key_salt(spark):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        p = plan(entry.queries()["fct_lineitem"](spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    smj = re.findall(r"SortMergeJoin[^\n]*\nLeft keys \[\d+\]: \[([^\]]*)\]\nRight keys \[\d+\]: \[([^\]]*)\]", p)
+    assert len(smj) == 2 and all("__fsalt" in a and "__dsalt" in b for a, b in smj), smj
