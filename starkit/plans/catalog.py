@@ -613,14 +613,15 @@ RELANDED = ["orders", "lineitem"]
 def q_range_boundary(t: Tables) -> DataFrame:
     """The first and the 500th customer key fix a range that is
     applied to customers, orders and (through orders) lines."""
-    bounds = smp.key_range(t.customer, "c_custkey", RANGE_SIZE)
-    cust = smp.in_range(t.customer, "c_custkey", bounds)
-    orders = smp.in_range(t.orders, "o_custkey", bounds)
+    lo, hi = smp.fixed_bounds(smp.key_range(t.customer, "c_custkey", RANGE_SIZE))
+    cust = smp.in_range(t.customer, "c_custkey", (lo, hi))
+    orders = smp.in_range(t.orders, "o_custkey", (lo, hi))
     lines = t.lineitem.join(orders.select("o_orderkey"), t.lineitem.l_orderkey == orders.o_orderkey, "left_semi")
     rows = (cust.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("customer").alias("table_name"), "n_rows")
             .unionByName(orders.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("orders").alias("table_name"), "n_rows"))
             .unionByName(lines.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("lineitem").alias("table_name"), "n_rows")))
-    return rows.crossJoin(bounds.select(F.col("lo").alias("lo_key"), F.col("hi").alias("hi_key")))
+    return rows.select("table_name", "n_rows", F.lit(lo).cast("bigint").alias("lo_key"),
+                       F.lit(hi).cast("bigint").alias("hi_key"))
 
 
 @query("sample_referential")

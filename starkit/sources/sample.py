@@ -21,8 +21,9 @@ def key_at(df: DataFrame, key: str, position: int, num_partitions: int | None =
     checkpointed to the shared checkpoint folder together with their
     partition id (so the id is fixed data, whatever AQE does to later
     reads), rows per partition are counted (one small row per partition),
-    and only the partition holding the position is ranked.  Work per task
-    stays at one partition's worth of keys for any ``position``.
+    and only the partition holding the position is examined, as counts per
+    distinct key (equal keys share a range partition, so a key value that
+    repeats a million times is one row there, not a million to rank).
     """
     from starkit.session import shared_dir
 
@@ -38,26 +39,42 @@ def key_at(df: DataFrame, key: str, position: int, num_partitions: int | None =
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     target = offs.where((F.col("__start") <= position) & (F.lit(position) < F.col("__start") + F.col("__n")))
-    pid = target.select("__pid").scalar()
-    start = target.select("__start").scalar()
-    cand = ranged.where(F.col("__pid") == pid)
-    ranked = cand.withColumn("__pos", F.row_number().over(Window.orderBy("__k")) - 1 + start)
-    return ranked.where(F.col("__pos") == position).select(F.col("__k").alias(key))
+    # one subquery for both values (referenced twice, evaluated once)
+    tgt = target.select(F.struct("__pid", "__start").alias("__t")).scalar()
+    pid, start = tgt.getField("__pid"), tgt.getField("__start")
+    # Inside the target partition count rows per distinct key (a key repeated
+    # a million times is one row here), then walk the cumulative counts.
+    per_key = ranged.where(F.col("__pid") == pid).groupBy("__k").agg(F.count(F.lit(1)).alias("__c"))
+    upto = per_key.withColumn("__end", F.sum("__c").over(
+        Window.orderBy("__k").rowsBetween(Window.unboundedPreceding, Window.currentRow)) + start)
+    hit = (F.col("__end") - F.col("__c") <= position) & (F.lit(position) < F.col("__end"))
+    return upto.where(hit).select(F.col("__k").alias(key))
 
 
 def key_range(df: DataFrame, key: str, size: int) -> DataFrame:
-    """One row ``(lo, hi)``: the first and the ``size``-th smallest key."""
-    lo = key_at(df, key, 0).select(F.col(key).alias("lo"))
-    hi = key_at(df, key, size - 1).select(F.col(key).alias("hi"))
+    """One row ``(lo, hi)``: the first and the ``size``-th smallest
+    key (the first is a plain ``min``; null when there are fewer keys)."""
+    lo = df.agg(F.min(key).alias("lo"))
+    hi = key_at(df, key, size - 1).agg(F.max(key).alias("hi"))
     return lo.crossJoin(hi)
 
 
-def in_range(df: DataFrame, col: str, bounds: DataFrame) -> DataFrame:
-    """Rows with ``lo <= col <= hi`` for a one-row bounds DataFrame
-    (uncorrelated scalar subqueries: evaluated once, then a scan filter)."""
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
-    return df.where(F.col(col).between(lo, hi))
+def fixed_bounds(bounds: DataFrame) -> tuple:
+    """Evaluate a one-row ``(lo, hi)`` bounds DataFrame once (two values,
+    not data) so the range can be applied as literal predicates."""
+    row = bounds.select("lo", "hi").first()
+    return (row["lo"], row["hi"]) if row is not None else (None, None)
+
+
+def in_range(df: DataFrame, col: str, bounds) -> DataFrame:
+    """Rows with ``lo <= col <= hi``.  ``bounds`` is a ``(lo, hi)``
+    pair (see ``fixed_bounds``): literal bounds are pushed into the parquet
+    scan (row groups outside the range are skipped by their statistics),
+    and the same range is applied to every table of the sample."""
+    lo, hi = bounds if isinstance(bounds, tuple) else fixed_bounds(bounds)
+    if lo is None or hi is None:
+        return df.where(F.lit(False))
+    return df.where(F.col(col).between(F.lit(lo), F.lit(hi)))
 
 
 def first_keys(df: DataFrame, key: str, n: int, extra: Sequence = ()) -> DataFrame:
@@ -65,8 +82,8 @@ def first_keys(df: DataFrame, key: str, n: int, extra: Sequence = ()) -> DataFra
     ``extra`` keys (a row that must be in any sample, e.g. a regression
     seed).  Bounded by ``n + len(extra)`` rows."""
     keys = df.select(F.col(key).alias(key)).where(F.col(key).isNotNull()).distinct()
-    bound = key_at(keys, key, n - 1).select(F.col(key).alias("__b"))
-    head = keys.where(F.col(key) <= bound.scalar())
+    last = key_at(keys, key, n - 1).first()           # one value
+    head = keys if last is None else keys.where(F.col(key) <= F.lit(last[0]))
     if extra:
         dtype = df.schema[key].dataType.simpleString()
         lit_rows = df.sparkSession.createDataFrame([(e,) for e in extra], f"{key} {dtype}")

@@ -113,3 +113,11 @@ def test_overlaps_split_form(spark):
     rows += [("d", "x", dt.date(2000, 1, 1), dt.date(2000, 1, 2))]
     df = spark.createDataFrame(rows, "code string, key string, f date, t date")
     assert [r.code for r in dq.overlaps(df, "code", "key", "f", "t", split_hot_groups=True).collect()] == ["c"]
+
+
+def test_key_at_with_a_hot_duplicate_key(spark):
+    keys = [7] * 5000 + list(range(100)) + [500] * 3
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    s = sorted(keys)
+    for pos in [0, 6, 7, 50, 5006, 5099, 5100, 5102]:
+        assert smp.key_at(df, "k", pos, num_partitions=5).first()[0] == s[pos], pos
