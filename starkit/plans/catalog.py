@@ -11,10 +11,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starkit.functions.casts import numeric_text_to_int
+from starkit.functions.keys import surrogate_key
+from starkit.operators import profile as prof
+from starkit.operators import quality as dq
 from starkit.operators.calendar import nl_holidays
-from starkit.operators.marts import rank_within
+from starkit.operators.dims import UNKNOWN_KEY, latest_version
+from starkit.operators.marts import bridge_measure, compare_shares, rank_within, restate_series
+from starkit.operators.staging import (
+    Spec,
+    classify,
+    decode,
+    land_as_strings,
+    long_to_wide,
+    typed_projection,
+)
 from starkit.plans import star
 from starkit.plans.tables import Tables
+from starkit.sources import export as ex
+from starkit.sources import sample as smp
+from starkit.sources.landing import (
+    dataset_name,
+    normalise_json,
+    prefix_or_equal,
+    read_family,
+    select_by_title,
+    upsert_manifest,
+    write_landing,
+    year_window,
+)
+from starkit.streaming.landing import land_available, landed_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,26 +108,6 @@ def q_mart_top_parts(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- staging (typed)
 
-from starkit.functions.casts import numeric_text_to_int  # noqa: E402
-from starkit.functions.keys import surrogate_key  # noqa: E402
-from starkit.operators.dims import UNKNOWN_KEY, latest_version  # noqa: E402
-from starkit.operators.marts import bridge_measure, compare_shares, restate_series  # noqa: E402
-from starkit.operators.staging import (  # noqa: E402
-    Spec,
-    classify,
-    decode,
-    land_as_strings,
-    long_to_wide,
-    typed_projection,
-)
-from starkit.sources.landing import (  # noqa: E402
-    dataset_name,
-    normalise_json,
-    prefix_or_equal,
-    read_family,
-    select_by_title,
-    year_window,
-)
 
 # Fixed parameters of the catalogue queries.
 ORDER_SPECS = [
@@ -347,11 +353,6 @@ def q_topk_orders(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- data quality
 
-from starkit.operators import profile as prof  # noqa: E402
-from starkit.operators import quality as dq  # noqa: E402
-from starkit.sources import export as ex  # noqa: E402
-from starkit.sources import sample as smp  # noqa: E402
-from starkit.sources.landing import upsert_manifest, write_landing  # noqa: E402
 
 ORDER_STATUS_ACCEPTED = ["F", "O"]
 ORDER_WINDOW_DAYS = 30
@@ -678,7 +679,6 @@ def q_export_roundtrip(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- streaming landing
 
-from starkit.streaming.landing import land_available, landed_stream  # noqa: E402
 
 EVENT_RAW_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
