@@ -106,8 +106,7 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, period: str,
 
     Plan: one shuffle on ``key``.  The lag / running-sum window, the
     per-version aggregate and the numbering window all reuse that
-    partitioning; the latest period is a one-row aggregate joined by
-    broadcast (bounded by construction).  Rows per key = snapshots per key,
+    partitioning; the latest period is a scalar subquery (evaluated once).  Rows per key = snapshots per key,
     bounded by the number of periods, so no key can grow a task unboundedly.
     Correct only without gaps in a key's series (check ``quality.gaps``).
     """
@@ -123,10 +122,9 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, period: str,
     periods = running.groupBy(key, "__ver").agg(
         F.min(period).alias("__from"), F.max(period).alias("__to"),
         *[F.max(c).alias(c) for c in (*tracked, *carried)])
-    latest = snapshots.agg(F.max(period).alias("__latest"))
-    p = periods.crossJoin(F.broadcast(latest))
-    is_current = F.col("__to") == F.col("__latest")
-    return p.select(
+    latest = snapshots.agg(F.max(period)).scalar()  # evaluated once
+    is_current = F.col("__to") == latest
+    return periods.select(
         surrogate_key(key, "__ver").alias(key_col),
         F.col(key),
         *[F.col(c) for c in (*tracked, *carried)],

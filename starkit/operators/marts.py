@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starkit.functions.scalars import scalar_of
 from starkit.operators.dims import UNKNOWN_KEY, latest_version
 from starkit.operators.staging import order_exprs
 
@@ -59,20 +60,19 @@ def compare_shares(a: DataFrame, b: DataFrame, class_col: str, a_col: str, b_col
     only over comparable classes (the non-comparable class and a null class
     have null share and are outside the denominator); ``b_share`` over all.
 
-    Totals are one-row aggregates joined by broadcast instead of a window
-    over the whole table, which would pull every row into one partition.
+    Totals are one scalar subquery (evaluated once) instead of a window over
+    the whole table, which would pull every row into one partition.
     """
     j = (a.alias("a").join(b.alias("b"), F.col(f"a.{class_col}") == F.col(f"b.{class_col}"), "full_outer")
           .select(F.coalesce(F.col(f"a.{class_col}"), F.col(f"b.{class_col}")).alias(class_col),
                   F.col(f"a.{a_col}").alias(a_col), F.col(f"b.{b_col}").alias(b_col)))
     comparable = F.col(class_col) != F.lit(not_comparable)
-    totals = j.agg(F.sum(F.when(comparable, F.col(a_col))).alias("__ta"),
-                   F.sum(F.col(b_col)).alias("__tb"))
-    out = j.crossJoin(F.broadcast(totals))
-    return out.select(
+    totals = scalar_of(j.agg(F.sum(F.when(comparable, F.col(a_col))).alias("ta"),
+                             F.sum(F.col(b_col)).alias("tb")))
+    return j.select(
         class_col, a_col, b_col,
-        F.when(comparable, F.round(F.col(a_col) / F.col("__ta"), digits)).alias(a_share),
-        F.round(F.col(b_col) / F.col("__tb"), digits).alias(b_share),
+        F.when(comparable, F.round(F.col(a_col) / totals.getField("ta"), digits)).alias(a_share),
+        F.round(F.col(b_col) / totals.getField("tb"), digits).alias(b_share),
     )
 
 

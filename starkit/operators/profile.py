@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starkit.functions.casts import cast_fails, safe_ratio
+from starkit.functions.scalars import scalar_of
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -133,11 +134,10 @@ def membership_change(df: DataFrame, period: str, member: str) -> DataFrame:
     w = Window.partitionBy(member).orderBy(period)
     marked = per.select(period, F.lag(period).over(w).alias("__prev"),
                         F.lead(period).over(w).alias("__next"))
-    bounds = per.agg(F.min(period).alias("__lo"), F.max(period).alias("__hi"))
-    m = marked.crossJoin(F.broadcast(bounds))
-    out = m.groupBy(period).agg(
-        F.count_if(F.col("__prev").isNull() & (F.col(period) > F.col("__lo"))).alias("n_new"),
-        F.count_if(F.col("__next").isNull() & (F.col(period) < F.col("__hi"))).alias("n_vanished"))
+    bounds = scalar_of(per.agg(F.min(period).alias("lo"), F.max(period).alias("hi")))
+    out = marked.groupBy(period).agg(
+        F.count_if(F.col("__prev").isNull() & (F.col(period) > bounds.getField("lo"))).alias("n_new"),
+        F.count_if(F.col("__next").isNull() & (F.col(period) < bounds.getField("hi"))).alias("n_vanished"))
     return out.where((F.col("n_new") > 0) | (F.col("n_vanished") > 0))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from starkit.functions.casts import numeric_text_to_int
 from starkit.functions.keys import surrogate_key
+from starkit.functions.scalars import count_of
 from starkit.operators import profile as prof
 from starkit.operators import quality as dq
 from starkit.operators.calendar import nl_holidays
@@ -584,15 +585,13 @@ def q_profile_format_counts(t: Tables) -> DataFrame:
     """Orphan counts, duplicate key groups and a text-length count."""
     li, o = t.lineitem, t.orders
     parts = t.part.where(F.col("p_size") <= star.PART_DIM_MAX_SIZE)
-    a = li.join(o, li.l_orderkey == o.o_orderkey, "left_anti").agg(F.count(F.lit(1)).alias("lines_without_order"))
-    b = o.join(t.customer, o.o_custkey == t.customer.c_custkey, "left_anti").agg(
-        F.count(F.lit(1)).alias("orders_without_customer"))
-    c = li.join(parts, li.l_partkey == parts.p_partkey, "left_anti").agg(
-        F.count(F.lit(1)).alias("lines_without_part_dim"))
-    d = dq.unique_combination(li, ["l_orderkey", "l_linenumber"]).agg(
-        F.count(F.lit(1)).alias("duplicate_line_groups"))
-    e = t.part.agg(F.count_if(F.length("p_name") == NAME_LENGTH_PROBE).alias("names_of_8_chars"))
-    return a.crossJoin(b).crossJoin(c).crossJoin(d).crossJoin(e)
+    return t.spark.range(1).select(
+        count_of(li.join(o, li.l_orderkey == o.o_orderkey, "left_anti")).alias("lines_without_order"),
+        count_of(o.join(t.customer, o.o_custkey == t.customer.c_custkey, "left_anti"))
+        .alias("orders_without_customer"),
+        count_of(li.join(parts, li.l_partkey == parts.p_partkey, "left_anti")).alias("lines_without_part_dim"),
+        count_of(dq.unique_combination(li, ["l_orderkey", "l_linenumber"])).alias("duplicate_line_groups"),
+        t.part.agg(F.count_if(F.length("p_name") == NAME_LENGTH_PROBE)).scalar().alias("names_of_8_chars"))
 
 
 @query("profile_inventory")
@@ -643,11 +642,10 @@ def q_manifest_upsert(t: Tables) -> DataFrame:
     as all-string parquet in the shared folder, their entries replace the
     old ones, expected vs written counts are reconciled."""
     def entry(name: str, snapshot: str, df: DataFrame, written: DataFrame | None = None) -> DataFrame:
-        exp = df.agg(F.count(F.lit(1)).alias("expected_rows"))
-        wr = (written if written is not None else df).agg(F.count(F.lit(1)).alias("n_rows"))
-        return exp.crossJoin(wr).select(
+        return t.spark.range(1).select(
             F.lit(f"{name}.parquet").alias("file_name"), F.lit(snapshot).alias("snapshot_date"),
-            "n_rows", F.lit(len(df.columns)).alias("n_columns"), "expected_rows")
+            count_of(written if written is not None else df).alias("n_rows"),
+            F.lit(len(df.columns)).alias("n_columns"), count_of(df).alias("expected_rows"))
 
     old = [entry(n, "2026-01-01", t.read(n)) for n in MANIFEST_TABLES]
     base = ex.run_folder(t.spark, "landing")

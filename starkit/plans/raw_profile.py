@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starkit.functions.scalars import count_of
 from starkit.operators import profile as prof
 from starkit.operators import quality as dq
 from starkit.plans import registry as reg
@@ -120,18 +121,16 @@ def fixture_checks(spark: SparkSession, raw_dir: str) -> DataFrame:
     found = source(spark, raw_dir, reg.RDW, reg.DEFECTS_FOUND)
     codes = source(spark, raw_dir, reg.RDW, reg.DEFECT_CODES)
 
-    def n(df: DataFrame, alias: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(alias))
-
-    out = n(dq.relationships(fuel, "kenteken", veh, "kenteken"), "fuel_without_vehicle")
-    out = out.crossJoin(n(dq.relationships(found, "kenteken", veh, "kenteken"), "defects_without_vehicle"))
-    out = out.crossJoin(n(dq.relationships(found, "gebrek_identificatie", codes, "gebrek_identificatie"),
-                          "defects_without_code"))
-    out = out.crossJoin(n(dq.unique_combination(found, ["kenteken", "meld_datum_door_keuringsinstantie",
-                                                        "meld_tijd_door_keuringsinstantie",
-                                                        "gebrek_identificatie"]), "duplicate_defects"))
-    return out.crossJoin(found.agg(F.count_if(F.length("meld_tijd_door_keuringsinstantie") == 3)
-                                   .alias("three_character_times")))
+    return spark.range(1).select(
+        count_of(dq.relationships(fuel, "kenteken", veh, "kenteken")).alias("fuel_without_vehicle"),
+        count_of(dq.relationships(found, "kenteken", veh, "kenteken")).alias("defects_without_vehicle"),
+        count_of(dq.relationships(found, "gebrek_identificatie", codes, "gebrek_identificatie"))
+        .alias("defects_without_code"),
+        count_of(dq.unique_combination(found, ["kenteken", "meld_datum_door_keuringsinstantie",
+                                               "meld_tijd_door_keuringsinstantie", "gebrek_identificatie"]))
+        .alias("duplicate_defects"),
+        found.agg(F.count_if(F.length("meld_tijd_door_keuringsinstantie") == 3)).scalar()
+        .alias("three_character_times"))
 
 
 REPORTS = {

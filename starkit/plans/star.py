@@ -67,10 +67,9 @@ def stg_lineitem(t: Tables) -> DataFrame:
 
 def calendar_bounds(t: Tables) -> DataFrame:
     """One row: first and last year over order dates and ship dates."""
-    o = t.orders.agg(F.min(F.year("o_orderdate")).alias("a"), F.max(F.year("o_orderdate")).alias("b"))
-    li = t.lineitem.agg(F.min(F.year("l_shipdate")).alias("c"), F.max(F.year("l_shipdate")).alias("d"))
-    return o.crossJoin(li).select(F.least("a", "c").alias("first_year"),
-                                  F.greatest("b", "d").alias("last_year"))
+    years = (t.orders.select(F.year("o_orderdate").alias("y"))
+             .unionByName(t.lineitem.select(F.year("l_shipdate").alias("y"))))
+    return years.agg(F.min("y").alias("first_year"), F.max("y").alias("last_year"))
 
 
 def dim_calendar(t: Tables) -> DataFrame:

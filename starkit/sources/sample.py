@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starkit.functions.scalars import count_of
+
 
 def key_at(df: DataFrame, key: str, position: int, num_partitions: int | None = None) -> DataFrame:
     """One-row DataFrame with the value at 0-based ``position`` of the
@@ -54,9 +56,9 @@ def key_at(df: DataFrame, key: str, position: int, num_partitions: int | None =
 def key_range(df: DataFrame, key: str, size: int) -> DataFrame:
     """One row ``(lo, hi)``: the first and the ``size``-th smallest
     key (the first is a plain ``min``; null when there are fewer keys)."""
-    lo = df.agg(F.min(key).alias("lo"))
-    hi = key_at(df, key, size - 1).agg(F.max(key).alias("hi"))
-    return lo.crossJoin(hi)
+    lo = df.agg(F.min(key)).scalar()
+    hi = key_at(df, key, size - 1).agg(F.max(key)).scalar()
+    return df.sparkSession.range(1).select(lo.alias("lo"), hi.alias("hi"))
 
 
 def fixed_bounds(bounds: DataFrame) -> tuple:
@@ -105,5 +107,5 @@ def sample_report(requested: int, extra: Sequence, keys: DataFrame, key: str,
     out = keys.agg(F.count(F.lit(1)).alias("n_keys"), F.max(key).alias("max_key"))
     out = out.select(F.lit(requested).alias("n_requested"), F.lit(len(extra)).alias("n_extra"), "*")
     for name, df in tables.items():
-        out = out.crossJoin(df.agg(F.count(F.lit(1)).alias(f"{name}_rows")))
+        out = out.withColumn(f"{name}_rows", count_of(df))
     return out

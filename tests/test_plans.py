@@ -49,12 +49,16 @@ def test_only_bounded_dimensions_are_hinted_for_broadcast(spark):
 def test_share_mart_reads_the_fact_once(spark):
     df = entry.queries()["mart_share_compare"](spark, SF_SMALL)
     df.collect()
-    final = plan(df).split("== Initial Plan ==")[0]
-    # the latest year comes from the (years x classes) aggregate (no subquery
-    # re-evaluating the fact); the one-row totals reuse the per-class
-    # shuffles instead of recomputing both populations
-    assert "Subquery" not in final
-    assert "ReusedExchange" in final
+    p = plan(df)
+    main, _, subqueries = p.partition("Subqueries")
+    # the latest year comes from the (years x classes) aggregate, not from a
+    # subquery over the fact; the only subquery is the one-row totals, and
+    # its final plan reuses the per-class shuffles of the main query instead
+    # of recomputing both populations
+    assert "Subquery" not in main.split("== Initial Plan ==")[0]
+    entries = re.findall(r"Subquery:\d+ Hosting operator id = \d+ Hosting Expression = (\w+)", subqueries)
+    assert entries[0] == "Subquery" and all(e == "ReusedSubquery" for e in entries[1:]), entries
+    assert "ReusedExchange" in subqueries.split("== Initial Plan ==")[0]
 
 
 def test_split_rank_shuffles_the_data_once(spark):
