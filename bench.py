@@ -3,7 +3,7 @@ local[$BENCH_CPUS] and print one JSON line.
 
 Each query is executed to completion with the ``noop`` sink (the full plan
 runs, nothing is collected to the driver), ``$BENCH_REPEAT`` times (default
-2); the per-query figure is the best run (warm JVM, compiled code), the
+3); the per-query figure is the best run (warm JVM, compiled code), the
 first-run figures are reported as ``cold``.  ``value`` is the sum of the
 per-query best times in seconds.
 """
@@ -30,7 +30,7 @@ def main() -> None:
     # Warm-up (JVM, class loading, file listing cache) outside the timings.
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").write.format("noop").mode("overwrite").save()
 
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
     for name in sorted(QUERIES):
