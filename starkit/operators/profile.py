@@ -25,12 +25,17 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
+def column_profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Per column: type, min, max (as text), distinct count
-    (exact or HyperLogLog), null %, empty-string % (trim = '').
+    (HyperLogLog by default, like the source profile; exact on request),
+    null %, empty-string % (trim = '').
 
     One aggregate computes everything for all columns; the result row is
-    unpivoted with ``explode`` of an array of structs.
+    unpivoted with ``explode`` of an array of structs.  The HyperLogLog
+    sketches merge map-side, so the shuffle is one small row per task.
+    Exact distinct counts over N columns make Spark expand every row N
+    times before the shuffle; use ``exact=True`` for narrow tables or
+    when exact numbers are needed.
     """
     distinct = F.count_distinct if exact else F.approx_count_distinct
     aggs = [F.count(F.lit(1)).alias("__rows")]

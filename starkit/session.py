@@ -64,3 +64,23 @@ def shared_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
     return local
+
+
+def scale_settings(input_bytes: int, cores: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Settings for a run over ``input_bytes`` on ``cores`` executor cores.
+
+    * scans: splits of ``target_partition_bytes`` (128 MB), so a task's
+      input fits in its memory share;
+    * shuffles: start with one partition per ~128 MB of input (at least
+      2 per core) and let AQE coalesce small ones and split skewed ones,
+      instead of a fixed count that is too small for 100 TB and far too
+      large for a test table.
+    """
+    initial = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

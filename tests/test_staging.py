@@ -73,3 +73,12 @@ def test_surrogate_key_matches_md5_text_and_null_placeholder(spark):
 def test_date_key(spark):
     df = spark.createDataFrame([(dt.date(2029, 12, 31),), (None,)], "d date")
     assert [r[0] for r in df.select(date_key("d")).collect()] == [20291231, None]
+
+
+def test_scale_settings():
+    from starkit.session import scale_settings
+
+    big = scale_settings(100 * 1024 ** 4, cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 819200   # 100 TB / 128 MB
+    small = scale_settings(10 * 1024 ** 2, cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16      # at least 2 per core
