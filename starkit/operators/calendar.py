@@ -16,27 +16,33 @@ from pyspark.sql import functions as F
 from starkit.functions.keys import date_key
 from starkit.operators.dims import with_unknown
 
-# Dutch month and weekday names (ISO order, Monday first) and
-# the holiday names, exactly as the calendar dimension publishes them.
+# Dutch month and weekday names (ISO order, Monday first),
+# the public holidays as offsets from Easter Sunday and as fixed dates, the
+# name of the April holiday and the year it changed, and the separator used
+# when two holidays fall on one date.
 MONTH_NAMES = [
     "januari", "februari", "maart", "april", "mei", "juni", "juli",
     "augustus", "september", "oktober", "november", "december",
 ]
 DAY_NAMES = ["maandag", "dinsdag", "woensdag", "donderdag", "vrijdag", "zaterdag", "zondag"]
-HOLIDAY_SEPARATOR = " en "
-NEW_YEAR = "Nieuwjaarsdag"
-GOOD_FRIDAY = "Goede Vrijdag"
-EASTER_SUNDAY = "Eerste Paasdag"
-EASTER_MONDAY = "Tweede Paasdag"
-KINGS_DAY = "Koningsdag"
-QUEENS_DAY = "Koninginnedag"
-LIBERATION_DAY = "Bevrijdingsdag"
-ASCENSION_DAY = "Hemelvaartsdag"
-WHIT_SUNDAY = "Eerste Pinksterdag"
-WHIT_MONDAY = "Tweede Pinksterdag"
-CHRISTMAS_DAY = "Eerste Kerstdag"
-BOXING_DAY = "Tweede Kerstdag"
+EASTER_OFFSETS = {
+    "Goede Vrijdag": -2,
+    "Eerste Paasdag": 0,
+    "Tweede Paasdag": 1,
+    "Hemelvaartsdag": 39,
+    "Eerste Pinksterdag": 49,
+    "Tweede Pinksterdag": 50,
+}
+FIXED_DATES = {
+    "Nieuwjaarsdag": (1, 1),
+    "Bevrijdingsdag": (5, 5),
+    "Eerste Kerstdag": (12, 25),
+    "Tweede Kerstdag": (12, 26),
+}
+KINGS_DAY, KINGS_DAY_DATE = "Koningsdag", (4, 27)
+QUEENS_DAY, QUEENS_DAY_DATE = "Koninginnedag", (4, 30)
 KINGS_DAY_FROM_YEAR = 2014
+HOLIDAY_SEPARATOR = " en "
 UNKNOWN_DATE = _dt.date(1900, 1, 1)
 
 
@@ -78,41 +84,32 @@ def easter_sunday(year: Column) -> Column:
     return F.make_date(y, month.cast("int"), day.cast("int"))
 
 
+def april_holiday(year: Column) -> tuple[Column, Column]:
+    """(date, name) of the April holiday: King's Day from 2014, Queen's Day
+    before; when the day is a Sunday it moves to the Saturday before."""
+    kings = year >= KINGS_DAY_FROM_YEAR
+    nominal = F.when(kings, F.make_date(year, F.lit(KINGS_DAY_DATE[0]), F.lit(KINGS_DAY_DATE[1]))) \
+        .otherwise(F.make_date(year, F.lit(QUEENS_DAY_DATE[0]), F.lit(QUEENS_DAY_DATE[1])))
+    day = F.when(F.dayofweek(nominal) == 1, F.date_sub(nominal, 1)).otherwise(nominal)
+    return day, F.when(kings, F.lit(KINGS_DAY)).otherwise(F.lit(QUEENS_DAY))
+
+
 def nl_holidays(bounds: DataFrame) -> DataFrame:
     """Dutch public holidays for every year in ``bounds``: one row per date
     (``datum``, ``feestdag``); two holidays on one date are joined with
-    ``' en '`` in name order."""
+    ``' en '`` in name order.  Every year yields one struct per holiday
+    from the fixed tables above, exploded once."""
     y = F.col("jaar")
-    easter = F.col("pasen")
-
-    def sunday(d: Column) -> Column:
-        return F.dayofweek(d) == 1
-
-    kings = (F.when((y >= KINGS_DAY_FROM_YEAR) & sunday(F.make_date(y, F.lit(4), F.lit(27))),
-                    F.make_date(y, F.lit(4), F.lit(26)))
-              .when(y >= KINGS_DAY_FROM_YEAR, F.make_date(y, F.lit(4), F.lit(27)))
-              .when(sunday(F.make_date(y, F.lit(4), F.lit(30))), F.make_date(y, F.lit(4), F.lit(29)))
-              .otherwise(F.make_date(y, F.lit(4), F.lit(30))))
-    kings_name = F.when(y >= KINGS_DAY_FROM_YEAR, F.lit(KINGS_DAY)).otherwise(F.lit(QUEENS_DAY))
+    easter = easter_sunday(y)
 
     def h(d: Column, name) -> Column:
-        n = name if isinstance(name, Column) else F.lit(name)
-        return F.struct(d.alias("datum"), n.alias("feestdag"))
-
-    per_year = years(bounds).withColumn("pasen", easter_sunday(y))
-    rows = per_year.select(F.explode(F.array(
-        h(F.make_date(y, F.lit(1), F.lit(1)), NEW_YEAR),
-        h(F.date_sub(easter, 2), GOOD_FRIDAY),
-        h(easter, EASTER_SUNDAY),
-        h(F.date_add(easter, 1), EASTER_MONDAY),
-        h(kings, kings_name),
-        h(F.make_date(y, F.lit(5), F.lit(5)), LIBERATION_DAY),
-        h(F.date_add(easter, 39), ASCENSION_DAY),
-        h(F.date_add(easter, 49), WHIT_SUNDAY),
-        h(F.date_add(easter, 50), WHIT_MONDAY),
-        h(F.make_date(y, F.lit(12), F.lit(25)), CHRISTMAS_DAY),
-        h(F.make_date(y, F.lit(12), F.lit(26)), BOXING_DAY),
-    )).alias("h")).select("h.datum", "h.feestdag")
+        return F.struct(d.alias("datum"), (name if isinstance(name, Column) else F.lit(name)).alias("feestdag"))
+
+    april_day, april_name = april_holiday(y)
+    per_year = ([h(F.date_add(easter, off), name) for name, off in EASTER_OFFSETS.items()]
+                + [h(F.make_date(y, F.lit(m), F.lit(d)), name) for name, (m, d) in FIXED_DATES.items()]
+                + [h(april_day, april_name)])
+    rows = years(bounds).select(F.explode(F.array(*per_year)).alias("h")).select("h.datum", "h.feestdag")
     # At most a handful of names per date, so the per-date list is bounded.
     return rows.groupBy("datum").agg(
         F.array_join(F.array_sort(F.collect_list("feestdag")), HOLIDAY_SEPARATOR).alias("feestdag"))
