@@ -508,8 +508,12 @@ def make_fixtures(spark: SparkSession, raw_dir: str, target: str, n_plates: int
             F.col("RegioS").startswith(MUNICIPALITY_PREFIX)
             & (F.left(F.col("Perioden"), F.lit(4)).cast("int") >= first_year)),
     }
+    import re
+
     areas = raw["gebieden"].withColumn("__ds", dataset_name("source_file"))
-    names = [r[0] for r in areas.select("__ds").distinct().collect()]  # one name per yearly file
+    # the yearly file names come from the file index (a listing, no job)
+    names = {m.group(1) for f in raw["gebieden"].inputFiles()
+             if (m := re.search(r"([^/]+)\.parquet(/[^/]*)?$", f))}
     for name in sorted(names):
         out[name] = areas.where(F.col("__ds") == name).drop("source_file", "__ds")
     from starkit.sources.export import export_report, materialise
