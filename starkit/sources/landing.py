@@ -102,6 +102,45 @@ def upsert_manifest(manifest: DataFrame, entries: DataFrame, file_col: str = "fi
                 .drop("__rn", "__new").orderBy(file_col))
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The snapshot manifest (one JSON document ``{"datasets": [...]}``) as
+    one row per dataset; nested selection queries stay JSON text.
+
+    The manifest is metadata (one entry per dataset) and is conventionally
+    named ``_manifest.json``, a name Spark's file sources skip as hidden;
+    the document is therefore opened through the filesystem layer and only
+    its entries are handed to Spark's JSON reader.  A directory written by
+    ``write_manifest`` is read with the JSON source directly.
+    """
+    import json
+    import os
+
+    from pyarrow import fs
+
+    uri = path if "://" in path or path.startswith("file:") else f"file://{os.path.abspath(path)}"
+    filesystem, p = fs.FileSystem.from_uri(uri)
+    if filesystem.get_file_info(p).type == fs.FileType.Directory:
+        doc = spark.read.json(path)
+        entries = doc.select(F.explode("datasets").alias("d")).select("d.*")
+    else:
+        with filesystem.open_input_stream(p) as fh:
+            items = json.loads(fh.read().decode("utf-8"))["datasets"]
+        lines = spark.sparkContext.parallelize([json.dumps(e, ensure_ascii=False) for e in items], 1)
+        entries = spark.read.json(lines)
+    nested = [f.name for f in entries.schema.fields if isinstance(f.dataType, (T.StructType, T.MapType))]
+    return entries.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in entries.columns])
+
+
+def write_manifest(manifest: DataFrame, path: str, file_col: str = "file_name") -> None:
+    """Write the manifest back as one JSON document with the entries sorted
+    by file name (one entry per dataset: a few hundred rows at most, so a
+    single writer task is the right size)."""
+    doc = manifest.agg(F.sort_array(F.collect_list(F.struct(
+        F.col(file_col).alias("__sort"), F.struct(*manifest.columns).alias("entry")))).alias("__e"))
+    doc = doc.select(F.transform("__e", lambda x: x["entry"]).alias("datasets"))
+    doc.coalesce(1).write.mode("overwrite").json(path)
+
+
 def reconcile(expected: Column, written: Column) -> Column:
     """Load reconciliation (S7): true when the written count equals the
     expected (source) count."""

@@ -70,3 +70,24 @@ def test_code_list_sorted_columns_and_empty(spark):
 def test_reconcile(spark):
     df = spark.createDataFrame([(5, 5), (5, 4)], "e long, w long")
     assert [r[0] for r in df.select(landing.reconcile(F.col("e"), F.col("w"))).collect()] == [True, False]
+
+
+def test_manifest_json_roundtrip_with_upsert(spark, scratch):
+    os.makedirs(scratch, exist_ok=True)
+    doc = {"datasets": [
+        {"bestand": "b.parquet", "snapshotdatum": "2026-01-01", "rijen": 5, "kolommen": 3,
+         "selectiequery": {"$where": "kenteken >= 'A'"}},
+        {"bestand": "a.parquet", "snapshotdatum": "2026-01-01", "rijen": 1, "kolommen": 2,
+         "selectiequery": {"$filter": None}},
+    ]}
+    with open(f"{scratch}/_manifest.json", "w") as fh:
+        json.dump(doc, fh, indent=2)
+    m = landing.read_manifest(spark, f"{scratch}/_manifest.json")
+    assert sorted(r.bestand for r in m.collect()) == ["a.parquet", "b.parquet"]
+    assert json.loads(m.where("bestand = 'b.parquet'").first().selectiequery) == {"$where": "kenteken >= 'A'"}
+    new = spark.createDataFrame([{"bestand": "b.parquet", "snapshotdatum": "2026-02-01", "rijen": 7,
+                                  "kolommen": 3, "selectiequery": None}], m.schema)
+    up = landing.upsert_manifest(m, new, file_col="bestand", order_col="snapshotdatum")
+    landing.write_manifest(up, f"{scratch}/manifest_out", file_col="bestand")
+    back = landing.read_manifest(spark, f"{scratch}/manifest_out")
+    assert [(r.bestand, r.rijen) for r in back.collect()] == [("a.parquet", 1), ("b.parquet", 7)]
