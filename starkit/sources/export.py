@@ -24,7 +24,8 @@ def run_folder(spark: SparkSession, prefix: str = "run") -> str:
 
 
 def materialise(tables: Mapping[str, DataFrame], base: str, compression: str = "zstd",
-                parallel: int = 4) -> dict[str, DataFrame]:
+                parallel: int = 4, bucket_by: Mapping[str, tuple[int, list[str]]] | None = None
+                ) -> dict[str, DataFrame]:
     """Write each table as parquet under ``base`` and return DataFrames that
     read the written files.  An empty table still writes a dataset carrying
     its schema, so readers never miss a table.
@@ -32,22 +33,39 @@ def materialise(tables: Mapping[str, DataFrame], base: str, compression: str = "
     Independent tables of one layer are written by concurrent jobs (the
     scheduler interleaves their tasks), so small tables do not leave the
     cluster idle while they run one after another.
+
+    ``bucket_by`` maps a table to ``(buckets, key columns)``: it is written
+    bucketed and sorted on the key as an external catalog table whose files
+    live under ``base``.  Two tables bucketed alike on a join key are joined
+    later without shuffling either side (co-located sort-merge join).
     """
+    import re
     from concurrent.futures import ThreadPoolExecutor
 
+    buckets = dict(bucket_by or {})
+    suffix = re.sub(r"\W", "_", base.rstrip("/").rsplit("/", 1)[-1])
+
     def write(item):
         name, df = item
         path = f"{base}/{name}.parquet"
+        if name in buckets:
+            n, cols = buckets[name]
+            table = f"{name}__{suffix}"
+            # one writer task per bucket -> one file per bucket (no small files)
+            (df.repartition(n, *cols).write.mode("overwrite").option("compression", compression)
+               .bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(table))
+            return name, ("table", table)
         df.write.mode("overwrite").option("compression", compression).parquet(path)
-        return name, path
+        return name, ("path", path)
 
     items = list(tables.items())
     if not items:
         return {}
     spark = items[0][1].sparkSession
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(items)))) as pool:
-        paths = dict(pool.map(write, items))
-    return {name: spark.read.parquet(paths[name]) for name, _ in items}
+        written = dict(pool.map(write, items))
+    return {name: (spark.table(ref) if kind == "table" else spark.read.parquet(ref))
+            for name, (kind, ref) in ((n, written[n]) for n, _ in items)}
 
 
 def export_report(tables: Mapping[str, DataFrame]) -> DataFrame:

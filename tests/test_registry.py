@@ -247,3 +247,19 @@ def test_cli_build_and_profile(built, spark, capsys):
     assert main(["profile", "--raw", raw, "fixture_checks"]) == 0
     out = capsys.readouterr().out
     assert "assert_gemeente_aaneengesloten_peiljaren" in out and "three_character_times" in out
+
+
+def test_ranking_mart_joins_fact_and_vehicles_without_a_shuffle(built, spark):
+    m, _ = built
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        veh = m["dim_voertuig"].select("voertuig_key", "voertuigsoort")
+        joined = m["fct_gebrek_constatering"].join(veh, "voertuig_key", "inner")
+        p = spark._jvm.PythonSQLUtils.explainString(joined._jdf.queryExecution(), "formatted")
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin" in p and "Exchange" not in p, p
