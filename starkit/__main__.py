@@ -3,6 +3,7 @@
     python -m starkit build    --raw DIR [--out DIR] [--fail-on-error]
     python -m starkit export   --raw DIR --target DIR
     python -m starkit fixtures --raw DIR --target DIR [--plates 5000] [--extra 02BND8]
+    python -m starkit sample   --raw DIR --target DIR [--size 500000]
     python -m starkit profile  --raw DIR [report ...]
     python -m starkit land     --source DIR --format json --columns a,b,c --target DIR
 
@@ -31,6 +32,10 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("--target", required=True)
     f.add_argument("--plates", type=int, default=5000)
     f.add_argument("--extra", nargs="*", default=["02BND8"])
+    r = sub.add_parser("sample", help="one plate range applied to all vehicle files")
+    r.add_argument("--raw", required=True)
+    r.add_argument("--target", required=True)
+    r.add_argument("--size", type=int, default=500_000)
     p = sub.add_parser("profile", help="raw-layer profiling reports")
     p.add_argument("--raw", required=True)
     p.add_argument("reports", nargs="*")
@@ -55,6 +60,9 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "fixtures":
         from starkit.plans import registry
         registry.make_fixtures(spark, a.raw, a.target, a.plates, a.extra).show(100, truncate=False)
+    elif a.cmd == "sample":
+        from starkit.plans import registry
+        registry.range_sample(spark, a.raw, a.target, a.size).show(100, truncate=False)
     elif a.cmd == "profile":
         from starkit.plans import raw_profile
         for name in a.reports or list(raw_profile.REPORTS):

@@ -522,3 +522,23 @@ def make_fixtures(spark: SparkSession, raw_dir: str, target: str, n_plates: int
         out[name] = areas.where(F.col("__ds") == name).drop("source_file", "__ds")
     from starkit.sources.export import export_report, materialise
     return export_report(materialise(out, target))
+
+
+def range_sample(spark: SparkSession, raw_dir: str, target: str, size: int = 500_000) -> DataFrame:
+    """One plate range fixed on the vehicle file (its first and its
+    ``size``-th plate in order) and applied to the vehicle, fuel and defect
+    files, so the three samples describe one vehicle population; code lists
+    and the municipality files are copied whole.  Returns the row report."""
+    from starkit.sources.export import export_report, materialise
+    from starkit.sources.sample import fixed_bounds, in_range, key_range
+
+    raw = raw_sources(spark, raw_dir)
+    bounds = fixed_bounds(key_range(raw["voertuigen"], "kenteken", size))
+    out = {
+        f"{RDW}_{VEHICLES}": in_range(raw["voertuigen"], "kenteken", bounds),
+        f"{RDW}_{FUEL}": in_range(raw["brandstof"], "kenteken", bounds),
+        f"{RDW}_{DEFECTS_FOUND}": in_range(raw["gebrek_constateringen"], "kenteken", bounds),
+        f"{RDW}_{DEFECT_CODES}": raw["gebreken"],
+        f"{CBS}_{FLEET}": raw["voertuigpark"],
+    }
+    return export_report(materialise(out, target))

@@ -263,3 +263,14 @@ def test_ranking_mart_joins_fact_and_vehicles_without_a_shuffle(built, spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "SortMergeJoin" in p and "Exchange" not in p, p
+
+
+def test_range_sample_applies_one_plate_range(built, spark):
+    from starkit.sources.export import run_folder
+
+    m, _ = built
+    rep = {r.table_name: r.n_rows for r in
+           registry.range_sample(spark, m["__raw_dir__"], run_folder(spark, "range"), size=3).collect()}
+    # plates in order: 02BND8, P1, P2 -> range [02BND8, P2]
+    assert rep["rdw_gekentekende_voertuigen"] == 3
+    assert rep["rdw_brandstof"] == 6 and rep["rdw_geconstateerde_gebreken"] == 5

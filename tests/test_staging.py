@@ -82,3 +82,35 @@ def test_scale_settings():
     assert int(big["spark.sql.shuffle.partitions"]) == 819200   # 100 TB / 128 MB
     small = scale_settings(10 * 1024 ** 2, cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16      # at least 2 per core
+
+
+def test_dedup_and_long_to_wide_match_python_models(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    rows_st = st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None]),
+                                 st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 99)),
+                       min_size=1, max_size=30)
+
+    @settings(max_examples=15, deadline=None)
+    @given(rows_st)
+    def check(rows):
+        rows = [(k, m, o, i) for i, (k, m, o, _) in enumerate(rows)]  # i makes the order total
+        df = spark.createDataFrame(rows, "k int, m string, o int, i int")
+        got = {r.k: (r.o, r.i) for r in dedup(df, ["k"], ["o", "i"]).collect()}
+        expect = {}
+        for k, m, o, i in sorted(rows, key=lambda r: (r[2] is None, r[2] if r[2] is not None else 0, r[3])):
+            expect.setdefault(k, (o, i))
+        assert got == expect
+        wide = {r.k: (r.va, r.vb) for r in long_to_wide(df, ["k"], "m", "o", {"a": "va", "b": "vb"}).collect()}
+        model = {}
+        for k, m, o, i in rows:
+            va, vb = model.get(k, (None, None))
+            if m == "a" and o is not None:
+                va = o if va is None else max(va, o)
+            if m == "b" and o is not None:
+                vb = o if vb is None else max(vb, o)
+            model[k] = (va, vb)
+        assert wide == model
+
+    check()
