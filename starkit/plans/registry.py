@@ -220,12 +220,14 @@ def fct_gebrek_constatering(stg_gc: DataFrame, d_datum: DataFrame, d_voertuig: D
                             d_gebrek: DataFrame) -> DataFrame:
     """Transaction fact: one row per defect found; the per-inspection total
     of the source is non-additive and dropped; measure is a constant 1.
-    The calendar is bounded (broadcast); the vehicle dimension is
-    plate-sized and left to a sort-merge join / AQE."""
+    The calendar and the defect-code list are bounded (broadcast); the
+    vehicle dimension is plate-sized and left to a sort-merge join / AQE."""
     f = lookup(stg_gc, d_datum, "meld_datum", "datum", "datum_key", out_col="meld_datum_key",
                unknown=-1, bounded_dim=True)
     f = lookup(f, d_voertuig, "kenteken", "kenteken", "voertuig_key")
-    f = lookup(f, d_gebrek, "gebrek_identificatie", "gebrek_identificatie", "gebrek_key")
+    # the defect codes are a reference list (about a thousand codes), bounded
+    # independently of the number of defects found: broadcast it
+    f = lookup(f, d_gebrek, "gebrek_identificatie", "gebrek_identificatie", "gebrek_key", bounded_dim=True)
     return f.select("meld_datum_key", "voertuig_key", "gebrek_key", "kenteken", "meld_datum", "meld_tijd",
                     "gebrek_identificatie", "soort_erkenning_omschrijving", F.lit(1).alias("aantal_gebreken"))
 
