@@ -274,3 +274,23 @@ def test_range_sample_applies_one_plate_range(built, spark):
     # plates in order: 02BND8, P1, P2 -> range [02BND8, P2]
     assert rep["rdw_gekentekende_voertuigen"] == 3
     assert rep["rdw_brandstof"] == 6 and rep["rdw_geconstateerde_gebreken"] == 5
+
+
+def test_cli_land_and_sample(built, spark, capsys):
+    import json
+    import os
+
+    from starkit.__main__ import main
+    from starkit.sources.export import run_folder
+
+    src = run_folder(spark, "cli-src")
+    os.makedirs(src)
+    with open(f"{src}/page1.json", "w") as fh:
+        fh.write(json.dumps({"kenteken": "AA", "merk": "X"}) + "\n")
+    target = run_folder(spark, "cli-land")
+    assert main(["land", "--source", src, "--columns", "kenteken,merk,extra", "--target", target]) == 0
+    assert spark.read.parquet(target).columns == ["kenteken", "merk", "extra"]
+    assert main(["sample", "--raw", built[0]["__raw_dir__"], "--target", run_folder(spark, "cli-sample"),
+                 "--size", "2"]) == 0
+    out = capsys.readouterr().out
+    assert "1 rows landed in total" in out and "rdw_brandstof" in out
