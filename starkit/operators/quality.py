@@ -132,6 +132,3 @@ def assert_suite(result: DataFrame) -> None:
     if failed:
         raise AssertionError(f"data-quality checks failed: {failed}")
 
-
-def condition_count(df: DataFrame, cond: Column, alias: str) -> Column:
-    return F.count_if(cond).alias(alias)

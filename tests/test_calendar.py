@@ -42,3 +42,12 @@ def test_iso_week_pair_and_unknown_member(spark):
     u = cal.where(F.col("datum_key") == -1).first()
     assert u.datum == dt.date(1900, 1, 1) and u.is_werkdag is False and u.feestdag_naam is None
     assert cal.count() == 366  # 365 days + unknown
+
+
+def test_year_bounds_of_a_date_column(spark):
+    from starkit.operators.calendar import year_bounds_of
+
+    df = spark.createDataFrame([(dt.date(1997, 3, 1),), (dt.date(2001, 12, 31),), (None,)], "d date")
+    r = year_bounds_of(df, "d").first()
+    assert (r.first_year, r.last_year) == (1997, 2001)
+    assert calendar_dim(year_bounds_of(df, "d"), unknown_member=False).count() == 365 * 5 + 1  # 2000 is a leap year
