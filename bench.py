@@ -33,14 +33,20 @@ def main() -> None:
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in sorted(QUERIES):
         if only and name not in only:
             continue
         runs = []
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
+        try:
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - t0)
+        except Exception as exc:  # noqa: BLE001 - one failing query must not hide the others
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            print(f"{name:34s} FAILED {failed[name]}", file=sys.stderr, flush=True)
+            continue
         times[name], cold[name] = round(min(runs), 3), round(runs[0], 3)
         print(f"{name:34s} {times[name]:8.3f}s  (cold {cold[name]:.3f}s)", file=sys.stderr, flush=True)
 
@@ -52,6 +58,7 @@ def main() -> None:
         "queries": times,
         "cold": cold,
         "cold_total": round(sum(cold.values()), 3),
+        "failed": failed,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(cpus),
     }))
