@@ -294,3 +294,10 @@ def test_cli_land_and_sample(built, spark, capsys):
                  "--size", "2"]) == 0
     out = capsys.readouterr().out
     assert "1 rows landed in total" in out and "rdw_brandstof" in out
+
+
+def test_build_fails_on_error_when_checks_fail(built, spark):
+    with pytest.raises(AssertionError) as err:
+        registry.build(spark, built[0]["__raw_dir__"], fail_on_error=True)
+    msg = str(err.value)
+    assert "assert_brandstof_energiedrager_bekend" in msg and "assert_gemeente_aaneengesloten_peiljaren" in msg
