@@ -632,8 +632,10 @@ def q_sample_referential(t: Tables) -> DataFrame:
     orders = smp.restrict_to(t.orders, "o_orderkey", keys, "o_orderkey")
     lines = smp.restrict_to(t.lineitem, "l_orderkey", keys, "o_orderkey")
     custs = t.customer.join(orders.select("o_custkey"), t.customer.c_custkey == orders.o_custkey, "left_semi")
+    first_year = orders.agg(F.min(F.year("o_orderdate"))).scalar()
     return smp.sample_report(SAMPLE_N, EXTRA_ORDERKEYS, keys, "o_orderkey",
-                             {"orders": orders, "lineitem": lines, "customer": custs})
+                             {"orders": orders, "lineitem": lines, "customer": custs},
+                             details={"first_order_year": first_year})
 
 
 @query("manifest_upsert")

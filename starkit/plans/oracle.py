@@ -673,6 +673,7 @@ WITH keys AS (
 so AS (SELECT * FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM keys))
 SELECT 200 AS n_requested, 3 AS n_extra, (SELECT count(*) FROM keys) AS n_keys,
        (SELECT max(o_orderkey) FROM keys) AS max_key,
+       (SELECT CAST(min(year(o_orderdate)) AS INTEGER) FROM so) AS first_order_year,
        (SELECT count(*) FROM so) AS orders_rows,
        (SELECT count(*) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM keys)) AS lineitem_rows,
        (SELECT count(*) FROM customer WHERE c_custkey IN (SELECT o_custkey FROM so)) AS customer_rows

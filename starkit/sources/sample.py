@@ -101,11 +101,14 @@ def restrict_to(df: DataFrame, col: str, keys: DataFrame, key: str) -> DataFrame
 
 
 def sample_report(requested: int, extra: Sequence, keys: DataFrame, key: str,
-                  tables: Mapping[str, DataFrame], year_of: Column | None = None) -> DataFrame:
+                  tables: Mapping[str, DataFrame], details: Mapping[str, Column] | None = None) -> DataFrame:
     """One row describing a sample: requested size, extra keys, keys
-    taken, largest key, rows per sampled table."""
+    taken, largest key, rows per sampled table, plus ``details`` (scalar
+    columns such as the first period of the sample)."""
     out = keys.agg(F.count(F.lit(1)).alias("n_keys"), F.max(key).alias("max_key"))
     out = out.select(F.lit(requested).alias("n_requested"), F.lit(len(extra)).alias("n_extra"), "*")
+    for name, value in (details or {}).items():
+        out = out.withColumn(name, value)
     for name, df in tables.items():
         out = out.withColumn(f"{name}_rows", count_of(df))
     return out
