@@ -68,20 +68,35 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+class Powers:
+    """Powers of the multiplier and of its inverse modulo 2^64."""
+
+    def __init__(self):
+        self.up = self.down = np.empty(0, np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            size = max(1 << 16, 2 * n)
+            self.up = np.cumprod(np.full(size, MULTIPLIER, np.uint64), dtype=np.uint64)
+            self.down = np.cumprod(np.full(size, pow(MULTIPLIER, -1, 1 << 64), np.uint64), dtype=np.uint64)
+        return self.up[:n], self.down[:n]
+
+
 class Windows:
     """Hashes of all windows of a document, any length, in O(1) each."""
 
-    def __init__(self, ids: np.ndarray):
-        n = len(ids)
-        with np.errstate(over="ignore"):
-            up = np.cumprod(np.full(n, MULTIPLIER, np.uint64), dtype=np.uint64)
-            inverse = np.uint64(pow(MULTIPLIER, -1, 1 << 64))
-            self.down = np.cumprod(np.full(n, inverse, np.uint64), dtype=np.uint64)
-            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(ids * up, dtype=np.uint64)])
+    def __init__(self, ids: np.ndarray, powers: Powers):
+        up, self.down = powers(len(ids))
+        self.sums = np.zeros(len(ids) + 1, np.uint64)
+        np.cumsum(ids * up, out=self.sums[1:])
 
     def at(self, start: np.ndarray, length: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return mixed((self.sums[start + length] - self.sums[start]) * self.down[start]).view(np.int64)
+        return mixed((self.sums[start + length] - self.sums[start]) * self.down[start]).view(np.int64)
+
+    def all(self, length: int) -> np.ndarray:
+        """Of all places."""
+        n = len(self.sums) - length
+        return mixed((self.sums[length:] - self.sums[:n]) * self.down[:n]).view(np.int64)
 
 
 def _sliding(x: np.ndarray, width: int, f) -> np.ndarray:
@@ -104,21 +119,39 @@ def _levels(width: int) -> tuple[int, int]:
     return -(-width // 4), -(-width // 2)
 
 
+class Rows:
+    """Collects arrays of rows for each document, and makes one frame of many."""
+
+    def __init__(self, *columns: str):
+        self.columns, self.parts, self.owners, self.size = columns, [], [], 0
+
+    def add(self, doc, key, *arrays: np.ndarray) -> None:
+        self.parts.append(arrays)
+        self.owners.append((doc, key, len(arrays[0])))
+        self.size += len(arrays[0])
+
+    def frame(self) -> pd.DataFrame:
+        doc, key, n = zip(*self.owners)
+        out = {"doc": pd.Series(doc, dtype="Int64").repeat(n).array, "key": np.repeat(np.array(key, np.int64), n)}
+        out |= {c: np.concatenate(x) for c, x in zip(self.columns, zip(*self.parts))}
+        self.parts, self.owners, self.size = [], [], 0
+        return pd.DataFrame(out)
+
+
 def anchor_rows(width: int):
     """mapInPandas function: documents to their anchors, one row each; the
     18-word hashes are 0 where the document ends before."""
     l1, l2 = _levels(width)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = WordIds()
+        ids, powers, rows = WordIds(), Powers(), Rows("pos", "h1", "right", "left")
         for batch in batches:
-            out = []
             for doc, key, text in zip(batch["doc"], batch["key"], batch["text"]):
                 w = split_words(text)
                 if len(w) < width:
                     continue
-                win = Windows(word_ids(w, ids))
-                first = win.at(np.arange(len(w) - l1 + 1), l1)
+                win = Windows(word_ids(w, ids), powers)
+                first = win.all(l1)
                 pos = anchors(first, width - l1 + 1)
                 right, left = np.zeros((2, len(pos)), np.int64)
                 ok = pos + l2 <= len(w)
@@ -126,12 +159,11 @@ def anchor_rows(width: int):
                 start = pos + l1 - l2
                 ok = start >= 0
                 left[ok] = win.at(start[ok], l2)
-                out.append(pd.DataFrame({"doc": doc, "key": key, "pos": pos.astype(np.int32), "h1": first[pos], "right": right, "left": left}))
-                if sum(map(len, out)) > 200_000:
-                    yield pd.concat(out)
-                    out = []
-            if out:
-                yield pd.concat(out)
+                rows.add(doc, key, pos.astype(np.int32), first[pos], right, left)
+                if rows.size > 100_000:
+                    yield rows.frame()
+        if rows.size:
+            yield rows.frame()
     return run
 
 
@@ -155,13 +187,17 @@ def window_rows(width: int):
     """mapInPandas function: documents with their repeated anchors to the
     hashes of their candidate windows, each with its count in the document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = WordIds()
+        ids, powers, rows = WordIds(), Powers(), Rows("h", "c")
         for batch in batches:
             for doc, key, text, marks in zip(batch["doc"], batch["key"], batch["text"], batch["marks"]):
                 w = split_words(text)
                 start = _starts(len(w), marks, width)
-                h, c = np.unique(Windows(word_ids(w, ids)).at(start, width), return_counts=True)
-                yield pd.DataFrame({"doc": doc, "key": key, "h": h, "c": c})
+                if len(start):
+                    rows.add(doc, key, *np.unique(Windows(word_ids(w, ids), powers).at(start, width), return_counts=True))
+                if rows.size > 100_000:
+                    yield rows.frame()
+        if rows.size:
+            yield rows.frame()
     return run
 
 
@@ -177,7 +213,7 @@ def outcome(width: int, texts: bool):
 
     @F.pandas_udf(types)
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        ids = WordIds()
+        ids, powers = WordIds(), Powers()
         for batch in batches:
             out = []
             for text, marks, once in zip(*batch):
@@ -186,7 +222,7 @@ def outcome(width: int, texts: bool):
                 if marks is not None:
                     start = _starts(n, marks, width)
                     if once is not None and len(start):
-                        start = start[~np.isin(Windows(word_ids(w, ids)).at(start, width), np.asarray(once, np.int64))]
+                        start = start[~np.isin(Windows(word_ids(w, ids), powers).at(start, width), np.asarray(once, np.int64))]
                     cover = np.zeros(n + 1, np.int64)
                     np.add.at(cover, start, 1)
                     np.add.at(cover, start + width, -1)
@@ -200,8 +236,10 @@ def outcome(width: int, texts: bool):
 
 
 def _repeated(rows: DataFrame, key: str) -> DataFrame:
-    """The rows whose ``key`` occurs twice or more."""
-    twice = rows.groupBy(key).agg(F.count("*").alias("__n")).filter("__n > 1").select(key)
+    """The rows whose ``key`` occurs twice or more.  The list of keys is
+    written, so that both sides of the join are plain shuffles, of which Spark
+    splits the partition of a frequent key."""
+    twice = saved(rows.groupBy(key).agg(F.count("*").alias("__n")).filter("__n > 1").select(key), "twice")
     return rows.join(twice, key)
 
 
