@@ -44,8 +44,8 @@ CHAR_CLASSES = {
 PPM = 1_000_000
 
 MIN_WORDS = 50          # documents below it are not compared
-MAX_CHAR_DISTANCE = 0.35
-MAX_WORD_DISTANCE = 0.60
+MAX_CHAR_DISTANCE = 0.30
+MAX_WORD_DISTANCE = 0.36
 
 
 def words(text: Column) -> Column:
