@@ -1,17 +1,20 @@
 """Near-duplicate documents by MinHash with tensored banding.
 
 A table key is made of one key of a first small collection and one of a
-second: with M keys of R minhashes in each there are M * M tables of 2 * R
-minhashes, for which only 2 * M * R minhashes are computed (64 tables of 4
-minhashes from 32).  Two texts with similarity 0.8 share a table key with
-probability (1 - (1 - 0.8^2)^8)^2 = 0.9994, and more above.
+second: 8 keys of 2 minhashes and 11 keys of 3 give 88 tables of 5 minhashes,
+for which only 49 minhashes are computed.  Two texts with similarity 0.8 share
+a table key with probability (1 - 0.36^8) * (1 - 0.488^11) = 0.9993, and more
+above.
 
 Documents with equal shingle sets are one node (grouped with map-side
 combine), so copies never meet again.  Candidates are verified on the full
 shingle sets, by stars instead of all pairs of a bucket:
 
-* A round picks centres in every bucket, pairs them with the members that
-  are not yet known to be connected to them, and verifies these pairs.
+* In the first rounds every bucket has one centre, and a member meets one of
+  the centres of its buckets only, so a round verifies a pair a document at
+  most, and large groups become one component.
+* A later round picks centres in every bucket, pairs them with the members
+  that are not yet known to be connected to them, and verifies these pairs.
 * Members of one component need no more pairs among them; a bucket is done
   once its members lie in one component, or once all of those outside its
   largest component have been centres.  Otherwise it goes on to the next
@@ -40,11 +43,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import packed, saved, small_or_none
+from starkit.llm.common import batches_of, packed, saved, small_or_none
 from starkit.llm.substring_dedup import WordIds, mixed, word_ids
 
-KEYS, ROWS = 8, 2       # M keys of R minhashes in each collection
+FIRST, SECOND = (8, 2), (11, 3)  # keys, and minhashes of a key, in the two collections
+STAR_ROUNDS = 2         # rounds in which a member meets one centre only
 SKETCH = 64             # one-bit minhashes
+BLOCK_BYTES, BLOCK_PAIRS = 8 << 20, 20_000  # sets, and about as many pairs, that a task compares
+BATCH = 1_000           # texts or pairs of sets a Python worker holds at a time
 MAX_DIFFERENT = 22      # bits; 6.4 are expected at similarity 0.8
 
 
@@ -55,26 +61,24 @@ def shingles(text, size: int, ids: WordIds) -> np.ndarray:
         return np.empty(0, np.uint64)
     h = word_ids(w, ids)
     size = min(size, len(w))
-    with np.errstate(over="ignore"):
-        out = np.full(len(h) - size + 1, np.uint64(size))
-        for i in range(size):
-            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + h[i: len(h) - size + 1 + i])
+    out = np.full(len(h) - size + 1, np.uint64(size))
+    for i in range(size):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + h[i: len(h) - size + 1 + i]
+    out = mixed(out)
     return np.unique(out)
 
 
 def _seeds() -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20_240_229)
-    n = max(SKETCH, 2 * KEYS * ROWS)
+    n = max(SKETCH, FIRST[0] * FIRST[1] + SECOND[0] * SECOND[1])
     return rng.integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, n, dtype=np.uint64)
 
 
 def minhashes(s: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
     """One minhash for each (mul, add)."""
     out = np.full(len(mul), np.iinfo(np.uint64).max)
-    with np.errstate(over="ignore"):
-        for i in range(0, len(s), 4096):  # keeps the table small for a long text
-            x = s[i: i + 4096, None] * mul + add
-            out = np.minimum(out, (x ^ (x >> np.uint64(32))).min(axis=0))
+    for i in range(0, len(s), 2048):  # keeps the table small for a long text
+        np.minimum(out, (mul[:, None] * s[None, i: i + 2048] + add[:, None]).min(axis=1), out=out)
     return out
 
 
@@ -84,7 +88,14 @@ def features(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, (mul, add) = WordIds(), _seeds()
         bit = np.uint64(1) << np.arange(SKETCH, dtype=np.uint64)
-        table = np.arange(KEYS * KEYS, dtype=np.uint64)
+        table = np.arange(FIRST[0] * SECOND[0], dtype=np.uint64)
+        cut = FIRST[0] * FIRST[1]
+
+        def combined(m: np.ndarray, keys: int) -> np.ndarray:
+            m, out = m.reshape(keys, -1), np.zeros(keys, np.uint64)
+            for column in m.T:
+                out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + column)
+            return out
         for batch in batches:
             out = []
             for doc, text in zip(batch["doc_id"], batch["text"]):
@@ -95,9 +106,8 @@ def features(size: int):
                 m = minhashes(s, mul, add)
                 with np.errstate(over="ignore"):
                     sketch = (bit * ((mixed(m[:SKETCH]) >> np.uint64(17)) & np.uint64(1))).sum(dtype=np.uint64)
-                    part = m[: 2 * KEYS * ROWS].reshape(2, KEYS, ROWS)
-                    part = mixed(part[:, :, 0] * np.uint64(0x9E3779B97F4A7C15) + part[:, :, 1]) if ROWS == 2 else mixed(part.sum(axis=2))
-                    keys = mixed((part[0][:, None] * np.uint64(3) + part[1][None, :]).ravel() + table * np.uint64(0xD6E8FEB86659FD93))
+                    u, v = combined(m[:cut], FIRST[0]), combined(m[cut: cut + SECOND[0] * SECOND[1]], SECOND[0])
+                    keys = mixed((u[:, None] * np.uint64(3) + v[None, :]).ravel() + table * np.uint64(0xD6E8FEB86659FD93))
                 out.append((doc, len(s), xxhash.xxh3_128_digest(s.tobytes()), int(sketch.view(np.int64)), keys.view(np.int64)))
             yield pd.DataFrame(out, columns=["doc_id", "n", "set_id", "sketch", "keys"]).astype({"doc_id": "Int64"})
     return run
@@ -111,16 +121,22 @@ def set_rows(size: int):
     return run
 
 
-def similar(percent: int):
-    @F.pandas_udf("boolean")
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        """100 * intersection >= percent * union, of two sorted sets."""
+def compared(percent: int):
+    """cogroup function: sets (node, s) of a block and rows (b, sb, others) to
+    the pairs with 100 * intersection >= percent * union."""
+    def run(sets: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        of: dict[int, list[np.ndarray]] = {}
+        for node, s in zip(sets["node"], sets["s"]):  # several, if a doc_id is repeated
+            of.setdefault(node, []).append(np.frombuffer(s, np.uint64))
         out = []
-        for x, y in zip(a, b):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-        return pd.Series(out, dtype=bool)
+        for b, s, others in zip(rows["b"], rows["sb"], rows["others"]):
+            y = np.frombuffer(s, np.uint64)
+            for a in others:
+                for x in of.get(a, ()):
+                    both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                    if both and 100 * both >= percent * (len(x) + len(y) - both):
+                        out.append((a, b))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
     return run
 
 
@@ -154,21 +170,32 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
     return saved(old.unionByName(new), "labels")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have the similarity."""
     ids = saved(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "involved")
     few = small_or_none(ids)
     texts = docs.select(F.col("doc_id").alias("node"), "text")
     texts = texts.join(ids if few is None else few, "node", "left_semi")
-    sets = saved(texts.mapInPandas(set_rows(size), "node long, s binary"), "sets")
-    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
-    return both.filter(similar(percent)("sa", "sb")).select("a", "b").distinct()
+    sets = saved(texts.mapInPandas(set_rows(shingle), "node long, s binary"), "sets")
+    # a set goes once to each block that has pairs of it, not once a pair
+    size = sets.agg(F.coalesce(F.sum(F.length("s")), F.lit(0))).first()[0]
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(max(1, size // BLOCK_BYTES)).cast("long"))
+    placed = pairs.withColumn("block", block("a"))
+    shares = saved(placed.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_PAIRS).alias("shares")), "shares")
+    placed = placed.join(shares, "block").withColumn("share", F.pmod(F.xxhash64("b"), "shares"))
+    rows = placed.groupBy("block", "share", "b").agg(F.collect_list("a").alias("others"))
+    rows = rows.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+    left = sets.join(pairs.select(F.col("a").alias("node")).distinct(), "node", "left_semi").withColumn("block", block("node")).join(shares, "block")
+    left = left.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))).select("block", "share", "node", "s")
+    return left.groupBy("block", "share").cogroup(rows.groupBy("block", "share")).applyInPandas(compared(percent), "a long, b long").distinct()
 
 
 def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """Per row doc_id, n_shingles, component_id, kept."""
     docs = packed(docs).select(F.col("__row.doc_id").cast("long").alias("doc_id"), F.col("__row.text").alias("text"))
-    rows = saved(docs.mapInPandas(features(shingle), "doc_id long, n long, set_id binary, sketch long, keys array<long>"), "features")
+    spark = docs.sparkSession
+    with batches_of(spark, BATCH):
+        rows = saved(docs.mapInPandas(features(shingle), "doc_id long, n long, set_id binary, sketch long, keys array<long>"), "features")
     usable = rows.filter("n > 0 and doc_id is not null")
     nodes = usable.groupBy("set_id").agg(F.min("doc_id").alias("node"))
     classes = saved(nodes, "classes")
@@ -176,42 +203,48 @@ def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFram
     nodes = saved(usable.join(classes, "set_id").filter("doc_id = node").groupBy("node").agg(F.min(F.struct("set_id", "n", "sketch", "keys")).alias("f"))
                   .select("node", "f.n", "f.sketch", "f.keys"), "nodes")
     active = nodes.select(F.explode("keys").alias("key"), "node")
-    shared = active.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
+    shared = saved(active.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key"), "shared")
     active = saved(active.join(shared, "key"), "buckets")
     facts = nodes.select("node", "n", "sketch")
     labels = nodes.select("node", F.col("node").alias("comp")).limit(0)
-    tried, centres = None, 1
+    tried, centres, round_ = None, 1, 0
     while True:
+        star = round_ < STAR_ROUNDS
         known = active.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        known = saved(known, "known") if tried is not None else known
+        known = saved(known, "known") if round_ else known.select("key", "node", "comp")
         parts = known.groupBy("key", "comp").agg(F.count("*").alias("k"))
         state = parts.groupBy("key").agg(F.sum("k").alias("members"), F.max(F.struct("k", "comp")).alias("largest"), F.count("*").alias("parts"))
         state = saved(state.filter("parts > 1").select("key", "members", F.col("largest.comp").alias("main"), (F.col("members") - F.col("largest.k")).alias("rest")), "state")
         if not state.limit(1).count():
             break
         here = known.join(state, "key")
-        last = F.col("rest") <= centres
-        chance = F.pmod(F.xxhash64("node", F.lit(centres)), F.lit(1 << 30)) * F.col("members") < F.lit(centres) * F.lit(1 << 30)
-        if tried is None:  # all nodes are apart: the least one of each bucket
-            first = known.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("__k")).select("key", "a", F.col("a").alias("ca"))
+        if star:
+            order = F.col("node") if not round_ else F.xxhash64("node", F.lit(round_))
+            first = known.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "comp")).alias("f")).select("key", F.col("f.node").alias("c"), F.col("f.comp").alias("cc"))
+            first = saved(first.join(state.select("key"), "key", "left_semi"), "centres")
         else:
-            first = here.filter(F.when(last, F.col("comp") != F.col("main")).otherwise(chance)).select("key", F.col("node").alias("a"), F.col("comp").alias("ca"))
-        pairs = here.select("key", "node", "comp").join(first, "key").filter("ca != comp")
-        pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        pairs = pairs.join(facts.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka")), "a")
-        pairs = pairs.join(facts.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb")), "b")
+            chance = F.pmod(F.xxhash64("node", F.lit(centres)), F.lit(1 << 30).cast("long")) * F.col("members") < F.lit(centres << 30)
+            first = here.filter(F.when(F.col("rest") <= centres, F.col("comp") != F.col("main")).otherwise(chance))
+            first = saved(first.select("key", F.col("node").alias("c"), F.col("comp").alias("cc")), "centres")
+        pairs = known.join(first, "key").filter("cc != comp").select("c", "node").distinct()
+        pairs = pairs.join(facts.select(F.col("node").alias("c"), F.col("n").alias("na"), F.col("sketch").alias("ka")), "c")
+        pairs = pairs.join(facts.select("node", F.col("n").alias("nb"), F.col("sketch").alias("kb")), "node")
         pairs = pairs.filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.bit_count(F.col("ka").bitwiseXOR(F.col("kb"))) <= MAX_DIFFERENT))
-        pairs = pairs.select("a", "b")
+        if star:
+            pairs = pairs.groupBy("node").agg(F.min("c").alias("c"))
+        pairs = pairs.select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = saved(pairs, "pairs")
-        links = saved(verified(pairs, docs, shingle, percent), "links")
+        with batches_of(spark, BATCH):
+            links = saved(verified(pairs, docs, shingle, percent), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         labels = components(labels, links)
-        # the smaller parts of these have all been centres (of two members, one is enough)
-        done = state.filter(F.col("rest") <= centres).select("key")
-        active = saved(known.join(state.select("key"), "key", "left_semi").join(done, "key", "left_anti").select("key", "node"), "buckets")
-        centres *= 4
+        active = known.join(state.select("key"), "key", "left_semi")
+        if not star:  # the smaller parts of these have all been centres
+            active = active.join(state.filter(F.col("rest") <= centres).select("key"), "key", "left_anti")
+            centres *= 4
+        active, round_ = saved(active.select("key", "node"), "buckets"), round_ + 1
     final = classes.join(labels, "node", "left").select("set_id", F.coalesce("comp", "node").alias("component_id"))
     out = rows.filter("n > 0").join(final, "set_id", "left").select("doc_id", "n", "component_id")
     out = out.unionByName(rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
