@@ -17,6 +17,12 @@ import argparse
 import sys
 
 
+def show_all(df):
+    """Print every row of a report."""
+    df.show(max(1, df.count()), truncate=False)
+    return df
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="starkit")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -54,20 +60,20 @@ def main(argv: list[str] | None = None) -> int:
         from starkit.plans import registry
         models, checks = registry.build(spark, a.raw, getattr(a, "out", None),
                                         fail_on_error=getattr(a, "fail_on_error", False))
-        checks.orderBy("passed", "check_name").show(200, truncate=False)
+        checks.orderBy("passed", "check_name").transform(show_all)
         if a.cmd == "export":
-            registry.export_warehouse(models, a.target).show(truncate=False)
+            registry.export_warehouse(models, a.target).transform(show_all)
     elif a.cmd == "fixtures":
         from starkit.plans import registry
-        registry.make_fixtures(spark, a.raw, a.target, a.plates, a.extra).show(100, truncate=False)
+        registry.make_fixtures(spark, a.raw, a.target, a.plates, a.extra).transform(show_all)
     elif a.cmd == "sample":
         from starkit.plans import registry
-        registry.range_sample(spark, a.raw, a.target, a.size).show(100, truncate=False)
+        registry.range_sample(spark, a.raw, a.target, a.size).transform(show_all)
     elif a.cmd == "profile":
         from starkit.plans import raw_profile
         for name in a.reports or list(raw_profile.REPORTS):
             print(f"== {name}")
-            raw_profile.REPORTS[name](spark, a.raw).show(100, truncate=False)
+            raw_profile.REPORTS[name](spark, a.raw).transform(show_all)
     elif a.cmd == "land":
         from starkit.sources.landing import string_schema
         from starkit.streaming import land_available, landed_stream

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starkit.functions.casts import safe_ratio
 from starkit.functions.scalars import scalar_of
 from starkit.operators.dims import UNKNOWN_KEY, latest_version
 from starkit.operators.staging import order_exprs
@@ -71,8 +72,8 @@ def compare_shares(a: DataFrame, b: DataFrame, class_col: str, a_col: str, b_col
                              F.sum(F.col(b_col)).alias("tb")))
     return j.select(
         class_col, a_col, b_col,
-        F.when(comparable, F.round(F.col(a_col) / totals.getField("ta"), digits)).alias(a_share),
-        F.round(F.col(b_col) / totals.getField("tb"), digits).alias(b_share),
+        F.when(comparable, F.round(safe_ratio(F.col(a_col), totals.getField("ta")), digits)).alias(a_share),
+        F.round(safe_ratio(F.col(b_col), totals.getField("tb")), digits).alias(b_share),
     )
 
 

@@ -59,8 +59,8 @@ def column_profile(df: DataFrame, exact: bool = False) -> DataFrame:
     long = one.select("__rows", F.explode(F.array(*structs)).alias("s"))
     return long.select(
         "s.column_name", "s.column_type", "s.min_value", "s.max_value", "s.n_distinct",
-        F.round(100.0 * F.col("s.n_null") / F.col("__rows"), 2).alias("null_pct"),
-        F.round(100.0 * F.col("s.n_empty") / F.col("__rows"), 2).alias("empty_pct"),
+        F.round(safe_ratio(100.0 * F.col("s.n_null"), F.col("__rows")), 2).alias("null_pct"),
+        F.round(safe_ratio(100.0 * F.col("s.n_empty"), F.col("__rows")), 2).alias("empty_pct"),
     )
 
 

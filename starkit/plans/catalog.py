@@ -524,16 +524,16 @@ def q_profile_grain(t: Tables) -> DataFrame:
 
 @query("profile_duplicates")
 def q_profile_duplicates(t: Tables) -> DataFrame:
-    """Fully duplicate rows per table (lineitem on its key columns)."""
+    """Rows equal on all columns, per table."""
     return prof.duplicate_count({
         "orders": t.orders, "customer": t.customer, "part": t.part, "supplier": t.supplier,
-        "lineitem_keys": t.lineitem.select("l_orderkey", "l_linenumber")})
+        "lineitem": t.lineitem})
 
 
 @query("profile_duplicate_rows")
 def q_profile_duplicate_rows(t: Tables) -> DataFrame:
-    """Duplicated lineitem key pairs with multiplicity."""
-    return prof.duplicate_rows(t.lineitem.select("l_orderkey", "l_linenumber"))
+    """Lines equal on all columns, with multiplicity."""
+    return prof.duplicate_rows(t.lineitem)
 
 
 @query("profile_coverage")
@@ -602,7 +602,7 @@ def q_profile_inventory(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- sampling / landing / export
 
-RANGE_SIZE = 500
+RANGE_SIZE = 100
 SAMPLE_N = 200
 EXTRA_ORDERKEYS = [1499, 14999, 99999999]
 MANIFEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -611,7 +611,7 @@ RELANDED = ["orders", "lineitem"]
 
 @query("range_boundary")
 def q_range_boundary(t: Tables) -> DataFrame:
-    """The first and the 500th customer key fix a range that is
+    """The first and the 100th customer key fix a range that is
     applied to customers, orders and (through orders) lines."""
     lo, hi = smp.fixed_bounds(smp.key_range(t.customer, "c_custkey", RANGE_SIZE))
     cust = smp.in_range(t.customer, "c_custkey", (lo, hi))

@@ -575,15 +575,14 @@ FROM {t}""" for t, k in _GRAIN]
     + ["SELECT 'nation', 'n_nationkey + n_code', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), "
        "CAST(NULL AS BOOLEAN), CAST(NULL AS DOUBLE), 'missing column: n_code'"])
 
+# a row is compared as the text of all its columns
 ORACLE["profile_duplicates"] = "\nUNION ALL\n".join(
-    f"SELECT '{name}' AS table_name, count(*) AS n_rows, "
-    f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {src})) AS n_duplicates FROM {src}"
-    for name, src in [("orders", "orders"), ("customer", "customer"), ("part", "part"),
-                      ("supplier", "supplier"),
-                      ("lineitem_keys", "(SELECT l_orderkey, l_linenumber FROM lineitem)")])
+    f"SELECT '{name}' AS table_name, coalesce(sum(n), 0)::BIGINT AS n_rows, coalesce(sum(n - 1), 0)::BIGINT AS n_duplicates "
+    f"FROM (SELECT count(*) AS n FROM (SELECT md5(CAST(t AS VARCHAR)) AS whole FROM {name} t) GROUP BY whole)"
+    for name in ("orders", "customer", "part", "supplier", "lineitem"))
 
 ORACLE["profile_duplicate_rows"] = """
-SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1
+SELECT *, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1
 """
 
 _COV = [("lineitem", "l_partkey", "(SELECT * FROM part WHERE p_size <= 45)", "p_partkey", "part_dim"),
@@ -653,7 +652,7 @@ SELECT
 ORACLE["range_boundary"] = """
 WITH b AS (
   SELECT (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL ORDER BY c_custkey LIMIT 1 OFFSET 0) AS lo,
-         (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL ORDER BY c_custkey LIMIT 1 OFFSET 499) AS hi
+         (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL ORDER BY c_custkey LIMIT 1 OFFSET 99) AS hi
 ),
 o AS (SELECT o_orderkey FROM orders, b WHERE o_custkey BETWEEN lo AND hi)
 SELECT 'customer' AS table_name, (SELECT count(*) FROM customer, b WHERE c_custkey BETWEEN lo AND hi) AS n_rows,

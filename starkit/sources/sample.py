@@ -63,9 +63,12 @@ def key_range(df: DataFrame, key: str, size: int) -> DataFrame:
 
 def fixed_bounds(bounds: DataFrame) -> tuple:
     """Evaluate a one-row ``(lo, hi)`` bounds DataFrame once (two values,
-    not data) so the range can be applied as literal predicates."""
+    not data) so the range can be applied as literal predicates.  Raises
+    where a bound is null: the table has fewer keys than the range asks for."""
     row = bounds.select("lo", "hi").first()
-    return (row["lo"], row["hi"]) if row is not None else (None, None)
+    if row is None or row["lo"] is None or row["hi"] is None:
+        raise ValueError("the table has fewer keys than the requested range")
+    return row["lo"], row["hi"]
 
 
 def in_range(df: DataFrame, col: str, bounds) -> DataFrame:
@@ -74,8 +77,6 @@ def in_range(df: DataFrame, col: str, bounds) -> DataFrame:
     scan (row groups outside the range are skipped by their statistics),
     and the same range is applied to every table of the sample."""
     lo, hi = bounds if isinstance(bounds, tuple) else fixed_bounds(bounds)
-    if lo is None or hi is None:
-        return df.where(F.lit(False))
     return df.where(F.col(col).between(F.lit(lo), F.lit(hi)))
 
 

@@ -7,8 +7,8 @@ import __spark_entry__ as entry
 from conftest import SF_ORACLE, SF_SMALL
 from oracle_harness import compare, duck_connection
 
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+ORACLE = entry.CATALOG_ORACLE
+QUERIES = entry.CATALOG
 
 
 @pytest.fixture(scope="module")

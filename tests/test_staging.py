@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from starkit.functions import date_key, indicator, numeric_text_to_int, surrogate_key
@@ -79,7 +81,7 @@ def test_scale_settings():
     from starkit.session import scale_settings
 
     big = scale_settings(100 * 1024 ** 4, cores=8000)
-    assert int(big["spark.sql.shuffle.partitions"]) == 819200   # 100 TB / 128 MB
+    assert int(big["spark.sql.shuffle.partitions"]) == 40000    # 2.6 GB each: no more blocks than the driver can track
     small = scale_settings(10 * 1024 ** 2, cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16      # at least 2 per core
 
@@ -114,3 +116,29 @@ def test_dedup_and_long_to_wide_match_python_models(spark):
         assert wide == model
 
     check()
+
+
+def test_range_of_too_few_keys_raises(spark):
+    from starkit.sources.sample import fixed_bounds, key_range
+
+    df = spark.createDataFrame([(i,) for i in range(5)], "k long")
+    assert fixed_bounds(key_range(df, "k", 5)) == (0, 4)
+    with pytest.raises(ValueError):
+        fixed_bounds(key_range(df, "k", 6))
+
+
+def test_profile_of_an_empty_table(spark):
+    from starkit.operators.profile import column_profile
+
+    rows = column_profile(spark.createDataFrame([], "a string, b int")).collect()
+    assert {r.column_name for r in rows} == {"a", "b"}
+    assert all(r.null_pct is None and r.empty_pct is None for r in rows)
+
+
+def test_shares_of_a_zero_total(spark):
+    from starkit.operators.marts import compare_shares
+
+    a = spark.createDataFrame([("x", 0)], "cls string, n long")
+    b = spark.createDataFrame([("x", 0)], "cls string, m long")
+    rows = compare_shares(a, b, "cls", "n", "m", "z", "n_share", "m_share").collect()
+    assert [(r.n_share, r.m_share) for r in rows] == [(None, None)]
