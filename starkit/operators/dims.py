@@ -91,7 +91,7 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, period: str,
                         key_col: str = "version_key",
                         version_col: str = "version_no",
                         from_col: str = "valid_from", to_col: str = "valid_to",
-                        current_col: str = "is_current") -> DataFrame:
+                        current_col: str = "is_current", latest: Column | None = None) -> DataFrame:
     """Type-2 dimension from yearly snapshots (K9).
 
     * A new version starts when a tracked column differs from the previous
@@ -106,8 +106,10 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, period: str,
 
     Plan: one shuffle on ``key``.  The lag / running-sum window, the
     per-version aggregate and the numbering window all reuse that
-    partitioning; the latest period is a scalar subquery (evaluated once).  Rows per key = snapshots per key,
-    bounded by the number of periods, so no key can grow a task unboundedly.
+    partitioning.  ``latest`` is the latest period of the whole input; a caller
+    that can find it without the snapshots passes it, else it is a scalar
+    subquery that aggregates them a second time.  Rows per key = snapshots per
+    key, bounded by the number of periods, so no key can grow a task unboundedly.
     Correct only without gaps in a key's series (check ``quality.gaps``).
     """
     w = Window.partitionBy(key).orderBy(period)
@@ -122,7 +124,8 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, period: str,
     periods = running.groupBy(key, "__ver").agg(
         F.min(period).alias("__from"), F.max(period).alias("__to"),
         *[F.max(c).alias(c) for c in (*tracked, *carried)])
-    latest = snapshots.agg(F.max(period)).scalar()  # evaluated once
+    if latest is None:
+        latest = snapshots.agg(F.max(period)).scalar()  # evaluated once
     is_current = F.col("__to") == latest
     return periods.select(
         surrogate_key(key, "__ver").alias(key_col),

@@ -3,6 +3,7 @@ floor (J1, J2, P12-P15, K11, K12)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,14 +11,16 @@ from pyspark.sql import functions as F
 from starkit.operators.dims import UNKNOWN_KEY
 
 
-NULL_KEY_SPREAD = 64
-
-
 def _as_list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
-def _null_key_salt(df: DataFrame, keys: list[Column], spread: int) -> Column:
+def _spread(df: DataFrame, spread: int | None) -> int:
+    """The number of shuffle partitions, unless the caller gives a number."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if spread is None else spread
+
+
+def _null_key_salt(df: DataFrame, keys: list[Column], spread: int, grain: Sequence[str] | None = None) -> Column:
     """0 for rows with a complete key; 1..spread for rows with a null key part.
 
     A null key never matches, but a sort-merge join still hashes every such
@@ -25,12 +28,13 @@ def _null_key_salt(df: DataFrame, keys: list[Column], spread: int) -> Column:
     the typical hot key) one task would receive them all.  Joining on
     (key, salt) with salt 0 on the dimension side spreads those rows over
     ``spread`` partitions and changes no result.  The salt is a hash of the
-    row's own columns, so it is deterministic under task retries.
+    row's ``grain`` columns (all columns if none are given), so it is
+    deterministic under task retries and reads no other column.
     """
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | k.isNull()
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in (grain or df.columns)])
     return F.when(any_null, F.pmod(row_hash, F.lit(spread)) + 1).otherwise(F.lit(0))
 
 
@@ -44,7 +48,7 @@ def _zero_salt(key: Column) -> Column:
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_on, dim_on, key_col: str,
            out_col: str | None = None, unknown=UNKNOWN_KEY, bounded_dim: bool = False,
-           null_key_spread: int = NULL_KEY_SPREAD) -> DataFrame:
+           null_key_spread: int | None = None, grain: Sequence[str] | None = None) -> DataFrame:
     """Left equi lookup of a surrogate key on the natural key (J1 + P14).
 
     Every fact row is kept; a miss gets the unknown-member key.  The
@@ -54,8 +58,9 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_on, dim_on, key_col: str,
     code lists); otherwise the join strategy is left to the optimizer and
     AQE, which broadcast at runtime only below the configured threshold
     and otherwise sort-merge on the key.  For a sort-merge join, fact rows
-    with a null key are spread over ``null_key_spread`` partitions instead
-    of all landing in one (``_null_key_salt``; 0 disables it).
+    with a null key are spread over ``null_key_spread`` partitions (as many
+    as the shuffle has, if not given) instead of all landing in one
+    (``_null_key_salt``; 0 disables it), by a hash of the ``grain`` columns.
     """
     f_cols = [F.col(c) if isinstance(c, str) else c for c in _as_list(fact_on)]
     d_cols = [F.col(c) if isinstance(c, str) else c for c in _as_list(dim_on)]
@@ -66,8 +71,8 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_on, dim_on, key_col: str,
         cond = e if cond is None else cond & e
     if bounded_dim:
         d = F.broadcast(d)
-    elif null_key_spread > 0:
-        fact = fact.withColumn("__fsalt", _null_key_salt(fact, f_cols, null_key_spread))
+    elif (spread := _spread(fact, null_key_spread)) > 0:
+        fact = fact.withColumn("__fsalt", _null_key_salt(fact, f_cols, spread, grain))
         d = d.withColumn("__dsalt", _zero_salt(F.col("__nk0")))
         cond = cond & (F.col("__fsalt") == F.col("__dsalt"))
     out = out_col or key_col
@@ -79,7 +84,8 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_on, dim_on, key_col: str,
 def temporal_lookup(fact: DataFrame, versions: DataFrame, fact_code: str, at: Column,
                     dim_code: str, key_col: str, out_col: str | None = None,
                     from_col: str = "valid_from", to_col: str = "valid_to",
-                    unknown=UNKNOWN_KEY, null_key_spread: int = NULL_KEY_SPREAD) -> DataFrame:
+                    unknown=UNKNOWN_KEY, null_key_spread: int | None = None,
+                    grain: Sequence[str] | None = None) -> DataFrame:
     """Temporal (SCD2) lookup (J2): equality on the code plus ``at`` within
     the closed validity interval — never on the current flag.
 
@@ -91,8 +97,8 @@ def temporal_lookup(fact: DataFrame, versions: DataFrame, fact_code: str, at: Co
                         F.col(to_col).alias("__to"), F.col(key_col).alias("__sk"))
     f = fact.withColumn("__at", at)
     cond = (F.col(fact_code) == F.col("__code")) & F.col("__at").between(F.col("__from"), F.col("__to"))
-    if null_key_spread > 0:
-        f = f.withColumn("__fsalt", _null_key_salt(fact, [F.col(fact_code)], null_key_spread))
+    if (spread := _spread(fact, null_key_spread)) > 0:
+        f = f.withColumn("__fsalt", _null_key_salt(fact, [F.col(fact_code)], spread, grain))
         v = v.withColumn("__dsalt", _zero_salt(F.col("__code")))
         cond = cond & (F.col("__fsalt") == F.col("__dsalt"))
     out = out_col or key_col

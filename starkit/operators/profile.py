@@ -113,17 +113,12 @@ def coverage(child: DataFrame, child_col: str, parent: DataFrame, parent_col: st
              child_name: str, parent_name: str) -> DataFrame:
     """Rows, distinct keys, orphan rows (no parent; a null key is
     an orphan too) and coverage % for one child -> parent reference."""
-    from starkit.operators.facts import NULL_KEY_SPREAD, _null_key_salt, _zero_salt
-
+    # rows per key first (map-side combine): a hot or null key is one row in the join
+    keys = child.groupBy(F.col(child_col).alias("__ck")).agg(F.count(F.lit(1)).alias("__n"))
     p = parent.select(F.col(parent_col).alias("__pk")).distinct()
-    p = p.withColumn("__ps", _zero_salt(F.col("__pk")))
-    c = child.select(F.col(child_col).alias("__ck"))
-    # null child keys are orphans by definition; spread them instead of
-    # hashing them all to one partition of the join
-    c = c.withColumn("__cs", _null_key_salt(c, [F.col("__ck")], NULL_KEY_SPREAD))
-    j = c.join(p, (F.col("__ck") == F.col("__pk")) & (F.col("__cs") == F.col("__ps")), "left")
-    a = j.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("__ck").alias("n_keys"),
-              F.count_if(F.col("__pk").isNull()).alias("n_orphans"))
+    j = keys.join(p, F.col("__ck") == F.col("__pk"), "left")
+    a = j.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n_rows"), F.count("__ck").alias("n_keys"),
+              F.coalesce(F.sum(F.when(F.col("__pk").isNull(), F.col("__n"))), F.lit(0)).alias("n_orphans"))
     return a.select(F.lit(f"{child_name}.{child_col}").alias("child_ref"),
                     F.lit(f"{parent_name}.{parent_col}").alias("parent_ref"),
                     "n_rows", "n_keys", "n_orphans",

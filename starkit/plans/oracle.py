@@ -107,13 +107,17 @@ cal AS (
          false, false, NULL, false
 )"""
 
-DIM_PART = f"""
+def part_dim(where: str = "") -> str:
+    return f"""
 dim_part AS (
   SELECT {sk('p_partkey')} AS part_key, p_partkey, p_name, p_brand, p_type, p_size
-  FROM part WHERE p_size <= 45
+  FROM part {where}
   UNION ALL SELECT '-1', -1, '(unknown)', '(unknown)', '(unknown)', NULL
 )"""
 
+
+DIM_PART, DIM_PART_SHORT = part_dim(), part_dim("WHERE p_size <= 45")
+
 DIM_SUPPLIER = f"""
 dim_supplier AS (
   SELECT {sk('s_suppkey')} AS supplier_key, s_suppkey, s_name, s_nationkey, s_acctbal,
@@ -141,6 +145,7 @@ def with_(*ctes: str) -> str:
 
 
 STAR_BASE = (STG_LINEITEM, BOUNDS, HOLIDAYS, CALENDAR, DIM_PART, DIM_SUPPLIER, FCT_LINEITEM)
+STAR_SHORT = tuple(DIM_PART_SHORT if cte == DIM_PART else cte for cte in STAR_BASE)
 
 ORACLE: dict[str, str] = {}
 
@@ -150,7 +155,7 @@ ORACLE["nl_holidays"] = with_(BOUNDS, HOLIDAYS) + "SELECT datum, feestdag FROM h
 
 ORACLE["dim_calendar"] = with_(BOUNDS, HOLIDAYS, CALENDAR) + "SELECT * FROM cal"
 
-ORACLE["fct_lineitem"] = with_(*STAR_BASE) + "SELECT * FROM fct_lineitem"
+ORACLE["fct_lineitem"] = with_(*STAR_SHORT) + "SELECT * FROM fct_lineitem"
 
 ORACLE["mart_top_parts"] = with_(*STAR_BASE) + """
 SELECT p.p_partkey, p.p_name, f.l_returnflag, CAST(year(f.l_shipdate) AS INTEGER) AS ship_year,
@@ -270,38 +275,46 @@ LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 4) n ON c.c_nationkey = n.n
 UNION ALL SELECT '-1', -1, 'UNKNOWN', '(unknown)', NULL, NULL
 """
 
-VERSIONS = f"""
+def customer_versions(where: str = "") -> str:
+    """A version is a start (a snapshot that differs from the one before it)
+    with every snapshot up to the next start."""
+    return f"""
 snap AS (
   SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS order_year,
          max(o_orderpriority) AS priority, max(o_orderstatus) AS status
-  FROM orders WHERE year(o_orderdate) >= 1996
-  GROUP BY o_custkey, year(o_orderdate)
+  FROM orders {where} GROUP BY ALL
 ),
-snap_flag AS (
-  SELECT *, CASE WHEN lag(priority) OVER w IS NULL THEN 1
-                 WHEN priority <> lag(priority) OVER w THEN 1 ELSE 0 END AS chg
-  FROM snap WINDOW w AS (PARTITION BY o_custkey ORDER BY order_year)
+preceded AS (
+  SELECT s.*, b.order_year AS year_before, b.priority AS priority_before
+  FROM snap s ASOF LEFT JOIN snap b ON s.o_custkey = b.o_custkey AND s.order_year > b.order_year
 ),
-snap_ver AS (
-  SELECT *, sum(chg) OVER (PARTITION BY o_custkey ORDER BY order_year
-                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
-  FROM snap_flag
+starts AS (
+  SELECT o_custkey, order_year AS started,
+         rank() OVER of_customer AS version_no,
+         coalesce(min(order_year) OVER (of_customer ROWS BETWEEN 1 FOLLOWING AND 1 FOLLOWING), 100000) AS next_start
+  FROM preceded
+  WHERE year_before IS NULL OR priority IS DISTINCT FROM priority_before
+  WINDOW of_customer AS (PARTITION BY o_custkey ORDER BY order_year)
 ),
-snap_periods AS (
-  SELECT o_custkey, v, min(order_year) AS fy, max(order_year) AS ty,
-         max(priority) AS priority, max(status) AS status
-  FROM snap_ver GROUP BY o_custkey, v
+spans AS (
+  SELECT o_custkey, version_no, started, max(order_year) AS ended,
+         any_value(priority) AS priority, max(status) AS status
+  FROM starts JOIN snap USING (o_custkey)
+  WHERE order_year >= started AND order_year < next_start
+  GROUP BY o_custkey, version_no, started
 ),
 versions AS (
-  SELECT {sk('o_custkey', 'v')} AS customer_version_key, o_custkey, priority, status,
-         CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY fy) AS INTEGER) AS version_no,
-         make_date(fy, 1, 1) AS valid_from,
-         CASE WHEN ty = ly THEN DATE '9999-12-31' ELSE make_date(ty, 12, 31) END AS valid_to,
-         ty = ly AS is_current
-  FROM snap_periods CROSS JOIN (SELECT max(order_year) AS ly FROM snap)
+  SELECT {sk('o_custkey', 'version_no')} AS customer_version_key, o_custkey, priority, status,
+         CAST(version_no AS INTEGER) AS version_no, make_date(started, 1, 1) AS valid_from,
+         if(is_current, DATE '9999-12-31', make_date(ended, 12, 31)) AS valid_to, is_current
+  FROM (SELECT *, ended >= ALL (SELECT order_year FROM snap) AS is_current FROM spans)
   UNION ALL SELECT '-1', -1, '(unknown)', NULL, 1, DATE '1900-01-01', DATE '9999-12-31', false
 )"""
 
+
+VERSIONS = customer_versions()
+VERSIONS_LATE = customer_versions("WHERE year(o_orderdate) >= 1996")
+
 ORACLE["scd2_customer_priority"] = with_(VERSIONS) + "SELECT * FROM versions"
 
 ORACLE["scd2_latest_version"] = with_(VERSIONS) + """
@@ -339,10 +352,10 @@ fct_orders_snapshot AS (
   LEFT JOIN cal c ON c.datum = make_date(k.order_year, 1, 1)
 )"""
 
-ORACLE["fct_orders_snapshot"] = (with_(BOUNDS, HOLIDAYS, CALENDAR, VERSIONS, FCT_ORDERS_SNAPSHOT)
+ORACLE["fct_orders_snapshot"] = (with_(BOUNDS, HOLIDAYS, CALENDAR, VERSIONS_LATE, FCT_ORDERS_SNAPSHOT)
                                  + "SELECT * FROM fct_orders_snapshot")
 
-ORACLE["mart_restated_series"] = with_(BOUNDS, HOLIDAYS, CALENDAR, VERSIONS, FCT_ORDERS_SNAPSHOT) + """
+ORACLE["mart_restated_series"] = with_(BOUNDS, HOLIDAYS, CALENDAR, VERSIONS_LATE, FCT_ORDERS_SNAPSHOT) + """
 , newest AS (
   SELECT o_custkey, priority, is_current FROM versions WHERE customer_version_key <> '-1'
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY valid_from DESC) = 1
@@ -354,33 +367,33 @@ JOIN versions v ON f.customer_version_key = v.customer_version_key AND v.custome
 JOIN newest n ON f.o_custkey = n.o_custkey
 """
 
+# class of a type in the part list and in the sales (fixed lists)
 ORACLE["mart_share_compare"] = with_(*STAR_BASE) + """
-, a AS (
-  SELECT CASE WHEN p_type = 'STANDARD' THEN 'STANDARD' WHEN p_type = 'PROMO' THEN 'PROMO'
-              WHEN p_type IN ('LARGE', 'MEDIUM') THEN 'LARGE'
-              WHEN p_type = 'SMALL' THEN '(not comparable)' END AS part_class,
-         count(*) AS n_parts
-  FROM dim_part WHERE part_key <> '-1' GROUP BY 1
+, listed(p_type, part_class) AS (
+  VALUES ('STANDARD', 'STANDARD'), ('PROMO', 'PROMO'), ('LARGE', 'LARGE'), ('MEDIUM', 'LARGE'),
+         ('SMALL', '(not comparable)')
 ),
-b AS (
-  SELECT CASE p.p_type WHEN 'STANDARD' THEN 'STANDARD' WHEN 'PROMO' THEN 'PROMO'
-                       WHEN 'LARGE' THEN 'LARGE' WHEN 'ECONOMY' THEN 'ECONOMY' END AS part_class,
-         CAST(sum(f.l_quantity) AS BIGINT) AS qty
-  FROM fct_lineitem f JOIN dim_part p ON f.part_key = p.part_key
-  WHERE year(f.l_shipdate) = (SELECT max(year(l_shipdate)) FROM fct_lineitem)
-    AND p.p_type IN ('STANDARD', 'PROMO', 'LARGE', 'ECONOMY')
-  GROUP BY 1
+both_sides AS (
+  SELECT part_class, 1 AS parts, NULL AS sold
+  FROM dim_part LEFT JOIN listed USING (p_type) WHERE p_partkey <> -1
+  UNION ALL
+  SELECT p_type, NULL, l_quantity
+  FROM fct_lineitem JOIN dim_part USING (part_key)
+  WHERE p_type IN ('STANDARD', 'PROMO', 'LARGE', 'ECONOMY')
+    AND date_trunc('year', l_shipdate) = (SELECT date_trunc('year', max(l_shipdate)) FROM fct_lineitem)
+),
+-- a missing class on either side matches nothing, so it stays a row of its own
+sums AS (
+  SELECT part_class, CAST(sum(parts) AS BIGINT) AS n_parts, CAST(sum(sold) AS BIGINT) AS qty,
+         coalesce(part_class, '(not comparable)') <> '(not comparable)' AS comparable
+  FROM both_sides GROUP BY part_class
 ),
-j AS (
-  SELECT coalesce(a.part_class, b.part_class) AS part_class, a.n_parts, b.qty
-  FROM a FULL OUTER JOIN b ON a.part_class = b.part_class
+totals AS (
+  SELECT sum(n_parts) FILTER (comparable) AS all_parts, sum(qty) AS all_qty FROM sums
 )
-SELECT part_class, n_parts, qty,
-       CASE WHEN part_class <> '(not comparable)'
-            THEN round(n_parts / sum(n_parts) FILTER (WHERE part_class <> '(not comparable)') OVER (), 4)
-       END AS share_parts,
-       round(qty / sum(qty) OVER (), 4) AS share_qty
-FROM j
+SELECT part_class, n_parts, qty, CASE WHEN comparable THEN round(n_parts / all_parts, 4) END AS share_parts,
+       round(qty / all_qty, 4) AS share_qty
+FROM sums, totals
 """
 
 ORACLE["mart_bridge_measure"] = with_(STG_LINEITEM, DIM_PART_TYPE) + """
@@ -473,18 +486,18 @@ def f_unmapped(t, cls, key):
 
 
 def f_gaps(t, code, period):
-    return (f"SELECT * FROM (SELECT {code}, {period}, lag({period}) OVER (PARTITION BY {code} "
-            f"ORDER BY {period}) AS prev FROM {t}) WHERE prev IS NOT NULL AND {period} <> prev + 1")
+    # a period that is not its code's first and whose previous period is missing
+    return (f"SELECT {code}, {period} FROM {t} EXCEPT SELECT {code}, {period} + 1 FROM {t} "
+            f"EXCEPT SELECT {code}, min({period}) FROM {t} GROUP BY {code}")
 
 
 def f_fact_complete():
-    return """SELECT * FROM (
-      SELECT (SELECT count(*) FROM fct_lineitem) AS fact_rows,
-             (SELECT count(*) FROM stg_lineitem) AS staging_rows,
-             (SELECT count(*) FROM fct_lineitem WHERE ship_date_key = -1) AS unknown_date,
-             (SELECT count(*) FROM fct_lineitem WHERE part_key = '-1') AS unknown_part,
-             (SELECT count(*) FROM fct_lineitem WHERE supplier_key = '-1') AS unknown_supplier)
-    WHERE fact_rows <> staging_rows OR unknown_date > 0 OR unknown_part > 0 OR unknown_supplier > 0"""
+    return """SELECT f.*, staged FROM
+      (SELECT count(*) AS rows_built,
+              count(*) FILTER (ship_date_key = -1 OR '-1' IN (part_key, supplier_key)) AS missed
+       FROM fct_lineitem) f,
+      (SELECT count(*) AS staged FROM stg_lineitem)
+    WHERE missed > 0 OR staged != rows_built"""
 
 
 def f_current(t, code, cur):
@@ -502,7 +515,7 @@ def count_check(name: str, failing_sql: str) -> str:
 ORACLE["dq_unique"] = count_check("unique_orders_o_custkey", f_unique("orders", "o_custkey"))
 ORACLE["dq_not_null"] = with_(DIM_CUSTOMER) + count_check(
     "not_null_dim_customer_nation_name", f_not_null("dim_customer", "nation_name"))
-ORACLE["dq_relationships"] = with_(STG_LINEITEM, DIM_PART) + count_check(
+ORACLE["dq_relationships"] = with_(STG_LINEITEM, DIM_PART_SHORT) + count_check(
     "relationships_stg_lineitem_l_partkey", f_relationships("stg_lineitem", "l_partkey", "dim_part", "p_partkey"))
 ORACLE["dq_accepted_values"] = count_check(
     "accepted_values_orders_o_orderstatus", f_accepted("orders", "o_orderstatus", ["F", "O"]))
@@ -514,10 +527,10 @@ ORACLE["dq_unmapped_class"] = with_(DIM_PART_TYPE) + count_check(
     "unmapped_dim_part_type", f_unmapped("dim_part_type", "type_class", "part_type_key"))
 ORACLE["dq_no_gaps"] = with_(VERSIONS) + count_check(
     "gaps_customer_snapshots", f_gaps("snap", "o_custkey", "order_year"))
-ORACLE["dq_fact_complete"] = with_(*STAR_BASE) + count_check("fact_complete_fct_lineitem", f_fact_complete())
+ORACLE["dq_fact_complete"] = with_(*STAR_SHORT) + count_check("fact_complete_fct_lineitem", f_fact_complete())
 ORACLE["dq_current_version"] = with_(VERSIONS) + count_check(
     "at_most_one_current_customer_versions", f_current("versions", "o_custkey", "is_current"))
-ORACLE["dq_no_unknown_member"] = with_(*STAR_BASE) + count_check(
+ORACLE["dq_no_unknown_member"] = with_(*STAR_SHORT) + count_check(
     "unknown_member_fct_lineitem_part_key", f_unknown("fct_lineitem", "part_key"))
 
 _SUITE = []
@@ -591,24 +604,26 @@ _COV = [("lineitem", "l_partkey", "(SELECT * FROM part WHERE p_size <= 45)", "p_
         ("orders", "o_custkey", "customer", "c_custkey", "customer")]
 ORACLE["profile_coverage"] = "\nUNION ALL\n".join(
     f"""SELECT '{ch}.{cc}' AS child_ref, '{pn}.{pc}' AS parent_ref, count(*) AS n_rows,
-       count(DISTINCT k.{cc}) AS n_keys, count(*) FILTER (WHERE o.{pc} IS NULL) AS n_orphans,
-       round(100 * (1 - count(*) FILTER (WHERE o.{pc} IS NULL) / nullif(count(*), 0)), 2) AS coverage_pct
-FROM {ch} k LEFT JOIN (SELECT DISTINCT {pc} FROM {pa}) o ON k.{cc} = o.{pc}"""
+       count(DISTINCT ref) AS n_keys, count(*) FILTER (NOT found) AS n_orphans,
+       round(100 - 100 * avg(CAST(NOT found AS INTEGER)), 2) AS coverage_pct
+FROM (SELECT {cc} AS ref, EXISTS (SELECT 1 FROM {pa} p WHERE p.{pc} = c.{cc}) AS found FROM {ch} c)"""
     for ch, cc, pa, pc, pn in _COV)
 
+# a member appears in its first year and vanishes after its last one
 ORACLE["profile_membership_change"] = """
-WITH per AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS order_year, o_custkey FROM orders),
-marked AS (
-  SELECT order_year,
-         lag(order_year) OVER (PARTITION BY o_custkey ORDER BY order_year) AS prev,
-         lead(order_year) OVER (PARTITION BY o_custkey ORDER BY order_year) AS nxt
-  FROM per
+WITH stay AS (
+  SELECT o_custkey, CAST(min(year(o_orderdate)) AS INTEGER) AS first_seen,
+         CAST(max(year(o_orderdate)) AS INTEGER) AS last_seen
+  FROM orders GROUP BY o_custkey
+),
+events AS (
+  SELECT first_seen AS order_year, 1 AS came, 0 AS went FROM stay
+  WHERE first_seen > (SELECT min(first_seen) FROM stay)
+  UNION ALL
+  SELECT last_seen, 0, 1 FROM stay WHERE last_seen < (SELECT max(last_seen) FROM stay)
 )
-SELECT order_year,
-       count(*) FILTER (WHERE prev IS NULL AND order_year > (SELECT min(order_year) FROM per)) AS n_new,
-       count(*) FILTER (WHERE nxt IS NULL AND order_year < (SELECT max(order_year) FROM per)) AS n_vanished
-FROM marked GROUP BY order_year
-HAVING n_new > 0 OR n_vanished > 0
+SELECT order_year, CAST(sum(came) AS BIGINT) AS n_new, CAST(sum(went) AS BIGINT) AS n_vanished
+FROM events GROUP BY order_year
 """
 
 ORACLE["profile_padding"] = """

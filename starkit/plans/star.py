@@ -7,12 +7,13 @@ Mapping of the warehouse roles onto the test data:
 * reference-list dimension -> ``supplier`` (derived ``is_active`` flag)
 * entity dimension with a denormalised child attribute -> ``customer`` +
   nation name from a filtered nation list
-* lookup dimension that misses on purpose -> ``part`` limited to sizes up to
-  ``PART_DIM_MAX_SIZE`` (lines on larger parts land on the unknown member)
+* lookup dimension -> ``part``; where misses are the feature, ``dim_part_short``
+  limits it to sizes up to ``PART_DIM_MAX_SIZE`` (lines on larger parts land on
+  the unknown member)
 * type-1 dimension from distinct values + classification -> ``p_type``
 * yearly snapshots for SCD2 -> customer x order year, tracked attribute
-  ``max(o_orderpriority)``; the snapshot series is published from
-  ``SNAPSHOT_FIRST_YEAR``, the order facts go back further (coverage floor)
+  ``max(o_orderpriority)``; where the coverage floor is the feature, the
+  series starts in ``SNAPSHOT_FIRST_YEAR`` and the order facts go back further
 * calendar -> every year spanned by order and ship dates
 """
 
@@ -31,6 +32,7 @@ from starkit.operators.dims import (
     scd2_from_snapshots,
     type1_dim,
     type1_from_values,
+    with_unknown,
 )
 from starkit.operators.facts import coverage_floor, lookup, temporal_lookup
 from starkit.operators.staging import Spec, dedup, typed_projection
@@ -67,22 +69,32 @@ def stg_lineitem(t: Tables) -> DataFrame:
 
 def calendar_bounds(t: Tables) -> DataFrame:
     """One row: first and last year over order dates and ship dates."""
-    years = (t.orders.select(F.year("o_orderdate").alias("y"))
-             .unionByName(t.lineitem.select(F.year("l_shipdate").alias("y"))))
-    return years.agg(F.min("y").alias("first_year"), F.max("y").alias("last_year"))
+    # least and greatest raw dates (file statistics can answer these), then the years
+    spans = (t.orders.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
+             .union(t.lineitem.agg(F.min("l_shipdate"), F.max("l_shipdate"))))
+    return spans.agg(F.min(F.year("lo")).alias("first_year"), F.max(F.year("hi")).alias("last_year"))
 
 
 def dim_calendar(t: Tables) -> DataFrame:
     return calendar_dim(calendar_bounds(t))
 
 
-def dim_part(t: Tables) -> DataFrame:
+def _part_dim(parts: DataFrame) -> DataFrame:
     return type1_dim(
-        t.part.where(F.col("p_size") <= PART_DIM_MAX_SIZE), ["p_partkey"], "part_key",
+        parts, ["p_partkey"], "part_key",
         ["p_partkey", "p_name", "p_brand", "p_type", "p_size"],
         {"p_partkey": -1, "p_name": UNKNOWN_TEXT, "p_brand": UNKNOWN_TEXT, "p_type": UNKNOWN_TEXT})
 
 
+def dim_part(t: Tables) -> DataFrame:
+    return _part_dim(t.part)
+
+
+def dim_part_short(t: Tables) -> DataFrame:
+    """The part dimension without the largest sizes: lookups miss on purpose."""
+    return _part_dim(t.part.where(F.col("p_size") <= PART_DIM_MAX_SIZE))
+
+
 def dim_part_type(t: Tables) -> DataFrame:
     return type1_from_values(t.part, "p_type", "part_type_key", PART_TYPE_CLASSES, "type_class",
                              unknown_value=UNKNOWN_TEXT)
@@ -107,7 +119,7 @@ def dim_customer(t: Tables) -> DataFrame:
         {"c_custkey": -1, "c_name": "UNKNOWN", "c_mktsegment": UNKNOWN_TEXT})
 
 
-def customer_snapshots(t: Tables, first_year: int | None = SNAPSHOT_FIRST_YEAR) -> DataFrame:
+def customer_snapshots(t: Tables, first_year: int | None = None) -> DataFrame:
     """Customer x order year: tracked ``priority`` and carried ``status``."""
     o = t.orders.select("o_custkey", F.year("o_orderdate").alias("order_year"),
                         "o_orderpriority", "o_orderstatus")
@@ -117,10 +129,14 @@ def customer_snapshots(t: Tables, first_year: int | None = SNAPSHOT_FIRST_YEAR)
         F.max("o_orderpriority").alias("priority"), F.max("o_orderstatus").alias("status"))
 
 
-def dim_customer_versions(t: Tables) -> DataFrame:
-    from starkit.operators.dims import with_unknown
-    v = scd2_from_snapshots(customer_snapshots(t), "o_custkey", "order_year",
-                            tracked=["priority"], carried=["status"], key_col="customer_version_key")
+def dim_customer_versions(t: Tables, first_year: int | None = None) -> DataFrame:
+    """Versions of a customer's priority over all order years, or from
+    ``first_year`` on."""
+    # the latest year straight from the dates: a one-column scan, no second aggregate
+    latest = t.orders.agg(F.year(F.max("o_orderdate"))).scalar()
+    v = scd2_from_snapshots(customer_snapshots(t, first_year), "o_custkey", "order_year",
+                            tracked=["priority"], carried=["status"], key_col="customer_version_key",
+                            latest=latest)
     return with_unknown(v, {"customer_version_key": UNKNOWN_KEY, "o_custkey": -1,
                             "priority": UNKNOWN_TEXT, "version_no": 1,
                             "valid_from": F.lit("1900-01-01").cast("date"),
@@ -142,8 +158,10 @@ def fct_lineitem(t: Tables, dims: dict[str, DataFrame] | None = None) -> DataFra
     s = _given(d, "stg_lineitem", stg_lineitem, t)
     f = lookup(s, _given(d, "dim_calendar", dim_calendar, t), "l_shipdate", "datum", "datum_key",
                out_col="ship_date_key", unknown=-1, bounded_dim=True)
-    f = lookup(f, _given(d, "dim_part", dim_part, t), "l_partkey", "p_partkey", "part_key")
-    f = lookup(f, _given(d, "dim_supplier", dim_supplier, t), "l_suppkey", "s_suppkey", "supplier_key")
+    grain = ["l_orderkey", "l_linenumber"]
+    f = lookup(f, _given(d, "dim_part", dim_part, t), "l_partkey", "p_partkey", "part_key", grain=grain)
+    f = lookup(f, _given(d, "dim_supplier", dim_supplier, t), "l_suppkey", "s_suppkey", "supplier_key",
+               grain=grain)
     return f.select("ship_date_key", "part_key", "supplier_key", "l_orderkey", "l_linenumber",
                     "l_shipdate", "l_returnflag", F.lit(1).alias("n_lines"), "l_quantity")
 
@@ -161,11 +179,12 @@ def fct_orders_snapshot(t: Tables, dims: dict[str, DataFrame] | None = None) ->
     d = dims or {}
     # used by the floor and by the temporal lookup: materialise it once
     versions = d["dim_customer_versions"] if d.get("dim_customer_versions") is not None \
-        else dim_customer_versions(t).checkpoint(eager=True)
+        else dim_customer_versions(t, SNAPSHOT_FIRST_YEAR).checkpoint(eager=True)
     facts = orders_per_customer_year(t)
     start = F.make_date(F.col("order_year"), F.lit(1), F.lit(1))
     facts = coverage_floor(facts, start, versions, key_col="customer_version_key")
-    f = temporal_lookup(facts, versions, "o_custkey", start, "o_custkey", "customer_version_key")
+    f = temporal_lookup(facts, versions, "o_custkey", start, "o_custkey", "customer_version_key",
+                        grain=["o_custkey", "order_year"])
     f = f.withColumn("__start", start)
     f = lookup(f, _given(d, "dim_calendar", dim_calendar, t), "__start", "datum", "datum_key",
                out_col="period_date_key", unknown=-1, bounded_dim=True)
@@ -202,7 +221,7 @@ def surrogate_columns(t: Tables) -> DataFrame:
 
 __all__ = [
     "bridge_order_part", "calendar_bounds", "customer_snapshots", "dim_calendar", "dim_customer",
-    "dim_customer_versions", "dim_part", "dim_part_type", "dim_supplier", "fct_lineitem",
+    "dim_customer_versions", "dim_part", "dim_part_short", "dim_part_type", "dim_supplier", "fct_lineitem",
     "fct_orders_snapshot", "latest_version", "orders_per_customer_year", "stg_lineitem",
     "surrogate_columns",
 ]

@@ -4,6 +4,8 @@ fails a test instead of only slowing down a large run)."""
 
 import re
 
+import pytest
+
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
@@ -88,3 +90,10 @@ def test_sort_merge_lookups_join_on_the_null_key_salt(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     smj = re.findall(r"SortMergeJoin[^\n]*\nLeft keys \[\d+\]: \[([^\]]*)\]\nRight keys \[\d+\]: \[([^\]]*)\]", p)
     assert len(smj) == 2 and all("__fsalt" in a and "__dsalt" in b for a, b in smj), smj
+
+
+@pytest.mark.parametrize("name, columns", [("fct_lineitem", 7), ("dq_no_unknown_member", 5)])
+def test_the_null_key_salt_reads_no_other_columns(spark, name, columns):
+    p = plan(entry.queries()[name](spark, SF_SMALL))
+    read = [s for s in re.findall(r"ReadSchema: struct<([^>]*)>", p) if "l_linenumber" in s]
+    assert read and all(len(s.split(",")) <= columns for s in read), read
