@@ -18,7 +18,7 @@ shingle sets, by stars instead of all pairs of a bucket:
 * Members of one component need no more pairs among them; a bucket is done
   once its members lie in one component, or once all of those outside its
   largest component have been centres.  Otherwise it goes on to the next
-  round with four times as many centres; a round that has as many as the
+  round with ``MORE`` times as many centres; a round that has as many as the
   bucket has members outside its largest component completes it.
 
 So a bucket of thousands of copies of a text costs one pair a member, and no
@@ -43,11 +43,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import batches_of, packed, saved, small_or_none
+from starkit.llm.common import BROADCAST_ROWS, batches_of, packed, saved, small_or_none
 from starkit.llm.substring_dedup import WordIds, mixed, word_ids
 
 FIRST, SECOND = (8, 2), (11, 3)  # keys, and minhashes of a key, in the two collections
 STAR_ROUNDS = 2         # rounds in which a member meets one centre only
+MORE = 16               # centres of a bucket in the first round after these; in each later one, times as many
 SKETCH = 64             # one-bit minhashes
 BLOCK_BYTES, BLOCK_PAIRS = 8 << 20, 20_000  # sets, and about as many pairs, that a task compares
 BATCH = 1_000           # texts or pairs of sets a Python worker holds at a time
@@ -131,11 +132,14 @@ def compared(percent: int):
         out = []
         for b, s, others in zip(rows["b"], rows["sb"], rows["others"]):
             y = np.frombuffer(s, np.uint64)
-            for a in others:
-                for x in of.get(a, ()):
-                    both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                    if both and 100 * both >= percent * (len(x) + len(y) - both):
-                        out.append((a, b))
+            found = [(a, x) for a in others for x in of.get(a, ()) if len(x)]
+            if not len(y) or not found:
+                continue
+            n = np.array([len(x) for _, x in found])
+            x = np.concatenate([x for _, x in found])  # no more than the sets of the block
+            same = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+            both = np.add.reduceat(same, np.cumsum(n) - n, dtype=np.int64)
+            out.extend((found[i][0], b) for i in np.flatnonzero(100 * both >= percent * (n + len(y) - both)))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
     return run
 
@@ -145,43 +149,34 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
     comp): the least label that each can reach.  A round gives every label
     the least label linked with it and then follows these pointers one step
     further, so chains shrink by a power of the rounds."""
+    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    labels = labels.unionByName(nodes.join(labels, "node", "left_anti").select("node", F.col("node").alias("comp")))
     la, lb = (labels.select(F.col("node").alias(x), F.col("comp").alias("c" + x)) for x in "ab")
-    edges = links.join(la, "a", "left").join(lb, "b", "left").select(
-        F.coalesce("ca", "a").alias("x"), F.coalesce("cb", "b").alias("y")).filter("x != y").distinct()
-    edges = saved(edges, "edges")
-    parents = None
+    edges = links.join(la, "a").join(lb, "b").select(F.col("ca").alias("x"), F.col("cb").alias("y"))
+    edges = saved(edges.filter("x != y").distinct(), "edges")
     while edges.limit(1).count():
         both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
         low = both.groupBy("x").agg(F.min("y").alias("p")).select("x", F.least("x", "p").alias("p"))
-        low = saved(low, "parents")
         step = low.alias("l").join(low.alias("r"), F.col("l.p") == F.col("r.x"), "left").select(F.col("l.x").alias("x"), F.coalesce("r.p", "l.p").alias("p"))
-        step = saved(step, "jumped")
+        step = saved(step, "step")
         moved = edges.join(step.withColumnsRenamed({"p": "px"}), "x").join(step.select(F.col("x").alias("y"), F.col("p").alias("py")), "y")
         edges = saved(moved.select(F.col("px").alias("x"), F.col("py").alias("y")).filter("x != y").distinct(), "edges")
-        if parents is None:
-            parents = step
-        else:
-            up = parents.join(step.select(F.col("x").alias("p"), F.col("p").alias("q")), "p", "left").select("x", F.coalesce("q", "p").alias("p"))
-            parents = saved(up.unionByName(step.join(parents, "x", "left_anti")), "parents")
-    if parents is None:
-        return labels
-    old = labels.join(parents.withColumnsRenamed({"x": "comp"}), "comp", "left").select("node", F.coalesce("p", "comp").alias("comp"))
-    new = parents.join(labels.select(F.col("node").alias("x")), "x", "left_anti").select(F.col("x").alias("node"), F.col("p").alias("comp"))
-    return saved(old.unionByName(new), "labels")
+        labels = labels.join(step.withColumnsRenamed({"x": "comp"}), "comp", "left").select("node", F.coalesce("p", "comp").alias("comp"))
+    return saved(labels, "labels")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have the similarity."""
-    ids = saved(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "involved")
-    few = small_or_none(ids)
-    texts = docs.select(F.col("doc_id").alias("node"), "text")
-    texts = texts.join(ids if few is None else few, "node", "left_semi")
+    """The pairs (a, b) of a saved table whose full sets have the similarity."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    if small_or_none(pairs, BROADCAST_ROWS // 2) is not None:  # at most two ids a pair
+        ids = F.broadcast(ids)
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(ids, "node", "left_semi")
     sets = saved(texts.mapInPandas(set_rows(shingle), "node long, s binary"), "sets")
     # a set goes once to each block that has pairs of it, not once a pair
     size = sets.agg(F.coalesce(F.sum(F.length("s")), F.lit(0))).first()[0]
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(max(1, size // BLOCK_BYTES)).cast("long"))
     placed = pairs.withColumn("block", block("a"))
-    shares = saved(placed.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_PAIRS).alias("shares")), "shares")
+    shares = placed.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_PAIRS).alias("shares"))
     placed = placed.join(shares, "block").withColumn("share", F.pmod(F.xxhash64("b"), "shares"))
     rows = placed.groupBy("block", "share", "b").agg(F.collect_list("a").alias("others"))
     rows = rows.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
@@ -202,49 +197,47 @@ def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFram
     # of rows with one doc_id and several texts the first set stands for the node
     nodes = saved(usable.join(classes, "set_id").filter("doc_id = node").groupBy("node").agg(F.min(F.struct("set_id", "n", "sketch", "keys")).alias("f"))
                   .select("node", "f.n", "f.sketch", "f.keys"), "nodes")
-    active = nodes.select(F.explode("keys").alias("key"), "node")
-    shared = saved(active.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key"), "shared")
-    active = saved(active.join(shared, "key"), "buckets")
-    facts = nodes.select("node", "n", "sketch")
+    active = nodes.select(F.explode("keys").alias("key"), "node", "n", "sketch")
+    shared = active.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
+    known = saved(active.join(shared, "key").select("key", "node", "n", "sketch", F.col("node").alias("comp")), "known")
     labels = nodes.select("node", F.col("node").alias("comp")).limit(0)
-    tried, centres, round_ = None, 1, 0
+    tried, centres, round_ = None, MORE, 0
     while True:
         star = round_ < STAR_ROUNDS
-        known = active.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        known = saved(known, "known") if round_ else known.select("key", "node", "comp")
-        parts = known.groupBy("key", "comp").agg(F.count("*").alias("k"))
-        state = parts.groupBy("key").agg(F.sum("k").alias("members"), F.max(F.struct("k", "comp")).alias("largest"), F.count("*").alias("parts"))
-        state = saved(state.filter("parts > 1").select("key", "members", F.col("largest.comp").alias("main"), (F.col("members") - F.col("largest.k")).alias("rest")), "state")
+        order = F.xxhash64("node", F.lit(round_)) if round_ else F.col("node")
+        parts = known.groupBy("key", "comp").agg(F.count("*").alias("k"), F.min(F.struct(order.alias("o"), "node", "n", "sketch")).alias("first"))
+        state = parts.groupBy("key").agg(F.sum("k").alias("members"), F.max(F.struct("k", "comp")).alias("largest"), F.count("*").alias("parts"),
+                                         F.min(F.struct("first.o", "first.node", "comp", "first.n", "first.sketch")).alias("first"))
+        state = saved(state.filter("parts > 1").select("key", "members", F.col("largest.comp").alias("main"), (F.col("members") - F.col("largest.k")).alias("rest"),
+                                                       F.col("first.node").alias("c"), F.col("first.comp").alias("cc"), F.col("first.n").alias("nc"), F.col("first.sketch").alias("kc")), "state")
         if not state.limit(1).count():
             break
-        here = known.join(state, "key")
         if star:
-            order = F.col("node") if not round_ else F.xxhash64("node", F.lit(round_))
-            first = known.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "comp")).alias("f")).select("key", F.col("f.node").alias("c"), F.col("f.comp").alias("cc"))
-            first = saved(first.join(state.select("key"), "key", "left_semi"), "centres")
+            first = state.select("key", "c", "cc", "nc", "kc")
         else:
+            here = known.join(state.select("key", "members", "main", "rest"), "key")
             chance = F.pmod(F.xxhash64("node", F.lit(centres)), F.lit(1 << 30).cast("long")) * F.col("members") < F.lit(centres << 30)
             first = here.filter(F.when(F.col("rest") <= centres, F.col("comp") != F.col("main")).otherwise(chance))
-            first = saved(first.select("key", F.col("node").alias("c"), F.col("comp").alias("cc")), "centres")
-        pairs = known.join(first, "key").filter("cc != comp").select("c", "node").distinct()
-        pairs = pairs.join(facts.select(F.col("node").alias("c"), F.col("n").alias("na"), F.col("sketch").alias("ka")), "c")
-        pairs = pairs.join(facts.select("node", F.col("n").alias("nb"), F.col("sketch").alias("kb")), "node")
-        pairs = pairs.filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.bit_count(F.col("ka").bitwiseXOR(F.col("kb"))) <= MAX_DIFFERENT))
+            first = first.select("key", F.col("node").alias("c"), F.col("comp").alias("cc"), F.col("n").alias("nc"), F.col("sketch").alias("kc"))
+        close = (100 * F.least("n", "nc") >= percent * F.greatest("n", "nc")) & (F.bit_count(F.col("sketch").bitwiseXOR(F.col("kc"))) <= MAX_DIFFERENT)
+        pairs = known.join(first, "key").filter((F.col("cc") != F.col("comp")) & close).select("c", "node").distinct()
         if star:
             pairs = pairs.groupBy("node").agg(F.min("c").alias("c"))
         pairs = pairs.select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = saved(pairs, "pairs")
-        with batches_of(spark, BATCH):
-            links = saved(verified(pairs, docs, shingle, percent), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        labels = components(labels, links)
-        active = known.join(state.select("key"), "key", "left_semi")
-        if not star:  # the smaller parts of these have all been centres
-            active = active.join(state.filter(F.col("rest") <= centres).select("key"), "key", "left_anti")
-            centres *= 4
-        active, round_ = saved(active.select("key", "node"), "buckets"), round_ + 1
+        if pairs.limit(1).count():
+            with batches_of(spark, BATCH):
+                links = saved(verified(pairs, docs, shingle, percent), "links")
+            labels = components(labels, links)
+        going = state.select("key") if star else state.filter(F.col("rest") > centres).select("key")  # the smaller parts of the others have all been centres
+        known = known.join(going, "key", "left_semi").join(labels.withColumnsRenamed({"comp": "now"}), "node", "left")
+        known = saved(known.select("key", "node", "n", "sketch", F.coalesce("now", "comp").alias("comp")), "known")
+        round_ += 1
+        if not star:
+            centres *= MORE
     final = classes.join(labels, "node", "left").select("set_id", F.coalesce("comp", "node").alias("component_id"))
     out = rows.filter("n > 0").join(final, "set_id", "left").select("doc_id", "n", "component_id")
     out = out.unionByName(rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
