@@ -2,23 +2,28 @@
 
 P(w_i | w_{i-1}) = P(c_i | c_{i-1}) * P(w_i | c_i), the classes by exchange.
 
-* Words are counted once, all of them.  Words with a share of at least
-  ``UNIT_SHARE`` of the training tokens are exchange units of their own (at
-  most 1 / UNIT_SHARE of them); rarer ones belong to the unit of their ending
-  (one of ``ENDINGS``), so every word, seen or not, has a class.
-* Unit bigrams are counted over all training tokens.  Exchange clustering:
-  every round, half of the units (by hash) move to the class that raises the
-  likelihood of the class bigrams most, given all others; until a round
-  moves few.  A unit's gain needs its counts with each class only, which a
-  group-by gives; units are scored in parallel.
+* Words are counted once, all of them.  Every word that occurs ``LEAST_COUNT``
+  times or more in the training text is an exchange unit of its own; only rarer
+  and unseen words share the back-off unit of their ending (one of ``ENDINGS``),
+  so every word, seen or not, has a class.
+* Unit bigrams are counted over all training tokens.  The exchange starts from
+  classes of coarse units, the words with a share of at least ``UNIT_SHARE`` and
+  the endings of all others.  Then all units move: every round, half of them (by
+  hash) go to the class that raises the likelihood of the class bigrams most,
+  given all others.  As they move at once, a class takes in a share of its own
+  size only, and a round that lowers the likelihood is taken back and repeated
+  with half that share; until few would move or the rounds are done.
+  A unit's gain needs its counts with each class only, which a group-by gives;
+  units are scored in parallel and their moves written to a table.
 * P(c | c') has additive smoothing over classes, P(w | c) over the class's
   words and one unseen word: (n + 0.5) / (N_c + 0.5 * (V_c + 1)).  An end
   token of its own class closes each text, and the start counts as an end.
 
-Scoring needs a count for each token.  Words with a share of at least
-``COUNT_SHARE`` are broadcast (at most 1 / COUNT_SHARE of them, by
-construction); rows (word, document, times) of the rest meet the counts in a
-join, in which no key can be hot, having less than that share.
+The counts and classes of the ``KNOWN_WORDS`` most frequent words at most are
+broadcast, a number that doesn't grow with the input (if ties or counts over
+1000 exceed it, those with a share of ``COUNT_SHARE``).  The other words' lie in
+a table: bigrams, moves and scored rows of such words meet it in joins, in
+which no key can be hot, each word having less than the share of a known one.
 
 Words are compared by 64-bit hashes.  Defined results: a null or empty text
 is its end token alone; a null doc_id counts as the empty string in the
@@ -41,15 +46,22 @@ from pyspark.sql import functions as F
 from starkit.llm.common import packed, saved
 from starkit.llm.substring_dedup import WordIds, word_ids
 
-UNIT_SHARE = 1e-4
+UNIT_SHARE = 1e-4       # of the coarse units
 COUNT_SHARE = 1e-6
+KNOWN_WORDS = 500_000
+LEAST_COUNT = 3         # occurrences in the training text that make a word a unit of its own
 ENDINGS = 2048
 CLASSES = 48            # of words; the end token has one more
 ROUNDS = 10
+WORD_ROUNDS = 6         # of the exchange of all words
 LEAST_MOVED = 0.01      # share of a round's units below which the exchange ends
+INFLOW = 0.5            # of a class's tokens that may move into it in a round
 ADD = 0.5
 
-END = -1                # unit and word of the end token; hashes are masked to be positive
+END = -1                # word of the end token; hashes are masked to be positive
+END_UNIT = ENDINGS      # units: endings, the end token, known words from FIRST_KNOWN, the others from RARE
+FIRST_KNOWN = ENDINGS + 1
+RARE = 1 << 62          # a rare unit holds 51 bits of its hash and, in its last bits, its ending
 
 
 def split_of(doc_id: Column, parts: int) -> Column:
@@ -114,39 +126,58 @@ class Lookup:
         return np.where(self.hashes[at] == x, at, -1)
 
 
-class UnitOf(dict):
-    """Unit of a word: its own, numbered from ENDINGS, or its ending's."""
+def rare_unit(word: Column, ending: Column) -> Column:
+    bits = F.shiftleft(word, 11).bitwiseAND(F.lit(RARE - 1)).bitwiseAND(F.lit(-ENDINGS))
+    return bits.bitwiseOR(F.lit(RARE)).bitwiseOR(ending.cast("long"))
 
-    def __init__(self, own: dict[int, int]):
-        super().__init__()
-        self.own, self.ids, self.endings = own, WordIds(), Units()
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        u = self.own.get(self.ids[word] & ((1 << 63) - 1))
-        self[word] = value = self.endings[word] if u is None else u
-        return value
+class UnitsOf:
+    """Units of words: those of the known ones by their place, else rare units,
+    or, if no rare word is a unit of its own, their endings."""
+
+    def __init__(self, hashes: np.ndarray, unit_of_known: np.ndarray, rare_own: bool):
+        self.find, self.unit_of_known, self.rare_own = Lookup(hashes), unit_of_known, rare_own
+        self.ids, self.endings = WordIds(), Units()
+
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(place among the known or -1, unit) of each word."""
+        h = _hashed(words, self.ids)
+        at = self.find(h)
+        unit = self.unit_of_known[at] if len(self.unit_of_known) else np.zeros(len(h), np.int64)
+        away = np.flatnonzero(at < 0)
+        if len(away):
+            ending = np.fromiter((self.endings[words[i]] for i in away.tolist()), np.int64, len(away))
+            unit[away] = ((h[away] << 11) & (RARE - ENDINGS)) | RARE | ending if self.rare_own else ending
+        return at, unit
+
 
+def _pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> pd.DataFrame:
+    """(a, b, n) with the n of equal pairs added up."""
+    codes, both = np.unique(np.concatenate([a, b]), return_inverse=True)
+    k, at = np.unique(both[: len(a)] * len(codes) + both[len(a):], return_inverse=True)
+    n = np.bincount(at, weights=n, minlength=len(k)).astype(np.int64)
+    return pd.DataFrame({"a": codes[k // len(codes)], "b": codes[k % len(codes)], "n": n})
 
-def _unit_bigrams(shared, n_units: int):
-    """mapInPandas function: (a, b, n), the end being the last unit."""
+
+def _unit_bigrams(shared, rare_own: bool):
+    """mapInPandas function: (a, b, n) of units, the end before and after each text."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        unit, end = UnitOf(shared.value), n_units - 1
+        hashes, unit_of_known = shared.value
+        units = UnitsOf(hashes, unit_of_known, rare_own)
         held, size = [], 0
 
         def out() -> pd.DataFrame:
-            k, n = np.unique(np.concatenate(held), return_counts=True)
-            return pd.DataFrame({"a": k // n_units, "b": k % n_units, "n": n})
+            codes, u = np.unique(np.concatenate(held), return_inverse=True)
+            pair = np.ones(len(u), bool)
+            pair[np.cumsum([len(x) for x in held]) - 1] = False  # an end has no bigram with the next text
+            at = np.flatnonzero(pair)
+            k, n = np.unique(u[at] * len(codes) + u[at + 1], return_counts=True)
+            return pd.DataFrame({"a": codes[k // len(codes)], "b": codes[k % len(codes)], "n": n})
         for batch in batches:
             for text in batch["text"]:
-                w = _lower(text)
-                u = np.empty(len(w) + 2, np.int64)
-                u[0] = u[-1] = end
-                u[1:-1] = np.fromiter(map(unit.__getitem__, w), np.int64, len(w))
-                held.append(u[:-1] * n_units + u[1:])
-                size += len(u)
-                if size > 8_000_000:
+                held.append(np.concatenate([[END_UNIT], units(_lower(text))[1], [END_UNIT]]))
+                size += len(held[-1])
+                if size > 3_000_000:
                     yield out()
                     held, size = [], 0
         if held:
@@ -154,111 +185,186 @@ def _unit_bigrams(shared, n_units: int):
     return run
 
 
+def _coarse(shared):
+    """mapInPandas function: (a, b, n) of coarse units from those of units."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        coarse = shared.value
+        of = lambda u: np.where(u < len(coarse), coarse[np.minimum(u, len(coarse) - 1)], u & (ENDINGS - 1))
+        for batch in batches:
+            yield _pairs(of(batch["a"].to_numpy()), of(batch["b"].to_numpy()), batch["n"].to_numpy())
+    return run
+
+
+def with_rare(rows: DataFrame, side: str, rare: DataFrame | None, columns: list[str]) -> DataFrame:
+    """``rows`` with ``columns`` of the table ``rare`` (unit, ...) for the units
+    in column ``side``, null for others; these are spread by a negative key."""
+    if rare is None:
+        for c in columns:
+            rows = rows.withColumn(f"{c}_{side}", F.lit(None).cast("long"))
+        return rows
+    key = F.when(F.col(side) >= RARE, F.col(side)).otherwise(F.xxhash64("a", "b").bitwiseOR(F.lit(-1 << 63)))
+    met = rare.select(F.col("unit").alias("__unit"), *[F.col(c).cast("long").alias(f"{c}_{side}") for c in columns])
+    return rows.withColumn("__key", key).join(met, F.col("__key") == F.col("__unit"), "left").drop("__key", "__unit")
+
+
+def _contexts(shared, turn: int, moving: bool):
+    """mapInPandas function: (unit, code, n) from (a, b, n) and the classes of rare
+    units.  Code c is the class before a unit, K + 1 + c the one after it, 2 K + 2 the
+    unit itself; unit -1 has the pairs of classes."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        class_of, k = shared.value, CLASSES + 1
+        of = lambda u, c: np.where(u < RARE, class_of[np.minimum(u, len(class_of) - 1)], np.nan_to_num(c)).astype(np.int64)
+        moves = lambda u: (((u ^ (u >> 29)) * 0x9E3779B97F4A7C1 >> 33) + turn) % 2 == 0
+        for batch in batches:
+            a, b, n = (batch[c].to_numpy(np.int64) for c in "abn")
+            ca, cb = of(a, batch["class_a"].to_numpy(float)), of(b, batch["class_b"].to_numpy(float))
+            out = [(np.full(len(a), -1), ca * k + cb, n)]
+            if moving:
+                same = a == b
+                left, right, own = moves(b) & ~same & (b != END_UNIT), moves(a) & ~same & (a != END_UNIT), moves(a) & same & (a != END_UNIT)
+                out += [(b[left], ca[left], n[left]), (a[right], k + cb[right], n[right]), (a[own], np.full(own.sum(), 2 * k), n[own])]
+            yield _pairs(*map(np.concatenate, zip(*out))).rename(columns={"a": "unit", "b": "code"})
+    return run
+
+
 def _gains(shared):
-    """mapInPandas function: (unit, l, r, self, total), the class counts before and
-    after a unit, to (unit, best class)."""
+    """mapInPandas function: (unit, class_unit, codes, ns) to (unit, class, moving, n), all
+    units of a batch at once; only the classes a unit meets are looked at."""
     def phi(x):
         return x * np.log(np.maximum(x, 1e-9))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, classes = shared.value  # (K + 1) x (K + 1), class by unit
-        k = len(table) - 1
-        for batch in batches:
-            out = []
-            for u, l, r, own in zip(batch["unit"], batch["l"], batch["r"], batch["self"]):
-                c = classes[u]
-                l, r = np.asarray(l, float), np.asarray(r, float)
-                n = table.copy()  # without the unit; its bigrams with itself apart
-                n[:, c] -= l
-                n[c, :] -= r
-                n[c, c] -= own
-                row, col, total = n.sum(1), n.sum(0), l.sum() + own
-                gain = (phi(n + l[:, None]) - phi(n)).sum(0) + (phi(n + r[None, :]) - phi(n)).sum(1)
-                d = np.diag(n)
-                gain += phi(d + l + r + own) - phi(d + l) - phi(d + r) + phi(d)
-                gain -= phi(row + total) - phi(row) + phi(col + total) - phi(col)
-                out.append((u, int(np.argmax(gain[:k]))))
-            yield pd.DataFrame(out, columns=["unit", "class"])
+        table, class_of = shared.value
+        k = len(table)
+        for big in batches:
+            for start in range(0, len(big), 1024):
+                batch = big.iloc[start: start + 1024]
+                unit = batch["unit"].to_numpy(np.int64)
+                c = np.where(unit < RARE, class_of[np.minimum(unit, len(class_of) - 1)], np.nan_to_num(batch["class_unit"].to_numpy(float))).astype(np.int64)
+                u = np.repeat(np.arange(len(unit)), [len(x) for x in batch["codes"]])
+                dense = np.zeros((len(unit), 2 * k + 1))
+                dense[u, np.concatenate(batch["codes"].tolist())] = np.concatenate(batch["ns"].tolist())
+                l, r, own = dense[:, :k], dense[:, k: 2 * k], dense[:, 2 * k]
+                gain = np.zeros((len(unit), k))
+                here = np.arange(len(unit))
+                for x, other, t in ((l, r, table), (r, l, table.T)):
+                    at, i = np.nonzero(x)
+                    v, at_c = x[at, i], c[at]
+                    n = t[i]  # without the unit; its bigrams with itself apart
+                    n[np.arange(len(at)), at_c] -= v
+                    inner = np.flatnonzero(i == at_c)
+                    n[inner] -= other[at[inner]]
+                    n[inner, at_c[inner]] -= own[at[inner]]
+                    first = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
+                    if len(first):
+                        gain[at[first]] += np.add.reduceat(phi(n + v[:, None]) - phi(n), first)
+                total = l.sum(1) + own
+                d = np.tile(np.diag(table), (len(unit), 1))
+                d[here, c] -= l[here, c] + r[here, c] + own
+                gain += phi(d + l + r + own[:, None]) - phi(d + l) - phi(d + r) + phi(d)
+                for sums in (table.sum(1), table.sum(0)):  # what comes before and after stays in its class's sum
+                    rest = np.tile(sums, (len(unit), 1))
+                    rest[here, c] -= total
+                    gain -= phi(rest + total[:, None]) - phi(rest)
+                best = gain[:, : k - 1].argmax(1)
+                yield pd.DataFrame({"unit": unit, "class": best, "moving": best != c, "n": total.astype(np.int64)})
     return run
 
 
-def exchange(bigrams: DataFrame, n_units: int, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each unit, and the table of class bigrams.  ``bigrams`` has a,
-    b, n; the last unit is the end token, alone in class ``classes``.  Only arrays by
-    unit and by pair of classes, whose sizes are fixed by parameters, come to the driver."""
-    spark = bigrams.sparkSession
-    totals = {r["a"]: r["n"] for r in bigrams.groupBy("a").agg(F.sum("n").alias("n")).collect()}  # at most n_units rows
-    rank = sorted(range(n_units - 1), key=lambda u: (-totals.get(u, 0), u))
-    of = np.zeros(n_units, np.int64)
-    of[rank] = np.arange(n_units - 1) % classes
-    of[-1] = classes
-
-    def table(now: np.ndarray) -> np.ndarray:
-        out = np.zeros((classes + 1, classes + 1))
-        for r in with_classes(now).groupBy("ca", "cb").agg(F.sum("n").alias("n")).collect():
-            out[r["ca"], r["cb"]] = r["n"]
-        return out
-
-    def with_classes(now: np.ndarray) -> DataFrame:
-        units = spark.createDataFrame(pd.DataFrame({"u": np.arange(n_units), "c": now}))
-        for x in "ab":  # a row for each unit
-            units_x = units.select(F.col("u").alias(x), F.col("c").alias("c" + x))
-            bigrams_ = (bigrams if x == "a" else bigrams_).join(F.broadcast(units_x), x)
-        return bigrams_
-
-    for i in range(rounds):
-        rows = saved(with_classes(of), "unit-classes")
-        counts = np.zeros((classes + 1, classes + 1))
-        for r in rows.groupBy("ca", "cb").agg(F.sum("n").alias("n")).collect():
-            counts[r["ca"], r["cb"]] = r["n"]
-        moving = lambda u: (F.pmod(F.xxhash64(F.col(u), F.lit(i)), F.lit(2)) == 0) & (F.col(u) != n_units - 1)
-        other = F.col("a") != F.col("b")
-        array = lambda c: [F.sum(F.when(F.col("c") == k, F.col("n")).otherwise(0)).alias(f"{c}{k}") for k in range(classes + 1)]
-        left = rows.filter(moving("b") & other).groupBy(F.col("b").alias("unit"), F.col("ca").alias("c")).agg(F.sum("n").alias("n")).groupBy("unit").agg(*array("l"))
-        right = rows.filter(moving("a") & other).groupBy(F.col("a").alias("unit"), F.col("cb").alias("c")).agg(F.sum("n").alias("n")).groupBy("unit").agg(*array("r"))
-        own = rows.filter("a = b").select(F.col("a").alias("unit"), F.col("n").alias("self"))
-        vectors = left.join(right, "unit").join(own, "unit", "left").select(
-            "unit", F.array(*[f"l{k}" for k in range(classes + 1)]).alias("l"), F.array(*[f"r{k}" for k in range(classes + 1)]).alias("r"),
-            F.coalesce("self", F.lit(0)).alias("self"))
-        shared = spark.sparkContext.broadcast((counts, of))
-        best = vectors.mapInPandas(_gains(shared), "unit long, class long").toPandas()  # a row for each unit
-        new = of.copy()
-        new[best["unit"]] = best["class"]
-        moved, of = int((new != of).sum()), new
-        if moved <= LEAST_MOVED * len(best):
+def exchange(bigrams: DataFrame, class_of: np.ndarray, rare: DataFrame | None, rounds: int = WORD_ROUNDS) -> tuple[np.ndarray, DataFrame | None, np.ndarray]:
+    """Classes of all units, from those given: ``class_of`` by number for endings
+    and known words, the table ``rare`` (unit, class) for the others; and the table of
+    class bigrams.  What comes to the driver is bounded by ``KNOWN_WORDS``."""
+    spark, k = bigrams.sparkSession, CLASSES + 1
+    phi = lambda x: (x * np.log(np.maximum(x, 1e-9))).sum()
+    best, share = None, INFLOW
+    for turn in range(rounds + 1):
+        rows = with_rare(with_rare(bigrams, "a", rare, ["class"]), "b", rare, ["class"])
+        shared = spark.sparkContext.broadcast(class_of)
+        met = rows.mapInPandas(_contexts(shared, turn, turn < rounds), "unit long, code long, n long").groupBy("unit", "code").agg(F.sum("n").alias("n"))
+        met = saved(met, "unit-classes")
+        table = np.zeros((k, k))
+        for r in met.filter("unit = -1").collect():  # a row for each pair of classes
+            table[r["code"] // k, r["code"] % k] = r["n"]
+        likelihood = phi(table) - phi(table.sum(0)) - phi(table.sum(1))
+        better = best is None or likelihood > best[0]
+        if better:
+            best = (likelihood, class_of, rare, table)
+        if turn == rounds:
             break
-    return of, table(of)
+        if better:
+            vectors = met.filter("unit >= 0").groupBy("unit").agg(F.collect_list("code").alias("codes"), F.collect_list("n").alias("ns"))
+            old = F.lit(None).cast("long").alias("class_unit") if rare is None else F.col("class").cast("long").alias("class_unit")
+            vectors = (vectors if rare is None else vectors.join(rare, "unit", "left")).select("unit", old, "codes", "ns")
+            shared = spark.sparkContext.broadcast((table, class_of))
+            moves = saved(vectors.mapInPandas(_gains(shared), "unit long, class long, moving boolean, n long"), "moves")
+            units = moves.count()
+            inflow = {r["class"]: (r["units"], r["n"]) for r in moves.filter("moving").groupBy("class").agg(F.count("*").alias("units"), F.sum("n").alias("n")).collect()}  # a row for each class
+            if sum(x for x, _ in inflow.values()) <= LEAST_MOVED * units:
+                break
+            size = np.maximum(table.sum(1), table.sum() / k / 5)
+        else:  # too many moved at once: fewer of the same moves
+            share /= 2
+            _, class_of, rare, _ = best
+        chance = F.array(*[F.lit(float(min(1.0, share * size[c] / inflow[c][1]) if c in inflow else 1.0)) for c in range(CLASSES)])
+        drawn = F.pmod(F.xxhash64("unit", F.lit(turn)), F.lit(1 << 20)) / F.lit(1 << 20)
+        moved = moves.filter("moving").filter(drawn < F.element_at(chance, F.col("class").cast("int") + 1))
+        now = moved.filter(F.col("unit") < RARE).select("unit", "class").toPandas()  # at most KNOWN_WORDS and ENDINGS
+        class_of = class_of.copy()
+        class_of[now["unit"]] = now["class"]
+        if rare is not None:
+            new = moved.filter(F.col("unit") >= RARE).select("unit", F.col("class").alias("__new"))
+            rare = saved(rare.join(new, "unit", "left").select("unit", F.coalesce("__new", "class").alias("class")), "rare-classes")
+    return best[1:]
 
 
 def _scores(shared):
     """mapInPandas function: a row for each document with its part of the
-    score, and rows (word, times) of its rarer words, which have n = 0.  The
-    word of a document's row is a negative number, to spread them in the join."""
+    score, and rows (a, b, times) of its bigrams with a word that is not known,
+    which have n = 0.  A document's row has no rare unit."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, class_of_unit, log_move, log_class, hashes, log_count, base_log = shared.value
-        unit, ids, find, end = UnitOf(own), WordIds(), Lookup(hashes), len(class_of_unit) - 1
-        columns = ["doc", "key", "word", "times", "n", "known", "logs", "rest"]
+        class_of, log_move, log_class, hashes, log_count, ends = shared.value
+        units = UnitsOf(hashes, np.arange(FIRST_KNOWN, FIRST_KNOWN + len(hashes)), True)
+        columns = ["doc", "key", "a", "b", "times", "n", "known", "logs", "rest"]
+        end = np.array([END_UNIT])
         for batch in batches:
             docs, rare = [], []
             for doc, key, text in zip(batch["doc"], batch["key"], batch["text"]):
-                w = _lower(text)
-                c = class_of_unit[np.fromiter(map(unit.__getitem__, w), np.int64, len(w))]
-                c = np.concatenate([class_of_unit[end:], c, class_of_unit[end:]])
-                h = np.append(_hashed(w, ids), END)
-                at = find(h)
-                known = at >= 0
-                rest = log_move[c[:-1], c[1:]].sum() - log_class[c[1:]].sum()
-                docs.append((doc, key, -2 - (key & 0xFFFFFFFF), 1, len(h), int(known.sum()), float(log_count[at[known]].sum()), float(rest)))
-                word, times = np.unique(h[~known], return_counts=True)
-                if len(word):
-                    rare.append(pd.DataFrame({"doc": doc, "key": key, "word": word, "times": times}))
+                at, u = units(_lower(text))
+                u = np.concatenate([end, u, end])
+                known = u < RARE
+                c = class_of[np.where(known, u, END_UNIT)]
+                both = known[:-1] & known[1:]
+                rest = log_move[c[:-1], c[1:]][both].sum() - log_class[c[1:]][known[1:]].sum()
+                logs = log_count[at[at >= 0]].sum() + np.log10(ends + ADD)
+                docs.append((doc, key, END_UNIT, key & 0xFFFFFFFF, 1, len(u) - 1, int((at >= 0).sum()) + int(ends > 0), float(logs), float(rest)))
+                if not both.all():
+                    rare.append(_pairs(u[:-1][~both], u[1:][~both]).rename(columns={"n": "times"}).assign(doc=doc, key=key))
             yield pd.DataFrame(docs, columns=columns).astype({"doc": "Int64"})
             for i in range(0, len(rare), 2_000):
                 yield pd.concat(rare[i: i + 2_000]).assign(n=0, known=0, logs=0.0, rest=0.0)[columns].astype({"doc": "Int64"})
     return run
 
 
-def score(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataFrame:
+def _rare_scores(shared):
+    """mapInPandas function: adds what bigrams with a word that is not known give."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        class_of, log_move, log_class = shared.value[:3]
+        of = lambda u, c: np.where(u < RARE, class_of[np.minimum(u, len(class_of) - 1)], np.where(np.isnan(c), class_of[u & (ENDINGS - 1)], np.nan_to_num(c))).astype(np.int64)
+        for batch in batches:
+            bigram = (batch["n"] == 0).to_numpy()
+            a, b = batch["a"].to_numpy(np.int64), np.where(bigram, batch["b"].to_numpy(np.int64), END_UNIT)
+            ca, cb = of(a, batch["class_a"].to_numpy(float)), of(b, batch["class_b"].to_numpy(float))
+            count, times = np.nan_to_num(batch["count_b"].to_numpy(float)), batch["times"].to_numpy(np.int64)
+            word = bigram & (b >= RARE)
+            batch["known"] += np.where(word & (count > 0), times, 0)
+            batch["logs"] += np.where(word, times * np.log10(count + ADD), 0.0)
+            batch["rest"] += np.where(bigram, times * log_move[ca, cb], 0.0) - np.where(word, times * log_class[cb], 0.0)
+            yield batch[["doc", "key", "times", "n", "known", "logs", "rest"]].astype({"doc": "Int64"})
+    return run
+
+
+def score(docs: DataFrame, folds: int = 5, held_out: int = 1, known_words: int = KNOWN_WORDS) -> DataFrame:
     """Per row doc_id, held_out, n_tokens, n_known, train_tokens, base_score
     (unigrams with additive smoothing) and score (the class model)."""
     spark = docs.sparkSession
@@ -269,38 +375,77 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataFrame:
     vocabulary = train.mapInPandas(_word_counts(), "word long, ending int, n long").groupBy("word", "ending").agg(F.sum("n").alias("n"))
     vocabulary = saved(vocabulary, "vocabulary")
     total, size = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-
-    frequent = vocabulary.filter(F.col("n") >= F.greatest(F.lit(1.0), COUNT_SHARE * F.lit(total))).select("word", "n").toPandas()  # at most 1 / COUNT_SHARE rows
-    frequent = frequent.sort_values("word")
-    hashes, counts = frequent["word"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64)
-    of_own = np.sort(hashes[(counts >= UNIT_SHARE * total) & (hashes != END)])
-    own = {int(h): ENDINGS + i for i, h in enumerate(of_own)}  # at most 1 / UNIT_SHARE
-    n_units = ENDINGS + len(own) + 1
-
-    shared = spark.sparkContext.broadcast(own)
-    bigrams = train.mapInPandas(_unit_bigrams(shared, n_units), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    of, table = exchange(saved(bigrams, "unit-bigrams"), n_units)
-
-    units = spark.createDataFrame(pd.DataFrame({"unit": np.arange(n_units), "class": of}))
-    owned = spark.createDataFrame(pd.DataFrame({"word": pd.Series(of_own, dtype="int64"), "own": pd.Series(ENDINGS + np.arange(len(of_own)), dtype="int64")}), "word long, own long")
-    unit = F.coalesce("own", F.when(F.col("word") == END, n_units - 1).otherwise(F.col("ending")).cast("long"))
-    by_class = vocabulary.join(F.broadcast(owned), "word", "left").withColumn("unit", unit).join(F.broadcast(units), "unit")
+    ends = vocabulary.filter(F.col("word") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    words = vocabulary.filter(F.col("word") != END)
+
+    least = max(1001.0, COUNT_SHARE * total)
+    many = {r["n"]: r["words"] for r in words.groupBy(F.least("n", F.lit(1001)).alias("n")).agg(F.count("*").alias("words")).collect()}  # at most 1001 rows
+    fit = 0
+    for n in sorted(many, reverse=True):
+        fit += many[n]
+        if fit > known_words:
+            break
+        least = n
+    known = words.filter(F.col("n") >= least).toPandas().sort_values("word")  # at most KNOWN_WORDS or 1 / COUNT_SHARE rows
+    hashes, counts, endings = (known[c].to_numpy(np.int64) for c in ("word", "n", "ending"))
+    rest = words.filter(F.col("n") < least).select(rare_unit(F.col("word"), F.col("ending")).alias("unit"), "ending", "n") if fit > len(known) else None
+    rare_own = rest is not None and least > LEAST_COUNT
+
+    own = counts >= LEAST_COUNT
+    unit_of_known = np.where(own, FIRST_KNOWN + np.arange(len(hashes)), endings)
+    shared = spark.sparkContext.broadcast((hashes, unit_of_known))
+    bigrams = train.mapInPandas(_unit_bigrams(shared, rare_own), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    rare = None
+    if rare_own:  # rare words below the least count are their endings
+        rare = saved(rest.filter(F.col("n") >= LEAST_COUNT).select("unit", "ending").dropDuplicates(["unit"]), "rare-units")
+        for side in "ab":
+            bigrams = with_rare(bigrams, side, rare, ["ending"])
+            lost = (F.col(side) >= RARE) & F.col(f"ending_{side}").isNull()
+            bigrams = bigrams.withColumn(side, F.when(lost, F.col(side).bitwiseAND(F.lit(ENDINGS - 1))).otherwise(F.col(side)))
+        bigrams = bigrams.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    bigrams = saved(bigrams, "unit-bigrams")
+
+    often = FIRST_KNOWN + np.flatnonzero(counts >= max(1, UNIT_SHARE * total))  # at most 1 / UNIT_SHARE
+    coarse = np.concatenate([np.arange(FIRST_KNOWN), endings])
+    coarse[often] = often
+    shared = spark.sparkContext.broadcast(coarse)
+    pairs = bigrams.mapInPandas(_coarse(shared), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    begin = np.zeros(len(coarse), np.int64)
+    weight = np.bincount(endings, minlength=ENDINGS)
+    rank = np.concatenate([often[np.argsort(-counts[often - FIRST_KNOWN], kind="stable")], np.argsort(-weight, kind="stable")])
+    begin[rank] = np.arange(len(rank)) % CLASSES
+    begin[END_UNIT] = CLASSES
+    begin, _, _ = exchange(saved(pairs, "coarse-bigrams"), begin, None, ROUNDS)
+    class_of = begin[coarse]
+    by_ending = lambda now: spark.createDataFrame(pd.DataFrame({"ending": np.arange(ENDINGS), "class": now[:ENDINGS]}), "ending long, class long")
+    if rare_own:
+        rare = saved(rare.join(F.broadcast(by_ending(class_of)), "ending").select("unit", "class"), "rare-classes")
+    class_of, rare, table = exchange(bigrams, class_of, rare)
+
+    class_of = class_of.copy()  # words that are no units of their own have the class of their ending
+    class_of[FIRST_KNOWN:][~own] = class_of[endings[~own]]
     tokens, types = np.zeros((2, CLASSES + 1))
-    for r in by_class.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():  # a row for each class
-        tokens[r["class"]], types[r["class"]] = r["n"], r["v"]
+    np.add.at(tokens, class_of[FIRST_KNOWN:], counts)
+    np.add.at(types, class_of[FIRST_KNOWN:], 1)
+    tokens[CLASSES], types[CLASSES] = ends, int(ends > 0)
+    if rest is not None:
+        rest = rest.groupBy("unit", "ending").agg(F.sum("n").alias("count")).join(F.broadcast(by_ending(class_of).withColumnRenamed("class", "__ending")), "ending")
+        rest = rest.withColumn("class", F.col("__ending")) if rare is None else rest.join(rare, "unit", "left").withColumn("class", F.coalesce("class", "__ending"))
+        rest = saved(rest.select("unit", "class", "count"), "rare-words")
+        for r in rest.groupBy("class").agg(F.sum("count").alias("n"), F.count("*").alias("v")).collect():  # a row for each class
+            tokens[r["class"]] += r["n"]
+            types[r["class"]] += r["v"]
 
     log_class = np.log10(tokens + ADD * (types + 1))
     log_move = np.log10((table + ADD) / (table.sum(1, keepdims=True) + ADD * len(table)))
     base_log = float(np.log10(total + ADD * (size + 1)))
-    shared = spark.sparkContext.broadcast((own, of, log_move, log_class, hashes, np.log10(counts + ADD), base_log))
-    parts = docs.mapInPandas(_scores(shared), "doc long, key long, word long, times long, n long, known long, logs double, rest double")
-    counted = parts.join(vocabulary.select("word", F.col("n").alias("count")), "word", "left")
-    count = F.coalesce("count", F.lit(0))
-    rare = F.col("n") == 0
+    shared = spark.sparkContext.broadcast((class_of, log_move, log_class, hashes, np.log10(counts + ADD), ends))
+    parts = docs.mapInPandas(_scores(shared), "doc long, key long, a long, b long, times long, n long, known long, logs double, rest double")
+    counted = with_rare(with_rare(parts, "a", rest, ["class"]), "b", rest, ["class", "count"])
+    counted = counted.mapInPandas(_rare_scores(shared), "doc long, key long, times long, n long, known long, logs double, rest double")
     sums = counted.groupBy("doc", "key").agg(
-        F.sum("n").alias("n_tokens"), F.sum(F.when(rare & (count > 0), F.col("times")).otherwise(F.col("known"))).alias("n_known"),
-        F.sum(F.when(rare, F.col("times") * F.log10(count + ADD)).otherwise(F.col("logs"))).alias("logs"), F.sum("rest").alias("rest"),
-        F.sum(F.when(rare, 0).otherwise(1)).alias("rows"))
+        F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("logs").alias("logs"), F.sum("rest").alias("rest"),
+        F.sum(F.when(F.col("n") == 0, 0).otherwise(1)).alias("rows"))
     # rows that repeat doc_id and text were added up: divide, and repeat them
     rows = sums.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     each = lambda c: (F.col(c) / F.col("rows"))
