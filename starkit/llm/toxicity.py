@@ -8,7 +8,7 @@ isotonic calibration, so none is fitted to what another was fitted to.
 * Lexicon: words that occur in more toxic than other documents, by the log
   odds of their document counts; words are compared without obfuscation.
 * Features of a text: lexicon densities (also by weight, and near a second
-  person pronoun), capitals, punctuation, obfuscated and stretched words.
+  person pronoun), share of capitals, punctuation, obfuscated and stretched words.
 * Trees and calibration are Spark ML's; scoring runs in the JVM.
 
 Labels, language, source and id are never features.  Defined results: a null
@@ -79,6 +79,15 @@ class Plain(dict):
         return w
 
 
+#: Whether a code point is an upper-case character.
+UPPER = np.fromiter((chr(i).isupper() for i in range(0x110000)), bool, 0x110000)
+
+
+def capitals(text: str) -> int:
+    """Number of upper-case characters, by one array pass at every length."""
+    return int(UPPER[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")].sum())
+
+
 def features_of(text, lexicon: dict[str, float], plains: Plain) -> list[float]:
     words = text.split() if isinstance(text, str) else []
     n = len(words)
@@ -97,7 +106,7 @@ def features_of(text, lexicon: dict[str, float], plains: Plain) -> list[float]:
     return [
         100 * len(hits) / n, 100 * sum(w for _, w in hits) / n, max((w for _, w in hits), default=0.0), float(len({p[i] for i, _ in hits})),
         100 * near / n, 100 * len(you) / n, float(sum(x in lexicon for x in singles.split() if len(x) > 2)),
-        sum(map(str.isupper, text)) / chars if chars < 4096 else upper / n, upper / n, 100 * text.count("!") / n, 100 * text.count("?") / n, 100 * len(MARKS.findall(text)) / n,
+        capitals(text) / chars, upper / n, 100 * text.count("!") / n, 100 * text.count("?") / n, 100 * len(MARKS.findall(text)) / n,
         100 * sum(map(text.count, ".,;:")) / n, 100 * sum(bool(INSIDE.search(w)) for w in words if not w.isalpha()) / n,
         100 * len(STRETCHED.findall(text)) / n, chars / n, math.log1p(n),
     ]

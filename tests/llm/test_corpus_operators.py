@@ -304,3 +304,11 @@ def test_rare_words_are_clustered_by_their_own_bigrams(spark):
     tests = [scored[i] for i, _ in rows[:60] if held(i)]
     bits = -sum(x.score for x in tests) / math.log10(2) / sum(x.n_tokens for x in tests)
     assert bits < 2.8, bits  # a word is one of 60 and tells the next; its context is one of two
+
+
+def test_capitals_are_counted_alike_at_every_length():
+    at = toxicity.FEATURES.index("capitals")
+    for text in ("Word word ÄÖ ǅ 😀\ud800 ", "no capitals here"):
+        for n in (1, 4095, 4096, 9000):
+            t = (text * n)[:n] or text
+            assert toxicity.features_of(t, {}, toxicity.Plain())[at] == pytest.approx(sum(map(str.isupper, t)) / len(t))
