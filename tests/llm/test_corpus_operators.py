@@ -312,3 +312,14 @@ def test_capitals_are_counted_alike_at_every_length():
         for n in (1, 4095, 4096, 9000):
             t = (text * n)[:n] or text
             assert toxicity.features_of(t, {}, toxicity.Plain())[at] == pytest.approx(sum(map(str.isupper, t)) / len(t))
+
+
+def test_packing_of_added_tokens(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    rows = [(i, t) for i, t in enumerate(["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y", "<|endoftext| >", "A  <|ENDOFTEXT|>"])]
+    got = {x.doc_id: (x.length, x.ids_crc32) for x in packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), path).collect()}
+    assert 50256 in library.encode(rows[0][1], add_special_tokens=False).ids
+    for i, t in rows:
+        ids = [*library.encode(t, add_special_tokens=False).ids, 2]
+        assert got[i] == (len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
