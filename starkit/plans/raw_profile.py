@@ -22,6 +22,12 @@ GRAIN_CANDIDATES = {
     "rdw_geconstateerde_gebreken": ["kenteken", "meld_datum_door_keuringsinstantie",
                                     "meld_tijd_door_keuringsinstantie", "gebrek_identificatie"],
     "cbs_70072ned_motorvoertuigen_gemeente": ["RegioS", "Perioden", "Measure"],
+    "cbs_85237ned_personenautos_brandstof": ["Measure", "Perioden", "Bouwjaar"],
+    "cbs_70072ned_regiocodes": ["Identifier"],
+    "cbs_70072ned_periodencodes": ["Identifier"],
+    "cbs_70072ned_measurecodes": ["Identifier"],
+    "cbs_85237ned_measurecodes": ["Identifier"],
+    "cbs_gebieden_measurecodes": ["Identifier"],
 }
 CASTS = {
     "aantal_zitplaatsen": "int", "aantal_deuren": "int", "aantal_wielen": "int", "aantal_cilinders": "int",
@@ -50,13 +56,16 @@ def column_profile(spark: SparkSession, raw_dir: str, name: str = "rdw_geconstat
 
 
 def grain(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Is each candidate key unique?  Missing columns become remarks."""
-    return prof.grain({n: (_raw(spark, raw_dir, n), k) for n, k in GRAIN_CANDIDATES.items()})
+    """Is each candidate key unique?  Missing columns become remarks, those
+    of a file that the raw folder lacks too."""
+    there = set(reg.raw_names(spark, raw_dir))
+    nothing = spark.range(0).select()
+    return prof.grain({n: (_raw(spark, raw_dir, n) if n in there else nothing, k) for n, k in GRAIN_CANDIDATES.items()})
 
 
 def full_duplicates(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Fully duplicated rows per raw file."""
-    return prof.duplicate_count({n: _raw(spark, raw_dir, n) for n in GRAIN_CANDIDATES})
+    """Fully duplicated rows per raw file, of all that the folder has."""
+    return prof.duplicate_count({n: _raw(spark, raw_dir, n) for n in reg.raw_names(spark, raw_dir)})
 
 
 def duplicate_defect_rows(spark: SparkSession, raw_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ location, and evaluates the checks.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,7 @@ from starkit.operators.dims import (
 from starkit.operators.facts import coverage_floor, lookup, temporal_lookup
 from starkit.operators.marts import compare_shares, rank_within, restate_series
 from starkit.operators.staging import Spec, classify, decode, dedup, long_to_wide, typed_projection
-from starkit.sources.landing import dataset_name, read_family, source
+from starkit.sources.landing import read_family, source
 from starkit.functions.casts import numeric_text_to_int
 
 # ---------------------------------------------------------------------------
@@ -494,13 +495,36 @@ def export_warehouse(m: Mapping[str, DataFrame], target: str) -> DataFrame:
     return export_report(materialise({k: m[k] for k in WAREHOUSE}, target, compression="snappy"))
 
 
+#: Files that fixtures hold whole.
+VERBATIM = [f"{RDW}_gebreken", "cbs_70072ned_measurecodes", "cbs_70072ned_regiocodes", "cbs_70072ned_periodencodes",
+            "cbs_gebieden_measurecodes", "cbs_85237ned_measurecodes", "cbs_85237ned_personenautos_brandstof"]
+
+
+def raw_names(spark: SparkSession, raw_dir: str) -> list[str]:
+    """Names of all parquet files of the raw folder, by a listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{raw_dir.rstrip('/')}/*.parquet")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(x.getPath().getName().removesuffix(".parquet") for x in found or [])
+
+
+def whole_files(spark: SparkSession, raw_dir: str, names) -> dict[str, DataFrame]:
+    """Those of ``names`` that the raw folder has, unchanged."""
+    return {n: spark.read.parquet(f"{raw_dir.rstrip('/')}/{n}.parquet") for n in raw_names(spark, raw_dir) if n in names}
+
+
+def area_files(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+    years = [n for n in raw_names(spark, raw_dir) if re.fullmatch(r"cbs_gebieden_[0-9]{4}", n)]
+    return whole_files(spark, raw_dir, years)
+
+
 def make_fixtures(spark: SparkSession, raw_dir: str, target: str, n_plates: int = 5000,
                   extra_plates=("02BND8",), first_year: int = 2015) -> DataFrame:
     """A referentially consistent fixture set.  The first
     ``n_plates`` plates in order plus explicit extra plates select the
     vehicle, fuel and defect rows; the fleet file keeps municipalities from
-    ``first_year``; code lists and yearly area files are copied whole; no
-    column is ever dropped.  Returns the row report."""
+    ``first_year``; the files of ``VERBATIM`` that the raw folder has and the
+    yearly area files are copied whole; no column is ever dropped.  Returns the
+    row report."""
     from starkit.sources.sample import first_keys, restrict_to
 
     raw = raw_sources(spark, raw_dir)
@@ -514,14 +538,7 @@ def make_fixtures(spark: SparkSession, raw_dir: str, target: str, n_plates: int
             F.col("RegioS").startswith(MUNICIPALITY_PREFIX)
             & (F.left(F.col("Perioden"), F.lit(4)).cast("int") >= first_year)),
     }
-    import re
-
-    areas = raw["gebieden"].withColumn("__ds", dataset_name("source_file"))
-    # the yearly file names come from the file index (a listing, no job)
-    names = {m.group(1) for f in raw["gebieden"].inputFiles()
-             if (m := re.search(r"([^/]+)\.parquet(/[^/]*)?$", f))}
-    for name in sorted(names):
-        out[name] = areas.where(F.col("__ds") == name).drop("source_file", "__ds")
+    out |= whole_files(spark, raw_dir, VERBATIM) | area_files(spark, raw_dir)
     from starkit.sources.export import export_report, materialise
     return export_report(materialise(out, target))
 
@@ -530,7 +547,7 @@ def range_sample(spark: SparkSession, raw_dir: str, target: str, size: int = 500
     """One plate range fixed on the vehicle file (its first and its
     ``size``-th plate in order) and applied to the vehicle, fuel and defect
     files, so the three samples describe one vehicle population; code lists
-    and the municipality files are copied whole.  Returns the row report."""
+    and the municipality files, the yearly ones too, are copied whole.  Returns the row report."""
     from starkit.sources.export import export_report, materialise
     from starkit.sources.sample import fixed_bounds, in_range, key_range
 
@@ -543,4 +560,5 @@ def range_sample(spark: SparkSession, raw_dir: str, target: str, size: int = 500
         f"{RDW}_{DEFECT_CODES}": raw["gebreken"],
         f"{CBS}_{FLEET}": raw["voertuigpark"],
     }
+    out |= area_files(spark, raw_dir)
     return export_report(materialise(out, target))

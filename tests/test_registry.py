@@ -301,3 +301,26 @@ def test_build_fails_on_error_when_checks_fail(built, spark):
         registry.build(spark, built[0]["__raw_dir__"], fail_on_error=True)
     msg = str(err.value)
     assert "assert_brandstof_energiedrager_bekend" in msg and "assert_gemeente_aaneengesloten_peiljaren" in msg
+
+
+def test_whole_files_grain_and_duplicates_of_all_raw_files(built, spark):
+    import shutil
+
+    from starkit.plans import raw_profile as rp
+    from starkit.sources.export import run_folder
+
+    raw = run_folder(spark, "raw-whole")
+    shutil.copytree(built[0]["__raw_dir__"], raw)
+    lists = [n for n in rp.GRAIN_CANDIDATES if n.endswith("codes")]
+    for n in lists:
+        write(spark, raw, n, ["Identifier", "Title"], [("a", "x"), ("b", "y"), ("b", "y")])
+    write(spark, raw, "cbs_85237ned_personenautos_brandstof", ["Measure", "Perioden", "Bouwjaar"], [("m", "p", "1"), ("m", "p", "2")])
+    areas = {f"cbs_gebieden_{y}" for y in range(2015, 2019)}
+    rep = {r.table_name: r.n_rows for r in registry.make_fixtures(spark, raw, run_folder(spark, "whole"), n_plates=3).collect()}
+    assert len(lists) == 5 and all(rep[n] == 3 for n in lists) and rep["cbs_85237ned_personenautos_brandstof"] == 2
+    assert areas <= set(rep) and rep["rdw_gebreken"] == 3
+    assert areas <= {r.table_name for r in registry.range_sample(spark, raw, run_folder(spark, "whole-range"), size=3).collect()}
+    grain = {r.table_name: r.is_unique for r in rp.grain(spark, raw).collect()}
+    assert len(grain) == 11 and all(grain[n] is False for n in lists) and grain["cbs_85237ned_personenautos_brandstof"] is True
+    dups = {r.table_name: r.n_duplicates for r in rp.full_duplicates(spark, raw).collect()}
+    assert len(dups) == 15 and all(dups[n] == 1 for n in lists)
