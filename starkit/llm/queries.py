@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.llm import byte_bpe, exact_dedup, html_extract, lm_scoring, minhash_dedup, packing, quality_rules, substring_dedup, toxicity, url_filters
+from starkit.llm import byte_bpe, exact_dedup, html_extract, lm_scoring, merkle, minhash_dedup, packing, quality_rules, substring_dedup, toxicity, url_filters
 from starkit.plans.tables import Tables
 
 #: host, path, verdict of the rules of op1 (fixed values)
@@ -68,9 +68,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         {c: F.round(c, 9) for c in ("char_distance", "word_distance")})
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = F.coalesce(F.crc32(F.encode(F.col("__row.doc_id").cast("string"), "utf-8")) % 7 == 0, F.lit(False))
+    n_chars = F.col("__row.n_chars")
+    return merkle.manifest(Tables(spark, sf_dir).read("documents"), tampered={"n_chars": F.when(chosen, n_chars + 1).otherwise(n_chars)})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filters, op2_html_extraction, op3_exact_dedup, op4_byte_bpe, op5_substring_dedup,
-                            op6_lm_scoring, op7_minhash_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_rules)}
+                            op6_lm_scoring, op7_minhash_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_rules, op11_merkle_manifest)}
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE: dict[str, str] = {
@@ -129,5 +135,50 @@ pairs AS (
 reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, least(doc_id, coalesce(m, doc_id)) = doc_id AS kept
 FROM sets LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) ON a = doc_id
+""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)
+), fields AS (
+  SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n, n_chars,
+         CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+           || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS front,
+         CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS back,
+         coalesce(xor(list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 7 = 0, false) AS tampered
+  FROM documents, crc_table
+), leaves AS (
+  SELECT *, sha256(front || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || back) AS leaf,
+         sha256(front || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || back) AS other
+  FROM fields
+), low(lang, level, pos, n, h) AS (
+  SELECT lang, 0, pos, n, leaf FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY lang, level, pos // 2, n
+), subroots AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1
+), high(level, pos, n, h) AS (
+  SELECT 0, pos, n, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY level, pos // 2, n
+), up(lang, start, level, pos, n, h, proof) AS (
+  SELECT lang, pos, 0, pos, n, CASE WHEN tampered THEN other ELSE leaf END, '' FROM leaves
+  UNION ALL
+  SELECT up.lang, start, up.level + 1, up.pos // 2, (up.n + 1) // 2,
+         sha256(CASE WHEN up.pos % 2 = 0 THEN up.h || coalesce(low.h, '') ELSE low.h || up.h END), proof || coalesce(low.h, '')
+  FROM up LEFT JOIN low ON up.lang IS NOT DISTINCT FROM low.lang AND up.level = low.level AND xor(up.pos, 1) = low.pos
+  WHERE up.n > 1
+), over(lang, start, level, pos, n, h, proof) AS (
+  SELECT up.lang, start, 0, subroots.pos, subroots.n, up.h, proof FROM up JOIN subroots ON up.lang IS NOT DISTINCT FROM subroots.lang WHERE up.n = 1
+  UNION ALL
+  SELECT over.lang, start, over.level + 1, over.pos // 2, (over.n + 1) // 2,
+         sha256(CASE WHEN over.pos % 2 = 0 THEN over.h || coalesce(high.h, '') ELSE high.h || over.h END), proof || coalesce(high.h, '')
+  FROM over LEFT JOIN high ON over.level = high.level AND xor(over.pos, 1) = high.pos
+  WHERE over.n > 1
+)
+SELECT leaves.doc_id, leaf, subroot, (SELECT h FROM high WHERE n = 1) AS root, sha256(proof) AS proof_sha256, over.h AS folded_root,
+       over.h = (SELECT h FROM high WHERE n = 1) AS verified
+FROM leaves JOIN over ON leaves.lang IS NOT DISTINCT FROM over.lang AND leaves.pos = over.start AND over.n = 1
+JOIN subroots ON leaves.lang IS NOT DISTINCT FROM subroots.lang
 """,
 }
