@@ -390,7 +390,7 @@ def manifest(docs: DataFrame, group: str = "lang", order: str = "doc_id", fields
     top_nodes = tops.select(F.lit(0).cast("long").alias("g"), F.col("g").alias("pos"), F.lit(tops.count()).cast("long").alias("n"), "digest")
     top_stages, roots = grow(top_nodes, fanout)
     spark = docs.sparkSession
-    nothing_above = spark.range(1).select(F.lit(0).cast("long").alias("g"), F.array().cast(PATH).alias("path"))
+    nothing_above = roots.select("g", F.array().cast(PATH).alias("path"))
     levels, width = span(fanout)
     top = with_paths(top_stages, nothing_above, fanout).select("g", (F.col("chunk") * width).alias("first"), "width", "levels", "nodes", "states", "path")
     with batches_of(spark, 8):
