@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.llm import byte_bpe, exact_dedup, html_extract, lm_scoring, merkle, minhash_dedup, packing, quality_rules, substring_dedup, toxicity, url_filters
+from starkit.llm import byte_bpe, exact_dedup, html_extract, lm_scoring, merkle, minhash_dedup, packing, quality_rules, substring_dedup, toxicity, url_filters, warc
 from starkit.plans.tables import Tables
 
 #: host, path, verdict of the rules of op1 (fixed values)
@@ -74,9 +74,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(Tables(spark, sf_dir).read("documents"), tampered={"n_chars": F.when(chosen, n_chars + 1).otherwise(n_chars)})
 
 
+def op12_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archived(Tables(spark, sf_dir).read("pages"), "page_id", "url", "html", date="2026-01-01T00:00:00Z")
+    return out.select(F.col("id").cast("long").alias("page_id"), F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+                      "record_type", F.col("refers_to_id").cast("long").alias("refers_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filters, op2_html_extraction, op3_exact_dedup, op4_byte_bpe, op5_substring_dedup,
-                            op6_lm_scoring, op7_minhash_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_rules, op11_merkle_manifest)}
+                            op6_lm_scoring, op7_minhash_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_rules, op11_merkle_manifest, op12_warc_revisits)}
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE: dict[str, str] = {
@@ -180,5 +186,17 @@ SELECT leaves.doc_id, leaf, subroot, (SELECT h FROM high WHERE n = 1) AS root, s
        over.h = (SELECT h FROM high WHERE n = 1) AS verified
 FROM leaves JOIN over ON leaves.lang IS NOT DISTINCT FROM over.lang AND leaves.pos = over.start AND over.n = 1
 JOIN subroots ON leaves.lang IS NOT DISTINCT FROM subroots.lang
+""",
+    "op12_warc_revisits": r"""
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, coalesce(html, '') AS html, unhex(sha1(coalesce(html, '')))::BIT::VARCHAR AS bits FROM pages
+), ranked AS (
+  SELECT *, row_number() OVER w AS place, first_value(page_id) OVER w AS first_id FROM hashed WINDOW w AS (PARTITION BY html ORDER BY page_id NULLS LAST)
+)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_reduce([0] || range(5),
+         lambda v, i: 2 * v + (substr(bits, 5 * k + i + 1, 1) = '1')::INT), 1)), '') AS payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN first_id END AS refers_to
+FROM ranked
 """,
 }
