@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.llm import byte_bpe, exact_dedup, html_extract, lm_scoring, merkle, minhash_dedup, packing, quality_rules, substring_dedup, toxicity, url_filters, warc
+from starkit.llm import byte_bpe, exact_dedup, html_extract, lexical_search, lm_scoring, merkle, minhash_dedup, packing, quality_rules, substring_dedup, toxicity, url_filters, warc
 from starkit.plans.tables import Tables
 
 #: host, path, verdict of the rules of op1 (fixed values)
@@ -80,9 +80,15 @@ def op12_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "record_type", F.col("refers_to_id").cast("long").alias("refers_to"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = Tables(spark, sf_dir)
+    return lexical_search.search(tables.read("documents"), tables.read("benchmark"), k=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filters, op2_html_extraction, op3_exact_dedup, op4_byte_bpe, op5_substring_dedup,
-                            op6_lm_scoring, op7_minhash_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_rules, op11_merkle_manifest, op12_warc_revisits)}
+                            op6_lm_scoring, op7_minhash_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_rules, op11_merkle_manifest, op12_warc_revisits,
+                            op13_lexical_search)}
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE: dict[str, str] = {
@@ -198,5 +204,26 @@ SELECT page_id, n AS payload_bytes,
          lambda v, i: 2 * v + (substr(bits, 5 * k + i + 1, 1) = '1')::INT), 1)), '') AS payload_digest,
        CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN first_id END AS refers_to
 FROM ranked
+""",
+    "op13_lexical_search": r"""
+WITH found AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents
+), lengths AS (SELECT d, doc_id, len(ts) AS n FROM found WHERE len(ts) > 0),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+postings AS (SELECT d, t, count(*) AS tf FROM (SELECT d, unnest(ts) AS t FROM found) GROUP BY d, t),
+items AS (
+  SELECT item_id, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS t FROM benchmark
+), weights AS (
+  SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM postings, total GROUP BY t
+), scores AS (
+  SELECT item_id, d, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM items JOIN postings USING (t) JOIN weights USING (t) JOIN lengths USING (d), total GROUP BY item_id, d
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+FROM scores JOIN lengths USING (d) WHERE score > 0
+QUALIFY rank <= 50
 """,
 }
