@@ -18,6 +18,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starkit.operators import checks as chk
 from starkit.operators import quality as dq
 from starkit.operators.calendar import calendar_dim, year_bounds
 from starkit.operators.dims import (
@@ -247,16 +248,29 @@ def fct_voertuigpark_gemeente(stg_vp: DataFrame, d_gemeente: DataFrame, d_datum:
 
 # ---------------------------------------------------------------- marts
 
-def mart_gebrek_top(fct: DataFrame, d_gebrek: DataFrame, d_voertuig: DataFrame) -> DataFrame:
-    """Defects per code x vehicle kind x first-admission year, ranked per
-    kind x year (count desc, code desc).  The fact is joined to the large
-    vehicle dimension first and aggregated on the defect key before the
-    small defect-code dimension is joined."""
+def defects_per_kind(fct: DataFrame, d_voertuig: DataFrame) -> DataFrame:
+    """Defects per code, vehicle kind and year of first admission.
+
+    Facts of known vehicles meet their vehicle in the co-located join (both
+    tables are bucketed on the key).  Those of the unknown vehicle, which may be
+    most of them, share one key: they are aggregated first, a row a code, and
+    only then get the attributes of the unknown member."""
     veh = d_voertuig.select("voertuig_key", "voertuigsoort",
                             F.year("datum_eerste_toelating").alias("jaar_eerste_toelating"))
-    per = (fct.join(veh, "voertuig_key", "inner")
-              .groupBy("gebrek_key", "voertuigsoort", "jaar_eerste_toelating")
-              .agg(F.sum("aantal_gebreken").cast("bigint").alias("aantal_gebreken")))
+    kind = ["gebrek_key", "voertuigsoort", "jaar_eerste_toelating"]
+    total = F.sum("aantal_gebreken").cast("bigint").alias("aantal_gebreken")
+    is_unknown = F.col("voertuig_key") == UNKNOWN_KEY
+    known = fct.where(~is_unknown).join(veh, "voertuig_key", "inner").groupBy(*kind).agg(total)
+    unknown = fct.where(is_unknown).groupBy("voertuig_key", "gebrek_key").agg(total)
+    unknown = unknown.join(veh.where(is_unknown), "voertuig_key", "inner").select(*kind, "aantal_gebreken")
+    return known.unionByName(unknown).groupBy(*kind).agg(total)
+
+
+def mart_gebrek_top(fct: DataFrame, d_gebrek: DataFrame, d_voertuig: DataFrame) -> DataFrame:
+    """Defects per code x vehicle kind x first-admission year, ranked per
+    kind x year (count desc, code desc).  The fact is aggregated on the defect
+    key before the small defect-code dimension is joined."""
+    per = defects_per_kind(fct, d_voertuig)
     codes = d_gebrek.select("gebrek_key", "gebrek_identificatie", "gebrek_omschrijving")
     agg = per.join(codes, "gebrek_key", "inner").drop("gebrek_key")
     ranked = rank_within(agg, ["voertuigsoort", "jaar_eerste_toelating"],
@@ -419,43 +433,31 @@ DECLARED_TESTS = [
 ]
 
 
-def declared_checks(m: Mapping[str, DataFrame]) -> list[tuple[str, DataFrame]]:
-    out = []
-    for model, test, col, arg in DECLARED_TESTS:
-        df = m[model]
-        if test == "unique":
-            out.append((f"unique_{model}_{col}", dq.unique(df, col)))
-        elif test == "not_null":
-            out.append((f"not_null_{model}_{col}", dq.not_null(df, col)))
-        elif test == "accepted_values":
-            out.append((f"accepted_values_{model}_{col}", dq.accepted_values(df, col, arg)))
-        elif test == "unique_combination":
-            out.append((f"unique_combination_{model}_{'_'.join(col)}", dq.unique_combination(df, col)))
-        elif test == "relationships":
-            parent, pcol = arg
-            out.append((f"relationships_{model}_{col}__{parent}", dq.relationships(df, col, m[parent], pcol)))
-        else:  # pragma: no cover - the list above is fixed
-            raise ValueError(test)
-    return out
-
-
-def invariant_checks(m: Mapping[str, DataFrame]) -> list[tuple[str, DataFrame]]:
+def declared_checks() -> list[chk.Check]:
+    make = {
+        "unique": lambda model, col, _: chk.unique(model, col),
+        "not_null": lambda model, col, _: chk.not_null(model, col),
+        "accepted_values": chk.accepted_values,
+        "unique_combination": lambda model, cols, _: chk.unique_combination(
+            model, cols, f"unique_combination_{model}_{'_'.join(cols)}"),
+        "relationships": lambda model, col, parent: chk.relationships(
+            model, col, *parent, name=f"relationships_{model}_{col}__{parent[0]}"),
+    }
+    return [make[test](model, col, arg) for model, test, col, arg in DECLARED_TESTS]
+
+
+def invariant_checks(m: Mapping[str, DataFrame]) -> list[chk.Check]:
     """The six singular invariants of the warehouse."""
     gem = m["dim_gemeente"]
-    fct = m["fct_gebrek_constatering"]
     return [
-        ("assert_brandstof_energiedrager_bekend",
-         dq.unmapped(m["dim_brandstof"], "energiedrager", "brandstof_key")),
-        ("assert_gebrek_constatering_volledig",
-         dq.fact_completeness(fct, m["stg_rdw__gebrek_constateringen"], {
-             "onbekende_datum": ("meld_datum_key", -1), "onbekend_voertuig": ("voertuig_key", UNKNOWN_KEY),
-             "onbekend_gebrek": ("gebrek_key", UNKNOWN_KEY)})),
-        ("assert_gemeente_aaneengesloten_peiljaren", dq.gaps(m["stg_cbs__gemeenten"], "gemeente_code", "peiljaar")),
-        ("assert_gemeente_geen_overlappende_perioden",
-         dq.overlaps(gem, "gemeente_code", "gemeente_key", "geldig_van", "geldig_tot")),
-        ("assert_gemeente_hoogstens_een_actuele_versie", dq.at_most_one_current(gem, "gemeente_code", "is_actueel")),
-        ("assert_voertuigpark_geen_onbekende_gemeente",
-         dq.on_unknown_member(m["fct_voertuigpark_gemeente"], "gemeente_key")),
+        chk.unmapped("assert_brandstof_energiedrager_bekend", "dim_brandstof", "energiedrager", "brandstof_key"),
+        chk.complete("assert_gebrek_constatering_volledig", "fct_gebrek_constatering", m["stg_rdw__gebrek_constateringen"],
+                     {"meld_datum_key": -1, "voertuig_key": UNKNOWN_KEY, "gebrek_key": UNKNOWN_KEY}),
+        chk.no_rows("assert_gemeente_aaneengesloten_peiljaren", dq.gaps(m["stg_cbs__gemeenten"], "gemeente_code", "peiljaar")),
+        chk.no_rows("assert_gemeente_geen_overlappende_perioden",
+                    dq.overlaps(gem, "gemeente_code", "gemeente_key", "geldig_van", "geldig_tot")),
+        chk.no_rows("assert_gemeente_hoogstens_een_actuele_versie", dq.at_most_one_current(gem, "gemeente_code", "is_actueel")),
+        chk.unknown_member("assert_voertuigpark_geen_onbekende_gemeente", "fct_voertuigpark_gemeente", "gemeente_key"),
     ]
 
 
@@ -469,12 +471,17 @@ def build(spark: SparkSession, raw_dir: str, out_dir: str | None = None,
     m = models(spark, raw_sources(spark, raw_dir))
     base = out_dir or run_folder(spark, "warehouse")
     # The defect fact and the plate-sized vehicle dimension are bucketed alike
-    # on the vehicle key, so the ranking mart joins them without a shuffle.
+    # on the vehicle key, so the ranking mart joins them without a shuffle;
+    # facts of the unknown vehicle are spread over all writers.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    co_located = {"dim_voertuig": (n, ["voertuig_key"]), "fct_gebrek_constatering": (n, ["voertuig_key"])}
+    co_located = {"dim_voertuig": (n, ["voertuig_key"]),
+                  "fct_gebrek_constatering": (n, ["voertuig_key"], F.col("voertuig_key") == UNKNOWN_KEY)}
     # dependency order: dimensions + bridge, then facts from the written
     # dimensions, then marts from the written facts (nothing computed twice)
-    m.update(materialise({k: m[k] for k in WAREHOUSE if not k.startswith("fct_")}, base, bucket_by=co_located))
+    # the deduplicated defects are written once too: the fact is built from the
+    # files, and the completeness check takes the staged count from their footers
+    staged = {k: m[k] for k in ("stg_rdw__gebrek_constateringen",)}
+    m.update(materialise(staged | {k: m[k] for k in WAREHOUSE if not k.startswith("fct_")}, base, bucket_by=co_located))
     m["fct_gebrek_constatering"] = fct_gebrek_constatering(
         m["stg_rdw__gebrek_constateringen"], m["dim_datum"], m["dim_voertuig"], m["dim_gebrek"])
     m["fct_voertuigpark_gemeente"] = fct_voertuigpark_gemeente(
@@ -482,7 +489,7 @@ def build(spark: SparkSession, raw_dir: str, out_dir: str | None = None,
     m.update(materialise({k: m[k] for k in WAREHOUSE if k.startswith("fct_")}, base, bucket_by=co_located))
     add_marts(m)
     m.update(materialise({k: m[k] for k in MARTS}, base))
-    result = dq.run_suite(declared_checks(m) + invariant_checks(m))
+    result = chk.run_checks(m, declared_checks() + invariant_checks(m))
     if fail_on_error:
         dq.assert_suite(result)
     return m, result

@@ -24,7 +24,7 @@ def run_folder(spark: SparkSession, prefix: str = "run") -> str:
 
 
 def materialise(tables: Mapping[str, DataFrame], base: str, compression: str = "zstd",
-                parallel: int = 4, bucket_by: Mapping[str, tuple[int, list[str]]] | None = None
+                parallel: int = 4, bucket_by: Mapping[str, tuple] | None = None
                 ) -> dict[str, DataFrame]:
     """Write each table as parquet under ``base`` and return DataFrames that
     read the written files.  An empty table still writes a dataset carrying
@@ -37,7 +37,11 @@ def materialise(tables: Mapping[str, DataFrame], base: str, compression: str = "
     ``bucket_by`` maps a table to ``(buckets, key columns)``: it is written
     bucketed and sorted on the key as an external catalog table whose files
     live under ``base``.  Two tables bucketed alike on a join key are joined
-    later without shuffling either side (co-located sort-merge join).
+    later without shuffling either side (co-located sort-merge join).  A third
+    member, a condition, names the rows of a hot key (such as the unknown
+    member): these are dealt to all writers instead of the one of their bucket,
+    and lie in files of their own, which a reader of the other rows skips by
+    their statistics and a reader of just these takes in parallel.
     """
     import re
     from concurrent.futures import ThreadPoolExecutor
@@ -49,10 +53,16 @@ def materialise(tables: Mapping[str, DataFrame], base: str, compression: str = "
         name, df = item
         path = f"{base}/{name}.parquet"
         if name in buckets:
-            n, cols = buckets[name]
+            n, cols, *hot = buckets[name]
             table = f"{name}__{suffix}"
             # one writer task per bucket -> one file per bucket (no small files)
-            (df.repartition(n, *cols).write.mode("overwrite").option("compression", compression)
+            if hot:
+                spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n))
+                dealt = (df.where(F.coalesce(~hot[0], F.lit(True))).repartition(n, *cols)
+                           .unionByName(df.where(hot[0]).repartition(n, spread)))
+            else:
+                dealt = df.repartition(n, *cols)
+            (dealt.write.mode("overwrite").option("compression", compression)
                .bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(table))
             return name, ("table", table)
         df.write.mode("overwrite").option("compression", compression).parquet(path)
