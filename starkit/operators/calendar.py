@@ -13,7 +13,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.functions.keys import date_key
 from starkit.operators.dims import with_unknown
 
 # Dutch month and weekday names (ISO order, Monday first),
@@ -63,56 +62,45 @@ def years(bounds: DataFrame) -> DataFrame:
     return bounds.select(F.explode(F.sequence("first_year", "last_year")).alias("jaar"))
 
 
-def easter_sunday(year: Column) -> Column:
-    """Easter Sunday by the anonymous Gregorian algorithm; every division is
-    an integer division (``div``)."""
-    y = year
-    a = y % 19
-    b = F.floor(y / 100)
-    c = y % 100
-    d = F.floor(b / 4)
-    e = b % 4
-    f = F.floor((b + 8) / 25)
-    g = F.floor((b - f + 1) / 3)
-    h = (19 * a + b - d - g + 15) % 30
-    i = F.floor(c / 4)
-    k = c % 4
-    l_ = (32 + 2 * e + 2 * i - h - k) % 7
-    m = F.floor((a + 11 * h + 22 * l_) / 451)
-    month = F.floor((h + l_ - 7 * m + 114) / 31)
-    day = (h + l_ - 7 * m + 114) % 31 + 1
-    return F.make_date(y, month.cast("int"), day.cast("int"))
-
-
-def april_holiday(year: Column) -> tuple[Column, Column]:
-    """(date, name) of the April holiday: King's Day from 2014, Queen's Day
-    before; when the day is a Sunday it moves to the Saturday before."""
-    kings = year >= KINGS_DAY_FROM_YEAR
-    nominal = F.when(kings, F.make_date(year, F.lit(KINGS_DAY_DATE[0]), F.lit(KINGS_DAY_DATE[1]))) \
-        .otherwise(F.make_date(year, F.lit(QUEENS_DAY_DATE[0]), F.lit(QUEENS_DAY_DATE[1])))
-    day = F.when(F.dayofweek(nominal) == 1, F.date_sub(nominal, 1)).otherwise(nominal)
-    return day, F.when(kings, F.lit(KINGS_DAY)).otherwise(F.lit(QUEENS_DAY))
+def _easter_text(year: str) -> str:
+    """Easter Sunday of a year (SQL text) by the anonymous Gregorian algorithm;
+    every division is an integer division (``div``)."""
+    golden, century, of_century = f"({year} % 19)", f"({year} div 100)", f"({year} % 100)"
+    moon = f"({century} - ({century} + 8) div 25 + 1) div 3"
+    epact = f"((19 * {golden} + {century} - {century} div 4 - {moon} + 15) % 30)"
+    to_sunday = f"((32 + 2 * ({century} % 4) + 2 * ({of_century} div 4) - {epact} - {of_century} % 4) % 7)"
+    late = f"(({golden} + 11 * {epact} + 22 * {to_sunday}) div 451)"
+    day = f"({epact} + {to_sunday} - 7 * {late} + 114)"
+    return f"make_date({year}, int({day} div 31), int({day} % 31 + 1))"
+
+
+def easter_sunday(year: str) -> Column:
+    """Easter Sunday of the year in a column."""
+    return F.expr(_easter_text(f"int(`{year}`)"))
+
+
+def _april_text(year: str) -> tuple[str, str]:
+    """(date, name) of the April holiday as SQL texts: King's Day from 2014,
+    Queen's Day before; when the day is a Sunday it moves to the Saturday before."""
+    def on(m: int, d: int) -> str:
+        day = f"make_date({year}, {m}, {d})"
+        return f"if(weekday({day}) = 6, date_sub({day}, 1), {day})"
+    kings = f"{year} >= {KINGS_DAY_FROM_YEAR}"
+    return (f"if({kings}, {on(*KINGS_DAY_DATE)}, {on(*QUEENS_DAY_DATE)})", f"if({kings}, '{KINGS_DAY}', '{QUEENS_DAY}')")
 
 
 def nl_holidays(bounds: DataFrame) -> DataFrame:
     """Dutch public holidays for every year in ``bounds``: one row per date
     (``datum``, ``feestdag``); two holidays on one date are joined with
     ``' en '`` in name order.  Every year yields one struct per holiday
-    from the fixed tables above, exploded once."""
-    y = F.col("jaar")
-    easter = easter_sunday(y)
-
-    def h(d: Column, name) -> Column:
-        return F.struct(d.alias("datum"), (name if isinstance(name, Column) else F.lit(name)).alias("feestdag"))
-
-    april_day, april_name = april_holiday(y)
-    per_year = ([h(F.date_add(easter, off), name) for name, off in EASTER_OFFSETS.items()]
-                + [h(F.make_date(y, F.lit(m), F.lit(d)), name) for name, (m, d) in FIXED_DATES.items()]
-                + [h(april_day, april_name)])
-    rows = years(bounds).select(F.explode(F.array(*per_year)).alias("h")).select("h.datum", "h.feestdag")
+    from the fixed tables above, exploded once; the expressions are one SQL
+    text, so building the plan is one call."""
+    fixed = [(f"make_date(jaar, {m}, {d})", f"'{name}'") for name, (m, d) in FIXED_DATES.items()]
+    moving = [(f"date_add(easter, {off})", f"'{name}'") for name, off in EASTER_OFFSETS.items()]
+    listed = ", ".join(f"named_struct('datum', {d}, 'feestdag', {name})" for d, name in [*moving, *fixed, _april_text("jaar")])
+    rows = years(bounds).selectExpr("jaar", f"{_easter_text('jaar')} AS easter").selectExpr(f"inline(array({listed}))")
     # At most a handful of names per date, so the per-date list is bounded.
-    return rows.groupBy("datum").agg(
-        F.array_join(F.array_sort(F.collect_list("feestdag")), HOLIDAY_SEPARATOR).alias("feestdag"))
+    return rows.groupBy("datum").agg(F.expr(f"array_join(array_sort(collect_list(feestdag)), '{HOLIDAY_SEPARATOR}') AS feestdag"))
 
 
 def calendar_days(bounds: DataFrame) -> DataFrame:
@@ -131,32 +119,18 @@ def calendar_dim(bounds: DataFrame, unknown_member: bool = True) -> DataFrame:
     """Calendar dimension (K4): 16 attributes, ISO week with its ISO year,
     weekend / holiday / workday flags and Dutch names; plus the unknown
     member (key -1, 1900-01-01) when requested."""
-    d = F.col("k.datum")
-    dow = F.weekday(d) + 1  # ISO: Monday = 1 .. Sunday = 7
-    months = F.array(*[F.lit(m) for m in MONTH_NAMES])
-    days = F.array(*[F.lit(x) for x in DAY_NAMES])
-    hol = nl_holidays(bounds)
+    def names(values: list[str]) -> str:
+        return "array(" + ", ".join(f"'{x}'" for x in values) + ")"
+
     # The holiday list is bounded by 11 rows per calendar year.
-    cal = (calendar_days(bounds).alias("k")
-           .join(F.broadcast(hol).alias("f"), F.col("k.datum") == F.col("f.datum"), "left")
-           .select(
-               date_key(d).alias("datum_key"),
-               d.alias("datum"),
-               F.year(d).alias("jaar"),
-               F.quarter(d).alias("kwartaal"),
-               F.month(d).alias("maand"),
-               F.element_at(months, F.month(d)).alias("maand_naam"),
-               F.dayofmonth(d).alias("dag"),
-               F.dayofyear(d).alias("dag_van_jaar"),
-               dow.alias("dag_van_week"),
-               F.element_at(days, dow).alias("dag_naam"),
-               F.weekofyear(d).alias("weeknummer"),
-               F.extract(F.lit("YEAROFWEEK"), d).cast("int").alias("iso_jaar"),
-               (dow >= 6).alias("is_weekend"),
-               F.col("f.datum").isNotNull().alias("is_feestdag"),
-               F.col("f.feestdag").alias("feestdag_naam"),
-               ((dow <= 5) & F.col("f.datum").isNull()).alias("is_werkdag"),
-           ))
+    hol = nl_holidays(bounds).withColumnRenamed("datum", "op")
+    days = calendar_days(bounds).withColumn("dag_van_week", F.expr("weekday(datum) + 1"))  # ISO: Monday = 1
+    cal = days.join(F.broadcast(hol), days["datum"] == hol["op"], "left").selectExpr(
+        "int(date_format(datum, 'yyyyMMdd')) AS datum_key", "datum", "year(datum) AS jaar", "quarter(datum) AS kwartaal", "month(datum) AS maand",
+        f"element_at({names(MONTH_NAMES)}, month(datum)) AS maand_naam", "day(datum) AS dag", "dayofyear(datum) AS dag_van_jaar",
+        "dag_van_week", f"element_at({names(DAY_NAMES)}, dag_van_week) AS dag_naam", "weekofyear(datum) AS weeknummer",
+        "int(extract(YEAROFWEEK FROM datum)) AS iso_jaar", "dag_van_week > 5 AS is_weekend", "op IS NOT NULL AS is_feestdag",
+        "feestdag AS feestdag_naam", "dag_van_week < 6 AND op IS NULL AS is_werkdag")
     if not unknown_member:
         return cal
     return with_unknown(cal, {

@@ -142,15 +142,15 @@ def _keyed(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFram
     children = [(i, c.table, c.columns[0]) for i, c in enumerate(checks)]
     parents = [(i, *c.parent) for i, c in enumerate(checks) if c.kind == "relationships"]
     groups = key_groups(tables, children, parents)
-    failures = F.lit(0).cast("bigint")
-    for i, c in reversed(list(enumerate(checks))):
+    failures = F  # one flat CASE over the checks
+    for i, c in enumerate(checks):
         if c.kind == "unique":
             bad = F.when(F.col("n") > 1, 1).otherwise(0)
         elif c.kind == "accepted_values":
             bad = F.when((F.col("n") > 0) & ~F.col("value").isin([str(v) for v in c.values]), 1).otherwise(0)
         else:
             bad = F.when(F.col("has_parent"), 0).otherwise(F.col("n"))
-        failures = F.when(F.col("check") == i, bad.cast("bigint")).otherwise(failures)
+        failures = failures.when(F.col("check") == i, bad.cast("bigint"))
     found = groups.groupBy("check").agg(F.sum(failures).alias("failing_rows"))
     names = F.explode(F.array(*[F.struct(F.lit(i).alias("check"), F.lit(c.name).alias("check_name")) for i, c in enumerate(checks)]))
     spark = groups.sparkSession  # a check without any value has no group and passes

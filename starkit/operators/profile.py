@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from starkit.functions.casts import cast_fails, safe_ratio
 from starkit.functions.scalars import scalar_of
+from starkit.sources.footers import footers
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -64,6 +65,38 @@ def column_profile(df: DataFrame, exact: bool = False) -> DataFrame:
     )
 
 
+SKETCH_LOG_K = 14  # 2**14 registers: a relative error of about 0.8 % (1 sigma)
+SKETCH_TOLERANCE = 0.04
+
+
+def distinct_sketches(df: DataFrame) -> DataFrame:
+    """Per source file and column: rows, nulls, and a HyperLogLog sketch of
+    the distinct values, to be stored and merged later: (source_file,
+    column_name, n_rows, n_null, sketch).  One scan; values are combined on
+    the map side, so a file sends one row of sketches, whatever its size."""
+    cols = df.columns
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for i, c in enumerate(cols):
+        aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nn{i}"),
+                 F.hll_sketch_agg(F.col(f"`{c}`").cast("string"), F.lit(SKETCH_LOG_K)).alias(f"sk{i}")]
+    per_file = df.groupBy(F.col("_metadata.file_path").alias("source_file")).agg(*aggs)
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"nn{i}").alias("n_null"), F.col(f"sk{i}").alias("sketch"))
+                               for i, c in enumerate(cols)]))
+    return per_file.select("source_file", F.col("__rows").alias("n_rows"), rows.alias("s")).select(
+        "source_file", "s.column_name", "n_rows", "s.n_null", "s.sketch")
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """Per column the rows, nulls and sketch of all files of ``sketches``."""
+    return sketches.groupBy("column_name").agg(
+        F.sum("n_rows").cast("bigint").alias("n_rows"), F.sum("n_null").cast("bigint").alias("n_null"), F.hll_union_agg("sketch").alias("sketch"))
+
+
+def within(sketch, exact, tolerance: float = SKETCH_TOLERANCE):
+    """Whether the estimate of a sketch is within the tolerance of an exact count."""
+    return F.abs(F.hll_sketch_estimate(sketch) - exact) <= F.greatest(F.lit(1.0), tolerance * exact)
+
+
 def grain(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """Per table and candidate key: rows, distinct keys, unique?,
     rows per key.  A key column the table lacks becomes a remark row
@@ -179,32 +212,8 @@ def value_census(df: DataFrame, cols: Sequence[str], table: str | None = None) -
 
 def parquet_inventory(spark, glob: str) -> DataFrame:
     """Per file: rows, columns, MB, row groups, bytes per row — from the
-    parquet footers only.  The file list comes from Spark's file index
-    (``inputFiles``, no job); the footers are read on the executors with
-    ``mapInPandas`` over that list, never the data pages."""
-    files = sorted(spark.read.parquet(glob).inputFiles())
-    n_slices = max(1, min(len(files), spark.sparkContext.defaultParallelism))
-    listing = spark.createDataFrame([(f,) for f in files], "path string").repartition(n_slices)
-
-    def footers(batches):
-        import pandas as pd
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        for b in batches:
-            out = []
-            for path in b["path"]:
-                filesystem, p = fs.FileSystem.from_uri(path)
-                size = filesystem.get_file_info(p).size
-                with filesystem.open_input_file(p) as fh:
-                    md = pq.ParquetFile(fh).metadata
-                out.append((path.rsplit("/", 1)[-1], md.num_rows, md.num_columns,
-                            md.num_row_groups, int(size)))
-            yield pd.DataFrame(out, columns=["file_name", "n_rows", "n_columns", "row_groups", "size"])
-
-    schema = "file_name string, n_rows long, n_columns int, row_groups int, size long"
-    meta = listing.mapInPandas(footers, schema)
-    return meta.select(
-        "file_name", "n_rows", "n_columns",
+    parquet footers only, over a listing that stays on the executors."""
+    return footers(spark, glob).select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "n_rows", "n_columns",
         F.round(F.col("size") / 1024.0 / 1024.0, 2).alias("mb"), "row_groups",
         F.round(safe_ratio(F.col("size"), F.col("n_rows")), 1).alias("bytes_per_row"))

@@ -525,6 +525,19 @@ def q_profile_columns_approx(t: Tables) -> DataFrame:
     return prof.column_profile(t.lineitem, exact=False)
 
 
+@query("profile_distinct_sketches")
+def q_profile_distinct_sketches(t: Tables) -> DataFrame:
+    """Sketches of lineitem's columns, stored a file, read back and merged
+    for the table; the exact counts beside them, and whether the estimates
+    are within tolerance."""
+    path = f"{ex.run_folder(t.spark, 'sketches')}/lineitem.parquet"
+    prof.distinct_sketches(t.lineitem).write.parquet(path)
+    merged = prof.merged_sketches(t.spark.read.parquet(path))
+    exact = prof.column_profile(t.lineitem, exact=True).select("column_name", "n_distinct")
+    return merged.join(exact, "column_name").select(
+        "column_name", "n_rows", "n_null", "n_distinct", prof.within(F.col("sketch"), F.col("n_distinct")).alias("within_tolerance"))
+
+
 @query("profile_grain")
 def q_profile_grain(t: Tables) -> DataFrame:
     """Candidate keys per table; a missing column is a remark."""
@@ -609,6 +622,12 @@ def q_profile_inventory(t: Tables) -> DataFrame:
     return prof.parquet_inventory(t.spark, f"{t.sf_dir}/*.parquet")
 
 
+@query("profile_inventory_counts")
+def q_profile_inventory_counts(t: Tables) -> DataFrame:
+    """Rows and columns of each file, from parquet footers only."""
+    return prof.parquet_inventory(t.spark, f"{t.sf_dir}/*.parquet").select("file_name", "n_rows", "n_columns")
+
+
 # ---------------------------------------------------------------- sampling / landing / export
 
 RANGE_SIZE = 100

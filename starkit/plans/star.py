@@ -37,6 +37,7 @@ from starkit.operators.dims import (
 from starkit.operators.facts import coverage_floor, lookup, temporal_lookup
 from starkit.operators.staging import Spec, dedup, typed_projection
 from starkit.plans.tables import Tables
+from starkit.sources.footers import column_bounds
 
 # Fixed parameters of the test-data star.
 PART_DIM_MAX_SIZE = 45
@@ -68,10 +69,10 @@ def stg_lineitem(t: Tables) -> DataFrame:
 
 
 def calendar_bounds(t: Tables) -> DataFrame:
-    """One row: first and last year over order dates and ship dates."""
-    # least and greatest raw dates (file statistics can answer these), then the years
-    spans = (t.orders.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
-             .union(t.lineitem.agg(F.min("l_shipdate"), F.max("l_shipdate"))))
+    """One row: first and last year over order dates and ship dates, from the
+    footers of the files."""
+    spans = (column_bounds(t.spark, t.path("orders"), "o_orderdate", t.orders)
+             .union(column_bounds(t.spark, t.path("lineitem"), "l_shipdate", t.lineitem)))
     return spans.agg(F.min(F.year("lo")).alias("first_year"), F.max(F.year("hi")).alias("last_year"))
 
 
