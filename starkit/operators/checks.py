@@ -117,21 +117,24 @@ def _predicates(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def _tagged(df: DataFrame, keys: Sequence[tuple[int, str]], parent: bool) -> DataFrame:
-    """(check, value, n, is_parent): the values of several columns in one pass."""
+def _tagged(df: DataFrame, keys: Sequence[tuple[int, str]], parent: bool, nulls: bool = False) -> DataFrame:
+    """(check, value, n, is_parent): the values of several columns in one pass,
+    without nulls unless asked for."""
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("check"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in keys]))
-    rows = df.select(pairs.alias("k")).select("k.check", "k.value").where(F.col("value").isNotNull())
+    rows = df.select(pairs.alias("k")).select("k.check", "k.value")
+    rows = rows if nulls else rows.where(F.col("value").isNotNull())
     return rows.withColumn("n", F.lit(0 if parent else 1).cast("bigint")).withColumn("is_parent", F.lit(parent))
 
 
 def key_groups(tables: Mapping[str, DataFrame], children: Sequence[tuple[int, str, str]],
-               parents: Sequence[tuple[int, str, str]]) -> DataFrame:
+               parents: Sequence[tuple[int, str, str]], nulls: bool = False) -> DataFrame:
     """(check, value, n, has_parent) over ``children`` and ``parents``, lists
-    of (check, table, column): one group-by for all of them."""
+    of (check, table, column): one group-by for all of them.  Null values of
+    children are left out unless ``nulls``; a null parent is none."""
     out = None
     for keys, parent in ((children, False), (parents, True)):
         for table in dict.fromkeys(t for _, t, _ in keys):
-            part = _tagged(tables[table], [(i, c) for i, t, c in keys if t == table], parent)
+            part = _tagged(tables[table], [(i, c) for i, t, c in keys if t == table], parent, nulls and not parent)
             out = part if out is None else out.unionByName(part)
     return out.groupBy("check", "value").agg(F.sum("n").alias("n"), F.max("is_parent").alias("has_parent"))
 

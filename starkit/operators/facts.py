@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from starkit.operators.dims import UNKNOWN_KEY
 
 
+#: Rows up to which a counted dimension of a lookup is broadcast (two columns).
+BROADCAST_ROWS = 1_000_000
+
+
 def _as_list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
@@ -47,15 +51,17 @@ def _zero_salt(key: Column) -> Column:
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_on, dim_on, key_col: str,
-           out_col: str | None = None, unknown=UNKNOWN_KEY, bounded_dim: bool = False,
+           out_col: str | None = None, unknown=UNKNOWN_KEY, bounded_dim: bool | str = False,
            null_key_spread: int | None = None, grain: Sequence[str] | None = None) -> DataFrame:
     """Left equi lookup of a surrogate key on the natural key (J1 + P14).
 
     Every fact row is kept; a miss gets the unknown-member key.  The
     dimension natural key must be unique (``quality.unique``) or the fact
     fans out.  ``bounded_dim=True`` broadcasts the dimension and is meant
-    only for dimensions whose size is bounded by construction (calendar,
-    code lists); otherwise the join strategy is left to the optimizer and
+    only for one that is bounded by construction: a calendar, which has 3.7
+    million days at most (dates end with the year 9999), of two columns.
+    ``bounded_dim="counted"`` counts the dimension (a written one by its
+    footers) and broadcasts up to ``BROADCAST_ROWS`` rows; otherwise the join strategy is left to the optimizer and
     AQE, which broadcast at runtime only below the configured threshold
     and otherwise sort-merge on the key.  For a sort-merge join, fact rows
     with a null key are spread over ``null_key_spread`` partitions (as many
@@ -69,7 +75,7 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_on, dim_on, key_col: str,
     for i, c in enumerate(f_cols):
         e = c == F.col(f"__nk{i}")
         cond = e if cond is None else cond & e
-    if bounded_dim:
+    if bounded_dim is True or (bounded_dim == "counted" and dim.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS):
         d = F.broadcast(d)
     elif (spread := _spread(fact, null_key_spread)) > 0:
         fact = fact.withColumn("__fsalt", _null_key_salt(fact, f_cols, spread, grain))

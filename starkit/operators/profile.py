@@ -159,6 +159,20 @@ def coverage(child: DataFrame, child_col: str, parent: DataFrame, parent_col: st
                      .alias("coverage_pct"))
 
 
+def orphan_counts(tables: Mapping[str, DataFrame], references: Mapping[str, tuple[str, str, str, str]],
+                  nulls: bool = False) -> DataFrame:
+    """One row with the orphans of each reference (name -> child table,
+    column, parent table, column), by one group-by over the tagged keys of
+    all of them; with ``nulls`` a null key is an orphan too."""
+    from starkit.operators.checks import key_groups
+
+    listed = list(references.items())
+    groups = key_groups(tables, [(i, r[0], r[1]) for i, (_, r) in enumerate(listed)],
+                        [(i, r[2], r[3]) for i, (_, r) in enumerate(listed)], nulls)
+    return groups.agg(*[F.coalesce(F.sum(F.when((F.col("check") == i) & ~F.col("has_parent"), F.col("n"))), F.lit(0).cast("bigint")).alias(name)
+                        for i, (name, _) in enumerate(listed)])
+
+
 def membership_change(df: DataFrame, period: str, member: str) -> DataFrame:
     """Per period, members that appear (no previous period) and
     that vanish (no next period) — excluding the first and last period of

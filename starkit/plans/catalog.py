@@ -7,6 +7,7 @@ The DuckDB formulation of the same query is in ``starkit.plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,12 +35,15 @@ from starkit.sources import export as ex
 from starkit.sources import sample as smp
 from starkit.sources.landing import (
     dataset_name,
+    land,
+    land_code_list,
+    manifest_entries,
     normalise_json,
     prefix_or_equal,
     read_family,
+    reconciled,
     select_by_title,
     upsert_manifest,
-    write_landing,
     year_window,
 )
 from starkit.streaming.landing import land_available, landed_stream
@@ -604,15 +608,17 @@ def q_profile_value_census(t: Tables) -> DataFrame:
 
 @query("profile_format_counts")
 def q_profile_format_counts(t: Tables) -> DataFrame:
-    """Orphan counts, duplicate key groups and a text-length count."""
-    li, o = t.lineitem, t.orders
+    """Orphan counts, duplicate key groups and a text-length count.  The
+    three references are one tagged group-by, from which the orphans are
+    read; lines and orders are scanned once for all their keys."""
     parts = t.part.where(F.col("p_size") <= star.PART_DIM_MAX_SIZE)
-    return t.spark.range(1).select(
-        count_of(li.join(o, li.l_orderkey == o.o_orderkey, "left_anti")).alias("lines_without_order"),
-        count_of(o.join(t.customer, o.o_custkey == t.customer.c_custkey, "left_anti"))
-        .alias("orders_without_customer"),
-        count_of(li.join(parts, li.l_partkey == parts.p_partkey, "left_anti")).alias("lines_without_part_dim"),
-        count_of(dq.unique_combination(li, ["l_orderkey", "l_linenumber"])).alias("duplicate_line_groups"),
+    orphans = prof.orphan_counts(
+        {"lineitem": t.lineitem, "orders": t.orders, "customer": t.customer, "parts": parts},
+        {"lines_without_order": ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+         "orders_without_customer": ("orders", "o_custkey", "customer", "c_custkey"),
+         "lines_without_part_dim": ("lineitem", "l_partkey", "parts", "p_partkey")}, nulls=True)
+    return orphans.select(
+        "*", count_of(dq.unique_combination(t.lineitem, ["l_orderkey", "l_linenumber"])).alias("duplicate_line_groups"),
         t.part.agg(F.count_if(F.length("p_name") == NAME_LENGTH_PROBE)).scalar().alias("names_of_8_chars"))
 
 
@@ -668,29 +674,32 @@ def q_sample_referential(t: Tables) -> DataFrame:
 
 @query("manifest_upsert")
 def q_manifest_upsert(t: Tables) -> DataFrame:
-    """A manifest of the input tables; two tables are re-landed
-    as all-string parquet in the shared folder, their entries replace the
-    old ones, expected vs written counts are reconciled."""
-    def entry(name: str, snapshot: str, df: DataFrame, written: DataFrame | None = None) -> DataFrame:
-        return t.spark.range(1).select(
-            F.lit(f"{name}.parquet").alias("file_name"), F.lit(snapshot).alias("snapshot_date"),
-            count_of(written if written is not None else df).alias("n_rows"),
-            F.lit(len(df.columns)).alias("n_columns"), count_of(df).alias("expected_rows"))
-
-    old = [entry(n, "2026-01-01", t.read(n)) for n in MANIFEST_TABLES]
+    """The input tables land as all-string parquet in the shared
+    folder; two of them land again under a later date, and their entries
+    replace the old ones.  Expected rows are observed by the writes, written
+    rows are those of the files, and the two are reconciled."""
     base = ex.run_folder(t.spark, "landing")
-    new = []
-    for n in RELANDED:
-        path = f"{base}/{n}.parquet"
-        write_landing(t.read(n), path)
-        new.append(entry(n, "2026-02-01", t.read(n), t.spark.read.parquet(path)))
-    manifest, entries = old[0], new[0]
-    for x in old[1:]:
-        manifest = manifest.unionByName(x)
-    for x in new[1:]:
-        entries = entries.unionByName(x)
-    out = upsert_manifest(manifest, entries)
-    return out.withColumn("reconciled", F.col("n_rows") == F.col("expected_rows"))
+    steps = [(n, "2026-01-01") for n in MANIFEST_TABLES] + [(n, "2026-02-01") for n in RELANDED]
+
+    def step(name: str, snapshot: str):
+        return f"{name}.parquet", snapshot, land(t.read(name), f"{base}/{snapshot}/{name}.parquet")
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        landed = list(pool.map(lambda s: step(*s), steps))
+    old, new = (manifest_entries(t.spark, part) for part in (landed[:len(MANIFEST_TABLES)], landed[len(MANIFEST_TABLES):]))
+    return reconciled(t.spark, upsert_manifest(old, new)).orderBy("file_name")
+
+
+@query("landing_code_list")
+def q_landing_code_list(t: Tables) -> DataFrame:
+    """Part codes as JSON records whose keys vary (absent where there is no
+    value), landed with the sorted union of the keys and read back."""
+    size = F.col("p_size")
+    record = F.struct(F.col("p_name").alias("Title"), F.col("p_partkey").alias("Identifier"), F.when(size <= 25, F.col("p_brand")).alias("Key"),
+                      F.when(size > 40, F.col("p_type")).alias("Description"))
+    path = f"{ex.run_folder(t.spark, 'codes')}/part_codes.parquet"
+    land_code_list(t.part.select(F.to_json(record).alias("record")), "record", path, "2026-01-01")
+    return t.spark.read.parquet(path)
 
 
 @query("export_roundtrip")

@@ -691,7 +691,8 @@ WITH keys AS (
   SELECT CAST(k AS BIGINT) FROM (VALUES (1499), (14999), (99999999)) t(k)
 ),
 so AS (SELECT * FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM keys))
-SELECT 200 AS n_requested, 3 AS n_extra, (SELECT count(*) FROM keys) AS n_keys,
+SELECT 200 AS n_requested, 3 AS n_extra, '1499,14999,99999999' AS extra_keys, (SELECT count(*) FROM keys) AS n_keys,
+       (SELECT max(o_orderkey) FROM keys WHERE o_orderkey NOT IN (1499, 14999, 99999999)) AS limit_key,
        (SELECT max(o_orderkey) FROM keys) AS max_key,
        (SELECT CAST(min(year(o_orderdate)) AS INTEGER) FROM so) AS first_order_year,
        (SELECT count(*) FROM so) AS orders_rows,
@@ -732,3 +733,9 @@ _LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quan
 ORACLE["profile_distinct_sketches"] = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct, "
     f"true AS within_tolerance FROM lineitem" for c in _LINE_COLUMNS)
+
+ORACLE["landing_code_list"] = """
+SELECT CASE WHEN p_size > 40 THEN p_type END AS "Description", p_partkey::VARCHAR AS "Identifier",
+       CASE WHEN p_size <= 25 THEN p_brand END AS "Key", p_name AS "Title"
+FROM part
+"""

@@ -13,8 +13,8 @@ from starkit.operators import quality as dq
 from starkit.plans import registry as reg
 from starkit.sources.landing import read_family, source
 
-# Candidate keys per raw file, the columns staging hard-casts,
-# and the indicator columns read as booleans.
+# Candidate keys per raw file, references between raw files, the
+# columns staging hard-casts, and the indicator columns read as booleans.
 GRAIN_CANDIDATES = {
     "rdw_gekentekende_voertuigen": ["kenteken"],
     "rdw_brandstof": ["kenteken", "brandstof_volgnummer"],
@@ -29,6 +29,14 @@ GRAIN_CANDIDATES = {
     "cbs_85237ned_measurecodes": ["Identifier"],
     "cbs_gebieden_measurecodes": ["Identifier"],
 }
+REFERENCES = [
+    ("rdw_brandstof", "kenteken", "rdw_gekentekende_voertuigen", "kenteken"),
+    ("rdw_geconstateerde_gebreken", "kenteken", "rdw_gekentekende_voertuigen", "kenteken"),
+    ("rdw_geconstateerde_gebreken", "gebrek_identificatie", "rdw_gebreken", "gebrek_identificatie"),
+    ("cbs_70072ned_motorvoertuigen_gemeente", "RegioS", "cbs_70072ned_regiocodes", "Identifier"),
+    ("cbs_70072ned_motorvoertuigen_gemeente", "Measure", "cbs_70072ned_measurecodes", "Identifier"),
+    ("cbs_70072ned_motorvoertuigen_gemeente", "Perioden", "cbs_70072ned_periodencodes", "Identifier"),
+]
 CASTS = {
     "aantal_zitplaatsen": "int", "aantal_deuren": "int", "aantal_wielen": "int", "aantal_cilinders": "int",
     "cilinderinhoud": "int", "massa_ledig_voertuig": "int", "massa_rijklaar": "int",
@@ -74,17 +82,16 @@ def duplicate_defect_rows(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 
 def coverage(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Referential coverage of fuel and defects on vehicles and codes."""
-    veh = source(spark, raw_dir, reg.RDW, reg.VEHICLES)
-    fuel = source(spark, raw_dir, reg.RDW, reg.FUEL)
-    found = source(spark, raw_dir, reg.RDW, reg.DEFECTS_FOUND)
-    codes = source(spark, raw_dir, reg.RDW, reg.DEFECT_CODES)
-    parts = [prof.coverage(fuel, "kenteken", veh, "kenteken", "rdw_brandstof", "rdw_gekentekende_voertuigen"),
-             prof.coverage(found, "kenteken", veh, "kenteken", "rdw_geconstateerde_gebreken",
-                           "rdw_gekentekende_voertuigen"),
-             prof.coverage(found, "gebrek_identificatie", codes, "gebrek_identificatie",
-                           "rdw_geconstateerde_gebreken", "rdw_gebreken")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Referential coverage of fuel and defects on vehicles and codes, and
+    of the fleet file on its three code lists; pairs whose files the raw folder
+    has."""
+    there = set(reg.raw_names(spark, raw_dir))
+    out = None
+    for child, col, parent, parent_col in REFERENCES:
+        if {child, parent} <= there:
+            part = prof.coverage(_raw(spark, raw_dir, child), col, _raw(spark, raw_dir, parent), parent_col, child, parent)
+            out = part if out is None else out.unionByName(part)
+    return out
 
 
 def area_series(spark: SparkSession, raw_dir: str) -> DataFrame:
@@ -129,13 +136,11 @@ def fixture_checks(spark: SparkSession, raw_dir: str) -> DataFrame:
     fuel = source(spark, raw_dir, reg.RDW, reg.FUEL)
     found = source(spark, raw_dir, reg.RDW, reg.DEFECTS_FOUND)
     codes = source(spark, raw_dir, reg.RDW, reg.DEFECT_CODES)
-
-    return spark.range(1).select(
-        count_of(dq.relationships(fuel, "kenteken", veh, "kenteken")).alias("fuel_without_vehicle"),
-        count_of(dq.relationships(found, "kenteken", veh, "kenteken")).alias("defects_without_vehicle"),
-        count_of(dq.relationships(found, "gebrek_identificatie", codes, "gebrek_identificatie"))
-        .alias("defects_without_code"),
-        count_of(dq.unique_combination(found, ["kenteken", "meld_datum_door_keuringsinstantie",
+    return prof.orphan_counts({"fuel": fuel, "found": found, "veh": veh, "codes": codes}, {
+        "fuel_without_vehicle": ("fuel", "kenteken", "veh", "kenteken"),
+        "defects_without_vehicle": ("found", "kenteken", "veh", "kenteken"),
+        "defects_without_code": ("found", "gebrek_identificatie", "codes", "gebrek_identificatie")}).select(
+        "*", count_of(dq.unique_combination(found, ["kenteken", "meld_datum_door_keuringsinstantie",
                                                "meld_tijd_door_keuringsinstantie", "gebrek_identificatie"]))
         .alias("duplicate_defects"),
         found.agg(F.count_if(F.length("meld_tijd_door_keuringsinstantie") == 3)).scalar()

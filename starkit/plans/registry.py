@@ -105,17 +105,26 @@ DEFECT_CODE_SPECS = [
     Spec("einddatum_gebrek_dt", "date", "einddatum_gebrek"),
 ]
 
+DEFECT_FOUND_COLUMNS = ["kenteken", "meld_datum_door_keuringsinstantie_dt", "meld_tijd_door_keuringsinstantie", "gebrek_identificatie",
+                        "soort_erkenning_omschrijving", "aantal_gebreken_geconstateerd"]
+FLEET_COLUMNS = ["RegioS", "Perioden", "Measure", "Value"]
+
 
 # ---------------------------------------------------------------- raw sources
 
 def raw_sources(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    """The raw layer under ``raw_dir`` (swappable: full snapshot or fixtures)."""
+    """The raw layer under ``raw_dir`` (swappable: full snapshot or fixtures).
+    The schema is declared, all text: the columns that staging needs, which are
+    null where a file lacks them, and whatever else the files have."""
+    def needed(specs: list[Spec]) -> list[str]:
+        return [s.src for s in specs]
+
     return {
-        "voertuigen": source(spark, raw_dir, RDW, VEHICLES),
-        "brandstof": source(spark, raw_dir, RDW, FUEL),
-        "gebrek_constateringen": source(spark, raw_dir, RDW, DEFECTS_FOUND),
-        "gebreken": source(spark, raw_dir, RDW, DEFECT_CODES),
-        "voertuigpark": source(spark, raw_dir, CBS, FLEET),
+        "voertuigen": source(spark, raw_dir, RDW, VEHICLES, at_least=needed(VEHICLE_SPECS)),
+        "brandstof": source(spark, raw_dir, RDW, FUEL, at_least=needed(FUEL_SPECS)),
+        "gebrek_constateringen": source(spark, raw_dir, RDW, DEFECTS_FOUND, at_least=DEFECT_FOUND_COLUMNS),
+        "gebreken": source(spark, raw_dir, RDW, DEFECT_CODES, at_least=needed(DEFECT_CODE_SPECS)),
+        "voertuigpark": source(spark, raw_dir, CBS, FLEET, at_least=FLEET_COLUMNS),
         "gebieden": read_family(spark, f"{raw_dir.rstrip('/')}/{AREAS_GLOB}"),
     }
 
@@ -222,14 +231,14 @@ def fct_gebrek_constatering(stg_gc: DataFrame, d_datum: DataFrame, d_voertuig: D
                             d_gebrek: DataFrame) -> DataFrame:
     """Transaction fact: one row per defect found; the per-inspection total
     of the source is non-additive and dropped; measure is a constant 1.
-    The calendar and the defect-code list are bounded (broadcast); the
+    The calendar and the defect-code list, once counted, are broadcast; the
     vehicle dimension is plate-sized and left to a sort-merge join / AQE."""
     f = lookup(stg_gc, d_datum, "meld_datum", "datum", "datum_key", out_col="meld_datum_key",
                unknown=-1, bounded_dim=True)
-    f = lookup(f, d_voertuig, "kenteken", "kenteken", "voertuig_key")
-    # the defect codes are a reference list (about a thousand codes), bounded
-    # independently of the number of defects found: broadcast it
-    f = lookup(f, d_gebrek, "gebrek_identificatie", "gebrek_identificatie", "gebrek_key", bounded_dim=True)
+    grain = ["kenteken", "meld_datum", "meld_tijd", "gebrek_identificatie"]
+    f = lookup(f, d_voertuig, "kenteken", "kenteken", "voertuig_key", grain=grain)
+    # the defect codes are a reference list (about a thousand codes): counted, then broadcast
+    f = lookup(f, d_gebrek, "gebrek_identificatie", "gebrek_identificatie", "gebrek_key", bounded_dim="counted", grain=grain)
     return f.select("meld_datum_key", "voertuig_key", "gebrek_key", "kenteken", "meld_datum", "meld_tijd",
                     "gebrek_identificatie", "soort_erkenning_omschrijving", F.lit(1).alias("aantal_gebreken"))
 
@@ -240,7 +249,7 @@ def fct_voertuigpark_gemeente(stg_vp: DataFrame, d_gemeente: DataFrame, d_datum:
     start = F.make_date(F.col("peiljaar"), F.lit(1), F.lit(1))
     kept = coverage_floor(stg_vp, start, d_gemeente, "geldig_van", key_col="gemeente_key")
     f = temporal_lookup(kept, d_gemeente, "gemeente_code", start, "gemeente_code", "gemeente_key",
-                        from_col="geldig_van", to_col="geldig_tot")
+                        from_col="geldig_van", to_col="geldig_tot", grain=["gemeente_code", "peiljaar", "voertuigsoort"])
     f = lookup(f.withColumn("__start", start), d_datum, "__start", "datum", "datum_key",
                out_col="peildatum_key", unknown=-1, bounded_dim=True)
     return f.select("peildatum_key", "gemeente_key", "gemeente_code", "peiljaar", "voertuigsoort", "aantal")
@@ -502,6 +511,8 @@ def export_warehouse(m: Mapping[str, DataFrame], target: str) -> DataFrame:
     return export_report(materialise({k: m[k] for k in WAREHOUSE}, target, compression="snappy"))
 
 
+FIXTURE_REPORT = "fixture_report.json"
+
 #: Files that fixtures hold whole.
 VERBATIM = [f"{RDW}_gebreken", "cbs_70072ned_measurecodes", "cbs_70072ned_regiocodes", "cbs_70072ned_periodencodes",
             "cbs_gebieden_measurecodes", "cbs_85237ned_measurecodes", "cbs_85237ned_personenautos_brandstof"]
@@ -531,8 +542,10 @@ def make_fixtures(spark: SparkSession, raw_dir: str, target: str, n_plates: int
     vehicle, fuel and defect rows; the fleet file keeps municipalities from
     ``first_year``; the files of ``VERBATIM`` that the raw folder has and the
     yearly area files are copied whole; no column is ever dropped.  Returns the
-    row report."""
-    from starkit.sources.sample import first_keys, restrict_to
+    row report; the whole report (plates asked for and taken, extra plates, the
+    limit plate, first year, rows per file) is the JSON of ``FIXTURE_REPORT``
+    beside the files."""
+    from starkit.sources.sample import first_keys, restrict_to, sample_report
 
     raw = raw_sources(spark, raw_dir)
     plates = first_keys(raw["voertuigen"], "kenteken", n_plates, list(extra_plates))
@@ -547,7 +560,12 @@ def make_fixtures(spark: SparkSession, raw_dir: str, target: str, n_plates: int
     }
     out |= whole_files(spark, raw_dir, VERBATIM) | area_files(spark, raw_dir)
     from starkit.sources.export import export_report, materialise
-    return export_report(materialise(out, target))
+    written = materialise(out, target)
+    report = sample_report(n_plates, list(extra_plates), plates, "kenteken", written, {"first_year": F.lit(first_year)})
+    counted = [F.struct(F.lit(n).alias("file"), F.col(f"{n}_rows").alias("n_rows")) for n in sorted(written)]
+    (report.select("n_requested", "extra_keys", "n_keys", "limit_key", "max_key", "first_year", F.array(*counted).alias("files"))
+     .coalesce(1).write.mode("overwrite").json(f"{target.rstrip('/')}/{FIXTURE_REPORT}"))
+    return export_report(written)
 
 
 def range_sample(spark: SparkSession, raw_dir: str, target: str, size: int = 500_000) -> DataFrame:
@@ -567,5 +585,5 @@ def range_sample(spark: SparkSession, raw_dir: str, target: str, size: int = 500
         f"{RDW}_{DEFECT_CODES}": raw["gebreken"],
         f"{CBS}_{FLEET}": raw["voertuigpark"],
     }
-    out |= area_files(spark, raw_dir)
+    out |= whole_files(spark, raw_dir, [n for n in VERBATIM if n.endswith("codes")]) | area_files(spark, raw_dir)
     return export_report(materialise(out, target))

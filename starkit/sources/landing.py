@@ -9,9 +9,11 @@ retries) is not part of the library: jobs start from landed JSON/parquet.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import warnings
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,14 +23,21 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def source(spark: SparkSession, raw_dir: str, group: str, name: str,
-           columns: Sequence[str] | None = None) -> DataFrame:
+           columns: Sequence[str] | None = None, at_least: Sequence[str] = ()) -> DataFrame:
     """Named source under a swappable raw directory (S1):
     ``{raw_dir}/{group}_{name}.parquet``; with ``columns`` the all-string
-    schema is declared instead of read from the files."""
+    schema is declared instead of read from the files.  With ``at_least`` it is
+    declared too, for these columns and whatever else the files have: a
+    column that a file lacks is null instead of failing the analysis."""
+    path = f"{raw_dir.rstrip('/')}/{group}_{name}.parquet"
+    if columns is None and at_least:
+        found = spark.read.parquet(path).columns
+        have = {c.lower() for c in found}
+        columns = [*found, *[c for c in at_least if c.lower() not in have]]
     reader = spark.read
     if columns is not None:
         reader = reader.schema(string_schema(columns))
-    return reader.parquet(f"{raw_dir.rstrip('/')}/{group}_{name}.parquet")
+    return reader.parquet(path)
 
 
 def dataset_name(path_col: Column | str | None = None) -> Column:
@@ -71,23 +80,93 @@ def read_landed_json(spark: SparkSession, path: str, columns: Sequence[str]) ->
             .option("primitivesAsString", "true").json(path))
 
 
-def write_landing(df: DataFrame, path: str, columns: Sequence[str] | None = None,
-                  mode: str = "overwrite") -> int:
+@dataclass(frozen=True)
+class Landed:
+    """What a landing wrote: ``expected`` rows went into the write, ``written``
+    are in the files."""
+
+    n_columns: int
+    expected: int
+    written: int
+
+
+def rows_in(spark: SparkSession, path: str) -> int:
+    """Rows of a dataset by its footers; files that cannot be read have none."""
+    return spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(path).count()
+
+
+def land(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "overwrite") -> Landed:
     """Write the raw layer (S4): fixed all-string schema, zstd; an empty
-    input still writes a readable dataset with its schema.  Returns the row
-    count of what was written (read back from the files: footers only)."""
+    input still writes a readable dataset with its schema.
+
+    The expected count is observed on the rows as they enter the write, so the
+    source is read once; the written count comes from the files' footers.  The
+    write has no shuffle after the observation of a plain source, so a repeated
+    task is counted once.  A difference raises a warning (S7)."""
     from starkit.operators.staging import land_as_strings
-    out = land_as_strings(df, columns)
+    seen = Observation()
+    out = land_as_strings(df.observe(seen, F.count(F.lit(1)).alias("rows")), columns)
     out.write.mode(mode).option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    landed = Landed(len(out.columns), seen.get["rows"], rows_in(df.sparkSession, path))
+    _warn([(path, landed.expected, landed.written)])
+    return landed
+
+
+def write_landing(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "overwrite") -> int:
+    """:func:`land`; returns the rows written."""
+    return land(df, path, columns, mode).written
+
+
+def _warn(counts: Iterable[tuple[str, int, int]]) -> None:
+    for name, expected, written in counts:
+        if expected != written:
+            warnings.warn(f"{name}: {expected} rows expected, {written} written", stacklevel=3)
+
+
+def json_keys(records: DataFrame, col: str) -> list[str]:
+    """The sorted union of the keys of JSON objects: found by an aggregate over
+    all records; only the names reach the driver, one of each."""
+    keys = records.select(F.explode(F.json_object_keys(F.col(col))).alias("key")).distinct()
+    return sorted(r.key for r in keys.collect())
+
+
+def code_list(records: DataFrame, col: str) -> DataFrame | None:
+    """A code list (S5) from JSON records with varying keys: text columns, the
+    sorted union of the keys; ``None`` when there are no records."""
+    keys = json_keys(records, col)
+    if not keys:
+        return None
+    return records.select(normalise_json(col, keys).alias("r")).select(*[F.col("r").getField(k).alias(k) for k in keys])
 
 
-def code_list(df: DataFrame) -> DataFrame | None:
-    """Code-list landing (S5): the column set is the sorted union of keys;
-    ``None`` when the list is empty (nothing is landed)."""
-    if df.isEmpty():
+def land_code_list(records: DataFrame, col: str, path: str, snapshot_date: str) -> DataFrame | None:
+    """Land a code list and return its manifest entry (one row); an empty list
+    is skipped: nothing is written, and there is no entry."""
+    codes = code_list(records, col)
+    if codes is None:
         return None
-    return df.select(*sorted(df.columns))
+    return manifest_entries(records.sparkSession, [(path.rstrip("/").rsplit("/", 1)[-1], snapshot_date, land(codes, path))])
+
+
+def manifest_entries(spark: SparkSession, landed: Iterable[tuple[str, str, Landed]]) -> DataFrame:
+    """Manifest entries of landings (file name, snapshot date, what was landed):
+    one row each."""
+    return spark.createDataFrame([(f, day, x.written, x.n_columns, x.expected) for f, day, x in landed],
+                                 "file_name string, snapshot_date string, n_rows long, n_columns int, expected_rows long")
+
+
+def reconciled(spark: SparkSession, entries: DataFrame, raw_dir: str | None = None) -> DataFrame:
+    """Load reconciliation (S7) of manifest entries: the written rows, counted
+    again from the files of ``raw_dir`` if given, against the expected ones.
+    Adds ``reconciled`` and warns for every file that differs.  A manifest has
+    a row a dataset, so its rows are few."""
+    rows = entries.collect()
+    if raw_dir is not None:
+        base = raw_dir.rstrip("/")
+        rows = [Row(**{**r.asDict(), "n_rows": rows_in(spark, f"{base}/{r.file_name}")}) for r in rows]
+    _warn((r.file_name, r.expected_rows, r.n_rows) for r in rows)
+    counted = spark.createDataFrame([tuple(r[c] for c in entries.columns) for r in rows], entries.schema)
+    return counted.withColumn("reconciled", reconcile(F.col("expected_rows"), F.col("n_rows")))
 
 
 def upsert_manifest(manifest: DataFrame, entries: DataFrame, file_col: str = "file_name",

@@ -7,6 +7,7 @@ consistent (sampling each table separately would break every relationship).
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -83,31 +84,53 @@ def in_range(df: DataFrame, col: str, bounds) -> DataFrame:
 def first_keys(df: DataFrame, key: str, n: int, extra: Sequence = ()) -> DataFrame:
     """The first ``n`` distinct keys in key order, union (distinct) the
     ``extra`` keys (a row that must be in any sample, e.g. a regression
-    seed).  Bounded by ``n + len(extra)`` rows."""
+    seed).  Bounded by ``n + len(extra)`` rows, and written to the shared folder
+    once, since every child of the sample reads it.  Warns when the table has
+    fewer than ``n`` keys: the sample is then all of them."""
+    from starkit.sources.export import run_folder
+
     keys = df.select(F.col(key).alias(key)).where(F.col(key).isNotNull()).distinct()
     last = key_at(keys, key, n - 1).first()           # one value
     head = keys if last is None else keys.where(F.col(key) <= F.lit(last[0]))
+    if last is None:
+        warnings.warn(f"fewer than {n} keys in {key}: all are taken", stacklevel=2)
     if extra:
         dtype = df.schema[key].dataType.simpleString()
         lit_rows = df.sparkSession.createDataFrame([(e,) for e in extra], f"{key} {dtype}")
         head = head.union(lit_rows).distinct()
-    return head
+    path = run_folder(df.sparkSession, "sample-keys")
+    head.write.parquet(path)
+    return df.sparkSession.read.schema(head.schema).parquet(path)
+
+
+#: Keys up to which a key set is broadcast, after it was counted.
+BROADCAST_KEYS = 200_000
 
 
-def restrict_to(df: DataFrame, col: str, keys: DataFrame, key: str) -> DataFrame:
-    """Children filtered to a key set (semi join).  The key set is
-    bounded by the sample size, so it is broadcast."""
+def restrict_to(df: DataFrame, col: str, keys: DataFrame, key: str, broadcast_keys: int | None = None) -> DataFrame:
+    """Children filtered to a key set (semi join).  The keys are counted
+    first: up to ``broadcast_keys`` of them are broadcast.  More are joined by
+    a shuffle, and their least and greatest, as literals, reach the scan of the
+    children before it (a sample's keys are the first in order, so
+    the row groups beyond them are not read)."""
     k = keys.select(F.col(key).alias("__key"))
-    return df.join(F.broadcast(k), df[col] == F.col("__key"), "left_semi")
+    size = k.agg(F.count(F.lit(1)).alias("n"), F.min("__key").alias("lo"), F.max("__key").alias("hi")).first()
+    if size.n <= (BROADCAST_KEYS if broadcast_keys is None else broadcast_keys):
+        return df.join(F.broadcast(k), df[col] == F.col("__key"), "left_semi")
+    near = in_range(df, col, (size.lo, size.hi))
+    return near.join(k.hint("merge"), near[col] == F.col("__key"), "left_semi")
 
 
 def sample_report(requested: int, extra: Sequence, keys: DataFrame, key: str,
                   tables: Mapping[str, DataFrame], details: Mapping[str, Column] | None = None) -> DataFrame:
-    """One row describing a sample: requested size, extra keys, keys
-    taken, largest key, rows per sampled table, plus ``details`` (scalar
-    columns such as the first period of the sample)."""
-    out = keys.agg(F.count(F.lit(1)).alias("n_keys"), F.max(key).alias("max_key"))
-    out = out.select(F.lit(requested).alias("n_requested"), F.lit(len(extra)).alias("n_extra"), "*")
+    """One row describing a sample: requested size, the extra keys, keys
+    taken, the limit key (the largest that is not an extra), the largest key,
+    rows per sampled table, plus ``details`` (scalar columns such as the first
+    period of the sample)."""
+    own = F.when(~F.col(key).isin(list(extra)), F.col(key)) if extra else F.col(key)
+    out = keys.agg(F.count(F.lit(1)).alias("n_keys"), F.max(own).alias("limit_key"), F.max(key).alias("max_key"))
+    out = out.select(F.lit(requested).alias("n_requested"), F.lit(len(extra)).alias("n_extra"),
+                     F.lit(",".join(str(x) for x in extra)).alias("extra_keys"), "*")
     for name, value in (details or {}).items():
         out = out.withColumn(name, value)
     for name, df in tables.items():

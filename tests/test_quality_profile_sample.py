@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from starkit.operators import profile as prof
@@ -121,3 +122,45 @@ def test_key_at_with_a_hot_duplicate_key(spark):
     s = sorted(keys)
     for pos in [0, 6, 7, 50, 5006, 5099, 5100, 5102]:
         assert smp.key_at(df, "k", pos, num_partitions=5).first()[0] == s[pos], pos
+
+
+def test_more_keys_than_the_limit_are_not_broadcast(spark, scratch):
+    spark.range(5000).selectExpr("id AS k", "id % 3 AS v").write.parquet(f"{scratch}/child")
+    child, keys = spark.read.parquet(f"{scratch}/child"), spark.range(100, 900, 2).withColumnRenamed("id", "k")
+    few, many = smp.restrict_to(child, "k", keys, "k"), smp.restrict_to(child, "k", keys, "k", broadcast_keys=399)
+    plans = [spark._jvm.PythonSQLUtils.explainString(x._jdf.queryExecution(), "formatted") for x in (few, many)]
+    assert "BroadcastHashJoin" in plans[0] and "Broadcast" not in plans[1] and "SortMergeJoin" in plans[1]
+    assert "GreaterThanOrEqual(k,100)" in plans[1] and "LessThanOrEqual(k,898)" in plans[1]
+    assert few.count() == many.count() == 400
+
+
+def test_too_few_keys_are_reported(spark):
+    df = spark.range(5).withColumnRenamed("id", "k")
+    with pytest.warns(UserWarning, match="fewer than 9 keys"):
+        assert smp.first_keys(df, "k", 9).count() == 5
+    report = smp.sample_report(3, [77, 1], smp.first_keys(df, "k", 3, [77, 1]), "k", {"t": df}).first()
+    assert (report.extra_keys, report.n_keys, report.limit_key, report.max_key, report.t_rows) == ("77,1", 4, 2, 77, 5)
+
+
+def test_merged_sketches_equal_those_of_the_whole_table(spark, scratch):
+    """Sketches stored a file and merged give the estimate of one sketch over all rows."""
+    df = spark.range(40_000).selectExpr("id % 9000 AS a", "cast(if(id % 5 = 0, null, id % 17) as string) AS b", "id / 7 AS c")
+    df.repartition(6).write.parquet(f"{scratch}/t")
+    t = spark.read.parquet(f"{scratch}/t")
+    per_file = prof.distinct_sketches(t)
+    assert per_file.count() == 18
+    per_file.write.parquet(f"{scratch}/sketches")
+    merged = prof.merged_sketches(spark.read.parquet(f"{scratch}/sketches"))
+    got = {r.column_name: (r.n_rows, r.n_null, r.e) for r in merged.withColumn("e", F.hll_sketch_estimate("sketch")).collect()}
+    for c, exact, nulls in (("a", 9000, 0), ("b", 17, 8000), ("c", 40_000, 0)):
+        # a union of one sketch: estimates of unions and of plain sketches differ in their estimator only
+        whole = t.agg(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(prof.SKETCH_LOG_K)).alias("s")).agg(F.hll_sketch_estimate(F.hll_union_agg("s")).alias("e")).first().e
+        assert got[c] == (40_000, nulls, whole) and abs(whole - exact) <= prof.SKETCH_TOLERANCE * exact
+
+
+def test_orphans_of_several_references_by_one_group_by(spark):
+    child = spark.createDataFrame([("a", 1), ("b", 2), (None, 2), ("z", None), ("z", 9)], "k string, n int")
+    tables = {"c": child, "p": spark.createDataFrame([("a",), ("b",), (None,)], "k string"), "q": spark.range(3)}
+    refs = {"no_p": ("c", "k", "p", "k"), "no_q": ("c", "n", "q", "id"), "none": ("p", "k", "p", "k")}
+    assert tuple(prof.orphan_counts(tables, refs).first()) == (2, 1, 0)
+    assert tuple(prof.orphan_counts(tables, refs, nulls=True).first()) == (3, 2, 1)

@@ -213,6 +213,9 @@ def test_make_fixtures_keeps_references_consistent(built, spark):
     assert rep["cbs_70072ned_motorvoertuigen_gemeente"] == 27  # municipalities from 2015 on
     assert {k for k in rep if re.fullmatch(r"cbs_gebieden_[0-9]{4}", k)} == {f"cbs_gebieden_{y}" for y in range(2015, 2019)}
     assert rep["cbs_gebieden_measurecodes"] == spark.read.parquet(f"{m['__raw_dir__']}/cbs_gebieden_measurecodes.parquet").count()
+    doc = spark.read.json(f"{target}/{registry.FIXTURE_REPORT}").first()
+    assert (doc.n_requested, doc.extra_keys, doc.n_keys, doc.limit_key, doc.first_year) == (3, "P5", 4, "P2", 2015)
+    assert {f.file: f.n_rows for f in doc.files} == rep
     back = spark.read.parquet(f"{target}/rdw_brandstof.parquet")
     assert len(back.columns) == 12  # no column dropped
 
@@ -364,7 +367,9 @@ def test_whole_files_grain_and_duplicates_of_all_raw_files(built, spark):
     rep = {r.table_name: r.n_rows for r in registry.make_fixtures(spark, raw, run_folder(spark, "whole"), n_plates=3).collect()}
     assert len(lists) == 5 and all(rep[n] == 3 for n in lists) and rep["cbs_85237ned_personenautos_brandstof"] == 2
     assert areas <= set(rep) and rep["rdw_gebreken"] == 3
-    assert areas <= {r.table_name for r in registry.range_sample(spark, raw, run_folder(spark, "whole-range"), size=3).collect()}
+    assert areas | set(lists) <= {r.table_name for r in registry.range_sample(spark, raw, run_folder(spark, "whole-range"), size=3).collect()}
+    pairs = {(r.child_ref, r.parent_ref) for r in rp.coverage(spark, raw).collect()}
+    assert len(pairs) == 6 and ("cbs_70072ned_motorvoertuigen_gemeente.RegioS", "cbs_70072ned_regiocodes.Identifier") in pairs
     grain = {r.table_name: r.is_unique for r in rp.grain(spark, raw).collect()}
     assert len(grain) == 11 and all(grain[n] is False for n in lists) and grain["cbs_85237ned_personenautos_brandstof"] is True
     dups = {r.table_name: r.n_duplicates for r in rp.full_duplicates(spark, raw).collect()}

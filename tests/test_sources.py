@@ -62,9 +62,72 @@ def test_read_family_file_name_and_union(spark, scratch):
 
 
 def test_code_list_sorted_columns_and_empty(spark):
-    df = spark.createDataFrame([("t", "A1", "x")], "Title string, Identifier string, Key string")
-    assert landing.code_list(df).columns == ["Identifier", "Key", "Title"]
-    assert landing.code_list(df.where("false")) is None
+    records = spark.createDataFrame([('{"Title": "t", "Identifier": "A1"}',), ('{"Key": 5, "Title": null, "Nested": {"a": [1]}}',), (None,)], "r string")
+    codes = landing.code_list(records.where("r is not null"), "r")
+    assert codes.columns == ["Identifier", "Key", "Nested", "Title"]
+    assert {tuple(r) for r in codes.collect()} == {("A1", None, None, "t"), (None, "5", '{"a":[1]}', None)}
+    assert landing.code_list(records.where("false"), "r") is None
+
+
+def test_code_list_landing_and_its_manifest_entry(spark, scratch):
+    records = spark.createDataFrame([('{"b": "1"}',), ('{"a": "2", "b": "3"}',)], "r string")
+    entry = landing.land_code_list(records, "r", f"{scratch}/codes.parquet", "2026-03-01")
+    assert [tuple(r) for r in entry.collect()] == [("codes.parquet", "2026-03-01", 2, 2, 2)]
+    assert spark.read.parquet(f"{scratch}/codes.parquet").columns == ["a", "b"]
+    assert landing.land_code_list(records.limit(0), "r", f"{scratch}/none.parquet", "2026-03-01") is None
+    assert not os.path.exists(f"{scratch}/none.parquet")
+
+
+def test_reconciliation_warns_for_a_damaged_file(spark, scratch):
+    """Expected rows are observed by the write, written rows counted in the files."""
+    import glob
+    import warnings
+
+    df = spark.range(1000).repartition(4)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        landed = {n: landing.land(df.where(f"id % {n} = 0"), f"{scratch}/by{n}.parquet") for n in (1, 2, 2000)}
+        assert {n: (x.n_columns, x.expected, x.written) for n, x in landed.items()} == {1: (1, 1000, 1000), 2: (1, 500, 500), 2000: (1, 1, 1)}
+        entries = landing.manifest_entries(spark, [(f"by{n}.parquet", "2026-01-01", x) for n, x in landed.items()])
+        assert all(r.reconciled for r in landing.reconciled(spark, entries, scratch).collect())
+    os.remove(glob.glob(f"{scratch}/by1.parquet/part-*.parquet")[0])
+    bad = glob.glob(f"{scratch}/by2.parquet/part-*.parquet")[0]
+    with open(bad, "wb") as f:
+        f.write(b"no parquet")
+    spark.catalog.clearCache()
+    with pytest.warns(UserWarning) as said:
+        got = {r.file_name: (r.expected_rows, r.n_rows, r.reconciled) for r in landing.reconciled(spark, entries, scratch).collect()}
+    assert {m.message.args[0].split(":")[0] for m in said if m.category is UserWarning} == {"by1.parquet", "by2.parquet"}
+    assert got["by2000.parquet"] == (1, 1, True)
+    assert all(not got[f][2] and got[f][1] < got[f][0] for f in ("by1.parquet", "by2.parquet"))
+
+
+def test_declared_schema_gives_null_for_a_column_that_a_file_lacks(spark, scratch):
+    spark.createDataFrame([("1", "x")], "a string, more string").write.parquet(f"{scratch}/g_n.parquet")
+    df = landing.source(spark, scratch, "g", "n", at_least=["A", "b"])
+    assert df.columns == ["a", "more", "b"] and [tuple(r) for r in df.collect()] == [("1", "x", None)]
+    assert set(t for _, t in df.dtypes) == {"string"}
+
+
+def test_footers_give_counts_and_exact_bounds(spark, scratch):
+    import datetime as dt
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from starkit.sources.footers import column_bounds, footers
+
+    os.makedirs(f"{scratch}/d.parquet")
+    days = [dt.datetime(2001, 2, 3) + dt.timedelta(hours=i) for i in range(50)]
+    for k, stats in enumerate((True, False)):  # the second file has no statistics
+        table = pa.table({"t": pa.array([*days[k * 25: k * 25 + 25], None], pa.timestamp("us")), "v": list(range(26))})
+        pq.write_table(table, f"{scratch}/d.parquet/part-{k}.parquet", row_group_size=10, write_statistics=stats)
+    got = footers(spark, f"{scratch}/d.parquet", ["t"]).collect()
+    assert sorted((r.n_rows, r.n_columns, r.row_groups) for r in got) == [(26, 2, 3), (26, 2, 3)]
+    assert {(r.lo_0, r.hi_0) for r in got} == {(days[0], days[24]), (days[25], days[49])}
+    assert tuple(column_bounds(spark, f"{scratch}/d.parquet", "t").first()) == (days[0], days[49])
+    with_plan = column_bounds(spark, f"{scratch}/d.parquet", "t")
+    assert "parquet" not in with_plan._jdf.queryExecution().executedPlan().toString().split("Scan")[-1].split("Location")[0]
 
 
 def test_reconcile(spark):
