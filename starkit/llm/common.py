@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +21,47 @@ WHITE_RE = r"[\x20\x09-\x0D]"
 BROADCAST_ROWS = 200_000
 
 
+#: Folders that the operator at work has written.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder below the shared checkpoint location
     and read it back: lineage ends here and every executor can read it."""
     path = run_folder(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
+    if (folders := _written.get()) is not None:
+        folders.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that :func:`saved` wrote."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``operator`` with its result written and read back, after which the
+    tables that it saved on the way are deleted: never before, so a lost executor's
+    tasks find what they read.  What remains is the result's folder, which belongs to
+    the operator that called this one, or to the caller.  After a failure all remain."""
+    @wraps(operator)
+    def run(*args, **kwargs) -> DataFrame:
+        token = _written.set(folders := [])
+        try:
+            out = saved(operator(*args, **kwargs), operator.__name__)
+        finally:
+            _written.reset(token)
+        *inner, result = folders
+        removed(out.sparkSession, inner)
+        if (outer := _written.get()) is not None:
+            outer.append(result)
+        return out
+    return run
+
+
 def small_or_none(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame | None:
     """``df`` to be broadcast if it has at most ``rows`` rows (counted here,
     so ``df`` should be saved), else None."""

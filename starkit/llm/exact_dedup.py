@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starkit.llm.common import WHITE, packed, partitions, saved
+from starkit.llm.common import WHITE, packed, partitions, saved, tidy
 
 BUCKET_CAPACITY = 65_536
 
@@ -91,6 +91,7 @@ def exact_dedup(docs: DataFrame, keep_rows: bool = False, capacity: int = BUCKET
                       "text_sha256", "bucket", "depth", "chain")
 
 
+@tidy
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each distinct text, with its columns."""
     return exact_dedup(docs, keep_rows=True).filter("kept").select("__row.*")

@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import batches_of, packed, partitions, saved, small_or_none
+from starkit.llm.common import batches_of, packed, partitions, saved, small_or_none, tidy
 from starkit.llm.substring_dedup import WordIds, mixed, word_ids
 
 FIRST, SECOND = (8, 3), (11, 3)  # keys, and minhashes of a key, in the two collections
@@ -297,14 +297,14 @@ def unresolved(known: DataFrame) -> DataFrame:
 
 
 def star_pairs(known: DataFrame, round_: int) -> DataFrame:
-    """A pair for each node of an unresolved bucket: with the centre, of its
+    """A pair (centre, node) for each node of an unresolved bucket: with the centre, of its
     buckets, that it meets most often and that is not in its component."""
     order = F.xxhash64("node", F.lit(round_)) if round_ else F.col("node")
     centres = known.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "comp")).alias("c"), F.min("comp").alias("x"), F.max("comp").alias("y"))
     centres = centres.filter("x != y").select("key", F.col("c.node").alias("c"), F.col("c.comp").alias("cc"))
     met = known.join(centres, "key").filter("comp != cc").groupBy("node", "c").agg(F.count("*").alias("k"))
     best = met.groupBy("node").agg(F.max(F.struct("k", (-F.col("c")).alias("c"))).alias("m")).select("node", (-F.col("m.c")).alias("c"))
-    return best.select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b")).distinct()
+    return best.select(F.col("c").alias("a"), F.col("node").alias("b"))  # many have one centre, which shares split by b
 
 
 def tiled(known: DataFrame, state: DataFrame) -> DataFrame:
@@ -346,6 +346,7 @@ def family_links(family: DataFrame, facts: DataFrame, docs: DataFrame, shingle:
         return saved(rows.select(*by, "node", "s").mapInArrow(groups_of(_linked(percent), ["node", "s"], by), "a long, b long"), "links")
 
 
+@tidy
 def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """Per row doc_id, n_shingles, component_id, kept."""
     docs = packed(docs).select(F.col("__row.doc_id").cast("long").alias("doc_id"), F.col("__row.text").alias("text"))

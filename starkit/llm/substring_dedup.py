@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import packed, saved, small_or_none
+from starkit.llm.common import packed, saved, small_or_none, tidy
 
 WIDTH = 35
 MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
@@ -286,6 +286,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, keep_rows: bool = False
     return rows.select(*["__row"] * keep_rows, F.col("doc").alias("doc_id"), "__o.n_words", "__o.n_removed", "__o.kept_sha256", *["__o.kept_text"] * keep_rows)
 
 
+@tidy
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without repeated passages, with their columns;
     ``n_chars``, if there is one, follows the text."""
