@@ -25,14 +25,23 @@ BROADCAST_ROWS = 200_000
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
+#: Spark removes the shuffle files of a query once it has ended, not when the
+#: driver happens to collect its garbage.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder below the shared checkpoint location
-    and read it back: lineage ends here and every executor can read it."""
-    path = run_folder(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    if (folders := _written.get()) is not None:
+    and read it back: lineage ends here and every executor can read it.  Inside a
+    :func:`tidy` operator the shuffle files of the write go with its end."""
+    spark, path, folders = df.sparkSession, run_folder(df.sparkSession, f"llm-{name}"), _written.get()
+    if folders is None:
+        df.write.parquet(path)
+    else:
+        with setting(spark, CLEAN_SHUFFLES, "true"):
+            df.write.option("compression", "zstd").parquet(path)
         folders.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def removed(spark: SparkSession, paths: list[str]) -> None:
@@ -49,7 +58,8 @@ def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     the operator that called this one, or to the caller.  After a failure all remain."""
     @wraps(operator)
     def run(*args, **kwargs) -> DataFrame:
-        token = _written.set(folders := [])
+        folders: list[str] = []
+        token = _written.set(folders)
         try:
             out = saved(operator(*args, **kwargs), operator.__name__)
         finally:
@@ -95,13 +105,20 @@ def unpacked(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs run inside hand Python at most ``rows`` rows at a time: for rows
-    that hold whole texts or sets."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Jobs run inside have this setting."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def batches_of(spark: SparkSession, rows: int):
+    """Jobs run inside hand Python at most ``rows`` rows at a time: for rows
+    that hold whole texts or sets."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import WHITE, WHITE_RE, let, packed, saved, small
+from starkit.llm.common import WHITE, WHITE_RE, let, packed, saved, small, tidy
 
 #: The most common function words of each language.
 COMMON_WORDS = {
@@ -146,6 +146,7 @@ def judge(docs: DataFrame, keep_rows: bool = False, min_words: int = MIN_WORDS,
                       "base_failed", "char_distance", "word_distance", kept.alias("kept"))
 
 
+@tidy
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns."""
     out = judge(docs, keep_rows=True)
