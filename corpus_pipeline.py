@@ -3,13 +3,19 @@
 ``STAGES`` are the steps in order; each takes (spark, docs, sf_dir) and works
 on all rows that the step before kept.  All but the last return the columns
 of ``docs``.
+
+Defined results, of every stage: a null or empty text fails the quality rules,
+which keep no document of fewer than 20 words; of equal texts, and of rows that
+repeat doc_id and text, one row stays; a null doc_id is no near-duplicate; very
+long texts are read whole; an empty table gives an empty result; columns with
+the names of those that an operator adds are untouched.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starkit.llm.common import saved
+from starkit.llm.common import tidy
 from starkit.llm.exact_dedup import keep_first
 from starkit.llm.minhash_dedup import keep_one
 from starkit.llm.packing import pack
@@ -50,9 +56,11 @@ STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("
 ORACLE_SQL = None
 
 
+@tidy
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; a stage's
+    own tables go once its result is written, the stages' results at the end."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), name)
+    for _, stage in STAGES[:-1]:
+        docs = tidy(stage)(spark, docs, sf_dir)
     return STAGES[-1][1](spark, docs, sf_dir)
