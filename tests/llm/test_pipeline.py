@@ -28,7 +28,7 @@ def rows():
     passage = prose("en", 50)
     texts += [(f"{prose('en', 60)} {passage} {prose('en', 40)}", "en") for _ in range(3)]
     texts += [(t + "  ", x) for t, x in texts[:4]] + [(t + " end of it", x) for t, x in texts[2:9] if len(t.split()) >= 80]
-    texts += [("12 # 34 % " * 60, "en"), ("short text", "de"), ("again and again " * 40, "en"), ("", "en"), (None, None), (prose("de", 4000), "de")]
+    texts += [("12 # 34 % " * 60, "en"), ("short text", "de"), (" ".join(f"#{i * 7919}" for i in range(90)), "en"), ("again and again " * 40, "en"), ("", "en"), (None, None), (prose("de", 4000), "de")]
     out = [(i, t, x, "s", len(t or ""), "k", "r") for i, (t, x) in enumerate(texts)]
     return out + [out[1], (None, prose("en", 90), "en", None, None, None, None)]
 
