@@ -16,7 +16,8 @@ The pattern: contractions ('s 't 're 've 'm 'll 'd); letters, numbers or other
 characters, each run with at most one space before; white space.
 
 Defined results: a null text is empty and has no ids; one text, however long,
-is encoded as a whole; repeated rows give repeated results.
+is encoded as a whole; repeated rows give repeated results; an empty table
+gives an empty result; other columns, whatever their names, are untouched.
 """
 
 from __future__ import annotations

@@ -28,8 +28,9 @@ which no key can be hot, each word having less than the share of a known one.
 Words are compared by 64-bit hashes.  Defined results: a null or empty text
 is its end token alone; a null doc_id counts as the empty string in the
 split; with no training rows every count is 0; an empty table gives an empty
-result; rows with the same doc_id and text get the same score each; other
-columns are untouched.
+result; rows with the same doc_id and text get the same score each; a very long
+text is counted and scored whole, its bigrams added up first; other columns are
+untouched.
 """
 
 from __future__ import annotations

@@ -129,6 +129,7 @@ def test_byte_bpe(spark, docs, rows):
         ids = library.encode_ordinary(t or "")
         blob = b"".join(x.to_bytes(4, "little") for x in ids)
         assert got[i] == (i, len(ids), hashlib.sha256(blob).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+    assert byte_bpe.round_trip(docs.limit(0), ranks).count() == 0
     tokens = byte_bpe.encode(docs, ranks)
     assert all(x.offsets[-1] == len(y) for x, y in zip(tokens.orderBy("doc_id").collect(), [b.bytes for b in byte_bpe.decode(tokens, ranks).orderBy("doc_id").collect()]))
 
@@ -208,7 +209,6 @@ def test_components_of_random_graphs(spark):
 def test_packing(spark, docs, rows, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     out = packing.pack(docs, path, items_per_task=5).collect()
     assert {x.doc_id for x in out} == {r[0] for r in rows}
     by_id = {r[0]: [*library.encode(r[1] or "", add_special_tokens=False).ids, 2] for r in rows}
