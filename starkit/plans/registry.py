@@ -347,7 +347,7 @@ MARTS = ["mart_gebrek_top", "mart_voertuigpark_herindeling", "mart_rdw_cbs_aansl
 
 FLEET_KINDS = list(FLEET_MEASURES.values())
 
-# Declared column tests: (model, test, column or columns, argument).
+# The declared column tests, (model, test, column or columns, argument).
 DECLARED_TESTS = [
     ("mart_gebrek_top", "unique_combination", ["gebrek_identificatie", "voertuigsoort", "jaar_eerste_toelating"], None),
     ("mart_gebrek_top", "not_null", "gebrek_identificatie", None),
