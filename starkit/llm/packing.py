@@ -148,7 +148,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = EN
         need = -(-n // items_per_task)
         tasks = need if tasks is None else max(need, -(-tasks // FAN_IN))
         last = tasks == 1 and number > 0
-        spread = F.xxhash64(F.lit(number), "size", "members")  # equal rows meet, in numbers a task holds
+        # the place in the written table spreads rows that are equal, however many
+        spread = F.xxhash64(F.lit(number), "size", "members", F.monotonically_increasing_id())
         dealt = items.withColumn("__h", spread).repartition(tasks, "__h").drop("__h")
         packed_ = saved(dealt.mapInPandas(_round(number, length, last), ITEM + ", done boolean, sequence_id long"), "bins")
         underfull = packed_.filter("not done").count()
