@@ -310,25 +310,3 @@ def test_packing_of_added_tokens(spark):
     for i, t in rows:
         ids = [*library.encode(t, add_special_tokens=False).ids, 2]
         assert got[i] == (len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
-
-
-def test_packing_spreads_equal_rows(spark, monkeypatch):
-    """Rows equal in doc_id and text are dealt to many tasks, and packed each."""
-    held = []
-    real = packing._round
-    docs = spark.range(1200).selectExpr("7L AS doc_id", "'the same words each time' AS text").repartition(4)
-
-    def watched(number, length, emit_all):
-        run = real(number, length, emit_all)
-
-        def counted(batches):
-            batches = list(batches)
-            n = sum(len(b) for b in batches)
-            if n > 600 and number == 0:
-                raise ValueError(f"{n} of 1200 equal rows in one task")
-            yield from run(iter(batches))
-        held.append(number)
-        return counted
-    monkeypatch.setattr(packing, "_round", watched)
-    out = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), items_per_task=100)
-    assert out.count() == 1200 and held
