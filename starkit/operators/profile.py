@@ -92,6 +92,14 @@ def merged_sketches(sketches: DataFrame) -> DataFrame:
         F.sum("n_rows").cast("bigint").alias("n_rows"), F.sum("n_null").cast("bigint").alias("n_null"), F.hll_union_agg("sketch").alias("sketch"))
 
 
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """Exact distinct non-null values of every column, (column_name,
+    n_distinct): one unpivoted group-by, combined on the map side."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in df.columns]))
+    return (df.select(pairs.alias("p")).select("p.*").distinct()
+              .groupBy("column_name").agg(F.count("value").alias("n_distinct")))
+
+
 def within(sketch, exact, tolerance: float = SKETCH_TOLERANCE):
     """Whether the estimate of a sketch is within the tolerance of an exact count."""
     return F.abs(F.hll_sketch_estimate(sketch) - exact) <= F.greatest(F.lit(1.0), tolerance * exact)

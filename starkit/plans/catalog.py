@@ -531,14 +531,13 @@ def q_profile_columns_approx(t: Tables) -> DataFrame:
 
 @query("profile_distinct_sketches")
 def q_profile_distinct_sketches(t: Tables) -> DataFrame:
-    """Sketches of lineitem's columns, stored a file, read back and merged
+    """Sketches of the columns of orders, stored a file, read back and merged
     for the table; the exact counts beside them, and whether the estimates
     are within tolerance."""
-    path = f"{ex.run_folder(t.spark, 'sketches')}/lineitem.parquet"
-    prof.distinct_sketches(t.lineitem).write.parquet(path)
+    path = f"{ex.run_folder(t.spark, 'sketches')}/orders.parquet"
+    prof.distinct_sketches(t.orders).write.parquet(path)
     merged = prof.merged_sketches(t.spark.read.parquet(path))
-    exact = prof.column_profile(t.lineitem, exact=True).select("column_name", "n_distinct")
-    return merged.join(exact, "column_name").select(
+    return merged.join(prof.distinct_counts(t.orders), "column_name").select(
         "column_name", "n_rows", "n_null", "n_distinct", prof.within(F.col("sketch"), F.col("n_distinct")).alias("within_tolerance"))
 
 

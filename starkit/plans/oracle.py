@@ -728,11 +728,10 @@ ORACLE["profile_inventory_counts"] = "\nUNION ALL\n".join(
     f"SELECT '{t}.parquet' AS file_name, (SELECT count(*) FROM {t}) AS n_rows, "
     f"(SELECT count(*)::INT FROM (DESCRIBE {t})) AS n_columns" for t in _FILES)
 
-_LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-                 "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 ORACLE["profile_distinct_sketches"] = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct, "
-    f"true AS within_tolerance FROM lineitem" for c in _LINE_COLUMNS)
+    f"true AS within_tolerance FROM orders" for c in _ORDER_COLUMNS)
 
 ORACLE["landing_code_list"] = """
 SELECT CASE WHEN p_size > 40 THEN p_type END AS "Description", p_partkey::VARCHAR AS "Identifier",

@@ -152,6 +152,7 @@ def test_merged_sketches_equal_those_of_the_whole_table(spark, scratch):
     per_file.write.parquet(f"{scratch}/sketches")
     merged = prof.merged_sketches(spark.read.parquet(f"{scratch}/sketches"))
     got = {r.column_name: (r.n_rows, r.n_null, r.e) for r in merged.withColumn("e", F.hll_sketch_estimate("sketch")).collect()}
+    assert {r.column_name: r.n_distinct for r in prof.distinct_counts(t).collect()} == {"a": 9000, "b": 17, "c": 40_000}
     for c, exact, nulls in (("a", 9000, 0), ("b", 17, 8000), ("c", 40_000, 0)):
         # a union of one sketch: estimates of unions and of plain sketches differ in their estimator only
         whole = t.agg(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(prof.SKETCH_LOG_K)).alias("s")).agg(F.hll_sketch_estimate(F.hll_union_agg("s")).alias("e")).first().e
