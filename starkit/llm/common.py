@@ -72,6 +72,18 @@ def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
+@contextmanager
+def removed_after(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`saved` writes inside are deleted at the end, unless it fails."""
+    folders: list[str] = []
+    token = _written.set(folders)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+    removed(spark, folders)
+
+
 def small_or_none(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame | None:
     """``df`` to be broadcast if it has at most ``rows`` rows (counted here,
     so ``df`` should be saved), else None."""

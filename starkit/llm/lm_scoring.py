@@ -6,30 +6,35 @@ P(w_i | w_{i-1}) = P(c_i | c_{i-1}) * P(w_i | c_i), the classes by exchange.
   times or more in the training text is an exchange unit of its own; only rarer
   and unseen words share the back-off unit of their ending (one of ``ENDINGS``),
   so every word, seen or not, has a class.
-* Unit bigrams are counted over all training tokens.  The exchange starts from
-  classes of coarse units, the words with a share of at least ``UNIT_SHARE`` and
-  the endings of all others.  Then all units move: every round, half of them (by
-  hash) go to the class that raises the likelihood of the class bigrams most,
-  given all others.  As they move at once, a class takes in a share of its own
-  size only, and a round that lowers the likelihood is taken back and repeated
-  with half that share; until few would move or the rounds are done.
-  A unit's gain needs its counts with each class only, which a group-by gives;
-  units are scored in parallel and their moves written to a table.
+* The ``KNOWN_WORDS`` most frequent words are broadcast, a number that doesn't
+  grow with the input (if ties or counts over 1000 exceed it, those with a share
+  of ``COUNT_SHARE``).  The texts are written once as numbers, in blocks: the place
+  of a known word, or a place in the block's own list of its other words.
+* No word bigrams are counted.  A unit's gain needs its counts with each class
+  only: every round reads the numbers, adds up (unit, class before or after it) in
+  each task, and merges the sums of the tasks, a range of units at a time, ``FAN``
+  at a time.
+* The exchange starts from classes of coarse units, the words with a share of at
+  least ``UNIT_SHARE`` and the endings of all others.  Then all known units move:
+  every round, half of them (by hash) go to the class that raises the likelihood of
+  the class bigrams most, given all others.  As they move at once, a class takes in a
+  share of its own size only, and a round that lowers the likelihood is taken back
+  and repeated with half that share; until few would move or the rounds are done.
+* The words beyond the broadcast lie in a table.  Given the classes of the known
+  words, those with ``LEAST_COUNT`` occurrences move at once, each to its best class
+  by its counts with the classes around it; a neighbour that isn't known counts with
+  the class of its ending.  A join a word and block then brings their classes and
+  counts back to the blocks.  No key of it can be hot, each word having
+  less than the share of a known one.
 * P(c | c') has additive smoothing over classes, P(w | c) over the class's
   words and one unseen word: (n + 0.5) / (N_c + 0.5 * (V_c + 1)).  An end
   token of its own class closes each text, and the start counts as an end.
 
-The counts and classes of the ``KNOWN_WORDS`` most frequent words at most are
-broadcast, a number that doesn't grow with the input (if ties or counts over
-1000 exceed it, those with a share of ``COUNT_SHARE``).  The other words' lie in
-a table: bigrams, moves and scored rows of such words meet it in joins, in
-which no key can be hot, each word having less than the share of a known one.
-
 Words are compared by 64-bit hashes.  Defined results: a null or empty text
 is its end token alone; a null doc_id counts as the empty string in the
 split; with no training rows every count is 0; an empty table gives an empty
 result; rows with the same doc_id and text get the same score each; a very long
-text is counted and scored whole, its bigrams added up first; other columns are
+text is counted and scored whole, as a block of its own; other columns are
 untouched.
 """
 
@@ -41,10 +46,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starkit.llm.common import packed, saved
+from starkit.llm.common import batches_of, packed, removed_after, saved, tidy
 from starkit.llm.substring_dedup import WordIds, word_ids
 
 UNIT_SHARE = 1e-4       # of the coarse units
@@ -60,9 +65,18 @@ INFLOW = 0.5            # of a class's tokens that may move into it in a round
 ADD = 0.5
 
 END = -1                # word of the end token; hashes are masked to be positive
-END_UNIT = ENDINGS      # units: endings, the end token, known words from FIRST_KNOWN, the others from RARE
-FIRST_KNOWN = ENDINGS + 1
-RARE = 1 << 62          # a rare unit holds 51 bits of its hash and, in its last bits, its ending
+END_UNIT = ENDINGS      # units: endings, the end token, known words from FIRST_KNOWN on
+FIRST_KNOWN = ENDINGS + 1  # known words are numbered by falling count
+K = CLASSES + 1
+CODES = 2 * K + 1       # of a unit's contexts: the class before it, K + the class after it, 2 K the unit itself
+
+BLOCK_TOKENS = 250_000  # tokens of a block, unless one text has more
+DENSE = FIRST_KNOWN + 8192  # units that a task adds up in an array; the others are sorted
+HELD = 4_000_000        # contexts that a task holds before it sorts them
+TEXTS = 512             # rows of texts that Python holds at once
+BLOCKS = 4              # blocks, or rows of sums
+RANGE = 1024            # units of a row of sums
+FAN = 32                # rows of sums merged at once
 
 
 def split_of(doc_id: Column, parts: int) -> Column:
@@ -127,254 +141,311 @@ class Lookup:
         return np.where(self.hashes[at] == x, at, -1)
 
 
-def rare_unit(word: Column, ending: Column) -> Column:
-    bits = F.shiftleft(word, 11).bitwiseAND(F.lit(RARE - 1)).bitwiseAND(F.lit(-ENDINGS))
-    return bits.bitwiseOR(F.lit(RARE)).bitwiseOR(ending.cast("long"))
+NUMBERS = "train boolean, docs array<string>, lengths array<int>, ids binary, words array<long>, endings array<int>"
 
 
-class UnitsOf:
-    """Units of words: those of the known ones by their place, else rare units,
-    or, if no rare word is a unit of its own, their endings."""
+def _numbers(shared):
+    """mapInPandas function: texts as blocks of numbers.  Of V known words number i is
+    the i-th, V the end token, V + 1 + j the j-th of the block's other words."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, place = shared.value
+        find, ids, endings, v = Lookup(hashes), WordIds(), Units(), len(hashes)
+        held = {True: ([], [], [], []), False: ([], [], [], [])}  # docs, numbers, hashes and endings of other words
+        size = {True: 0, False: 0}
+
+        def out(train: bool) -> pd.DataFrame:
+            docs, numbers, others, ends = held[train]
+            n, other = np.concatenate(numbers), np.concatenate(others)
+            words, first, local = np.unique(other, return_index=True, return_inverse=True)
+            n[n > v] = v + 1 + local
+            row = (train, docs, [len(x) for x in numbers], n.astype(np.int32).tobytes(), words, np.concatenate(ends)[first])
+            held[train], size[train] = ([], [], [], []), 0
+            return pd.DataFrame([row], columns=["train", "docs", "lengths", "ids", "words", "endings"])
+        for batch in batches:
+            for doc, train, text in zip(batch["doc"], batch["train"].astype(bool), batch["text"]):
+                words = _lower(text)
+                h = _hashed(words, ids)
+                at = find(h)
+                away = np.flatnonzero(at < 0)
+                n = np.append(place[at] if v else np.zeros(len(h), np.int64), v)
+                n[away] = v + 1
+                for into, value in zip(held[train], (doc, n, h[away], np.array([endings[words[i]] for i in away.tolist()], np.int32))):
+                    into.append(value)
+                size[train] += len(n)
+                if size[train] > BLOCK_TOKENS:
+                    yield out(train)
+        for train in size:
+            if size[train]:
+                yield out(train)
+    return run
 
-    def __init__(self, hashes: np.ndarray, unit_of_known: np.ndarray, rare_own: bool):
-        self.find, self.unit_of_known, self.rare_own = Lookup(hashes), unit_of_known, rare_own
-        self.ids, self.endings = WordIds(), Units()
 
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(place among the known or -1, unit) of each word."""
-        h = _hashed(words, self.ids)
-        at = self.find(h)
-        unit = self.unit_of_known[at] if len(self.unit_of_known) else np.zeros(len(h), np.int64)
-        away = np.flatnonzero(at < 0)
-        if len(away):
-            ending = np.fromiter((self.endings[words[i]] for i in away.tolist()), np.int64, len(away))
-            unit[away] = ((h[away] << 11) & (RARE - ENDINGS)) | RARE | ending if self.rare_own else ending
-        return at, unit
+def _with_start(ids: bytes, end: int) -> np.ndarray:
+    return np.concatenate([[end], np.frombuffer(ids, np.int32)])
 
 
-def _pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> pd.DataFrame:
-    """(a, b, n) with the n of equal pairs added up."""
-    codes, both = np.unique(np.concatenate([a, b]), return_inverse=True)
-    k, at = np.unique(both[: len(a)] * len(codes) + both[len(a):], return_inverse=True)
-    n = np.bincount(at, weights=n, minlength=len(k)).astype(np.int64)
-    return pd.DataFrame({"a": codes[k // len(codes)], "b": codes[k % len(codes)], "n": n})
+def _rows_of_sums(keys: np.ndarray, ns: np.ndarray, table: np.ndarray | None) -> pd.DataFrame:
+    """Sorted keys (unit * CODES + code) and their sums as a row for each range of
+    units, and the table of class pairs as row -1."""
+    bounds = np.flatnonzero(np.diff(keys // (CODES * RANGE), prepend=-1))
+    rows = [(int(k[0] // (CODES * RANGE)), k.tobytes(), n.tobytes()) for k, n in zip(np.split(keys, bounds[1:]), np.split(ns, bounds[1:])) if len(k)]
+    if table is not None:
+        rows.append((-1, b"", table.tobytes()))
+    return pd.DataFrame(rows, columns=["range", "keys", "ns"])
 
 
-def _unit_bigrams(shared, rare_own: bool):
-    """mapInPandas function: (a, b, n) of units, the end before and after each text."""
+def _contexts(shared):
+    """mapInPandas function: sums of the contexts of the units that may move, and of
+    the pairs of classes, from blocks of training text."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, unit_of_known = shared.value
-        units = UnitsOf(hashes, unit_of_known, rare_own)
-        held, size = [], 0
-
-        def out() -> pd.DataFrame:
-            codes, u = np.unique(np.concatenate(held), return_inverse=True)
-            pair = np.ones(len(u), bool)
-            pair[np.cumsum([len(x) for x in held]) - 1] = False  # an end has no bigram with the next text
-            at = np.flatnonzero(pair)
-            k, n = np.unique(u[at] * len(codes) + u[at + 1], return_counts=True)
-            return pd.DataFrame({"a": codes[k // len(codes)], "b": codes[k % len(codes)], "n": n})
+        unit_of, class_of, moves = shared.value
+        table, dense, held, size = np.zeros(K * K, np.int64), np.zeros(DENSE * CODES, np.int64), [], 0
         for batch in batches:
-            for text in batch["text"]:
-                held.append(np.concatenate([[END_UNIT], units(_lower(text))[1], [END_UNIT]]))
+            for ids, endings in zip(batch["ids"], batch["endings"]):
+                u = np.concatenate([unit_of, [END_UNIT], endings]).astype(np.int32)[_with_start(ids, len(unit_of))]
+                c = class_of[u].astype(np.int64)
+                table += np.bincount(c[:-1] * K + c[1:], minlength=K * K)
+                if moves is None:
+                    continue
+                m, same = moves[u], u[:-1] == u[1:]
+                left, right, own = (np.flatnonzero(x) for x in (m[1:] & ~same, m[:-1] & ~same, m[1:] & same))
+                base = u.astype(np.int64) * CODES
+                keys = np.concatenate([base[left + 1] + c[left], base[right] + K + c[right + 1], base[own] + 2 * K])
+                low = keys < len(dense)
+                dense += np.bincount(keys[low], minlength=len(dense))
+                held.append(keys[~low])
                 size += len(held[-1])
-                if size > 3_000_000:
-                    yield out()
+                if size > HELD:
+                    yield _rows_of_sums(*np.unique(np.concatenate(held), return_counts=True), None)
                     held, size = [], 0
-        if held:
-            yield out()
+        at = np.flatnonzero(dense)
+        rest = np.unique(np.concatenate(held), return_counts=True) if held else (at[:0], at[:0])
+        yield _rows_of_sums(np.concatenate([at, rest[0]]), np.concatenate([dense[at], rest[1]]), table)
     return run
 
 
-def _coarse(shared):
-    """mapInPandas function: (a, b, n) of coarse units from those of units."""
+def _merged(rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows of sums of one range as one."""
+    first = rows.iloc[0]
+    ns = [np.frombuffer(x, np.int64) for x in rows["ns"]]
+    if first["range"] < 0:
+        keys, sums = b"", np.sum(ns, axis=0)
+    else:
+        codes, at = np.unique(np.concatenate([np.frombuffer(x, np.int64) for x in rows["keys"]]), return_inverse=True)
+        keys, sums = codes.tobytes(), np.bincount(at, weights=np.concatenate(ns), minlength=len(codes)).astype(np.int64)
+    return pd.DataFrame([(first["range"], first["turn"], keys, sums.tobytes())], columns=["range", "turn", "keys", "ns"])
+
+
+def contexts(blocks: DataFrame, unit_of: np.ndarray, class_of: np.ndarray, moves: np.ndarray | None) -> DataFrame:
+    """A row of sums for each range of units, and the class pairs as row -1."""
+    shared = blocks.sparkSession.sparkContext.broadcast((unit_of, class_of.astype(np.int8), moves))
+    rows = blocks.filter("train").select("ids", "endings").mapInPandas(_contexts(shared), "range long, keys binary, ns binary")
+    order = F.row_number().over(Window.partitionBy("range").orderBy("part", "place"))
+    rows = saved(rows.withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()), "sums")
+    numbered = rows.select("range", "part", "place", order.alias("turn"))  # without the sums
+    most = numbered.agg(F.coalesce(F.max("turn"), F.lit(0))).first()[0]
+    rows = rows.join(numbered, ["range", "part", "place"]).select("range", F.col("turn").cast("long"), "keys", "ns")
+    while True:
+        rows = rows.withColumn("turn", F.expr(f"turn div {FAN}")).groupBy("range", "turn").applyInPandas(_merged, "range long, turn long, keys binary, ns binary")
+        rows, most = saved(rows, "sums"), most // FAN
+        if most == 0:
+            return rows
+
+
+def _phi(x):
+    return x * np.log(np.maximum(x, 1e-9))
+
+
+def best_class(dense: np.ndarray, c: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The class, but that of the end token, that raises the likelihood most, of each
+    unit: its counts by code (a row of ``dense``), its class, all pairs of classes."""
+    l, r, own = dense[:, :K], dense[:, K: 2 * K], dense[:, 2 * K]
+    gain, here = np.zeros((len(c), K)), np.arange(len(c))
+    for x, other, t in ((l, r, table), (r, l, table.T)):
+        at, i = np.nonzero(x)
+        v, at_c = x[at, i], c[at]
+        n = t[i]  # without the unit; its bigrams with itself apart
+        n[np.arange(len(at)), at_c] -= v
+        inner = np.flatnonzero(i == at_c)
+        n[inner] -= other[at[inner]]
+        n[inner, at_c[inner]] -= own[at[inner]]
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
+        if len(first):
+            gain[at[first]] += np.add.reduceat(_phi(n + v[:, None]) - _phi(n), first)
+    total = l.sum(1) + own
+    d = np.tile(np.diag(table), (len(c), 1))
+    d[here, c] -= l[here, c] + r[here, c] + own
+    gain += _phi(d + l + r + own[:, None]) - _phi(d + l) - _phi(d + r) + _phi(d)
+    for sums in (table.sum(1), table.sum(0)):  # what comes before and after stays in its class's sum
+        rest = np.tile(sums, (len(c), 1))
+        rest[here, c] -= total
+        gain -= _phi(rest + total[:, None]) - _phi(rest)
+    return gain[:, : K - 1].argmax(1)
+
+
+def _gains(shared):
+    """mapInPandas function: (unit, class, n) of the best class of each unit."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coarse = shared.value
-        of = lambda u: np.where(u < len(coarse), coarse[np.minimum(u, len(coarse) - 1)], u & (ENDINGS - 1))
+        table, class_of = shared.value
         for batch in batches:
-            yield _pairs(of(batch["a"].to_numpy()), of(batch["b"].to_numpy()), batch["n"].to_numpy())
+            for r, keys, ns in zip(batch["range"], batch["keys"], batch["ns"]):
+                dense = np.zeros(RANGE * CODES)
+                dense[np.frombuffer(keys, np.int64) - r * RANGE * CODES] = np.frombuffer(ns, np.int64)
+                dense = dense.reshape(RANGE, CODES)
+                at = np.flatnonzero(dense.any(1))
+                unit = r * RANGE + at
+                n = dense[at][:, :K].sum(1) + dense[at, 2 * K]
+                yield pd.DataFrame({"unit": unit, "class": best_class(dense[at], class_of[unit], table), "n": n.astype(np.int64)})
     return run
 
 
-def with_rare(rows: DataFrame, side: str, rare: DataFrame | None, columns: list[str]) -> DataFrame:
-    """``rows`` with ``columns`` of the table ``rare`` (unit, ...) for the units
-    in column ``side``, null for others; these are spread by a negative key."""
-    if rare is None:
-        for c in columns:
-            rows = rows.withColumn(f"{c}_{side}", F.lit(None).cast("long"))
-        return rows
-    key = F.when(F.col(side) >= RARE, F.col(side)).otherwise(F.xxhash64("a", "b").bitwiseOR(F.lit(-1 << 63)))
-    met = rare.select(F.col("unit").alias("__unit"), *[F.col(c).cast("long").alias(f"{c}_{side}") for c in columns])
-    return rows.withColumn("__key", key).join(met, F.col("__key") == F.col("__unit"), "left").drop("__key", "__unit")
+def exchange(blocks: DataFrame, unit_of: np.ndarray, class_of: np.ndarray, hashed: np.ndarray, rounds: int = WORD_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the units that ``unit_of`` names, by exchange from ``class_of``, and the
+    table of pairs of classes; ``hashed`` has a hash for each unit.  At most KNOWN_WORDS and ENDINGS moves come to the driver."""
+    spark = blocks.sparkSession
+    best, share = None, INFLOW
+    for turn in range(rounds + 1):
+        half = ((hashed ^ (hashed >> 29)) * 0x9E3779B97F4A7C1 >> 33) + turn & 1 == 0
+        half[END_UNIT] = False
+        with removed_after(spark):
+            met = contexts(blocks, unit_of, class_of, half if turn < rounds else None)
+            table = np.frombuffer((met.filter("range = -1").first() or {"ns": np.zeros(K * K, np.int64)})["ns"], np.int64).reshape(K, K).astype(float)  # one row
+            likelihood = _phi(table).sum() - _phi(table.sum(0)).sum() - _phi(table.sum(1)).sum()
+            better = best is None or likelihood > best[0]
+            if better:
+                best = (likelihood, class_of, table)
+            if turn == rounds:
+                break
+            if better:
+                shared = spark.sparkContext.broadcast((table, class_of))
+                moves = met.filter("range >= 0").select("range", "keys", "ns").mapInPandas(_gains(shared), "unit long, class long, n long").toPandas()
+                unit, to, n = (moves[c].to_numpy(np.int64) for c in ("unit", "class", "n"))
+                moving = to != class_of[unit]
+                if moving.sum() <= LEAST_MOVED * len(unit):
+                    break
+                inflow = np.bincount(to[moving], weights=n[moving], minlength=K)
+                size = np.maximum(table.sum(1), table.sum() / K / 5)
+            else:  # too many moved at once: fewer of the same moves
+                share /= 2
+                class_of = best[1]
+        chance = np.minimum(1.0, share * size / np.maximum(inflow, 1))
+        drawn = ((hashed[unit] ^ (hashed[unit] >> 31)) * (0x2545F4914F6CDD1D + 2 * turn) >> 40 & 0xFFFFF) / (1 << 20)
+        now = moving & (drawn < chance[to])
+        class_of = class_of.copy()
+        class_of[unit[now]] = to[now]
+    return best[1].copy(), best[2]
 
 
-def _contexts(shared, turn: int, moving: bool):
-    """mapInPandas function: (unit, code, n) from (a, b, n) and the classes of rare
-    units.  Code c is the class before a unit, K + 1 + c the one after it, 2 K + 2 the
-    unit itself; unit -1 has the pairs of classes."""
+def _rare_contexts(shared):
+    """mapInPandas function: (word, code, n) of the words that are not known."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        class_of, k = shared.value, CLASSES + 1
-        of = lambda u, c: np.where(u < RARE, class_of[np.minimum(u, len(class_of) - 1)], np.nan_to_num(c)).astype(np.int64)
-        moves = lambda u: (((u ^ (u >> 29)) * 0x9E3779B97F4A7C1 >> 33) + turn) % 2 == 0
+        known_class, class_of_ending = shared.value
+        v = len(known_class)
         for batch in batches:
-            a, b, n = (batch[c].to_numpy(np.int64) for c in "abn")
-            ca, cb = of(a, batch["class_a"].to_numpy(float)), of(b, batch["class_b"].to_numpy(float))
-            out = [(np.full(len(a), -1), ca * k + cb, n)]
-            if moving:
-                same = a == b
-                left, right, own = moves(b) & ~same & (b != END_UNIT), moves(a) & ~same & (a != END_UNIT), moves(a) & same & (a != END_UNIT)
-                out += [(b[left], ca[left], n[left]), (a[right], k + cb[right], n[right]), (a[own], np.full(own.sum(), 2 * k), n[own])]
-            yield _pairs(*map(np.concatenate, zip(*out))).rename(columns={"a": "unit", "b": "code"})
+            for ids, words, endings in zip(batch["ids"], batch["words"], batch["endings"]):
+                u = _with_start(ids, v)
+                c = np.concatenate([known_class, [CLASSES], class_of_ending[endings]]).astype(np.int64)[u]
+                m, same, base = u > v, u[:-1] == u[1:], (u.astype(np.int64) - v - 1) * CODES
+                left, right, own = (np.flatnonzero(x) for x in (m[1:] & ~same, m[:-1] & ~same, m[1:] & same))
+                keys, n = np.unique(np.concatenate([base[left + 1] + c[left], base[right] + K + c[right + 1], base[own] + 2 * K]), return_counts=True)
+                yield pd.DataFrame({"word": np.asarray(words, np.int64)[keys // CODES], "code": keys % CODES, "n": n})
     return run
 
 
-def _gains(shared):
-    """mapInPandas function: (unit, class_unit, codes, ns) to (unit, class, moving, n), all
-    units of a batch at once; only the classes a unit meets are looked at."""
-    def phi(x):
-        return x * np.log(np.maximum(x, 1e-9))
-
+def _rare_gains(shared):
+    """mapInPandas function: (word, class) from (word, ending, codes, ns)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, class_of = shared.value
-        k = len(table)
+        table, class_of_ending = shared.value
         for big in batches:
             for start in range(0, len(big), 1024):
                 batch = big.iloc[start: start + 1024]
-                unit = batch["unit"].to_numpy(np.int64)
-                c = np.where(unit < RARE, class_of[np.minimum(unit, len(class_of) - 1)], np.nan_to_num(batch["class_unit"].to_numpy(float))).astype(np.int64)
-                u = np.repeat(np.arange(len(unit)), [len(x) for x in batch["codes"]])
-                dense = np.zeros((len(unit), 2 * k + 1))
+                u = np.repeat(np.arange(len(batch)), [len(x) for x in batch["codes"]])
+                dense = np.zeros((len(batch), CODES))
                 dense[u, np.concatenate(batch["codes"].tolist())] = np.concatenate(batch["ns"].tolist())
-                l, r, own = dense[:, :k], dense[:, k: 2 * k], dense[:, 2 * k]
-                gain = np.zeros((len(unit), k))
-                here = np.arange(len(unit))
-                for x, other, t in ((l, r, table), (r, l, table.T)):
-                    at, i = np.nonzero(x)
-                    v, at_c = x[at, i], c[at]
-                    n = t[i]  # without the unit; its bigrams with itself apart
-                    n[np.arange(len(at)), at_c] -= v
-                    inner = np.flatnonzero(i == at_c)
-                    n[inner] -= other[at[inner]]
-                    n[inner, at_c[inner]] -= own[at[inner]]
-                    first = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
-                    if len(first):
-                        gain[at[first]] += np.add.reduceat(phi(n + v[:, None]) - phi(n), first)
-                total = l.sum(1) + own
-                d = np.tile(np.diag(table), (len(unit), 1))
-                d[here, c] -= l[here, c] + r[here, c] + own
-                gain += phi(d + l + r + own[:, None]) - phi(d + l) - phi(d + r) + phi(d)
-                for sums in (table.sum(1), table.sum(0)):  # what comes before and after stays in its class's sum
-                    rest = np.tile(sums, (len(unit), 1))
-                    rest[here, c] -= total
-                    gain -= phi(rest + total[:, None]) - phi(rest)
-                best = gain[:, : k - 1].argmax(1)
-                yield pd.DataFrame({"unit": unit, "class": best, "moving": best != c, "n": total.astype(np.int64)})
+                yield pd.DataFrame({"word": batch["word"].to_numpy(), "class": best_class(dense, class_of_ending[batch["ending"].to_numpy()], table)})
     return run
 
 
-def exchange(bigrams: DataFrame, class_of: np.ndarray, rare: DataFrame | None, rounds: int = WORD_ROUNDS) -> tuple[np.ndarray, DataFrame | None, np.ndarray]:
-    """Classes of all units, from those given: ``class_of`` by number for endings
-    and known words, the table ``rare`` (unit, class) for the others; and the table of
-    class bigrams.  What comes to the driver is bounded by ``KNOWN_WORDS``."""
-    spark, k = bigrams.sparkSession, CLASSES + 1
-    phi = lambda x: (x * np.log(np.maximum(x, 1e-9))).sum()
-    best, share = None, INFLOW
-    for turn in range(rounds + 1):
-        rows = with_rare(with_rare(bigrams, "a", rare, ["class"]), "b", rare, ["class"])
-        shared = spark.sparkContext.broadcast(class_of)
-        met = rows.mapInPandas(_contexts(shared, turn, turn < rounds), "unit long, code long, n long").groupBy("unit", "code").agg(F.sum("n").alias("n"))
-        met = saved(met, "unit-classes")
-        table = np.zeros((k, k))
-        for r in met.filter("unit = -1").collect():  # a row for each pair of classes
-            table[r["code"] // k, r["code"] % k] = r["n"]
-        likelihood = phi(table) - phi(table.sum(0)) - phi(table.sum(1))
-        better = best is None or likelihood > best[0]
-        if better:
-            best = (likelihood, class_of, rare, table)
-        if turn == rounds:
-            break
-        if better:
-            vectors = met.filter("unit >= 0").groupBy("unit").agg(F.collect_list("code").alias("codes"), F.collect_list("n").alias("ns"))
-            old = F.lit(None).cast("long").alias("class_unit") if rare is None else F.col("class").cast("long").alias("class_unit")
-            vectors = (vectors if rare is None else vectors.join(rare, "unit", "left")).select("unit", old, "codes", "ns")
-            shared = spark.sparkContext.broadcast((table, class_of))
-            moves = saved(vectors.mapInPandas(_gains(shared), "unit long, class long, moving boolean, n long"), "moves")
-            units = moves.count()
-            inflow = {r["class"]: (r["units"], r["n"]) for r in moves.filter("moving").groupBy("class").agg(F.count("*").alias("units"), F.sum("n").alias("n")).collect()}  # a row for each class
-            if sum(x for x, _ in inflow.values()) <= LEAST_MOVED * units:
-                break
-            size = np.maximum(table.sum(1), table.sum() / k / 5)
-        else:  # too many moved at once: fewer of the same moves
-            share /= 2
-            _, class_of, rare, _ = best
-        chance = F.array(*[F.lit(float(min(1.0, share * size[c] / inflow[c][1]) if c in inflow else 1.0)) for c in range(CLASSES)])
-        drawn = F.pmod(F.xxhash64("unit", F.lit(turn)), F.lit(1 << 20)) / F.lit(1 << 20)
-        moved = moves.filter("moving").filter(drawn < F.element_at(chance, F.col("class").cast("int") + 1))
-        now = moved.filter(F.col("unit") < RARE).select("unit", "class").toPandas()  # at most KNOWN_WORDS and ENDINGS
-        class_of = class_of.copy()
-        class_of[now["unit"]] = now["class"]
-        if rare is not None:
-            new = moved.filter(F.col("unit") >= RARE).select("unit", F.col("class").alias("__new"))
-            rare = saved(rare.join(new, "unit", "left").select("unit", F.coalesce("__new", "class").alias("class")), "rare-classes")
-    return best[1:]
-
-
-def _scores(shared):
-    """mapInPandas function: a row for each document with its part of the
-    score, and rows (a, b, times) of its bigrams with a word that is not known,
-    which have n = 0.  A document's row has no rare unit."""
+def rare_classes(blocks: DataFrame, rest: DataFrame, known_class: np.ndarray, class_of_ending: np.ndarray, table: np.ndarray) -> DataFrame:
+    """(word, class, n) of the words in ``rest`` (word, ending, n): those seen
+    LEAST_COUNT times move to their best class, the others have that of their ending."""
+    spark = blocks.sparkSession
+    shared = spark.sparkContext.broadcast((known_class, class_of_ending))
+    met = blocks.filter("train").select("ids", "words", "endings").mapInPandas(_rare_contexts(shared), "word long, code int, n long")
+    with batches_of(spark, BLOCKS):
+        met = saved(met.groupBy("word", "code").agg(F.sum("n").alias("n")), "rare-contexts")
+    met = met.groupBy("word").agg(F.collect_list("code").alias("codes"), F.collect_list("n").alias("ns"))  # at most CODES
+    own = rest.filter(F.col("n") >= LEAST_COUNT).select("word", "ending").dropDuplicates(["word"])
+    shared = spark.sparkContext.broadcast((table, class_of_ending))
+    moved = met.join(own, "word").select("word", "ending", "codes", "ns").mapInPandas(_rare_gains(shared), "word long, class long").withColumnRenamed("class", "to")
+    by_ending = F.element_at(F.lit(class_of_ending.tolist()), F.col("ending") + 1).cast("long")
+    summed = rest.groupBy("word").agg(F.min("ending").alias("ending"), F.sum("n").alias("n"))
+    return saved(summed.join(moved, "word", "left").select("word", F.coalesce("to", by_ending).alias("class"), "n"), "rare-words")
+
+
+def with_words(blocks: DataFrame, rest: DataFrame | None) -> DataFrame:
+    """``blocks`` with ``classes`` and ``counts`` of their own words (null: not seen)."""
+    if rest is None:
+        none = F.lit(None).cast("array<long>")
+        return blocks.withColumn("classes", none).withColumn("counts", none)
+    words = blocks.select("block", F.posexplode("words").alias("at", "word")).join(rest, "word")
+    found = words.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "class", "n"))).alias("f"))  # a block's own words
+    found = found.select("block", F.col("f.at").alias("at"), F.col("f.class").alias("classes"), F.col("f.n").alias("counts"))
+    return blocks.join(found, "block", "left")
+
+
+def _own(row, class_of_ending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes and counts of a block's own words."""
+    classes, counts = class_of_ending[row.endings].astype(np.int64), np.zeros(len(row.endings), np.int64)
+    if row.classes is not None:
+        at = row.at if "at" in row._fields else np.arange(len(row.classes))
+        classes[at], counts[at] = row.classes, row.counts
+    return classes, counts
+
+
+def _class_pairs(shared):
+    """mapInPandas function: (a, b, n) of classes in training blocks."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        class_of, log_move, log_class, hashes, log_count, ends = shared.value
-        units = UnitsOf(hashes, np.arange(FIRST_KNOWN, FIRST_KNOWN + len(hashes)), True)
-        columns = ["doc", "key", "a", "b", "times", "n", "known", "logs", "rest"]
-        end = np.array([END_UNIT])
+        known_class, class_of_ending = shared.value
+        table = np.zeros(K * K, np.int64)
         for batch in batches:
-            docs, rare = [], []
-            for doc, key, text in zip(batch["doc"], batch["key"], batch["text"]):
-                at, u = units(_lower(text))
-                u = np.concatenate([end, u, end])
-                known = u < RARE
-                c = class_of[np.where(known, u, END_UNIT)]
-                both = known[:-1] & known[1:]
-                rest = log_move[c[:-1], c[1:]][both].sum() - log_class[c[1:]][known[1:]].sum()
-                logs = log_count[at[at >= 0]].sum() + np.log10(ends + ADD)
-                docs.append((doc, key, END_UNIT, key & 0xFFFFFFFF, 1, len(u) - 1, int((at >= 0).sum()) + int(ends > 0), float(logs), float(rest)))
-                if not both.all():
-                    rare.append(_pairs(u[:-1][~both], u[1:][~both]).rename(columns={"n": "times"}).assign(doc=doc, key=key))
-            yield pd.DataFrame(docs, columns=columns).astype({"doc": "Int64"})
-            for i in range(0, len(rare), 2_000):
-                yield pd.concat(rare[i: i + 2_000]).assign(n=0, known=0, logs=0.0, rest=0.0)[columns].astype({"doc": "Int64"})
+            for row in batch.itertuples():
+                c = np.concatenate([known_class, [CLASSES], _own(row, class_of_ending)[0]])[_with_start(row.ids, len(known_class))]
+                table += np.bincount(c[:-1] * K + c[1:], minlength=K * K)
+        yield pd.DataFrame({"a": np.arange(K * K) // K, "b": np.arange(K * K) % K, "n": table})
     return run
 
 
-def _rare_scores(shared):
-    """mapInPandas function: adds what bigrams with a word that is not known give."""
+def _scores(shared):
+    """mapInPandas function: a row for each document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        class_of, log_move, log_class = shared.value[:3]
-        of = lambda u, c: np.where(u < RARE, class_of[np.minimum(u, len(class_of) - 1)], np.where(np.isnan(c), class_of[u & (ENDINGS - 1)], np.nan_to_num(c))).astype(np.int64)
+        known_class, class_of_ending, known_count, log_move, log_class = shared.value
+        v = len(known_class)
         for batch in batches:
-            bigram = (batch["n"] == 0).to_numpy()
-            a, b = batch["a"].to_numpy(np.int64), np.where(bigram, batch["b"].to_numpy(np.int64), END_UNIT)
-            ca, cb = of(a, batch["class_a"].to_numpy(float)), of(b, batch["class_b"].to_numpy(float))
-            count, times = np.nan_to_num(batch["count_b"].to_numpy(float)), batch["times"].to_numpy(np.int64)
-            word = bigram & (b >= RARE)
-            batch["known"] += np.where(word & (count > 0), times, 0)
-            batch["logs"] += np.where(word, times * np.log10(count + ADD), 0.0)
-            batch["rest"] += np.where(bigram, times * log_move[ca, cb], 0.0) - np.where(word, times * log_class[cb], 0.0)
-            yield batch[["doc", "key", "times", "n", "known", "logs", "rest"]].astype({"doc": "Int64"})
+            for row in batch.itertuples():
+                classes, counts = _own(row, class_of_ending)
+                u = _with_start(row.ids, v)
+                c = np.concatenate([known_class, [CLASSES], classes])[u]
+                count = np.concatenate([known_count, counts])[u[1:]]  # of V words and the end token
+                begin = np.cumsum([0, *row.lengths[:-1]])
+                each = lambda x: np.add.reduceat(x, begin)
+                yield pd.DataFrame({"doc": row.docs, "n_tokens": row.lengths,
+                                    "n_known": each((count > 0).astype(np.int64)), "logs": each(np.log10(count + ADD)),
+                                    "rest": each(log_move[c[:-1], c[1:]] - log_class[c[1:]])})
     return run
 
 
+@tidy
 def score(docs: DataFrame, folds: int = 5, held_out: int = 1, known_words: int = KNOWN_WORDS) -> DataFrame:
     """Per row doc_id, held_out, n_tokens, n_known, train_tokens, base_score
     (unigrams with additive smoothing) and score (the class model)."""
     spark = docs.sparkSession
-    text = F.col("__row.text")
-    docs = packed(docs).select(F.col("__row.doc_id").cast("long").alias("doc"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"))
-    train = docs.filter(split_of(F.col("doc"), folds) != held_out).select("text")
+    docs = packed(docs).select(F.col("__row.doc_id").cast("long").cast("string").alias("doc"), F.col("__row.text").alias("text"))
+    docs = docs.withColumn("train", split_of(F.col("doc"), folds) != held_out)
 
-    vocabulary = train.mapInPandas(_word_counts(), "word long, ending int, n long").groupBy("word", "ending").agg(F.sum("n").alias("n"))
-    vocabulary = saved(vocabulary, "vocabulary")
+    with batches_of(spark, TEXTS):
+        vocabulary = docs.filter("train").select("text").mapInPandas(_word_counts(), "word long, ending int, n long")
+        vocabulary = saved(vocabulary.groupBy("word", "ending").agg(F.sum("n").alias("n")), "vocabulary")
     total, size = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = vocabulary.filter(F.col("word") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     words = vocabulary.filter(F.col("word") != END)
@@ -387,70 +458,57 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1, known_words: int =
         if fit > known_words:
             break
         least = n
-    known = words.filter(F.col("n") >= least).toPandas().sort_values("word")  # at most KNOWN_WORDS or 1 / COUNT_SHARE rows
+    known = words.filter(F.col("n") >= least).toPandas().sort_values(["n", "word"], ascending=[False, True])  # at most KNOWN_WORDS or 1 / COUNT_SHARE rows
     hashes, counts, endings = (known[c].to_numpy(np.int64) for c in ("word", "n", "ending"))
-    rest = words.filter(F.col("n") < least).select(rare_unit(F.col("word"), F.col("ending")).alias("unit"), "ending", "n") if fit > len(known) else None
-    rare_own = rest is not None and least > LEAST_COUNT
-
-    own = counts >= LEAST_COUNT
-    unit_of_known = np.where(own, FIRST_KNOWN + np.arange(len(hashes)), endings)
-    shared = spark.sparkContext.broadcast((hashes, unit_of_known))
-    bigrams = train.mapInPandas(_unit_bigrams(shared, rare_own), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    rare = None
-    if rare_own:  # rare words below the least count are their endings
-        rare = saved(rest.filter(F.col("n") >= LEAST_COUNT).select("unit", "ending").dropDuplicates(["unit"]), "rare-units")
-        for side in "ab":
-            bigrams = with_rare(bigrams, side, rare, ["ending"])
-            lost = (F.col(side) >= RARE) & F.col(f"ending_{side}").isNull()
-            bigrams = bigrams.withColumn(side, F.when(lost, F.col(side).bitwiseAND(F.lit(ENDINGS - 1))).otherwise(F.col(side)))
-        bigrams = bigrams.groupBy("a", "b").agg(F.sum("n").alias("n"))
-    bigrams = saved(bigrams, "unit-bigrams")
-
-    often = FIRST_KNOWN + np.flatnonzero(counts >= max(1, UNIT_SHARE * total))  # at most 1 / UNIT_SHARE
-    coarse = np.concatenate([np.arange(FIRST_KNOWN), endings])
-    coarse[often] = often
-    shared = spark.sparkContext.broadcast(coarse)
-    pairs = bigrams.mapInPandas(_coarse(shared), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    begin = np.zeros(len(coarse), np.int64)
+    rest = words.filter(F.col("n") < least) if fit > len(known) else None
+
+    place = np.argsort(hashes)
+    shared = spark.sparkContext.broadcast((hashes[place], place))
+    with batches_of(spark, TEXTS):
+        blocks = docs.mapInPandas(_numbers(shared), NUMBERS).withColumn("block", F.monotonically_increasing_id())
+        blocks = saved(blocks, "numbers")
+
+    often = np.flatnonzero(counts >= max(1, UNIT_SHARE * total))  # at most 1 / UNIT_SHARE
+    coarse = endings.copy()
+    coarse[often] = FIRST_KNOWN + often
+    class_of = np.zeros(FIRST_KNOWN + len(hashes), np.int64)
     weight = np.bincount(endings, minlength=ENDINGS)
-    rank = np.concatenate([often[np.argsort(-counts[often - FIRST_KNOWN], kind="stable")], np.argsort(-weight, kind="stable")])
-    begin[rank] = np.arange(len(rank)) % CLASSES
-    begin[END_UNIT] = CLASSES
-    begin, _, _ = exchange(saved(pairs, "coarse-bigrams"), begin, None, ROUNDS)
-    class_of = begin[coarse]
-    by_ending = lambda now: spark.createDataFrame(pd.DataFrame({"ending": np.arange(ENDINGS), "class": now[:ENDINGS]}), "ending long, class long")
-    if rare_own:
-        rare = saved(rare.join(F.broadcast(by_ending(class_of)), "ending").select("unit", "class"), "rare-classes")
-    class_of, rare, table = exchange(bigrams, class_of, rare)
-
-    class_of = class_of.copy()  # words that are no units of their own have the class of their ending
-    class_of[FIRST_KNOWN:][~own] = class_of[endings[~own]]
-    tokens, types = np.zeros((2, CLASSES + 1))
-    np.add.at(tokens, class_of[FIRST_KNOWN:], counts)
-    np.add.at(types, class_of[FIRST_KNOWN:], 1)
+    rank = np.concatenate([FIRST_KNOWN + often, np.argsort(-weight, kind="stable")])
+    class_of[rank] = np.arange(len(rank)) % CLASSES
+    class_of[END_UNIT] = CLASSES
+    hashed = np.concatenate([np.arange(FIRST_KNOWN) * 0x9E3779B97F4A7C1, hashes])
+    with batches_of(spark, BLOCKS):
+        class_of, _ = exchange(blocks, coarse, class_of, hashed, ROUNDS)
+        class_of[FIRST_KNOWN:] = class_of[coarse]
+        unit_of = np.where(counts >= LEAST_COUNT, FIRST_KNOWN + np.arange(len(hashes)), endings)
+        class_of, table = exchange(blocks, unit_of, class_of, hashed)
+    known_class, class_of_ending = class_of[unit_of], class_of[:ENDINGS]
+
+    tokens, types = np.zeros((2, K))
+    np.add.at(tokens, known_class, counts)
+    np.add.at(types, known_class, 1)
     tokens[CLASSES], types[CLASSES] = ends, int(ends > 0)
     if rest is not None:
-        rest = rest.groupBy("unit", "ending").agg(F.sum("n").alias("count")).join(F.broadcast(by_ending(class_of).withColumnRenamed("class", "__ending")), "ending")
-        rest = rest.withColumn("class", F.col("__ending")) if rare is None else rest.join(rare, "unit", "left").withColumn("class", F.coalesce("class", "__ending"))
-        rest = saved(rest.select("unit", "class", "count"), "rare-words")
-        for r in rest.groupBy("class").agg(F.sum("count").alias("n"), F.count("*").alias("v")).collect():  # a row for each class
+        rest = rare_classes(blocks, rest, known_class, class_of_ending, table)
+        for r in rest.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():  # a row for each class
             tokens[r["class"]] += r["n"]
             types[r["class"]] += r["v"]
+    blocks = with_words(blocks, rest)
+    if rest is not None:
+        blocks = saved(blocks, "numbers")
+        shared = spark.sparkContext.broadcast((known_class, class_of_ending))
+        with batches_of(spark, BLOCKS):
+            pairs = blocks.filter("train").select("ids", "endings", "at", "classes", "counts").mapInPandas(_class_pairs(shared), "a int, b int, n long")
+            for r in pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).collect():  # a row for each pair of classes
+                table[r["a"], r["b"]] = r["n"]
 
     log_class = np.log10(tokens + ADD * (types + 1))
-    log_move = np.log10((table + ADD) / (table.sum(1, keepdims=True) + ADD * len(table)))
+    log_move = np.log10((table + ADD) / (table.sum(1, keepdims=True) + ADD * K))
     base_log = float(np.log10(total + ADD * (size + 1)))
-    shared = spark.sparkContext.broadcast((class_of, log_move, log_class, hashes, np.log10(counts + ADD), ends))
-    parts = docs.mapInPandas(_scores(shared), "doc long, key long, a long, b long, times long, n long, known long, logs double, rest double")
-    counted = with_rare(with_rare(parts, "a", rest, ["class"]), "b", rest, ["class", "count"])
-    counted = counted.mapInPandas(_rare_scores(shared), "doc long, key long, times long, n long, known long, logs double, rest double")
-    sums = counted.groupBy("doc", "key").agg(
-        F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("logs").alias("logs"), F.sum("rest").alias("rest"),
-        F.sum(F.when(F.col("n") == 0, 0).otherwise(1)).alias("rows"))
-    # rows that repeat doc_id and text were added up: divide, and repeat them
-    rows = sums.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-    each = lambda c: (F.col(c) / F.col("rows"))
+    shared = spark.sparkContext.broadcast((known_class, class_of_ending, np.append(counts, ends), log_move, log_class))
+    with batches_of(spark, BLOCKS):
+        rows = saved(blocks.drop("block", "train", "words").mapInPandas(_scores(shared), "doc string, n_tokens long, n_known long, logs double, rest double"), "scores")
     return rows.select(
-        F.col("doc").alias("doc_id"), (split_of(F.col("doc"), folds) == held_out).alias("held_out"),
-        F.expr("n_tokens div rows").alias("n_tokens"), F.expr("n_known div rows").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (each("logs") - F.expr("n_tokens div rows") * F.lit(base_log)).alias("base_score"), (each("logs") + each("rest")).alias("score"))
+        F.col("doc").cast("long").alias("doc_id"), (split_of(F.col("doc"), folds) == held_out).alias("held_out"), "n_tokens", "n_known",
+        F.lit(total).cast("long").alias("train_tokens"), (F.col("logs") - F.col("n_tokens") * F.lit(base_log)).alias("base_score"),
+        (F.col("logs") + F.col("rest")).alias("score"))
