@@ -128,6 +128,13 @@ def _word_counts():
     return run
 
 
+class Known(dict):
+    """Numbers of known words met so far; -1 for others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 class Lookup:
     """Place of word hashes in a sorted array, or -1."""
 
@@ -149,7 +156,7 @@ def _numbers(shared):
     the i-th, V the end token, V + 1 + j the j-th of the block's other words."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, place = shared.value
-        find, ids, endings, v = Lookup(hashes), WordIds(), Units(), len(hashes)
+        find, ids, endings, met, v = Lookup(hashes), WordIds(), Units(), Known(), len(hashes)
         held = {True: ([], [], [], []), False: ([], [], [], [])}  # docs, numbers, hashes and endings of other words
         size = {True: 0, False: 0}
 
@@ -164,12 +171,14 @@ def _numbers(shared):
         for batch in batches:
             for doc, train, text in zip(batch["doc"], batch["train"].astype(bool), batch["text"]):
                 words = _lower(text)
-                h = _hashed(words, ids)
+                n = np.append(np.fromiter(map(met.__getitem__, words), np.int64, len(words)), v)
+                new = np.flatnonzero(n < 0)
+                h = _hashed([words[i] for i in new.tolist()], ids)
                 at = find(h)
-                away = np.flatnonzero(at < 0)
-                n = np.append(place[at] if v else np.zeros(len(h), np.int64), v)
-                n[away] = v + 1
-                for into, value in zip(held[train], (doc, n, h[away], np.array([endings[words[i]] for i in away.tolist()], np.int32))):
+                n[new] = np.where(at < 0, v + 1, place[at]) if v else v + 1
+                met.update((words[i], k) for i, k in zip(new.tolist(), n[new].tolist()) if k < v)  # at most V
+                away = at < 0
+                for into, value in zip(held[train], (doc, n, h[away], np.array([endings[words[i]] for i in new[away].tolist()], np.int32))):
                     into.append(value)
                 size[train] += len(n)
                 if size[train] > BLOCK_TOKENS:
