@@ -11,7 +11,9 @@
 3. Entries are range-partitioned on the key: an owner task holds a key range,
    numbers the chain of entries with equal keys and writes its index files
    to the shared folder.
-4. Rows find their entry by key and SHA-256 of the text.
+4. A row takes its bucket from the directory cell of its key, and there the entry
+   of its key's chain whose digest has the same bytes.  The row that stays and
+   the size of a group come from the rows found at each place of the index.
 
 Defined results: a null text is empty, and all texts of white space only
 are equal to it; on ties the smallest doc_id stays (null last); of rows that repeat
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starkit.llm.common import WHITE, packed, partitions, saved, tidy
+from starkit.llm.common import WHITE, packed, partitions, saved, small, tidy
 
 BUCKET_CAPACITY = 65_536
 
@@ -59,25 +61,23 @@ def directory(entries: DataFrame, capacity: int = BUCKET_CAPACITY) -> tuple[Data
         pending, depth = saved(pending, "overfull"), depth + 1
 
 
-def build_index(texts: DataFrame, rows: DataFrame, capacity: int = BUCKET_CAPACITY) -> DataFrame:
-    """Index entries, one per distinct text: key, digest, number of rows, the
-    row that stays, bucket, depth of the bucket, place in the chain.
-    ``texts`` has (key, norm), ``rows`` (key, text_sha256, n, doc_id, rid)."""
-    entries = texts.groupBy("key", "norm").agg(F.count("*").alias("group_size"))
-    entries = entries.select("key", F.sha2("norm", 256).alias("text_sha256"), "group_size")
-    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")).alias("best")
-    stays = rows.groupBy("key", "text_sha256").agg(best).select("key", "text_sha256", F.col("best.doc_id").alias("keep_id"), F.col("best.rid").alias("keep_rid"))
-    entries = saved(entries.join(stays, ["key", "text_sha256"]), "entries")
+def build_index(texts: DataFrame, capacity: int = BUCKET_CAPACITY) -> tuple[DataFrame, DataFrame, int]:
+    """The index, one entry per distinct text of ``texts`` (key, norm): bucket,
+    depth, key, place in the chain, digest; its directory (cell, depth, bucket);
+    and the leading key bits that are a cell."""
+    entries = texts.groupBy("key", "norm").agg(F.lit(1).alias("one"))
+    entries = saved(entries.select("key", F.sha2("norm", 256).alias("text_sha256")), "entries")
     cells, bits = directory(entries, capacity)
-    owned = (entries.withColumn("cell", _leading(F.col("key"), bits)).join(cells, "cell")
-             .repartitionByRange(partitions(rows.sparkSession), F.shiftrightunsigned("key", 1), "key"))
-    chain = Window.partitionBy("bucket", "key").orderBy("text_sha256")
-    return saved(owned.withColumn("chain", F.row_number().over(chain)).drop("cell"), "index")
+    owned = (entries.withColumn("cell", _leading(F.col("key"), bits)).join(small(cells), "cell")
+             .repartitionByRange(partitions(texts.sparkSession), F.shiftrightunsigned("key", 1), "key"))
+    chain = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("text_sha256"))
+    return saved(owned.select("bucket", "depth", "key", chain.alias("chain"), "text_sha256"), "index"), cells, bits
 
 
 def exact_dedup(docs: DataFrame, keep_rows: bool = False, capacity: int = BUCKET_CAPACITY) -> DataFrame:
     """Per row doc_id, keep_id, group_size, kept, text_sha256 and the index
-    place (bucket, depth, chain); with ``keep_rows`` the row as ``__row``."""
+    place (bucket, depth, chain); with ``keep_rows`` the row that stays as ``__row``
+    and no others."""
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumn("norm", normalised(F.col("__row.text"))).withColumn("key", F.xxhash64("norm"))
 
@@ -85,13 +85,22 @@ def exact_dedup(docs: DataFrame, keep_rows: bool = False, capacity: int = BUCKET
         "__row", F.col("__row.doc_id").alias("doc_id"), F.length(F.coalesce("__row.text", F.lit(""))).alias("n"), "key",
         F.sha2("norm", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("rid"))
     rows = saved(rows if keep_rows else rows.drop("__row"), "rows")  # makes the row number data
-    index = build_index(keyed(rows if keep_rows else packed(docs)), rows.drop("__row"), capacity)
-    out = rows.drop("n").join(index, ["key", "text_sha256"])
-    return out.select(*["__row"] * keep_rows, "doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"),
-                      "text_sha256", "bucket", "depth", "chain")
+    index, cells, bits = build_index(keyed(rows if keep_rows else packed(docs)).select("key", "norm"), capacity)
+
+    found = rows.drop("__row").withColumn("cell", _leading(F.col("key"), bits)).join(small(cells.drop("depth")), "cell").drop("cell")
+    found = saved(found.join(index, ["bucket", "key", "text_sha256"]), "found")
+    place = ["bucket", "key", "chain"]
+    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")).alias("best")
+    groups = found.groupBy(*place).agg(best, F.count("*").alias("group_size"))
+    if keep_rows:
+        stays = groups.select(*place, "group_size", F.col("best.rid").alias("rid"))
+        return rows.select("__row", "rid").join(stays, "rid")
+    groups = groups.select(*place, "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.rid").alias("keep_rid"))
+    out = found.join(groups, place)
+    return out.select("doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "text_sha256", "bucket", "depth", "chain")
 
 
 @tidy
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each distinct text, with its columns."""
-    return exact_dedup(docs, keep_rows=True).filter("kept").select("__row.*")
+    return exact_dedup(docs, keep_rows=True).select("__row.*")

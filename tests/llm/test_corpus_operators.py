@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -74,13 +75,16 @@ def test_url_filters(spark):
     assert url_filters.judge_urls(pages.limit(0), spark.createDataFrame(rules, "host string, path string, verdict string")).count() == 0
 
 
-def test_sweep_against_all_prefixes(spark):
+def test_sweep_against_all_prefixes(spark, monkeypatch):
     r = random.Random(4)
     key = lambda n: "".join(r.choice("ab") for _ in range(r.randint(0, n)))
     rules, points = sorted({key(4) for _ in range(12)}), [(key(7), i) for i in range(200)]
     out = url_filters.sweep(spark.createDataFrame(points, "key string, id int"), spark.createDataFrame([(k,) for k in rules], "key string"))
     got = {x["id"]: (x["key"], x["stack"]) for x in out.collect()}
     assert got == {i: (k, [p for p in rules if k.startswith(p)]) for k, i in points}
+    monkeypatch.setattr(url_filters, "CHUNK", 2)
+    out = url_filters.sweep(spark.createDataFrame(points, "key string, id int"), spark.createDataFrame([(k,) for k in rules], "key string"))
+    assert {x["id"]: (x["key"], x["stack"]) for x in out.collect()} == got
 
 
 def test_html_blocks_and_boilerplate(spark):
@@ -98,6 +102,52 @@ def test_html_blocks_and_boilerplate(spark):
     assert article == ["T\na\nb"]
 
 
+def test_html_runs(spark):
+    rng = random.Random(5)
+    page = np.sort(np.array([rng.randrange(9) for _ in range(600)]))
+    stream, article = np.array([rng.randrange(2) for _ in page]), page // 2
+    outside = np.array([rng.random() < 0.7 for _ in page])
+    for run, least in ((1, 2), (5, 3), (6, 4), (8, 2)):
+        anywhere, out = {}, {}
+        starts = [i for i in range(len(page) - run + 1) if page[i] == page[i + run - 1]]
+        for i in starts:
+            anywhere.setdefault(tuple(stream[i: i + run]), set()).add(article[i])
+            if outside[i]:
+                out.setdefault(tuple(stream[i: i + run]), set()).add(article[i])
+        for hit, where in zip(html_extract.repeated_runs(stream, page, article, outside, run, least), (anywhere, out)):
+            want = np.zeros(len(page), bool)
+            for i in starts:
+                want[i: i + run] |= len(where.get(tuple(stream[i: i + run]), ())) >= least
+            assert (hit == want).all()
+
+
+def test_html_articles_and_copies(spark, monkeypatch):
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    notice, headline = words("notice", 55), words("head", 9)
+    unmarked = [f"<div>{words(f'own{i}x', 9)}</div><div>{notice}</div>" for i in range(8)]
+    assert html_extract.main_texts(unmarked) == [words(f"own{i}x", 9) for i in range(8)]
+    # articles that repeat a sentence keep it, also their headline in a list of links; a notice at one place of most articles goes
+    articles = [f"<title>{headline}</title><ul class='related'><li>{headline}</li></ul><article><h1>{headline}</h1>" + "<p>one more</p>" * i
+                + f"<p>{notice if i < 4 else words('b', 3)}</p><p>{words(f'own{i}x', 5)}</p><p>{words('cookies', 9)}</p></article>" for i in range(12)]
+    for i, text in enumerate(html_extract.main_texts(articles)):
+        lines = text.split("\n")
+        assert lines[-1] == words(f"own{i}x", 5) and lines[-2] == (notice if i < 4 else words("b", 3))
+    # copies of one article, each with a line of its own, on a host of other pages: the article stays, the menu goes
+    menu = words("menu", 20)
+    copies = [f"<p>{menu}</p><p>{words('story', 40)}</p><p>line {i}</p>" for i in range(4)] + [f"<p>{menu}</p><p>{words(f'other{i}x', 30)}</p>" for i in range(6)]
+    texts = html_extract.main_texts(copies)
+    assert texts[:4] == [f"{words('story', 40)}\nline {i}" for i in range(4)] and texts[4:] == [words(f"other{i}x", 30) for i in range(6)]
+    # a host dealt over groups of few pages: what is on most of its pages is counted over the host; repeated rows, a long page, null urls
+    rows = [(i, "http://a.org/1", p) for i, p in enumerate(unmarked)] + [(8, "http://a.org/2", f"<p>{words('long', 100_000)}</p><p>{notice}</p>")]
+    rows += [rows[0], (9, None, "<p>x</p>"), (None, None, None)]
+    schema = "page_id long, url string, html string"
+    monkeypatch.setattr(html_extract, "GROUP_PAGES", 2)
+    got = sorted((r.page_id if r.page_id is not None else -1, r.text, r.n_chars) for r in html_extract.extract(spark.createDataFrame(rows, schema)).collect())
+    want = [(i, words(f"own{i}x", 9)) for i in range(8)] + [(0, words("own0x", 9)), (8, words("long", 100_000)), (9, "x"), (-1, "")]
+    assert got == sorted((i, t, len(t)) for i, t in want)
+    assert html_extract.extract(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_exact_dedup(spark, docs, rows, empty):
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
     groups = {}
