@@ -7,8 +7,7 @@ forms, comments) go, and where a page marks its article, only blocks inside it
 can stay.  Of these, boilerplate goes:
 
 * A block of ``MIN_RUN`` tokens or more on more than half of the host's distinct
-  pages, inside an article at the same place (counted from its start or its end) on them.  It is counted
-  over the whole host, on Spark where the host is dealt over several groups.
+  pages, inside an article at the same place (counted from its start or its end) on them.
 * A block covered by runs that are on many of the host's articles.  The token
   streams of all its pages are concatenated, and a suffix array over them
   (ranks doubled until suffixes are ordered by ``MIN_RUN`` tokens) shows the
@@ -19,10 +18,14 @@ can stay.  Of these, boilerplate goes:
 Pages that share their longest block, of those not on most of the host's pages,
 are copies of one article and count once, so what copies share is no boilerplate.
 
-A host with many pages or much text is dealt over several groups by a hash,
-so no group exceeds ``GROUP_PAGES`` pages or about ``GROUP_CHARS``
-characters on average; what is on a given share of a host's pages is on
-about that share of each group's.  Runs are counted in their group.
+All is counted over the whole host, so the text of a page does not depend on how
+many pages lie together.  A host with many pages or much text is dealt over groups by
+a hash of the article, so no group exceeds ``GROUP_PAGES`` pages or about
+``GROUP_CHARS`` characters on average; an article with more is dealt over groups of
+its own.  Each group has a suffix array and sends the runs that are on more than
+``1 / SLACK`` of its articles, and the counts of the groups are added up, an article of several groups
+once.  What a group did not send is below that share there, so a sum tells most
+runs from those of too few articles; where it doesn't, every run of the host is sent.
 
 Defined results: null or empty html gives an empty text; a null url or one
 without a host makes pages of the empty host; repeated rows give the same
@@ -36,7 +39,9 @@ from __future__ import annotations
 import html as html_lib
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -44,13 +49,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import packed, saved, small
+from starkit.llm.common import batches_of, packed, saved, small, tidy
 from starkit.llm.url_filters import host_and_path
 
 GROUP_PAGES, GROUP_CHARS = 128, 2_000_000
 MIN_RUN = 8             # tokens
 MIN_PAGES = 3           # distinct pages or articles that boilerplate must be on,
-MIN_SHARE = 0.3         # and share of the group's articles, of a run
+MIN_SHARE = 0.3         # and share of the host's articles, of a run
+SLACK = 8               # 1 / SLACK is below MIN_SHARE, so a run on that share of the host's articles is sent by a group
+PAGES = 256             # pages that Python holds at once outside of a group
+ROUNDS = 3              # shares of the groups that are shuffled one after the other, for less disk
+HOSTS = 2_000           # hosts up to which their runs, about 10 kB a host, are broadcast
 
 #: Elements of HTML by their role.
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "select", "title", "canvas", "audio", "video"}
@@ -167,13 +176,15 @@ def _hash(text: str) -> int:
 
 
 def sizes(page: list[tuple[str, bool, bool]]) -> list[int]:
-    return [len(WORD.findall(text)) for text, _, _ in page]
+    """Tokens of the blocks of a page, or their words if these are enough for a run: each has a token or more."""
+    words = [text.count(" ") + 1 for text, _, _ in page]
+    return [n if n >= MIN_RUN else len(WORD.findall(text)) for n, (text, _, _) in zip(words, page)]
 
 
 def place_keys(page: list[tuple[str, bool, bool]], sizes: list[int]) -> list[tuple[int, ...]]:
     """Of each candidate of a page the keys by which it is counted: its text,
     inside a marked article with its place from the start and from the end; none
-    for a text shorter than a run.  ``sizes`` are the tokens of all its blocks."""
+    for a text shorter than a run.  ``sizes`` are the tokens of all its blocks, or enough of them."""
     kept, marked = candidates(page)
     out = []
     for i, k in enumerate(kept):
@@ -189,17 +200,23 @@ def page_hash(page: list[tuple[str, bool, bool]]) -> int:
 
 def on_most_pages(pages: list[list[tuple[str, bool, bool]]], keys: list[list[tuple[int, ...]]]) -> set[int]:
     """Keys of the blocks that are on more than half of the distinct pages of a host."""
-    distinct = dict(zip(map(page_hash, pages), keys))
-    count = Counter(key for page in distinct.values() for key in {key for keys in page for key in keys})
+    distinct: dict[int, set[int]] = {}
+    for page, of in zip(pages, keys):
+        distinct.setdefault(page_hash(page), set()).update(*of)
+    count = Counter(key for page in distinct.values() for key in page)
     return {key for key, n in count.items() if n >= MIN_PAGES and 2 * n > len(distinct)}
 
 
-def repeated_runs(stream: np.ndarray, page: np.ndarray, article: np.ndarray, outside: np.ndarray, run: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Which tokens of the concatenated streams lie in a run of ``run`` tokens
-    that is on at least ``least`` distinct articles, and which in one that is
-    ``outside`` on as many.  Ranks of suffixes are doubled until they order by
-    ``run`` tokens; neighbours of one rank in the suffix array begin with the
-    same run.  ``page``, ``article`` and ``outside`` are those of each token."""
+def whole_runs(page: np.ndarray, run: int) -> np.ndarray:
+    """Whether the run at each token ends on its page."""
+    last = max(0, len(page) - run + 1)
+    return np.append(page[run - 1:] == page[:last], np.zeros(len(page) - last, bool))
+
+
+def suffixes(stream: np.ndarray, page: np.ndarray, article: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of the suffixes of the concatenated streams, doubled until they order by
+    ``run`` tokens, and the suffix array of those that begin with a whole run, equal
+    starts by article: neighbours of one rank begin with the same run."""
     n, span, rank = len(stream), 1, stream
     while span < run:
         step = min(span, run - span)
@@ -207,21 +224,37 @@ def repeated_runs(stream: np.ndarray, page: np.ndarray, article: np.ndarray, out
         after[: n - step] = rank[step:] + 1
         _, rank = np.unique(rank * (rank.max(initial=0) + 2) + after, return_inverse=True)
         span += step
-    inside = np.zeros(n, bool)
-    inside[: max(0, n - run + 1)] = page[run - 1:] == page[: max(0, n - run + 1)]  # no run goes over the end of its page
-    order = np.lexsort((article, rank))  # the suffix array, equal starts by article
-    order = order[inside[order]]
+    order = np.lexsort((article, rank))
+    return rank, order[whole_runs(page, run)[order]]
+
+
+def articles_of(order: np.ndarray, rank: np.ndarray, article: np.ndarray) -> np.ndarray:
+    """On how many distinct articles each rank is, of the suffixes in ``order``."""
+    r, a = rank[order], article[order]
+    new = np.ones(len(r), bool)
+    new[1:] = (r[1:] != r[:-1]) | (a[1:] != a[:-1])
+    return np.bincount(r, weights=new, minlength=len(rank) + 1)
 
-    def often(suffixes: np.ndarray) -> np.ndarray:
-        r, a = rank[suffixes], article[suffixes]
-        new = np.ones(len(r), bool)
-        new[1:] = (r[1:] != r[:-1]) | (a[1:] != a[:-1])
-        return np.bincount(r, weights=new, minlength=n + 1) >= least
 
-    def covered(starts: np.ndarray) -> np.ndarray:
-        return np.cumsum((np.bincount(starts, minlength=n + 1) - np.bincount(starts + run, minlength=n + 1))[:-1]) > 0
+def covered(starts: np.ndarray, n: int, run: int) -> np.ndarray:
+    """Which of ``n`` tokens lie in the runs that begin at ``starts``."""
+    return np.cumsum((np.bincount(starts, minlength=n + 1) - np.bincount(starts + run, minlength=n + 1))[:-1]) > 0
+
+
+def repeated_runs(stream: np.ndarray, page: np.ndarray, article: np.ndarray, outside: np.ndarray, run: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens of the concatenated streams lie in a run of ``run`` tokens
+    that is on at least ``least`` distinct articles, and which in one that is
+    ``outside`` on as many.  ``page``, ``article`` and ``outside`` are those of each token."""
+    rank, order = suffixes(stream, page, article, run)
+    often = (articles_of(o, rank, article) >= least for o in (order, order[outside[order]]))
+    anywhere, out = (covered(order[x[rank[order]]], len(stream), run) for x in often)
+    return anywhere, out
+
 
-    return covered(order[often(order)[rank[order]]]), covered(order[often(order[outside[order]])[rank[order]]])
+def longest_own(texts: list[str], common: list[bool], page: list[tuple[str, bool, bool]]) -> str:
+    """What names the article of a page: the longest of its candidates that isn't common, else all its text."""
+    own = [text for text, c in zip(texts, common) if not c]
+    return max(own, key=len) if own else "\n".join(text for text, _, _ in page)
 
 
 def main_texts(pages: list, most: Iterable[int] | None = None, run: int = MIN_RUN, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> list[str]:
@@ -236,51 +269,192 @@ def main_texts(pages: list, most: Iterable[int] | None = None, run: int = MIN_RU
     seen: dict[str, int] = {}
     article = []
     for b, is_common in zip(parsed, common):
-        own = [b[k][0] for k, c in zip(candidates(b)[0], is_common) if not c]
-        article.append(seen.setdefault(max(own, key=len) if own else "\n".join(x[0] for x in b), len(seen)))
+        article.append(seen.setdefault(longest_own([b[k][0] for k in candidates(b)[0]], is_common, b), len(seen)))
     page = np.repeat(np.arange(len(parsed)), [len(b) for b in parsed])  # of each block
     first_block = np.searchsorted(page, np.arange(len(parsed)))
     size = np.array([len(x) for tokens in streams for x in tokens], np.int64)
-    covered = boilerplate = np.zeros(len(size))
+    anywhere = boilerplate = np.zeros(len(size))
     if size.any():
         outside = np.array([dropped or not inside for b in parsed for _, dropped, inside in b])
         stream = np.fromiter((t for tokens in streams for x in tokens for t in x), np.int64, size.sum())
         block = np.repeat(np.arange(len(size)), size)
         hits = repeated_runs(stream, page[block], np.array(article)[page[block]], outside[block], run, max(min_pages, min_share * len(seen)))
-        covered, boilerplate = (np.bincount(block, weights=hit, minlength=len(size)) for hit in hits)
-    out = []
-    for html, b, is_common, start in zip(pages, parsed, common, first_block):
-        kept, marked = candidates(b)
-        repeated, name = boilerplate if marked else covered, title(html)
-        out.append("\n".join(b[k][0] for k, c in zip(kept, is_common)
-                             if not c and (repeated[start + k] < 0.9 * max(1, size[start + k]) or b[k][0] == name)))
-    return out
+        anywhere, boilerplate = (np.bincount(block, weights=hit, minlength=len(size)) for hit in hits)
+    return [_text(b, is_common, (boilerplate if candidates(b)[1] else anywhere)[start:], size[start:], title(html))
+            for html, b, is_common, start in zip(pages, parsed, common, first_block)]
+
+
+def _text(page: list[tuple[str, bool, bool]], common: list[bool], repeated: np.ndarray, size: np.ndarray, name: str) -> str:
+    """The blocks that stay, of a page's: by the repeated tokens and all tokens of each."""
+    return "\n".join(page[k][0] for k, c in zip(candidates(page)[0], common)
+                     if not c and (repeated[k] < 0.9 * max(1, size[k]) or page[k][0] == name))
 
 
 def _extract(pages: pd.DataFrame) -> pd.DataFrame:
-    text = main_texts(pages["html"].tolist(), pages["most"].iloc[0])
+    text = main_texts(pages["html"].tolist())
     return pd.DataFrame({"page_id": pages["page_id"].array, "url": pages["url"].array, "text": text, "n_chars": [len(t) for t in text]})
 
 
-def _block_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(host, key, page) for the blocks of each page, and one row without key a page."""
+PARSED = ("host string, groups long, page_id string, url string, name string, texts array<string>, marks binary, marked boolean, chars long, page long, "
+          "own array<long>, own_size array<int>, key_a array<long>, key_b array<long>")
+
+
+def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pages as blocks, with hash, length and keys of each candidate."""
     for batch in batches:
         rows = []
-        for host, html in zip(batch["host"], batch["html"]):
+        for host, groups, page_id, url, html in batch.itertuples(index=False):
             page = blocks(html)
-            of = page_hash(page)
-            rows += [(host, key, of) for key in {key for keys in place_keys(page, sizes(page)) for key in keys}] + [(host, None, of)]
-        yield pd.DataFrame({"host": [r[0] for r in rows], "key": pd.array([r[1] for r in rows], "Int64"), "page": np.array([r[2] for r in rows], np.int64)})
-
-
-def host_blocks(rows: DataFrame) -> DataFrame:
+            kept, marked = candidates(page)
+            keys = [k or (None, None) for k in place_keys(page, sizes(page))]
+            rows.append((host, groups, page_id, url, title(html), [text for text, _, _ in page], bytes(dropped + 2 * inside for _, dropped, inside in page), marked,
+                         sum(len(text) for text, _, _ in page), page_hash(page), [_hash(page[k][0]) for k in kept], [len(page[k][0]) for k in kept],
+                         [k[0] for k in keys], [k[-1] for k in keys]))
+        yield pd.DataFrame(rows, columns=[c.split()[0] for c in PARSED.split(", ")])
+
+
+def _page(texts, marks: bytes) -> list[tuple[str, bool, bool]]:
+    return [(text, bool(m & 1), bool(m & 2)) for text, m in zip(texts, marks)]
+
+
+class Hashes(dict):
+    """Hashes of tokens met so far."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        self[token] = value = xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass"))
+        return value
+
+
+def run_hashes(hashes: np.ndarray, run: int = MIN_RUN) -> np.ndarray:
+    """A hash of the run at each token, of the hashes of the tokens."""
+    last = max(0, len(hashes) - run + 1)
+    out = np.zeros(last, np.uint64)
+    for k in range(run):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[k: k + last]
+    return out.view(np.int64)
+
+
+def _runs(every: bool):
+    """applyInPandas function: of a group the runs that are on more than 1 / SLACK of its
+    articles, or ``every`` one, each with the articles it is on and those where it is
+    outside; and a row of its own (run 0, ``head``) with all articles.  ``slack`` is what
+    a run that isn't sent has at most."""
+    def run(pages: pd.DataFrame) -> pd.DataFrame:
+        parsed, hashes = [_page(t, m) for t, m in zip(pages["texts"], pages["marks"])], Hashes()
+        tokens = [[WORD.findall(text) for text, _, _ in b] for b in parsed]
+        size = np.array([len(x) for page in tokens for x in page], np.int64)
+        block = np.repeat(np.arange(len(size)), size)
+        page = np.repeat(np.arange(len(parsed)), [len(b) for b in parsed])[block] if len(block) else block
+        of, articles = pd.factorize(pages["article"])
+        outside = np.array([dropped or not inside for b in parsed for _, dropped, inside in b], bool)[block]
+        hashed = np.fromiter(map(hashes.__getitem__, chain.from_iterable(x for page in tokens for x in page)), np.uint64, len(block))
+        stream = pd.factorize(hashed)[0].astype(np.int64)
+        slack = 0 if every else len(articles) // SLACK
+        rank, order = suffixes(stream, page, of[page], MIN_RUN)
+        n, out = (articles_of(o, rank, of[page]).astype(np.int64) for o in (order, order[outside[order]]))
+        first = order[np.flatnonzero(np.diff(rank[order], prepend=-1))]  # a suffix of each rank
+        first = first[n[rank[first]] > slack]
+        at = rank[first]
+        sent = pd.DataFrame({"head": False, "run": run_hashes(hashed)[first], "n": n[at], "out": out[at]})
+        head = pd.DataFrame({"head": [True], "run": [0], "n": [len(articles)], "out": [0]})
+        return pd.concat([head, sent]).assign(host=pages["host"].iloc[0], hot=pages["hot"].iloc[0], article=pages["split"].iloc[0], slack=slack)[
+            ["host", "hot", "article", "head", "run", "n", "out", "slack"]]
+    return run
+
+
+def group_runs(dealt: DataFrame, every: bool) -> DataFrame:
+    return dealt.groupBy("host", "hot", "split", "salt").applyInPandas(
+        _runs(every), "host string, hot boolean, article long, head boolean, run long, n long, out long, slack long")
+
+
+def in_rounds(dealt: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The results of ``work`` on all groups, of a share of them at a time."""
+    share = F.pmod(F.xxhash64("host", "split", "salt"), F.lit(ROUNDS))
+    return reduce(DataFrame.unionByName, [saved(work(dealt.filter(share == k)), "runs") for k in range(ROUNDS)])
+
+
+def run_sums(runs: DataFrame) -> DataFrame:
+    """(host, run, n, out, slack) over the groups; an article of several groups counts once."""
+    of_split = runs.filter("hot").groupBy("host", "article", "run").agg(F.max("out").alias("out"))
+    of_split = of_split.select("host", "run", F.lit(1).cast("long").alias("n"), "out", F.lit(0).cast("long").alias("slack"))
+    found = runs.filter("not hot").select("host", "run", "n", "out", "slack").unionByName(of_split)
+    return found.groupBy("host", "run").agg(*[F.sum(c).alias(c) for c in ("n", "out", "slack")])
+
+
+def frequent_runs(dealt: DataFrame) -> DataFrame:
+    """Per host the sorted hashes of the runs on enough of its distinct articles, ``often``,
+    and of those ``outside`` on as many."""
+    runs = in_rounds(dealt, lambda groups: group_runs(groups, False))
+    heads = runs.filter("head").groupBy("host").agg(
+        (F.coalesce(F.sum(F.when(~F.col("hot"), F.col("n"))), F.lit(0)) + F.count_distinct(F.when(F.col("hot"), F.col("article")))).alias("articles"),
+        F.sum("slack").alias("all_slack"))
+    heads = saved(heads.select("host", "all_slack", F.greatest(F.lit(float(MIN_PAGES)), F.lit(MIN_SHARE) * F.col("articles")).alias("least")), "host-articles")
+    sums = run_sums(runs.filter("not head")).join(small(heads), "host").withColumn("missing", F.col("all_slack") - F.col("slack"))
+    sums = saved(sums.filter("n + missing >= least"), "run-sums")
+    open_ = "n < least or (out < least and out + missing >= least)"
+    unclear = saved(sums.filter(open_).select("host", "run", "least"), "unclear-runs")
+    if not unclear.isEmpty():
+        dealt, wanted = dealt.join(small(unclear.select("host").distinct()), "host", "left_semi"), small(unclear.select("host", "run"))
+        again = in_rounds(dealt, lambda groups: group_runs(groups, True).filter("not head").join(wanted, ["host", "run"], "left_semi"))
+        counted = run_sums(again).join(unclear, ["host", "run"]).select("host", "run", "n", "out", "least")
+        sums = saved(sums.filter(f"not ({open_})").select("host", "run", "n", "out", "least").unionByName(counted), "run-sums")
+    lists = [F.sort_array(F.collect_list(F.when(F.col(c) >= F.col("least"), F.col("run")))).alias(name) for c, name in (("n", "often"), ("out", "outside"))]
+    return saved(sums.groupBy("host").agg(*lists), "host-runs")
+
+
+def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Main texts of parsed pages, by which candidates are common and the runs that count."""
+    hashes = Hashes()
+    for batch in batches:
+        out = []
+        for texts, marks, name, common, runs in zip(batch["texts"], batch["marks"], batch["name"], batch["common"], batch["runs"]):
+            page = _page(texts, marks)
+            tokens = [WORD.findall(text) for text, _, _ in page]
+            size = np.array([len(x) for x in tokens], np.int64)
+            hashed = np.fromiter(map(hashes.__getitem__, chain.from_iterable(tokens)), np.uint64, size.sum())
+            found = run_hashes(hashed)
+            hit = np.zeros(0, np.int64)
+            if len(runs):
+                hit = np.flatnonzero(runs[np.minimum(np.searchsorted(runs, found), len(runs) - 1)] == found)
+            repeated = np.bincount(np.repeat(np.arange(len(size)), size), weights=covered(hit, len(hashed), MIN_RUN), minlength=len(size))
+            out.append(_text(page, list(common), repeated, size, name))
+        yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": out, "n_chars": [len(t) for t in out]})
+
+
+def host_blocks(pages: DataFrame) -> DataFrame:
     """Per host ``most``: the keys of the blocks on more than half of its distinct
     pages, so at most twice the blocks of its average page."""
-    counts = rows.mapInPandas(_block_keys, "host string, key long, page long").distinct().groupBy("host", "key").agg(F.count("*").alias("n"))
-    counts = saved(counts, "block-counts")
+    keys = pages.select("host", "page", F.explode(F.concat("key_a", "key_b", F.array(F.lit(None).cast("long")))).alias("key"))  # a null key a page
+    counts = saved(keys.distinct().groupBy("host", "key").agg(F.count("*").alias("n")), "block-counts")
     total = small(saved(counts.filter("key is null").select("host", F.col("n").alias("total")), "host-pages"))  # a row for each large host
     often = counts.filter((F.col("n") >= MIN_PAGES) & F.col("key").isNotNull()).join(total, "host").filter("2 * n > total")
-    return often.groupBy("host").agg(F.collect_list("key").alias("most"))
+    return saved(often.groupBy("host").agg(F.collect_list("key").alias("most")), "host-blocks")
+
+
+@tidy
+def host_texts(rows: DataFrame) -> DataFrame:
+    """The result for the pages of hosts that are dealt over ``groups``."""
+    rows = rows.select("host", "groups", F.col("page_id").cast("string"), "url", "html").sortWithinPartitions("host")  # what pages share lies close, for compression
+    pages = saved(rows.mapInPandas(_parsed, PARSED), "pages")
+    common = "transform(own, (h, i) -> coalesce(array_contains(most, key_a[i]) or array_contains(most, key_b[i]), false))"
+    article = "array_max(filter(transform(own, (h, i) -> struct(own_size[i] as size, -i as place, h as text, common[i] as common)), x -> not x.common)).text"
+    pages = pages.join(small(host_blocks(pages), HOSTS), "host", "left").withColumn("common", F.expr(common))
+    pages = pages.withColumn("article", F.coalesce(F.expr(article), F.col("page")))
+
+    parts = F.greatest(F.ceil(F.count("*") / GROUP_PAGES), F.ceil(F.sum("chars") / GROUP_CHARS)).alias("parts")
+    hot = saved(pages.groupBy("host", "article").agg(parts).filter("parts > 1"), "large-articles")
+    dealt = pages.join(small(hot), ["host", "article"], "left").withColumn("hot", F.col("parts").isNotNull())
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("page_id", "url", "page"), F.coalesce("parts", F.lit(1)))).otherwise(F.pmod(F.xxhash64("article"), "groups"))
+    split = F.when(F.col("hot"), F.col("article")).otherwise(0)
+    dealt = dealt.select("host", "hot", split.alias("split"), salt.alias("salt"), "article", "texts", "marks")
+    found = small(frequent_runs(dealt), HOSTS)
+    none = F.array().cast("array<long>")
+    runs = F.coalesce(F.when(F.col("marked"), F.col("outside")).otherwise(F.col("often")), none)
+    pages = pages.join(found, "host", "left").select("page_id", "url", "name", "texts", "marks", "common", runs.alias("runs"))
+    out = pages.mapInPandas(_texts, "page_id string, url string, text string, n_chars long")
+    return out.withColumn("page_id", F.col("page_id").cast("long"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -290,10 +464,9 @@ def extract(pages: DataFrame) -> DataFrame:
     hosts = rows.groupBy("host").agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("html")), F.lit(0)).alias("chars"))
     groups = F.greatest(F.ceil(F.col("n") / GROUP_PAGES), F.ceil(F.col("chars") / GROUP_CHARS), F.lit(1))
     hosts = saved(hosts.select("host", groups.alias("groups")).filter("groups > 1"), "large-hosts")
-    none = F.array().cast("array<long>")
-    most = host_blocks(rows.join(hosts, "host", "left_semi").select("host", "html"))
-    hosts = hosts.join(most, "host", "left").select(F.col("host").alias("__host"), "groups", F.coalesce("most", none).alias("most"))
-    dealt = rows.join(saved(hosts, "host-blocks"), F.col("host") == F.col("__host"), "left")
-    salt = F.pmod(F.xxhash64("page_id", "url", "html"), F.coalesce("groups", F.lit(1)))
-    dealt = dealt.withColumn("salt", salt).select("host", "salt", "page_id", "url", "html", "most")
-    return dealt.groupBy("host", "salt").applyInPandas(_extract, "page_id long, url string, text string, n_chars long")
+    one = rows.join(small(hosts), "host", "left_anti").select("host", "page_id", "url", "html")
+    out = one.groupBy("host").applyInPandas(_extract, "page_id long, url string, text string, n_chars long")
+    if hosts.isEmpty():
+        return out
+    with batches_of(pages.sparkSession, PAGES):
+        return out.unionByName(host_texts(rows.join(small(hosts), "host")))

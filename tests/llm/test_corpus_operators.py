@@ -157,6 +157,34 @@ def test_html_articles_and_copies(spark, monkeypatch):
     assert html_extract.extract(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_html_text_does_not_depend_on_the_groups_of_a_host(spark, monkeypatch):
+    r = random.Random(6)
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    story = lambda i, n: " ".join(f"w{r.randrange(60)}" for _ in range(n)) + f" end{i}"
+
+    def page(i, marked):  # sentences on 20 to 40 % of the pages, in texts of their own; copies of few articles; one on many pages
+        notices = "".join(f"<p>{words(f'notice{k}x', 12)}</p>" for k in range(8) if r.random() < 0.2 + 0.03 * k)
+        main = words("copied", 30) if r.random() < 0.15 else story(i % 50, 25) if r.random() < 0.8 else words(f"few{i % 3}x", 40)
+        body = f"<p>{main}</p><p>line {i}</p>{notices}"
+        return f"<title>t{i}</title><div>{words('menu', 10)}</div>" + (f"<div>{notices}</div><article>{body}</article>" if marked else body)
+
+    pages = [(h * 1000 + i, f"http://h{h}.org/{i}", page(i, h and i % 3)) for h, n in ((0, 90), (1, 90), (2, 7)) for i in range(n)]
+    pages += [pages[0], (2**60 + 1, "http://h1.org/x", None)]
+    expected = []
+    for h in range(3):
+        host = [p for p in pages if p[1].startswith(f"http://h{h}.")]
+        expected += [(p[0], p[1], text, len(text)) for p, text in zip(host, html_extract.main_texts([p[2] for p in host]))]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    unclear = []
+    saved = html_extract.saved
+    monkeypatch.setattr(html_extract, "saved", lambda df, name: (out := saved(df, name), name == "unclear-runs" and unclear.append(out.count()))[0])
+    for size, slack in ((1000, 8), (30, 4), (5, 8)):
+        monkeypatch.setattr(html_extract, "GROUP_PAGES", size)
+        monkeypatch.setattr(html_extract, "SLACK", slack)
+        assert as_rows(html_extract.extract(df), "page_id", "url", "text", "n_chars") == sorted(expected, key=str)
+    assert unclear[0] and not unclear[1]  # runs that the groups of 30 did not tell were counted again; groups of 5 send all
+
+
 def test_exact_dedup(spark, docs, rows, empty):
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
     groups = {}
