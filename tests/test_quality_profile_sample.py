@@ -165,3 +165,15 @@ def test_orphans_of_several_references_by_one_group_by(spark):
     refs = {"no_p": ("c", "k", "p", "k"), "no_q": ("c", "n", "q", "id"), "none": ("p", "k", "p", "k")}
     assert tuple(prof.orphan_counts(tables, refs).first()) == (2, 1, 0)
     assert tuple(prof.orphan_counts(tables, refs, nulls=True).first()) == (3, 2, 1)
+
+
+def test_exact_distinct_counts_are_dealt_over_tasks(spark):
+    """By value as count(distinct) has it, and not by an expanded row beside all other statistics."""
+    rows = [(1, 0.0, "a", b"x", [1]), (1, -0.0, "", None, None), (None, float("nan"), "a", b"x", [1]), (None, float("nan"), None, b"y", [None])] * 3
+    df = spark.createDataFrame(rows, "k int, `d.x` double, s string, b binary, a array<int>")
+    out = prof.column_profile(df, exact=True)
+    assert {r.column_name: r.n_distinct for r in out.collect()} == {"k": 1, "d.x": 2, "s": 2, "b": 2, "a": 2}
+    assert [r.column_name for r in out.collect()] == df.columns
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "RepartitionByExpression" in plan
+    assert {r.n_distinct for r in prof.column_profile(df.limit(0), exact=True).collect()} == {0}
