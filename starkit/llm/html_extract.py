@@ -404,6 +404,24 @@ def frequent_runs(dealt: DataFrame) -> DataFrame:
     return saved(sums.groupBy("host").agg(*lists), "host-runs")
 
 
+def _tokens_around(page: list[tuple[str, bool, bool]], chosen: list[int]) -> list[list[str]]:
+    """Tokens of the blocks from the first to the last of ``chosen``, and of those before
+    and after that a run with a token of these can reach; none for the others."""
+    tokens: list[list[str]] = [[]] * len(page)
+    if not chosen:
+        return tokens
+    for k in range(chosen[0], chosen[-1] + 1):
+        tokens[k] = WORD.findall(page[k][0])
+    for side in (range(chosen[0] - 1, -1, -1), range(chosen[-1] + 1, len(page))):
+        reach = MIN_RUN - 1
+        for k in side:
+            if reach <= 0:
+                break
+            tokens[k] = WORD.findall(page[k][0])
+            reach -= len(tokens[k])
+    return tokens
+
+
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Main texts of parsed pages, by which candidates are common and the runs that count."""
     hashes = Hashes()
@@ -411,7 +429,7 @@ def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for texts, marks, name, common, runs in zip(batch["texts"], batch["marks"], batch["name"], batch["common"], batch["runs"]):
             page = _page(texts, marks)
-            tokens = [WORD.findall(text) for text, _, _ in page]
+            tokens = _tokens_around(page, [k for k, c in zip(candidates(page)[0], common) if not c])
             size = np.array([len(x) for x in tokens], np.int64)
             hashed = np.fromiter(map(hashes.__getitem__, chain.from_iterable(tokens)), np.uint64, size.sum())
             found = run_hashes(hashed)
