@@ -15,7 +15,8 @@ P(w_i | w_{i-1}) = P(c_i | c_{i-1}) * P(w_i | c_i), the classes by exchange.
   each task, and merges the sums of the tasks, a range of units at a time, ``FAN``
   at a time.
 * The exchange starts from classes of coarse units, the words with a share of at
-  least ``UNIT_SHARE`` and the endings of all others.  Then all known units move:
+  least ``UNIT_SHARE`` and the endings of all others.  Their pairs, whose number doesn't
+  grow with the input, are counted once, and these rounds read the pairs.  Then all known units move:
   every round, half of them (by hash) go to the class that raises the likelihood of
   the class bigrams most, given all others.  As they move at once, a class takes in a
   share of its own size only, and a round that lowers the likelihood is taken back
@@ -41,16 +42,21 @@ untouched.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import partial
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starkit.llm.common import batches_of, packed, removed_after, saved, tidy
-from starkit.llm.substring_dedup import WordIds, word_ids
 
 UNIT_SHARE = 1e-4       # of the coarse units
 COUNT_SHARE = 1e-6
@@ -70,12 +76,15 @@ FIRST_KNOWN = ENDINGS + 1  # known words are numbered by falling count
 K = CLASSES + 1
 CODES = 2 * K + 1       # of a unit's contexts: the class before it, K + the class after it, 2 K the unit itself
 
-BLOCK_TOKENS = 250_000  # tokens of a block, unless one text has more
+BLOCK_TOKENS = 250_000  # tokens of a block, unless the texts split at once have more
+CHARS = 2_000_000       # bytes of texts that are split at once, unless one text has more
+HELD_WORDS = 1_000_000  # words that a task holds before it adds up their counts
 DENSE = FIRST_KNOWN + 8192  # units that a task adds up in an array; the others are sorted
 HELD = 4_000_000        # contexts that a task holds before it sorts them
 TEXTS = 512             # rows of texts that Python holds at once
 BLOCKS = 4              # blocks, or rows of sums
 RANGE = 1024            # units of a row of sums
+PAIR_RANGE = 64         # first units of a row of pairs
 FAN = 32                # rows of sums merged at once
 
 
@@ -83,56 +92,77 @@ def split_of(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def _lower(text) -> list[bytes]:
-    """Words with A-Z lower-cased; bytes.lower() changes just these."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if isinstance(text, str) else []
+def _sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, about CHARS bytes of text at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    bounds = np.flatnonzero(np.diff(np.cumsum(sizes) // CHARS)) + 1
+    for start, stop in pairwise([0, *bounds.tolist(), len(batch)]):
+        yield batch.slice(start, stop - start)
 
 
-class Units(dict):
-    """Unit of a word's ending, for words that are no unit of their own: the
-    last two bytes and whether it is short."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = value = zlib.crc32(word[-2:] + (b"s" if len(word) < 6 else b"l")) % ENDINGS
-        return value
+def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The words of texts with A-Z lower-cased, as places among the distinct ones, these, and how many
+    words each text has.  Arrow's ASCII functions know just the white space and capitals of the contract."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    some = pc.greater(pc.binary_length(texts), 0)
+    split = pc.ascii_split_whitespace(texts.filter(some))
+    n = np.zeros(len(texts), np.int64)
+    n[some.to_numpy(zero_copy_only=False)] = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    words = split.flatten().dictionary_encode()
+    return words.indices.to_numpy(zero_copy_only=False), words.dictionary, n
 
 
 MASK = np.uint64((1 << 63) - 1)
 
 
-def _hashed(words: list[bytes], ids: WordIds) -> np.ndarray:
-    return (word_ids(words, ids) & MASK).view(np.int64)
-
-
-def _word_counts():
-    """mapInPandas function: (word, ending, n), summed within a batch."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: Counter = Counter()
-        ids, units = WordIds(), Units()
-
-        def out() -> pd.DataFrame:
-            words = [w for w in total if w is not None]
-            return pd.DataFrame({"word": np.append(_hashed(words, ids), END), "ending": [units[w] for w in words] + [END],
-                                 "n": [total[w] for w in words] + [total[None]]})
-        for batch in batches:
-            for text in batch["text"]:
-                total.update(_lower(text))
-                total[None] += 1
-                if len(total) > 1_000_000:
-                    yield out()
-                    total.clear()
-        if total:
-            yield out()
-    return run
-
-
-class Known(dict):
-    """Numbers of known words met so far; -1 for others."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
+def _hashed(words: pa.Array) -> np.ndarray:
+    words = words.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+    return (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) & MASK).view(np.int64)
+
+
+class Endings:
+    """Unit of each word's ending, for words that are no unit of their own: the
+    last two bytes and whether it is short.  Each ending's is computed once."""
+
+    def __init__(self):
+        self.units = np.full((257, 256, 2), -1, np.int32)  # by the byte before the last, 256 for none, the last, and whether it is long
+
+    def __call__(self, words: pa.Array) -> np.ndarray:
+        if not len(words):
+            return np.zeros(0, np.int32)
+        words = words.cast(pa.large_binary())
+        bounds = np.frombuffer(words.buffers()[1], np.int64)[words.offset: words.offset + len(words) + 1]
+        text, size, stop = np.frombuffer(words.buffers()[2], np.uint8), np.diff(bounds), bounds[1:]
+        at = np.where(size > 1, text[np.maximum(stop - 2, 0)].astype(np.int64), 256), text[stop - 1], (size >= 6).astype(np.int64)
+        new = np.flatnonzero(self.units[at] < 0)
+        for before, last, long in set(zip(*(x[new].tolist() for x in at))):
+            self.units[before, last, long] = zlib.crc32(bytes([before, last][before > 255:]) + (b"l" if long else b"s")) % ENDINGS
+        return self.units[at]
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function: (word, ending, n), summed within a task as far as it holds them."""
+    def summed() -> pa.Table:
+        return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+    def out(counts: pa.Table, ends: int) -> pa.RecordBatch:
+        words = counts["word"].combine_chunks()
+        return pa.RecordBatch.from_arrays([pa.array(np.append(_hashed(words), END)), pa.array(np.append(endings(words), np.int32(END))),
+                                           pa.array(np.append(counts["n"].to_numpy(), ends))], ["word", "ending", "n"])
+    held, size, ends, endings = [], 0, 0, Endings()
+    for batch in batches:
+        for some in _sliced(batch):
+            places, words, _ = _words(some["text"])
+            held.append(pa.table({"word": words, "n": np.bincount(places, minlength=len(words)).astype(np.int64)}))
+            size, ends = size + len(words), ends + len(some)
+            if size > HELD_WORDS:
+                held = [summed()]
+                size = len(held[0])
+                if size > HELD_WORDS // 2:
+                    yield out(held[0], ends)
+                    held, size, ends = [], 0, 0
+    if held:
+        yield out(summed(), ends)
 
 
 class Lookup:
@@ -152,37 +182,45 @@ NUMBERS = "train boolean, docs array<string>, lengths array<int>, ids binary, wo
 
 
 def _numbers(shared):
-    """mapInPandas function: texts as blocks of numbers.  Of V known words number i is
+    """mapInArrow function: texts as blocks of numbers.  Of V known words number i is
     the i-th, V the end token, V + 1 + j the j-th of the block's other words."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, place = shared.value
-        find, ids, endings, met, v = Lookup(hashes), WordIds(), Units(), Known(), len(hashes)
-        held = {True: ([], [], [], []), False: ([], [], [], [])}  # docs, numbers, hashes and endings of other words
+        find, endings, v = Lookup(hashes), Endings(), len(hashes)
+        held = {True: ([], [], [], [], []), False: ([], [], [], [], [])}  # docs, lengths, numbers, hashes and endings of other words
         size = {True: 0, False: 0}
 
-        def out(train: bool) -> pd.DataFrame:
-            docs, numbers, others, ends = held[train]
+        def out(train: bool) -> pa.RecordBatch:
+            docs, lengths, numbers, others, ends = held[train]
             n, other = np.concatenate(numbers), np.concatenate(others)
             words, first, local = np.unique(other, return_index=True, return_inverse=True)
             n[n > v] = v + 1 + local
-            row = (train, docs, [len(x) for x in numbers], n.astype(np.int32).tobytes(), words, np.concatenate(ends)[first])
-            held[train], size[train] = ([], [], [], []), 0
-            return pd.DataFrame([row], columns=["train", "docs", "lengths", "ids", "words", "endings"])
+            row = {"train": pa.array([train]), "docs": pa.array([docs], pa.list_(pa.string())), "lengths": pa.array([np.concatenate(lengths)], pa.list_(pa.int32())),
+                   "ids": pa.array([n.astype(np.int32).tobytes()]), "words": pa.array([words], pa.list_(pa.int64())),
+                   "endings": pa.array([np.concatenate(ends)[first]], pa.list_(pa.int32()))}
+            held[train], size[train] = ([], [], [], [], []), 0
+            return pa.RecordBatch.from_pydict(row)
         for batch in batches:
-            for doc, train, text in zip(batch["doc"], batch["train"].astype(bool), batch["text"]):
-                words = _lower(text)
-                n = np.append(np.fromiter(map(met.__getitem__, words), np.int64, len(words)), v)
-                new = np.flatnonzero(n < 0)
-                h = _hashed([words[i] for i in new.tolist()], ids)
-                at = find(h)
-                n[new] = np.where(at < 0, v + 1, place[at]) if v else v + 1
-                met.update((words[i], k) for i, k in zip(new.tolist(), n[new].tolist()) if k < v)  # at most V
-                away = at < 0
-                for into, value in zip(held[train], (doc, n, h[away], np.array([endings[words[i]] for i in new[away].tolist()], np.int32))):
-                    into.append(value)
-                size[train] += len(n)
-                if size[train] > BLOCK_TOKENS:
-                    yield out(train)
+            for some in _sliced(batch):
+                places, words, n = _words(some["text"])
+                hashed, ending = _hashed(words), endings(words)
+                at = find(hashed)
+                number = np.append(np.where(at < 0, v + 1, place[at]) if v else np.full(len(at), v + 1), v)
+                ends = np.cumsum(n + 1) - 1
+                token = np.full(len(places) + len(n), len(words), np.int64)  # the end token unless a word
+                token[np.delete(np.arange(len(token)), ends)] = places
+                trains = some["train"].to_numpy(zero_copy_only=False).astype(bool)
+                for train in np.unique(trains).tolist():
+                    chosen = trains == train
+                    mine = token[np.repeat(chosen, n + 1)]
+                    numbers = number[mine]
+                    away = mine[numbers > v]
+                    held[train][0].extend(some["doc"].filter(pa.array(chosen)).to_pylist())
+                    for into, value in zip(held[train][1:], ((n[chosen] + 1).astype(np.int32), numbers, hashed[away], ending[away])):
+                        into.append(value)
+                    size[train] += len(mine)
+                    if size[train] > BLOCK_TOKENS:
+                        yield out(train)
         for train in size:
             if size[train]:
                 yield out(train)
@@ -193,11 +231,11 @@ def _with_start(ids: bytes, end: int) -> np.ndarray:
     return np.concatenate([[end], np.frombuffer(ids, np.int32)])
 
 
-def _rows_of_sums(keys: np.ndarray, ns: np.ndarray, table: np.ndarray | None) -> pd.DataFrame:
+def _rows_of_sums(keys: np.ndarray, ns: np.ndarray, table: np.ndarray | None, width: int = CODES * RANGE) -> pd.DataFrame:
     """Sorted keys (unit * CODES + code) and their sums as a row for each range of
     units, and the table of class pairs as row -1."""
-    bounds = np.flatnonzero(np.diff(keys // (CODES * RANGE), prepend=-1))
-    rows = [(int(k[0] // (CODES * RANGE)), k.tobytes(), n.tobytes()) for k, n in zip(np.split(keys, bounds[1:]), np.split(ns, bounds[1:])) if len(k)]
+    bounds = np.flatnonzero(np.diff(keys // width, prepend=-1))
+    rows = [(int(k[0] // width), k.tobytes(), n.tobytes()) for k, n in zip(np.split(keys, bounds[1:]), np.split(ns, bounds[1:])) if len(k)]
     if table is not None:
         rows.append((-1, b"", table.tobytes()))
     return pd.DataFrame(rows, columns=["range", "keys", "ns"])
@@ -233,6 +271,12 @@ def _contexts(shared):
     return run
 
 
+def _summed(keys: list[np.ndarray], ns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and the sums of their numbers."""
+    codes, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return codes, np.bincount(at, weights=np.concatenate(ns), minlength=len(codes)).astype(np.int64)
+
+
 def _merged(rows: pd.DataFrame) -> pd.DataFrame:
     """Rows of sums of one range as one."""
     first = rows.iloc[0]
@@ -240,15 +284,24 @@ def _merged(rows: pd.DataFrame) -> pd.DataFrame:
     if first["range"] < 0:
         keys, sums = b"", np.sum(ns, axis=0)
     else:
-        codes, at = np.unique(np.concatenate([np.frombuffer(x, np.int64) for x in rows["keys"]]), return_inverse=True)
-        keys, sums = codes.tobytes(), np.bincount(at, weights=np.concatenate(ns), minlength=len(codes)).astype(np.int64)
+        codes, sums = _summed([np.frombuffer(x, np.int64) for x in rows["keys"]], ns)
+        keys = codes.tobytes()
     return pd.DataFrame([(first["range"], first["turn"], keys, sums.tobytes())], columns=["range", "turn", "keys", "ns"])
 
 
-def contexts(blocks: DataFrame, unit_of: np.ndarray, class_of: np.ndarray, moves: np.ndarray | None) -> DataFrame:
-    """A row of sums for each range of units, and the class pairs as row -1."""
-    shared = blocks.sparkSession.sparkContext.broadcast((unit_of, class_of.astype(np.int8), moves))
-    rows = blocks.filter("train").select("ids", "endings").mapInPandas(_contexts(shared), "range long, keys binary, ns binary")
+SUMS = "range long, keys binary, ns binary"
+
+
+@contextmanager
+def broadcast(spark: SparkSession, value) -> Iterator[Broadcast]:
+    """``value`` for the jobs run inside; at their end its copies go, the driver's too."""
+    shared = spark.sparkContext.broadcast(value)
+    yield shared
+    shared.destroy()
+
+
+def merged(rows: DataFrame) -> DataFrame:
+    """The tasks' rows of sums as a row for each range."""
     order = F.row_number().over(Window.partitionBy("range").orderBy("part", "place"))
     rows = saved(rows.withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()), "sums")
     numbered = rows.select("range", "part", "place", order.alias("turn"))  # without the sums
@@ -261,8 +314,74 @@ def contexts(blocks: DataFrame, unit_of: np.ndarray, class_of: np.ndarray, moves
             return rows
 
 
+def contexts(blocks: DataFrame, unit_of: np.ndarray, class_of: np.ndarray, moves: np.ndarray | None) -> DataFrame:
+    """A row of sums for each range of units, and the class pairs as row -1."""
+    with broadcast(blocks.sparkSession, (unit_of, class_of.astype(np.int8), moves)) as shared:
+        return merged(blocks.filter("train").select("ids", "endings").mapInPandas(_contexts(shared), SUMS))
+
+
+def _unit_pairs(shared):
+    """mapInPandas function: sums of the pairs of units that follow each other (first * width + second)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unit_of, width = shared.value
+        held, size = [], 0
+        for batch in batches:
+            for ids, endings in zip(batch["ids"], batch["endings"]):
+                u = np.concatenate([unit_of, [END_UNIT], endings])[_with_start(ids, len(unit_of))].astype(np.int64)
+                held.append(np.unique(u[:-1] * width + u[1:], return_counts=True))
+                size += len(held[-1][0])
+                if size > HELD // 2:
+                    held = [_summed(*zip(*held))]
+                    size = len(held[0][0])
+                    if size > HELD // 4:
+                        yield _rows_of_sums(*held[0], None, width * PAIR_RANGE)
+                        held, size = [], 0
+        if held:
+            yield _rows_of_sums(*_summed(*zip(*held)), None, width * PAIR_RANGE)
+    return run
+
+
+def unit_pairs(blocks: DataFrame, unit_of: np.ndarray, width: int) -> DataFrame:
+    """How often units below ``width`` follow each other, a row for each range of first units: of
+    coarse units, whose number is bounded, so the rounds don't read the texts again."""
+    with broadcast(blocks.sparkSession, (unit_of, width)) as shared:
+        return merged(blocks.filter("train").select("ids", "endings").mapInPandas(_unit_pairs(shared), SUMS))
+
+
+def _pair_contexts(shared):
+    """mapInPandas function: as _contexts, from the pairs of units."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        width, class_of, moves = shared.value
+        table, dense = np.zeros(K * K, np.int64), np.zeros(width * CODES, np.int64)
+        for batch in batches:
+            for keys, ns in zip(batch["keys"], batch["ns"]):
+                (a, b), n = np.divmod(np.frombuffer(keys, np.int64), width), np.frombuffer(ns, np.int64)
+                before, after = class_of[a].astype(np.int64), class_of[b].astype(np.int64)
+                table += np.bincount(before * K + after, weights=n, minlength=K * K).astype(np.int64)
+                if moves is None:
+                    continue
+                same = a == b
+                for chosen, code in ((moves[b] & ~same, b * CODES + before), (moves[a] & ~same, a * CODES + K + after), (moves[b] & same, b * CODES + 2 * K)):
+                    dense += np.bincount(code[chosen], weights=n[chosen], minlength=len(dense)).astype(np.int64)
+        at = np.flatnonzero(dense)
+        if table.any():  # a task without pairs has no sums
+            yield _rows_of_sums(at, dense[at], table)
+    return run
+
+
+def pair_contexts(pairs: DataFrame, width: int, class_of: np.ndarray, moves: np.ndarray | None) -> DataFrame:
+    """As :func:`contexts`, of the pairs that :func:`unit_pairs` counted.  A task has at least one
+    of their few rows, so the tasks' sums are merged at once."""
+    with broadcast(pairs.sparkSession, (width, class_of[:width].astype(np.int8), None if moves is None else moves[:width])) as shared:
+        rows = pairs.select("keys", "ns").mapInPandas(_pair_contexts(shared), SUMS).withColumn("turn", F.lit(0).cast("long"))
+        return saved(rows.groupBy("range").applyInPandas(_merged, "range long, turn long, keys binary, ns binary"), "sums")
+
+
 def _phi(x):
-    return x * np.log(np.maximum(x, 1e-9))
+    logs = np.maximum(x, 1e-9)
+    np.log(logs, out=logs)
+    logs *= x
+    return logs
 
 
 def best_class(dense: np.ndarray, c: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -272,23 +391,25 @@ def best_class(dense: np.ndarray, c: np.ndarray, table: np.ndarray) -> np.ndarra
     gain, here = np.zeros((len(c), K)), np.arange(len(c))
     for x, other, t in ((l, r, table), (r, l, table.T)):
         at, i = np.nonzero(x)
-        v, at_c = x[at, i], c[at]
-        n = t[i]  # without the unit; its bigrams with itself apart
-        n[np.arange(len(at)), at_c] -= v
+        v, at_c, pairs = x[at, i], c[at], np.arange(len(at))
+        n, was = t[i], _phi(t)[i]  # without the unit; its bigrams with itself apart
+        n[pairs, at_c] -= v
         inner = np.flatnonzero(i == at_c)
         n[inner] -= other[at[inner]]
         n[inner, at_c[inner]] -= own[at[inner]]
+        was[pairs, at_c], was[inner] = _phi(n[pairs, at_c]), _phi(n[inner])  # the others are those of the table
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
         if len(first):
-            gain[at[first]] += np.add.reduceat(_phi(n + v[:, None]) - _phi(n), first)
+            gain[at[first]] += np.add.reduceat(_phi(n + v[:, None]) - was, first)
     total = l.sum(1) + own
     d = np.tile(np.diag(table), (len(c), 1))
     d[here, c] -= l[here, c] + r[here, c] + own
     gain += _phi(d + l + r + own[:, None]) - _phi(d + l) - _phi(d + r) + _phi(d)
     for sums in (table.sum(1), table.sum(0)):  # what comes before and after stays in its class's sum
-        rest = np.tile(sums, (len(c), 1))
+        rest, was = np.tile(sums, (len(c), 1)), np.tile(_phi(sums), (len(c), 1))
         rest[here, c] -= total
-        gain -= _phi(rest + total[:, None]) - _phi(rest)
+        was[here, c] = _phi(rest[here, c])
+        gain -= _phi(rest + total[:, None]) - was
     return gain[:, : K - 1].argmax(1)
 
 
@@ -308,16 +429,16 @@ def _gains(shared):
     return run
 
 
-def exchange(blocks: DataFrame, unit_of: np.ndarray, class_of: np.ndarray, hashed: np.ndarray, rounds: int = WORD_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of the units that ``unit_of`` names, by exchange from ``class_of``, and the
-    table of pairs of classes; ``hashed`` has a hash for each unit.  At most KNOWN_WORDS and ENDINGS moves come to the driver."""
-    spark = blocks.sparkSession
+def exchange(spark: SparkSession, count: Callable[[np.ndarray, np.ndarray | None], DataFrame], class_of: np.ndarray, hashed: np.ndarray,
+             rounds: int = WORD_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the units whose sums ``count`` gives for classes and units that may move, by exchange from
+    ``class_of``, and the table of pairs of classes; ``hashed`` has a hash for each unit.  At most KNOWN_WORDS and ENDINGS moves come to the driver."""
     best, share = None, INFLOW
     for turn in range(rounds + 1):
         half = ((hashed ^ (hashed >> 29)) * 0x9E3779B97F4A7C1 >> 33) + turn & 1 == 0
         half[END_UNIT] = False
         with removed_after(spark):
-            met = contexts(blocks, unit_of, class_of, half if turn < rounds else None)
+            met = count(class_of, half if turn < rounds else None)
             table = np.frombuffer((met.filter("range = -1").first() or {"ns": np.zeros(K * K, np.int64)})["ns"], np.int64).reshape(K, K).astype(float)  # one row
             likelihood = _phi(table).sum() - _phi(table.sum(0)).sum() - _phi(table.sum(1)).sum()
             better = best is None or likelihood > best[0]
@@ -326,8 +447,8 @@ def exchange(blocks: DataFrame, unit_of: np.ndarray, class_of: np.ndarray, hashe
             if turn == rounds:
                 break
             if better:
-                shared = spark.sparkContext.broadcast((table, class_of))
-                moves = met.filter("range >= 0").select("range", "keys", "ns").mapInPandas(_gains(shared), "unit long, class long, n long").toPandas()
+                with broadcast(spark, (table, class_of)) as shared:
+                    moves = met.filter("range >= 0").select("range", "keys", "ns").mapInPandas(_gains(shared), "unit long, class long, n long").toPandas()
                 unit, to, n = (moves[c].to_numpy(np.int64) for c in ("unit", "class", "n"))
                 moving = to != class_of[unit]
                 if moving.sum() <= LEAST_MOVED * len(unit):
@@ -453,7 +574,7 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1, known_words: int =
     docs = docs.withColumn("train", split_of(F.col("doc"), folds) != held_out)
 
     with batches_of(spark, TEXTS):
-        vocabulary = docs.filter("train").select("text").mapInPandas(_word_counts(), "word long, ending int, n long")
+        vocabulary = docs.filter("train").select("text").mapInArrow(_word_counts, "word long, ending int, n long")
         vocabulary = saved(vocabulary.groupBy("word", "ending").agg(F.sum("n").alias("n")), "vocabulary")
     total, size = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = vocabulary.filter(F.col("word") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -472,9 +593,8 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1, known_words: int =
     rest = words.filter(F.col("n") < least) if fit > len(known) else None
 
     place = np.argsort(hashes)
-    shared = spark.sparkContext.broadcast((hashes[place], place))
-    with batches_of(spark, TEXTS):
-        blocks = docs.mapInPandas(_numbers(shared), NUMBERS).withColumn("block", F.monotonically_increasing_id())
+    with batches_of(spark, TEXTS), broadcast(spark, (hashes[place], place)) as shared:
+        blocks = docs.mapInArrow(_numbers(shared), NUMBERS).withColumn("block", F.monotonically_increasing_id())
         blocks = saved(blocks, "numbers")
 
     often = np.flatnonzero(counts >= max(1, UNIT_SHARE * total))  # at most 1 / UNIT_SHARE
@@ -487,10 +607,12 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1, known_words: int =
     class_of[END_UNIT] = CLASSES
     hashed = np.concatenate([np.arange(FIRST_KNOWN) * 0x9E3779B97F4A7C1, hashes])
     with batches_of(spark, BLOCKS):
-        class_of, _ = exchange(blocks, coarse, class_of, hashed, ROUNDS)
+        with removed_after(spark):
+            width = FIRST_KNOWN + len(often)  # of the words by falling count
+            class_of, _ = exchange(spark, partial(pair_contexts, unit_pairs(blocks, coarse, width), width), class_of, hashed, ROUNDS)
         class_of[FIRST_KNOWN:] = class_of[coarse]
         unit_of = np.where(counts >= LEAST_COUNT, FIRST_KNOWN + np.arange(len(hashes)), endings)
-        class_of, table = exchange(blocks, unit_of, class_of, hashed)
+        class_of, table = exchange(spark, partial(contexts, blocks, unit_of), class_of, hashed)
     known_class, class_of_ending = class_of[unit_of], class_of[:ENDINGS]
 
     tokens, types = np.zeros((2, K))

@@ -397,3 +397,59 @@ def test_packing_of_added_tokens(spark):
     for i, t in rows:
         ids = [*library.encode(t, add_special_tokens=False).ids, 2]
         assert got[i] == (len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
+
+
+def test_lm_words_of_batches(monkeypatch):
+    """Vocabulary and numbers of texts that are split some at a time, against the contract's words."""
+    from collections import Counter
+
+    import pyarrow as pa
+    import xxhash
+
+    monkeypatch.setattr(lm_scoring, "CHARS", 30)
+    monkeypatch.setattr(lm_scoring, "HELD_WORDS", 4)
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 20)
+    text = [None, "", " \t\n", "a B\x0bcc\x0cDDDDD\r eeeeee ", "\x1c\x85 Äx\xa0y  b", "a " * 30, "b", "\x00 \x00b \x00\x00"]
+    train = [True, True, False, True, False, True, True, False]
+    batch = pa.record_batch({"doc": [str(i) if i else None for i in range(len(text))], "train": train, "text": text})
+    low = [WORD.findall((t or "").encode().lower().decode()) for t in text]
+    got = Counter()
+    for b in lm_scoring._word_counts(iter([batch, batch.slice(2, 0)])):
+        for word, ending, n in zip(*(c.to_pylist() for c in b.columns)):
+            got[word, ending] += n
+    key = lambda w: (xxhash.xxh3_64_intdigest(w.encode()) & (1 << 63) - 1, zlib.crc32(w.encode()[-2:] + (b"s" if len(w.encode()) < 6 else b"l")) % lm_scoring.ENDINGS)
+    assert got == Counter(map(key, itertools.chain(*low))) + Counter({(lm_scoring.END, lm_scoring.END): len(text)})
+
+    known = ["a", "b"]
+    hashes = np.array([key(w)[0] for w in known])
+    place = np.argsort(hashes)
+    shared = type("Shared", (), {"value": (hashes[place], place)})
+    docs = {}
+    for b in lm_scoring._numbers(shared)(iter([batch])):
+        row = {name: b[name][0].as_py() for name in b.schema.names}
+        names = {i: key(w)[0] for i, w in enumerate(known)} | {2: None} | {3 + j: w for j, w in enumerate(row["words"])}
+        ids = iter(np.frombuffer(row["ids"], np.int32).tolist())
+        for doc, length in zip(row["docs"], row["lengths"]):
+            docs[doc] = (row["train"], [names[i] for i in itertools.islice(ids, length)])
+        assert dict(zip(row["words"], row["endings"])).items() <= {key(w) for w in itertools.chain(*low)}
+    assert docs == {str(i) if i else None: (train[i], [*[key(w)[0] for w in low[i]], None]) for i in range(len(text))}
+
+
+def test_lm_coarse_rounds_read_pairs(spark, docs, monkeypatch):
+    """Only the rounds of all words read the texts; the coarse ones have the same sums from pairs counted once."""
+    contexts, unit_pairs, pair_contexts = lm_scoring.contexts, lm_scoring.unit_pairs, lm_scoring.pair_contexts
+    read, counted, same = [], [], []
+    rows_of = lambda df: sorted((r["range"], bytes(r["keys"]), bytes(r["ns"])) for r in df.collect())
+
+    def of_pairs(pairs, width, class_of, moves):
+        out = pair_contexts(pairs, width, class_of, moves)
+        same.append(rows_of(out) == rows_of(contexts(*counted[0][:2], class_of, moves)))
+        return out
+    monkeypatch.setattr(lm_scoring, "HELD", 400)
+    monkeypatch.setattr(lm_scoring, "PAIR_RANGE", 16)
+    monkeypatch.setattr(lm_scoring, "UNIT_SHARE", 1e-2)
+    monkeypatch.setattr(lm_scoring, "contexts", lambda *a: (read.append(a), contexts(*a))[1])
+    monkeypatch.setattr(lm_scoring, "unit_pairs", lambda *a: (counted.append(a), unit_pairs(*a))[1])
+    monkeypatch.setattr(lm_scoring, "pair_contexts", of_pairs)
+    lm_scoring.score(docs)
+    assert len(counted) == 1 and same and all(same) and len(read) <= lm_scoring.WORD_ROUNDS + 1
