@@ -108,6 +108,8 @@ def blocks(page) -> list[tuple[str, bool, bool]]:
     raw, at = "", 0
 
     def flush() -> None:
+        if not text:  # between two tags
+            return
         joined = " ".join(html_lib.unescape("".join(text)).split())
         text.clear()
         if joined:

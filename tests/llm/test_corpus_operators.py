@@ -453,3 +453,13 @@ def test_lm_coarse_rounds_read_pairs(spark, docs, monkeypatch):
     monkeypatch.setattr(lm_scoring, "pair_contexts", of_pairs)
     lm_scoring.score(docs)
     assert len(counted) == 1 and same and all(same) and len(read) <= lm_scoring.WORD_ROUNDS + 1
+
+
+def test_html_blocks_are_decoded_once_each(monkeypatch):
+    """Tags without text between them cost no decoding, and change no block."""
+    decoded = []
+    unescape = html_extract.html_lib.unescape
+    monkeypatch.setattr(html_extract.html_lib, "unescape", lambda text: decoded.append(text) or unescape(text))
+    page = "<html><body><div><div><p>a &amp; b</p></div></div><br><hr><p>c</p></body></html>"
+    assert html_extract.blocks(page) == [("a & b", False, False), ("c", False, False)]
+    assert decoded == ["a &amp; b", "c"]
