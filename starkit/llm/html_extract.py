@@ -38,9 +38,10 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+import sys
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from functools import reduce
+from functools import cache, lru_cache, reduce
 from itertools import chain
 
 import numpy as np
@@ -58,6 +59,7 @@ MIN_PAGES = 3           # distinct pages or articles that boilerplate must be on
 MIN_SHARE = 0.3         # and share of the host's articles, of a run
 SLACK = 8               # 1 / SLACK is below MIN_SHARE, so a run on that share of the host's articles is sent by a group
 PAGES = 256             # pages that Python holds at once outside of a group
+PIECE_CHARS = 200_000   # characters whose tokens are found at once, unless a page has more
 ROUNDS = 3              # shares of the groups that are shuffled one after the other, for less disk
 HOSTS = 2_000           # hosts up to which their runs, about 10 kB a host, are broadcast
 
@@ -68,13 +70,14 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q",
           "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 MARKED = {"article", "main"}
+KEPT = {"html", "body"} | MARKED
 #: Words in a class or id that mark what is not main text.
 NOT_MAIN = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "cookie", "cookies",
             "consent", "disclaimer", "footer", "gdpr", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
             "notification", "pagination", "popup", "promo", "promotion", "related", "replies", "reply", "respond", "share", "sharing", "sidebar", "social",
             "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget", "reactions", "discussion", "responses"}
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.S)
 NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 SPLIT = re.compile(r"[^a-z0-9]+")
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
@@ -86,6 +89,7 @@ WORD = re.compile(r"\w+|[^\w\s]")
 ABOUT = {"has", "no", "with", "without", "enabled", "disabled"}
 
 
+@lru_cache(10_000)
 def _not_main(attributes: str) -> bool:
     if not attributes:
         return False
@@ -99,6 +103,10 @@ def _not_main(attributes: str) -> bool:
     return False
 
 
+#: Where no element is open: its name, whether it is dropped, whether it is in an article.
+NO_ELEMENT = ("", False, False)
+
+
 def blocks(page) -> list[tuple[str, bool, bool]]:
     """(text, dropped, in a marked article) of the blocks of a page."""
     if not isinstance(page, str):
@@ -113,38 +121,42 @@ def blocks(page) -> list[tuple[str, bool, bool]]:
         joined = " ".join(html_lib.unescape("".join(text)).split())
         text.clear()
         if joined:
-            dropped, inside = (open_[-1][1], open_[-1][2]) if open_ else (False, False)
+            _, dropped, inside = open_[-1] if open_ else NO_ELEMENT
             out.append((joined, dropped, inside))
 
     for m in TOKEN.finditer(page):
-        closing, name = m[1], (m[2] or "").lower()
+        closing, name, attributes = m.groups()
         if raw:  # only its own end tag ends a raw element
-            if closing and name == raw:
+            if closing and name.lower() == raw:
                 raw, at = "", m.end()
             continue
-        if m.start() > at:
-            text.append(page[at: m.start()])
-        at = m.end()
+        start, end = m.span()
+        if start > at:
+            text.append(page[at: start])
+        at = end
         if not name:
             continue
+        name = name.lower()
         if closing:
-            depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), -1)
+            depth = len(open_) - 1
+            while depth >= 0 and open_[depth][0] != name:
+                depth -= 1
             if depth >= 0:
-                if name not in INLINE or open_[depth][1]:
+                if text and (name not in INLINE or open_[depth][1]):
                     flush()
                 del open_[depth:]
         elif name in VOID:
-            if name not in INLINE:
+            if text and name not in INLINE:
                 flush()
         elif name in RAW:
             flush()
-            if not m[0].endswith("/>"):
+            if page[end - 2: end] != "/>":
                 raw = name
         else:
-            dropped, inside = (open_[-1][1], open_[-1][2]) if open_ else (False, False)
+            _, dropped, inside = open_[-1] if open_ else NO_ELEMENT
             titles = name == "header" and inside  # of an article: its title
-            drop = dropped or not titles and name not in ("html", "body", *MARKED) and (name in DROPPED or _not_main(m[3]))
-            if name not in INLINE or drop and not dropped:
+            drop = dropped or not titles and name not in KEPT and (name in DROPPED or _not_main(attributes))
+            if text and (name not in INLINE or drop and not dropped):
                 flush()
             if name == "p":  # a paragraph ends where the next begins
                 for i in range(len(open_) - 1, -1, -1):
@@ -152,9 +164,9 @@ def blocks(page) -> list[tuple[str, bool, bool]]:
                         if open_[i][0] == "p":
                             del open_[i:]
                         break
-                dropped, inside = (open_[-1][1], open_[-1][2]) if open_ else (False, False)
-                drop = dropped or _not_main(m[3])
-            if not m[0].endswith("/>") or name not in INLINE:
+                _, dropped, inside = open_[-1] if open_ else NO_ELEMENT
+                drop = dropped or _not_main(attributes)
+            if name not in INLINE or page[end - 2: end] != "/>":
                 open_.append((name, drop, inside or name in MARKED and not drop))
     if not raw and at < len(page):
         text.append(page[at:])
@@ -190,9 +202,11 @@ def place_keys(page: list[tuple[str, bool, bool]], sizes: list[int]) -> list[tup
     kept, marked = candidates(page)
     out = []
     for i, k in enumerate(kept):
-        text = page[k][0]
-        places = (f"{i}\0{text}", f"{i - len(kept)}\0{text}") if marked else (text,)
-        out.append(tuple(map(_hash, places)) if sizes[k] >= MIN_RUN else ())
+        if sizes[k] < MIN_RUN:
+            out.append(())
+            continue
+        text = _hash(page[k][0])
+        out.append((_hash(f"{i}\0{text}"), _hash(f"{i - len(kept)}\0{text}")) if marked else (text,))
     return out
 
 
@@ -297,7 +311,7 @@ def _extract(pages: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"page_id": pages["page_id"].array, "url": pages["url"].array, "text": text, "n_chars": [len(t) for t in text]})
 
 
-PARSED = ("host string, groups long, page_id string, url string, name string, texts array<string>, marks binary, marked boolean, chars long, page long, "
+PARSED = ("host string, groups long, page_id string, url string, name string, text string, marks binary, marked boolean, chars long, page long, "
           "own array<long>, own_size array<int>, key_a array<long>, key_b array<long>")
 
 
@@ -309,24 +323,64 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             page = blocks(html)
             kept, marked = candidates(page)
             keys = [k or (None, None) for k in place_keys(page, sizes(page))]
-            rows.append((host, groups, page_id, url, title(html), [text for text, _, _ in page], bytes(dropped + 2 * inside for _, dropped, inside in page), marked,
-                         sum(len(text) for text, _, _ in page), page_hash(page), [_hash(page[k][0]) for k in kept], [len(page[k][0]) for k in kept],
-                         [k[0] for k in keys], [k[-1] for k in keys]))
+            text = "\n".join(text for text, _, _ in page)  # a block has no line break inside
+            rows.append((host, groups, page_id, url, title(html), text, bytes(dropped + 2 * inside for _, dropped, inside in page), marked,
+                         len(text), _hash(text), [_hash(page[k][0]) for k in kept], [len(page[k][0]) for k in kept], [k[0] for k in keys], [k[-1] for k in keys]))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in PARSED.split(", ")])
 
 
-def _page(texts, marks: bytes) -> list[tuple[str, bool, bool]]:
-    return [(text, bool(m & 1), bool(m & 2)) for text, m in zip(texts, marks)]
-
-
-class Hashes(dict):
-    """Hashes of tokens met so far."""
-
-    def __missing__(self, token: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[token] = value = xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass"))
-        return value
+def _page(text: str, marks: bytes) -> list[tuple[str, bool, bool]]:
+    return [(block, bool(m & 1), bool(m & 2)) for block, m in zip(text.split("\n"), marks)]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Numbers of 64 bits spread over all of them, different ones differently, and 0 as 0 (the steps of splitmix64)."""
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+@cache
+def code_points() -> tuple[np.ndarray, np.ndarray]:
+    """Of each code point whether it belongs to a word, and its number in a hash, 0 if it is white space."""
+    every = "".join(map(chr, range(sys.maxunicode + 1)))
+    word, number = np.zeros(len(every), bool), mixed(np.arange(1, len(every) + 1, dtype=np.uint64))
+    for pattern, of, value in ((r"\w+", word, True), (r"\s+", number, 0)):
+        for m in re.finditer(pattern, every):
+            of[m.start(): m.end()] = value
+    return word, number
+
+
+def _piece_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.intp)
+    word, number = (of.take(codes) for of in code_points())
+    begins = number != 0
+    begins[1:] &= ~(word[1:] & word[:-1])  # each other sign is a token of its own
+    starts, index = np.flatnonzero(begins), np.arange(len(codes))
+    place = index - np.maximum.accumulate(index * begins)  # in its token
+    factors = mixed(np.arange(1, place.max() + 2, dtype=np.uint64)) | np.uint64(1)
+    sums = np.cumsum(number * factors.take(place))[np.append(starts[1:], len(codes)) - 1]
+    of_block = np.diff(np.searchsorted(starts, np.flatnonzero(codes == ord("\n"))), prepend=0, append=len(starts))
+    return mixed(np.diff(sums, prepend=np.uint64(0))), np.repeat(np.arange(len(of_block)), of_block)
+
+
+def token_hashes(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens, those of ``WORD``, of the blocks of texts, and the block of
+    each, counted over all texts.  A text has its blocks joined by line breaks, without white
+    space around them, or is empty and has none.  A hash adds up the numbers of
+    the characters, each times a factor of its place."""
+    hashes, blocks_, piece, chars, before = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [], 0, 0
+    for text in chain(filter(None, texts), (None,)):
+        if piece and (text is None or chars + len(text) > PIECE_CHARS):
+            hashed, block = _piece_hashes("\n".join(piece))
+            hashes.append(hashed)
+            blocks_.append(block + before)
+            piece, chars, before = [], 0, before + int(block[-1]) + 1
+        if text is not None:
+            piece.append(text)
+            chars += len(text)
+    return np.concatenate(hashes), np.concatenate(blocks_)
 
 
 def run_hashes(hashes: np.ndarray, run: int = MIN_RUN) -> np.ndarray:
@@ -344,14 +398,11 @@ def _runs(every: bool):
     outside; and a row of its own (run 0, ``head``) with all articles.  ``slack`` is what
     a run that isn't sent has at most."""
     def run(pages: pd.DataFrame) -> pd.DataFrame:
-        parsed, hashes = [_page(t, m) for t, m in zip(pages["texts"], pages["marks"])], Hashes()
-        tokens = [[WORD.findall(text) for text, _, _ in b] for b in parsed]
-        size = np.array([len(x) for page in tokens for x in page], np.int64)
-        block = np.repeat(np.arange(len(size)), size)
-        page = np.repeat(np.arange(len(parsed)), [len(b) for b in parsed])[block] if len(block) else block
+        marks = pages["marks"].tolist()
+        hashed, block = token_hashes(pages["text"])
+        page = np.repeat(np.arange(len(marks)), [len(m) for m in marks])[block]
         of, articles = pd.factorize(pages["article"])
-        outside = np.array([dropped or not inside for b in parsed for _, dropped, inside in b], bool)[block]
-        hashed = np.fromiter(map(hashes.__getitem__, chain.from_iterable(x for page in tokens for x in page)), np.uint64, len(block))
+        outside = (np.frombuffer(b"".join(marks), np.uint8) != 2)[block]  # dropped, or not in a marked article
         stream = pd.factorize(hashed)[0].astype(np.int64)
         slack = 0 if every else len(articles) // SLACK
         rank, order = suffixes(stream, page, of[page], MIN_RUN)
@@ -406,40 +457,23 @@ def frequent_runs(dealt: DataFrame) -> DataFrame:
     return saved(sums.groupBy("host").agg(*lists), "host-runs")
 
 
-def _tokens_around(page: list[tuple[str, bool, bool]], chosen: list[int]) -> list[list[str]]:
-    """Tokens of the blocks from the first to the last of ``chosen``, and of those before
-    and after that a run with a token of these can reach; none for the others."""
-    tokens: list[list[str]] = [[]] * len(page)
-    if not chosen:
-        return tokens
-    for k in range(chosen[0], chosen[-1] + 1):
-        tokens[k] = WORD.findall(page[k][0])
-    for side in (range(chosen[0] - 1, -1, -1), range(chosen[-1] + 1, len(page))):
-        reach = MIN_RUN - 1
-        for k in side:
-            if reach <= 0:
-                break
-            tokens[k] = WORD.findall(page[k][0])
-            reach -= len(tokens[k])
-    return tokens
-
-
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Main texts of parsed pages, by which candidates are common and the runs that count."""
-    hashes = Hashes()
     for batch in batches:
+        counted = [len(runs) > 0 for runs in batch["runs"]]  # of other pages no token counts
+        hashed, block = token_hashes(batch["text"][counted])
+        first = np.cumsum([0] + [len(m) if c else 0 for m, c in zip(batch["marks"], counted)])  # block of each page
+        size, ends = np.bincount(block, minlength=first[-1]), np.searchsorted(block, first)
+        found, hit = run_hashes(hashed), np.zeros(len(hashed), bool)
+        for runs, start, end in zip(batch["runs"], ends, ends[1:] - MIN_RUN + 1):
+            if start < end:  # runs that end on the page
+                of = found[start: end]
+                hit[start: end] = runs[np.minimum(np.searchsorted(runs, of), len(runs) - 1)] == of
+        repeated = np.bincount(block, weights=covered(np.flatnonzero(hit), len(hashed), MIN_RUN), minlength=first[-1])
         out = []
-        for texts, marks, name, common, runs in zip(batch["texts"], batch["marks"], batch["name"], batch["common"], batch["runs"]):
-            page = _page(texts, marks)
-            tokens = _tokens_around(page, [k for k, c in zip(candidates(page)[0], common) if not c])
-            size = np.array([len(x) for x in tokens], np.int64)
-            hashed = np.fromiter(map(hashes.__getitem__, chain.from_iterable(tokens)), np.uint64, size.sum())
-            found = run_hashes(hashed)
-            hit = np.zeros(0, np.int64)
-            if len(runs):
-                hit = np.flatnonzero(runs[np.minimum(np.searchsorted(runs, found), len(runs) - 1)] == found)
-            repeated = np.bincount(np.repeat(np.arange(len(size)), size), weights=covered(hit, len(hashed), MIN_RUN), minlength=len(size))
-            out.append(_text(page, list(common), repeated, size, name))
+        for text, marks, name, common, c, k in zip(batch["text"], batch["marks"], batch["name"], batch["common"], counted, first):
+            none = np.zeros(len(marks), np.int64)
+            out.append(_text(_page(text, marks), list(common), repeated[k:] if c else none, size[k:] if c else none, name))
         yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": out, "n_chars": [len(t) for t in out]})
 
 
@@ -468,11 +502,11 @@ def host_texts(rows: DataFrame) -> DataFrame:
     dealt = pages.join(small(hot), ["host", "article"], "left").withColumn("hot", F.col("parts").isNotNull())
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("page_id", "url", "page"), F.coalesce("parts", F.lit(1)))).otherwise(F.pmod(F.xxhash64("article"), "groups"))
     split = F.when(F.col("hot"), F.col("article")).otherwise(0)
-    dealt = dealt.select("host", "hot", split.alias("split"), salt.alias("salt"), "article", "texts", "marks")
+    dealt = dealt.select("host", "hot", split.alias("split"), salt.alias("salt"), "article", "text", "marks")
     found = small(frequent_runs(dealt), HOSTS)
     none = F.array().cast("array<long>")
     runs = F.coalesce(F.when(F.col("marked"), F.col("outside")).otherwise(F.col("often")), none)
-    pages = pages.join(found, "host", "left").select("page_id", "url", "name", "texts", "marks", "common", runs.alias("runs"))
+    pages = pages.join(found, "host", "left").select("page_id", "url", "name", "text", "marks", "common", runs.alias("runs"))
     out = pages.mapInPandas(_texts, "page_id string, url string, text string, n_chars long")
     return out.withColumn("page_id", F.col("page_id").cast("long"))
 

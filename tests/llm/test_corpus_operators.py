@@ -5,9 +5,11 @@ import hashlib
 import itertools
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -463,3 +465,33 @@ def test_html_blocks_are_decoded_once_each(monkeypatch):
     page = "<html><body><div><div><p>a &amp; b</p></div></div><br><hr><p>c</p></body></html>"
     assert html_extract.blocks(page) == [("a & b", False, False), ("c", False, False)]
     assert decoded == ["a &amp; b", "c"]
+
+
+def test_html_token_hashes(monkeypatch):
+    """Tokens of a group are found at once, the same as a pattern finds block by block: equal hashes for equal tokens only."""
+    r = random.Random(8)
+    sign = lambda: chr(r.choice([r.randrange(33, 127), r.randrange(161, 0x3000), r.randrange(0x10000, sys.maxunicode), 0xD800, ord("_"), 0x301]))
+    block = lambda: " ".join(" ".join("".join(sign() for _ in range(r.randrange(1, 6))) for _ in range(r.randrange(1, 9))).split()) or "x"
+    pages = [[block() for _ in range(r.randrange(4))] for _ in range(300)] + [["abc" * 9_000, "a b", "b a"], [], ["ab", "a-b", "a_b", "a"]]
+    expected = [(k, token) for k, text in enumerate(b for page in pages for b in page) for token in html_extract.WORD.findall(text)]
+    for chars in (1, 500, 10**6):
+        monkeypatch.setattr(html_extract, "PIECE_CHARS", chars)
+        hashed, blocks = html_extract.token_hashes(["\n".join(page) for page in pages])
+        assert blocks.tolist() == [k for k, _ in expected]
+        assert len(set(zip(hashed.tolist(), (t for _, t in expected)))) == len(set(hashed.tolist())) == len({t for _, t in expected})
+    none = html_extract.token_hashes(["", ""])
+    assert [len(x) for x in none] == [0, 0]
+
+
+def test_html_tokens_of_a_host_are_not_found_block_by_block(monkeypatch):
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    pages = [[(words(f"own{i}x", 9), False, False), (words("notice", 12), False, False), (words("few", 3), False, False)] for i in range(6)] + [[]]
+    rows = pd.DataFrame({"host": "h", "hot": False, "split": 0, "article": range(7), "page_id": "1", "url": "u", "name": "", "marked": False,
+                         "text": ["\n".join(text for text, _, _ in page) for page in pages], "marks": [bytes(len(page)) for page in pages],
+                         "common": [[False] * len(page) for page in pages]})
+    monkeypatch.setattr(html_extract, "WORD", None)
+    found = html_extract._runs(False)(rows)
+    runs = np.sort(found.loc[~found["head"] & (found["n"] >= 3), "run"].to_numpy())
+    assert len(runs) == 8  # five inside the notice, three that go on to the block after it; the block before it differs
+    texts, = html_extract._texts([rows.assign(runs=[runs] * 5 + [runs[:0], runs])])
+    assert texts["text"].tolist() == [f"{words(f'own{i}x', 9)}" + f"\n{words('notice', 12)}\n{words('few', 3)}" * (i == 5) for i in range(6)] + [""]
