@@ -312,20 +312,23 @@ def _extract(pages: pd.DataFrame) -> pd.DataFrame:
 
 
 PARSED = ("host string, groups long, page_id string, url string, name string, text string, marks binary, marked boolean, chars long, page long, "
-          "own array<long>, own_size array<int>, key_a array<long>, key_b array<long>")
+          "own array<long>, own_size array<int>, counted array<boolean>")
+
+#: The keys of candidate ``i`` of a parsed page by its hash ``h``, as place_keys has them; what counts them needs no column of their own.
+KEYS = "if(marked, array(xxhash64(h, i), xxhash64(h, i - size(own))), array(h))"
 
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pages as blocks, with hash, length and keys of each candidate."""
+    """Pages as blocks, with hash and length of each candidate, and whether it is as long as a run."""
     for batch in batches:
         rows = []
         for host, groups, page_id, url, html in batch.itertuples(index=False):
             page = blocks(html)
             kept, marked = candidates(page)
-            keys = [k or (None, None) for k in place_keys(page, sizes(page))]
+            tokens = sizes(page)
             text = "\n".join(text for text, _, _ in page)  # a block has no line break inside
             rows.append((host, groups, page_id, url, title(html), text, bytes(dropped + 2 * inside for _, dropped, inside in page), marked,
-                         len(text), _hash(text), [_hash(page[k][0]) for k in kept], [len(page[k][0]) for k in kept], [k[0] for k in keys], [k[-1] for k in keys]))
+                         len(text), _hash(text), [_hash(page[k][0]) for k in kept], [len(page[k][0]) for k in kept], [tokens[k] >= MIN_RUN for k in kept]))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in PARSED.split(", ")])
 
 
@@ -477,14 +480,16 @@ def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": out, "n_chars": [len(t) for t in out]})
 
 
+@tidy
 def host_blocks(pages: DataFrame) -> DataFrame:
     """Per host ``most``: the keys of the blocks on more than half of its distinct
     pages, so at most twice the blocks of its average page."""
-    keys = pages.select("host", "page", F.explode(F.concat("key_a", "key_b", F.array(F.lit(None).cast("long")))).alias("key"))  # a null key a page
+    of_page = F.expr(f"flatten(transform(own, (h, i) -> if(counted[i], {KEYS}, cast(array() as array<bigint>))))")
+    keys = pages.select("host", "page", F.explode(F.concat(of_page, F.array(F.lit(None).cast("long")))).alias("key"))  # a null key a page
     counts = saved(keys.distinct().groupBy("host", "key").agg(F.count("*").alias("n")), "block-counts")
     total = small(saved(counts.filter("key is null").select("host", F.col("n").alias("total")), "host-pages"))  # a row for each large host
     often = counts.filter((F.col("n") >= MIN_PAGES) & F.col("key").isNotNull()).join(total, "host").filter("2 * n > total")
-    return saved(often.groupBy("host").agg(F.collect_list("key").alias("most")), "host-blocks")
+    return often.groupBy("host").agg(F.collect_list("key").alias("most"))
 
 
 @tidy
@@ -492,7 +497,7 @@ def host_texts(rows: DataFrame) -> DataFrame:
     """The result for the pages of hosts that are dealt over ``groups``."""
     rows = rows.select("host", "groups", F.col("page_id").cast("string"), "url", "html").sortWithinPartitions("host")  # what pages share lies close, for compression
     pages = saved(rows.mapInPandas(_parsed, PARSED), "pages")
-    common = "transform(own, (h, i) -> coalesce(array_contains(most, key_a[i]) or array_contains(most, key_b[i]), false))"
+    common = f"transform(own, (h, i) -> coalesce(counted[i] and arrays_overlap(most, {KEYS}), false))"
     article = "array_max(filter(transform(own, (h, i) -> struct(own_size[i] as size, -i as place, h as text, common[i] as common)), x -> not x.common)).text"
     pages = pages.join(small(host_blocks(pages), HOSTS), "host", "left").withColumn("common", F.expr(common))
     pages = pages.withColumn("article", F.coalesce(F.expr(article), F.col("page")))

@@ -3,6 +3,7 @@ and long texts, ties, repeated rows, empty tables and extra columns."""
 
 import hashlib
 import itertools
+import os
 import random
 import re
 import sys
@@ -495,3 +496,24 @@ def test_html_tokens_of_a_host_are_not_found_block_by_block(monkeypatch):
     assert len(runs) == 8  # five inside the notice, three that go on to the block after it; the block before it differs
     texts, = html_extract._texts([rows.assign(runs=[runs] * 5 + [runs[:0], runs])])
     assert texts["text"].tolist() == [f"{words(f'own{i}x', 9)}" + f"\n{words('notice', 12)}\n{words('few', 3)}" * (i == 5) for i in range(6)] + [""]
+
+
+def test_html_blocks_on_most_pages_of_a_host(spark, monkeypatch):
+    """Blocks are counted from the parsed pages' hashes as place_keys counts them; their counts go with the job."""
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    body = lambda i: f"<p>{words('first', 9)}</p>" + f"<p>x{i}</p>" * (i % 3) + f"<p>{words('last', 9)}</p><p>short</p><p>{words(f'own{i}x', 9)}</p>"
+    html = {"marked": [f"<p>{words('menu', 9)}</p><article>{body(i)}</article>" for i in range(9)],
+            "not": [body(i) for i in range(9)] + [body(0), "", None], "few": [body(0), body(1)]}
+    rows = pd.DataFrame([(host, 2, str(i), "u", page) for host, of in html.items() for i, page in enumerate(of)], columns=["host", "groups", "page_id", "url", "html"])
+    parsed = pd.concat(html_extract._parsed([rows]))
+    pages = spark.createDataFrame([tuple(r) for r in parsed.itertuples(index=False)], html_extract.PARSED)
+    names = []
+    saved = html_extract.saved
+    monkeypatch.setattr(html_extract, "saved", lambda df, name: (out := saved(df, name), names.extend(out.inputFiles()))[0])
+    got = {r["host"]: len(set(r["most"])) for r in html_extract.host_blocks(pages).collect()}
+    want = {}
+    for host, of in html.items():
+        page = [html_extract.blocks(x) for x in of]
+        want[host] = len(html_extract.on_most_pages(page, [html_extract.place_keys(p, html_extract.sizes(p)) for p in page]))
+    assert want == {"marked": 2, "not": 2, "few": 0} and got == {h: n for h, n in want.items() if n}
+    assert names and not any(os.path.exists(name.removeprefix("file://")) for name in names)
